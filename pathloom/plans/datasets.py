@@ -1 +1,227 @@
+"""Queries over episode tables: grouping, splits, dictionaries, text, and grounded predicates."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pathloom.functions import text
+from pathloom.operators import datasets, logic
+from pathloom.plans.registry import query
+from pathloom.plans.standins import FRAMES_SQL, episodes, frames, table
+
+R = 6
+
+
+@query("""WITH s AS (SELECT c_nationkey, min(c_custkey) AS group_start FROM customer GROUP BY ALL) SELECT c_custkey, c_nationkey, group_start FROM customer JOIN s USING (c_nationkey)""")
+def scene_groups(spark, sf_dir):
+    return datasets.first_seen_order(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c_nationkey", "c_custkey")
+
+
+@query("""WITH h AS (SELECT c_custkey, c_nationkey, row_number() OVER (ORDER BY md5('seed7' || c_custkey), c_custkey) - 1 AS pos, (SELECT count(*) FROM customer) // 9 AS size FROM customer),
+k AS (SELECT *, min(pos) OVER (PARTITION BY c_nationkey) AS g FROM h WHERE pos < size * 9) SELECT c_custkey, (row_number() OVER (ORDER BY g, pos) - 1) // size AS split FROM k""")
+def splits(spark, sf_dir):
+    return datasets.splits(table(spark, sf_dir, "customer"), "c_custkey", 9, "seed7", collate="c_nationkey")
+
+
+@query("SELECT c_nationkey, row_number() OVER (ORDER BY min(c_custkey)) - 1 AS id FROM customer GROUP BY c_nationkey")
+def dictionary_encode(spark, sf_dir):
+    return datasets.encode(table(spark, sf_dir, "customer"), "c_nationkey", "c_custkey")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1")
+def distinct_first(spark, sf_dir):
+    return datasets.keep_first(table(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderkey"]).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("""WITH g AS (SELECT o_custkey, o_totalprice AS goal FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1) SELECT o_orderkey, o_custkey, goal FROM orders JOIN g USING (o_custkey)""")
+def goal_rehydrate(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    goals = datasets.keep_first(o, ["o_custkey"], ["o_orderkey"]).select("o_custkey", F.col("o_totalprice").alias("goal"))
+    return datasets.rehydrate(o.select("o_orderkey", "o_custkey"), goals, "o_custkey")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN c_custkey ELSE (SELECT min(s_suppkey) FROM supplier WHERE s_nationkey = c_nationkey) END AS resolved FROM customer""")
+def name_resolution(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").withColumn("nation", F.col("c_nationkey"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"), "s_suppkey")
+    return datasets.resolve(c, "nation", F.when(F.col("c_custkey") % 5 == 0, F.col("c_custkey")), s, "s_suppkey", "s_suppkey").select("c_custkey", "resolved")
+
+
+@query(FRAMES_SQL + """, p AS (SELECT episode_id, frame_index, count(*) OVER (PARTITION BY episode_id) AS n FROM frames)
+SELECT episode_id, frame_index FROM p WHERE n <= 8 OR frame_index IN (SELECT round_even(i * (n - 1)::DOUBLE / 7, 0) FROM (SELECT unnest(range(8)) AS i))""")
+def even_sample(spark, sf_dir):
+    return datasets.even_sample(frames(spark, sf_dir).select("episode_id", "frame_index"), "frame_index", 8)
+
+
+@query("SELECT o_custkey, coalesce(arg_max(o_orderkey, struct_pack(a := o_totalprice, b := -o_orderkey)) FILTER (o_orderstatus = 'F'), -1) AS largest FROM orders GROUP BY o_custkey")
+def largest_allowed(spark, sf_dir):
+    return datasets.largest(table(spark, sf_dir, "orders"), ["o_custkey"], "o_totalprice", "o_orderkey", F.col("o_orderstatus") == "F")
+
+
+@query("""WITH r AS (SELECT o_custkey, o_orderkey, sum(o_shippriority) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) / sum(o_shippriority) OVER (PARTITION BY o_custkey) AS share FROM (SELECT *, (1 + o_orderkey % 4)::DOUBLE AS o_shippriority FROM orders))
+SELECT o_custkey, min(o_orderkey) AS chosen FROM r WHERE share >= (o_custkey % 10)::DOUBLE / 10 GROUP BY o_custkey""")
+def weighted_choice(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumn("w", (1 + F.col("o_orderkey") % 4).cast("double"))
+    return datasets.weighted_choice(o, ["o_custkey"], "w", "o_orderkey", (F.col("o_custkey") % 10).cast("double") / 10)
+
+
+@query("SELECT p_partkey, (p_partkey - 1) // 40 AS scene FROM part WHERE p_partkey BETWEEN 1 AND 200")
+def balanced_scenes(spark, sf_dir):
+    return table(spark, sf_dir, "part").where("p_partkey BETWEEN 1 AND 200").select("p_partkey", datasets.balanced_scene(F.col("p_partkey") - 1, 200, 5).alias("scene"))
+
+
+@query(FRAMES_SQL + "SELECT episode_id FROM episodes WHERE scene_id IN ('scene1', 'scene4')")
+def scene_filter(spark, sf_dir):
+    path = F.concat(F.lit("data/scene_datasets/"), F.col("scene_id"), F.lit(".basis.glb"))
+    e = episodes(spark, sf_dir)
+    return e.where(datasets.scene_allowed(path, ["scene1.basis", "scene4.basis"])).select("episode_id")
+
+
+@query("SELECT p_partkey, (contains(p_name, 'a') OR contains(p_name, 'steel')) AND NOT contains(p_name, 'red') AS kept FROM part")
+def substring_cull(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", datasets.has_substrings(F.col("p_name"), ["a", "steel"], ["red"]).alias("kept"))
+
+
+@query("SELECT p_partkey, abs((p_size % 3) * 0.25) <= 0.5 AND p_retailprice / 60 BETWEEN 1 AND 30 AND NOT (p_retailprice / 60 / (p_size / 2.0::DOUBLE) < 1.1 AND (p_partkey % 100) / 100.0::DOUBLE > 20 * power(p_retailprice / 60 / (p_size / 2.0::DOUBLE) - 0.98, 2)) AND p_size % 5 >= 1.5 AS compatible FROM part")
+def episode_compatibility(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    c = datasets.compatible((F.col("p_size") % 3) * 0.25, F.col("p_retailprice") / 60, F.col("p_size") / 2, F.col("p_size") % 5, (F.col("p_partkey") % 100) / 100.0)
+    return p.select("p_partkey", c.alias("compatible"))
+
+
+@query("""WITH need AS (SELECT o_custkey, unnest(['1-URGENT', '2-HIGH', '5-LOW']) AS kind FROM (SELECT DISTINCT o_custkey FROM orders))
+SELECT o_custkey, count(*) AS n_missing, string_agg(kind, ',' ORDER BY kind) AS missing FROM need n WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = n.o_custkey AND o.o_orderpriority = kind) GROUP BY o_custkey""")
+def missing_files(spark, sf_dir):
+    """Required kinds that a group lacks, as with the files of an episode."""
+    have = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_set("o_orderpriority").alias("have"))
+    gone = F.array_except(F.array(*map(F.lit, ["1-URGENT", "2-HIGH", "5-LOW"])), "have")
+    return have.select("o_custkey", F.size(gone).cast("long").alias("n_missing"), F.array_join(gone, ",").alias("missing")).where("n_missing > 0")
+
+
+# ---- text
+
+
+@query(FRAMES_SQL + """, r AS (SELECT printf('%s/%06d/front', episode_id, frame_index) AS ref, concat('AT/train/', episode_id, '/f', printf('%06d', frame_index), '/sliding') AS context_key, episode_id, frame_index, 'front' AS camera FROM frames) SELECT * FROM r""")
+def ref_roundtrip(spark, sf_dir):
+    f = frames(spark, sf_dir)
+    refs = f.select(text.ref(F.col("episode_id"), F.col("frame_index"), F.lit("front")).alias("ref"), text.context_key("AT", "train", F.col("episode_id"), F.col("frame_index"), "sliding").alias("context_key"))
+    return refs.select("ref", "context_key", *text.parse_ref(F.col("ref")))
+
+
+@query("""SELECT c_custkey, row_number() OVER (ORDER BY (CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END), CASE WHEN c_custkey % 3 > 0 THEN c_custkey END, CASE WHEN c_custkey % 3 = 0 THEN c_name END) AS place FROM customer WHERE c_nationkey = 3""")
+def natural_sort(spark, sf_dir):
+    from pyspark.sql.window import Window
+
+    c = table(spark, sf_dir, "customer").where("c_nationkey = 3").withColumn("name", F.when(F.col("c_custkey") % 3 > 0, F.col("c_custkey").cast("string")).otherwise(F.col("c_name")))
+    keyed = c.select("c_custkey", F.lit(1).alias("g"), *(k.alias(f"k{i}") for i, k in enumerate(text.natural_key(F.col("name")))))
+    return keyed.select("c_custkey", F.row_number().over(Window.partitionBy("g").orderBy("k0", "k1", "k2")).cast("long").alias("place"))
+
+
+WORDS_SQL = r"""WITH w AS (SELECT conv_id, turn, list_filter(list_transform(regexp_extract_all(replace(replace(lower(text), ',', ''), '?', ''), '[\p{L}\p{M}\p{N}\p{Pc}-]+|[^\p{L}\p{M}\p{N}\p{Pc}-]+'), lambda x: trim(x, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13)))), lambda x: x <> '') AS ws FROM conversations),
+each AS (SELECT conv_id, turn, i, ws[i] AS word FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM w))"""
+
+
+@query(WORDS_SQL + " SELECT conv_id, turn, (i - 1)::INT AS i, word FROM each")
+def tokenize(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(text.tokens(F.col("text"))).alias("i", "word"))
+
+
+def _words(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("p"), text.tokens(F.col("text")).alias("words"))
+
+
+VOCAB_SQL = WORDS_SQL + """, kept AS (SELECT word, min(struct_pack(p := conv_id * 1000 + turn, i := i)) AS f FROM each GROUP BY word HAVING count(*) >= 3),
+vocab AS (SELECT word, row_number() OVER (ORDER BY f) + 3 AS id FROM kept UNION ALL SELECT unnest(['<pad>', '<s>', '</s>', '<unk>']), unnest([0, 1, 2, 3]))"""
+
+
+@query(VOCAB_SQL + " SELECT word, id::BIGINT AS id FROM vocab")
+def vocab(spark, sf_dir):
+    return text.vocabulary(_words(spark, sf_dir), "words", "p", least=3)
+
+
+@query(VOCAB_SQL + " SELECT conv_id * 1000 + turn AS p, (i - 1)::INT AS i, word, coalesce(id, 3)::BIGINT AS id FROM each LEFT JOIN vocab USING (word)")
+def word_ids(spark, sf_dir):
+    w = _words(spark, sf_dir)
+    return text.word_ids(w, "words", "p", text.vocabulary(w, "words", "p", least=3))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Given' WHEN doc_id % 3 = 1 THEN lang ELSE 'Follow the main person.' END AS instruction, CASE WHEN doc_id % 3 = 1 THEN lang WHEN doc_id % 3 = 2 THEN '' ELSE 'Follow the main person.' END AS loose FROM documents")
+def instruction_fallback(spark, sf_dir):
+    given = F.when(F.col("doc_id") % 3 == 0, " Given ").otherwise("  ")
+    stored = F.when(F.col("doc_id") % 3 == 1, F.col("lang")).when(F.col("doc_id") % 3 == 2, "  ")
+    return table(spark, sf_dir, "documents").select("doc_id", text.instruction(given, stored).alias("instruction"), text.instruction_or_blank(stored).alias("loose"))
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') <> '0' AS truth FROM events")
+def truthiness(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", text.truthy(F.get_json_object("props", "$.k")).alias("truth"))
+
+
+# ---- predicates
+
+# nations are entities typed by their region; regions are types under one root
+HIERARCHY = [("asia", "place"), ("europe", "place"), ("coast", "asia"), ("place", "thing")]
+
+
+@query("""WITH RECURSIVE p(sub, super) AS (VALUES ('asia', 'place'), ('europe', 'place'), ('coast', 'asia'), ('place', 'thing')),
+c AS (SELECT t AS sub, t AS super FROM (SELECT sub AS t FROM p UNION SELECT super FROM p) UNION SELECT c.sub, p.super FROM c JOIN p ON c.super = p.sub) SELECT sub, super FROM c""")
+def type_closure(spark, sf_dir):
+    return logic.type_closure(spark.createDataFrame(HIERARCHY, "sub string, super string"))
+
+
+ENTITIES_SQL = """WITH e AS (SELECT n_name AS name, CASE n_regionkey WHEN 2 THEN 'asia' WHEN 3 THEN 'europe' WHEN 1 THEN 'coast' ELSE 'thing' END AS type, n_nationkey AS k FROM nation)"""
+
+
+def _entities(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    kind = F.when(F.col("n_regionkey") == 2, "asia").when(F.col("n_regionkey") == 3, "europe").when(F.col("n_regionkey") == 1, "coast").otherwise("thing")
+    return n.select(F.col("n_name").alias("name"), kind.alias("type"), F.col("n_nationkey").alias("k"))
+
+
+@query(ENTITIES_SQL + "SELECT a.name AS e0, b.name AS e1 FROM e a, e b WHERE a.type IN ('asia', 'coast') AND b.type IN ('asia', 'europe', 'coast') AND a.name <> b.name")
+def predicate_grounding(spark, sf_dir):
+    closure = logic.type_closure(spark.createDataFrame(HIERARCHY, "sub string, super string"))
+    return logic.assignments(_entities(spark, sf_dir).select("name", "type"), closure, ["asia", "place"])
+
+
+@query(ENTITIES_SQL + "SELECT a.name AS e0, b.name AS e1 FROM e a, e b WHERE a.type IN ('asia', 'europe', 'coast') AND b.type IN ('asia', 'europe', 'coast') AND a.name < b.name")
+def predicate_combinations(spark, sf_dir):
+    closure = logic.type_closure(spark.createDataFrame(HIERARCHY, "sub string, super string"))
+    return logic.assignments(_entities(spark, sf_dir).select("name", "type"), closure, ["place", "place"], ordered=False)
+
+
+@query(FRAMES_SQL + "SELECT episode_id, bool_and(dis_to_human <= 5 AND vy >= -1) AS always, bool_or(human_collision) AS ever FROM frames GROUP BY episode_id")
+def quantifiers(spark, sf_dir):
+    f = frames(spark, sf_dir)
+    always = logic.quantified(f, ["episode_id"], (F.col("dis_to_human") <= 5) & (F.col("vy") >= -1), forall=True).withColumnRenamed("holds", "always")
+    ever = logic.quantified(f, ["episode_id"], F.col("human_collision"), forall=False).withColumnRenamed("holds", "ever")
+    return always.join(ever, "episode_id")
+
+
+@query(FRAMES_SQL + "SELECT episode_id, frame_index, NOT (human_following AND dis_to_human > 2) OR (human_collision AND vx > 0.1) AS holds, NOT (human_following OR human_collision) AS neither FROM frames")
+def formula_eval(spark, sf_dir):
+    f = frames(spark, sf_dir).withColumns({"far": F.col("dis_to_human") > 2, "fast": F.col("vx") > 0.1})
+    holds = logic.formula(("or", ("nand", "human_following", "far"), ("and", "human_collision", "fast")))
+    return f.select("episode_id", "frame_index", holds.alias("holds"), logic.formula(("nor", "human_following", "human_collision")).alias("neither"))
+
+
+@query("SELECT count(DISTINCT c_nationkey) AS n_scenes, min(c_nationkey) AS first, max(c_nationkey) AS last FROM customer")
+def scene_ids(spark, sf_dir):
+    scenes = table(spark, sf_dir, "customer").select("c_nationkey").distinct()
+    return scenes.agg(F.count("*").alias("n_scenes"), F.min("c_nationkey").alias("first"), F.max("c_nationkey").alias("last"))
+
+
+@query("SELECT * FROM (SELECT c_nationkey AS k, 'only_customer' AS side FROM customer EXCEPT SELECT s_nationkey, 'only_customer' FROM supplier) UNION ALL SELECT * FROM (SELECT s_nationkey, 'only_supplier' FROM supplier EXCEPT SELECT c_nationkey, 'only_supplier' FROM customer)")
+def key_differences(spark, sf_dir):
+    a = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")).distinct()
+    b = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k")).distinct()
+    return a.exceptAll(b).withColumn("side", F.lit("only_customer")).unionByName(b.exceptAll(a).withColumn("side", F.lit("only_supplier")))
+
+
+@query("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def hourly_counts(spark, sf_dir):
+    """The batch twin of the windowed stream."""
+    from pathloom.streaming.episodes import windowed_counts
+
+    e = table(spark, sf_dir, "events")
+    return windowed_counts(e, "ts", "1 hour", "10 minutes", ["event_type"]).select("event_type", "start", "n", F.round("total", 4).alias("total"))
