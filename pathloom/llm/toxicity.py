@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.llm.common import kept_rows, texts_of
+from pathloom.llm.common import cut, kept_rows, texts_of
 
 BUCKETS = 1 << 22
 THRESHOLD = 0.3
@@ -92,18 +92,26 @@ def _sums(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
     return total[ends] - total[ends - sizes]
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, least: int = 6, ratio: float = 2.5, most: int = 20_000, epochs: int = 300, rate: float = 0.05, l2: float = 2e-4) -> Model:
+def _counts(rows: list[np.ndarray]) -> np.ndarray:
+    """In how many rows each bucket occurs."""
+    n = np.zeros(BUCKETS, np.int32)
+    for r in rows:
+        n[r] += 1
+    return n
+
+
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, least: int = 5, ratio: float = 2.0, most: int = 20_000, epochs: int = 400, rate: float = 0.05, l2: float = 5e-5) -> Model:
     """Non-negative PU fit over rows of feature buckets. Texts that repeat count once."""
-    positive, unlabelled = ([np.array(x) for x in {tuple(r.tolist()): None for r in rows}] for rows in (positive, unlabelled))
+    positive, unlabelled = (list({r.tobytes(): r for r in rows}.values()) for rows in (positive, unlabelled))
     if not positive or not unlabelled or not 0 < prior < 1:
         return Model(min(max(prior, 0.0), 1.0))
-    in_p = np.bincount(np.concatenate(positive).astype(np.int64), minlength=BUCKETS)
-    in_u = np.bincount(np.concatenate(unlabelled).astype(np.int64), minlength=BUCKETS)
-    share_p, share_u = in_p / len(positive), in_u / len(unlabelled)
+    in_p, in_u = _counts(positive), _counts(unlabelled)
+    seen = np.flatnonzero(in_p >= least)
+    share_p, share_u = in_p[seen] / len(positive), in_u[seen] / len(unlabelled)
     # a toxic feature is 1/prior times as frequent among the positives; the lower bound of its share counts
     bound = share_p - 2 * np.sqrt(share_p * (1 - share_p) / len(positive))
-    chosen = np.flatnonzero((in_p >= least) & (bound > ratio * share_u))
-    chosen = chosen[np.argsort(share_u[chosen] / share_p[chosen], kind="stable")[:most]]
+    strong = bound > ratio * share_u
+    chosen = seen[strong][np.argsort((share_u / share_p)[strong], kind="stable")[:most]]
     known = {int(x): i for i, x in enumerate(chosen)}
     if not known:
         return Model(prior)
@@ -145,7 +153,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     return Model(prior, w, b, known)
 
 
-def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, max_positive: int = 4000, max_unlabelled: int = 12000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, max_positive: int = 4000, max_unlabelled: int = 10000) -> Model:
     """Fit on rows of ``docs(doc_id, text)``, positives by ``labels(doc_id, toxic)``; ``may_learn``: a condition on ``doc_id``."""
     may_learn = F.lit(True) if may_learn is None else may_learn
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(may_learn & F.col("toxic").isNotNull())
@@ -165,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, m
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["kind", "features"])
 
     # the picked keys are at most max_positive + max_unlabelled longs
-    rows = keyed.join(F.broadcast(picked), "doc_id").select("kind", "text").mapInArrow(run, "kind int, features binary").toLocalIterator()
+    rows = cut(keyed.join(F.broadcast(picked), "doc_id").select("kind", "text").mapInArrow(run, "kind int, features binary")).toLocalIterator()
     sides: tuple[list, list] = ([], [])
     for kind, found in rows:
         if len(found):
