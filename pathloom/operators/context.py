@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pathloom.operators.prefix import running_before
-from pathloom.operators.sequence import STEPS
+from pathloom.operators.sequence import steps
 
 
 def blocks_plain(budget: int, current: int = 64, block: int = 4) -> int:
@@ -24,7 +24,7 @@ def blocks_marked(budget: int, cameras: int = 1) -> int:
 
 def counts(frames: DataFrame, budget: int, current: int = 64, block: int = 4) -> DataFrame:
     """History length and tokens of every frame as an anchor; position is enough, no frame is gathered."""
-    place = F.row_number().over(STEPS) - 1
+    place = F.row_number().over(steps()) - 1
     n = F.least(place, F.lit(blocks_plain(budget, current, block))).cast("long")
     return frames.select("*", n.alias("n_blocks")).withColumn("total_tokens", F.lit(current) + F.col("n_blocks") * block)
 
@@ -40,7 +40,7 @@ def references(frames: DataFrame, n: int, cameras: list[str]) -> DataFrame:
 
     ``step`` numbers the selected frames, ``token_count_after`` the blocks up to the row. Only here is history exploded.
     """
-    got = frames.select("episode_id", "frame_index", F.collect_list("frame_index").over(STEPS.rowsBetween(-n, -1)).alias("chosen"))
+    got = frames.select("episode_id", "frame_index", F.collect_list("frame_index").over(steps().rowsBetween(-n, -1)).alias("chosen"))
     rows = got.select("episode_id", "frame_index", F.posexplode("chosen").alias("step", "ref_frame"))
     names = F.array(*map(F.lit, cameras))
     rows = rows.select("*", F.posexplode(names).alias("camera_index", "camera"))
@@ -116,7 +116,7 @@ def deduplicated_history(frames: DataFrame, n: int, threshold: int = 10, reach:
     """Greedy selection per anchor from newest to oldest: a frame is kept if its hash is farther than
     ``threshold`` from the last kept one, until ``n`` are. Columns episode_id, frame_index, chosen
     (array of frame and distance, oldest first; the newest kept has distance 64)."""
-    span = STEPS.rowsBetween(Window.unboundedPreceding if reach is None else -reach, -1)
+    span = steps().rowsBetween(Window.unboundedPreceding if reach is None else -reach, -1)
     half = lambda at: F.conv(F.substring("front_dhash", at, 8), 16, 10).cast("long")
     item = F.struct("frame_index", half(1).alias("hi"), half(9).alias("lo"))
     got = frames.select("episode_id", "frame_index", F.reverse(F.collect_list(item).over(span)).alias("past"))

@@ -6,21 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
-STEPS = Window.partitionBy("episode_id").orderBy("frame_index")
-SO_FAR = STEPS.rowsBetween(Window.unboundedPreceding, 0)
-BEFORE = STEPS.rowsBetween(Window.unboundedPreceding, -1)
+
+def steps() -> WindowSpec:
+    """An episode's steps in order."""
+    return Window.partitionBy("episode_id").orderBy("frame_index")
+
+
+def so_far() -> WindowSpec:
+    return steps().rowsBetween(Window.unboundedPreceding, 0)
 
 
 def history(value: Column | str, n: int) -> Column:
     """Up to ``n`` values before the current step, oldest first."""
-    return F.collect_list(value).over(STEPS.rowsBetween(-n, -1)) if n > 0 else F.array()
+    return F.collect_list(value).over(steps().rowsBetween(-n, -1)) if n > 0 else F.array()
 
 
 def following(value: Column | str, n: int) -> Column:
     """The current value and those after it, ``n`` in all at most; not padded."""
-    return F.collect_list(value).over(STEPS.rowsBetween(0, n - 1))
+    return F.collect_list(value).over(steps().rowsBetween(0, n - 1))
 
 
 def pad_to_length(items: Column, length: Column | int) -> Column:
@@ -48,7 +53,7 @@ def _start() -> Column:
     return F.struct(zero.alias("x"), zero.alias("y"), zero.alias("yaw"), F.lit(True).alias("ok"), F.array().cast(POSES).alias("poses"))
 
 
-def _walk(steps: Column, dt: float, flip: bool, stop_at_invalid: bool) -> Column:
+def _walk(velocities: Column, dt: float, flip: bool, stop_at_invalid: bool) -> Column:
     """Poses after each step of an array of velocities."""
     sign = -1.0 if flip else 1.0
 
@@ -64,7 +69,7 @@ def _walk(steps: Column, dt: float, flip: bool, stop_at_invalid: bool) -> Column
         held = F.struct(acc["x"].alias("x"), acc["y"].alias("y"), acc["yaw"].alias("yaw"), F.lit(False).alias("ok"), acc["poses"].alias("poses"))
         return F.when(ok, moved).otherwise(held)
 
-    return F.aggregate(steps, _start(), merge, lambda acc: acc["poses"])
+    return F.aggregate(velocities, _start(), merge, lambda acc: acc["poses"])
 
 
 def _zeros(n: Column | int) -> Column:
@@ -93,13 +98,13 @@ def indicator_curve(horizon: int, dt: float) -> Column:
 
 
 def is_last() -> Column:
-    return F.lead("frame_index").over(STEPS).isNull()
+    return F.lead("frame_index").over(steps()).isNull()
 
 
 def longest_run(df: DataFrame, flag: Column, name: str = "longest_run") -> DataFrame:
     """Longest run of consecutive steps for which ``flag`` holds, per episode."""
     f = df.select("episode_id", "frame_index", F.coalesce(flag, F.lit(False)).cast("int").alias("f"))
-    f = f.withColumn("island", F.sum(1 - F.col("f")).over(SO_FAR))
+    f = f.withColumn("island", F.sum(1 - F.col("f")).over(so_far()))
     runs = f.groupBy("episode_id", "island").agg(F.sum("f").alias("n"))
     return runs.groupBy("episode_id").agg(F.max("n").alias(name))
 
@@ -170,7 +175,7 @@ def slew_limited(df: DataFrame, value: str, accel: float, dt: float = 0.1) -> Da
 def latched_direction(vx: Column, vz: Column, least: float = 0.08) -> Column:
     """The direction of the last step that moved faster than ``least``."""
     speed = F.sqrt(vx * vx + vz * vz)
-    return F.last(F.when(speed > least, F.struct((vx / speed).alias("x"), (vz / speed).alias("z"))), ignorenulls=True).over(SO_FAR)
+    return F.last(F.when(speed > least, F.struct((vx / speed).alias("x"), (vz / speed).alias("z"))), ignorenulls=True).over(so_far())
 
 
 def first_visits(df: DataFrame, x: str, z: str) -> DataFrame:
@@ -181,22 +186,22 @@ def first_visits(df: DataFrame, x: str, z: str) -> DataFrame:
 
 def delta(value: str) -> Column:
     """Minus the change since the step before; zero at the first."""
-    return F.coalesce(-(F.col(value) - F.lag(value).over(STEPS)), F.lit(0.0))
+    return F.coalesce(-(F.col(value) - F.lag(value).over(steps())), F.lit(0.0))
 
 
 def latch(flag: Column) -> Column:
     """True from the first step on at which ``flag`` held."""
-    return F.coalesce(F.max(flag).over(SO_FAR), F.lit(False))
+    return F.coalesce(F.max(flag).over(so_far()), F.lit(False))
 
 
 def latch_reward(flag: Column) -> Column:
     """One at the first step at which ``flag`` holds only."""
-    return (flag & ~F.coalesce(F.max(flag).over(BEFORE), F.lit(False))).cast("double")
+    return (flag & ~F.coalesce(F.max(flag).over(steps().rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))).cast("double")
 
 
 def path_efficiency(df: DataFrame, x: str, z: str, goal: str, success: Column) -> DataFrame:
     """SPL and its soft form per episode; null where the episode starts at its goal."""
-    dx, dz = (F.col(c) - F.lag(c).over(STEPS) for c in (x, z))
+    dx, dz = (F.col(c) - F.lag(c).over(steps()) for c in (x, z))
     d = df.select("episode_id", "frame_index", F.col(goal).alias("d"), success.alias("ok"), F.coalesce(F.sqrt(dx * dx + dz * dz), F.lit(0.0)).alias("moved"))
     e = d.groupBy("episode_id").agg(F.min_by("d", "frame_index").alias("d0"), F.max_by("d", "frame_index").alias("d1"), F.max_by("ok", "frame_index").alias("ok"), F.sum("moved").alias("path"))
     share = F.when(F.col("d0") > 0, F.col("d0") / F.greatest("d0", "path"))

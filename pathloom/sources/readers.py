@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from pathloom.functions.text import natural_key
@@ -60,7 +59,7 @@ def step_logs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def statuses(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Episode results with their file; what cannot be parsed is null all over, not an error."""
-    schema = T.StructType([*schemas.EPISODE_RESULT.fields, T.StructField("_corrupt_record", T.StringType())])
+    schema = f"{schemas.EPISODE_RESULT}, _corrupt_record string"
     return spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(paths).withColumn("file", F.col("_metadata.file_path"))
 
 
@@ -111,7 +110,7 @@ def humanoids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.HUMANOIDS).option("multiLine", True).json(path)
 
 
-def json_lines(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
+def json_lines(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
     return spark.read.schema(schema).json(paths)
 
 

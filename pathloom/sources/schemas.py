@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
 
-
-def _struct(**fields: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{k}` {v}" for k, v in fields.items()))
+def _struct(**fields: str) -> str:
+    """Column definitions as Spark's readers take them; no session is needed to name them."""
+    return ", ".join(f"`{k}` {v}" for k, v in fields.items())
 
 
 _GUARD = "struct<version:string,enabled:boolean,start_distance:double,stop_distance:double,approach_gain:double,closing_margin:double,prediction_horizon:double,emergency_distance:double,min_retreat_speed:double,max_tangent_speed:double,max_yaw_speed:double,max_human_speed:double,leader_rvo_radius_scale:double>"

@@ -8,9 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
 
-STATE = StructType.fromDDL("n_steps long, n_away long, n_stuck long, x double, z double, vx double, vz double, ended string")
+STATE = "n_steps long, n_away long, n_stuck long, x double, z double, vx double, vz double, ended string"
 OUT = "episode_id string, frame_index long, vx double, vz double, n_away long, n_stuck long, cause string"
 
 
