@@ -53,8 +53,11 @@ def _start() -> Column:
     return F.struct(zero.alias("x"), zero.alias("y"), zero.alias("yaw"), F.lit(True).alias("ok"), F.array().cast(POSES).alias("poses"))
 
 
-def _walk(velocities: Column, dt: float, flip: bool, stop_at_invalid: bool) -> Column:
-    """Poses after each step of an array of velocities."""
+def _walk(velocities: Column, dt: float, flip: bool, stop_at_invalid: bool, finish: Callable[[Column], Column] = lambda poses: poses) -> Column:
+    """Poses after each step of an array of velocities, and what ``finish`` makes of them.
+
+    ``finish`` sees a bound variable, so the fold is not evaluated again for each use of its result.
+    """
     sign = -1.0 if flip else 1.0
 
     def merge(acc: Column, v: Column) -> Column:
@@ -69,7 +72,7 @@ def _walk(velocities: Column, dt: float, flip: bool, stop_at_invalid: bool) -> C
         held = F.struct(acc["x"].alias("x"), acc["y"].alias("y"), acc["yaw"].alias("yaw"), F.lit(False).alias("ok"), acc["poses"].alias("poses"))
         return F.when(ok, moved).otherwise(held)
 
-    return F.aggregate(velocities, _start(), merge, lambda acc: acc["poses"])
+    return F.aggregate(velocities, _start(), merge, lambda acc: finish(acc["poses"]))
 
 
 def _zeros(n: Column | int) -> Column:
@@ -79,22 +82,56 @@ def _zeros(n: Column | int) -> Column:
 
 def action_chunk(horizon: int = 8, dt: float = 0.1) -> Column:
     """Exactly ``horizon`` poses ahead, lateral and turning axes flipped; the last valid one repeats, zeros without any."""
-    poses = _walk(following(velocity(), horizon), dt, flip=True, stop_at_invalid=True)
-    return F.when(F.size(poses) == 0, _zeros(horizon)).otherwise(pad_to_length(poses, horizon))
+    padded = lambda poses: F.when(F.size(poses) == 0, _zeros(horizon)).otherwise(pad_to_length(poses, horizon))
+    return _walk(following(velocity(), horizon), dt, flip=True, stop_at_invalid=True, finish=padded)
+
+
+def action_chunks(df: DataFrame, horizon: int = 8, dt: float = 0.1) -> DataFrame:
+    """``df(episode_id, frame_index, vx, vy, wz)`` → ``(episode_id, frame_index, chunk)``, equal to ``action_chunk`` up to rounding.
+
+    With Θ and P the headings and positions of the whole episode, the pose k steps after s is P at s+k+1 less P at s,
+    turned back by Θ at s. So all chunks come from running sums and leads over one sort, without arrays or folds.
+    """
+    order = steps()
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    fine = F.lit(True)
+    for name in ("vx", "vy", "wz"):
+        fine = fine & F.coalesce(~F.isnan(name) & (F.abs(name) < float("inf")), F.lit(False))
+    d = df.select("episode_id", "frame_index", fine.alias("ok"), *(F.when(fine, F.col(n) * sign).otherwise(0.0).alias(n) for n, sign in (("vx", 1.0), ("vy", -1.0), ("wz", -1.0))))
+    d = d.withColumn("turn", F.coalesce(F.sum(F.col("wz") * dt).over(before), F.lit(0.0)))
+    dx = (F.cos("turn") * F.col("vx") - F.sin("turn") * F.col("vy")) * dt
+    dy = (F.sin("turn") * F.col("vx") + F.cos("turn") * F.col("vy")) * dt
+    d = d.withColumns({"px": F.coalesce(F.sum(dx).over(before), F.lit(0.0)), "py": F.coalesce(F.sum(dy).over(before), F.lit(0.0)), "dx": dx, "dy": dy})
+    # where each step ends, also the last one of an episode, and the next invalid step
+    d = d.select("episode_id", "frame_index", "ok", "turn", "px", "py", F.struct((F.col("px") + F.col("dx")).alias("x"), (F.col("py") + F.col("dy")).alias("y"), (F.col("turn") + F.col("wz") * dt).alias("yaw")).alias("end"))
+    d = d.withColumn("n_ok", F.sum((~F.col("ok")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ahead = [F.lead(F.struct("end", "ok", "n_ok"), k).over(order).alias(f"a{k}") for k in range(horizon)]
+    d = d.select("episode_id", "frame_index", "ok", "n_ok", "turn", "px", "py", *ahead)
+    names = []
+    for k in range(horizon):
+        a = F.col(f"a{k}")
+        mx, my = a["end"]["x"] - F.col("px"), a["end"]["y"] - F.col("py")
+        pose = F.struct((F.cos("turn") * mx + F.sin("turn") * my).alias("x"), (F.cos("turn") * my - F.sin("turn") * mx).alias("y"), (a["end"]["yaw"] - F.col("turn")).alias("yaw"))
+        zero = F.struct(*(F.lit(0.0).alias(n) for n in ("x", "y", "yaw")))
+        valid = F.col("ok") & a.isNotNull() & F.coalesce(a["n_ok"] == F.col("n_ok"), F.lit(False))
+        d = d.withColumn(f"p{k}", F.when(valid, pose).otherwise(F.col(names[-1]) if names else zero))
+        names.append(f"p{k}")
+    return d.select("episode_id", "frame_index", F.array(*names).alias("chunk"))
 
 
 def future_trajectory(horizon: int, dt: float = 1.0) -> Column:
     """The origin and ``horizon`` poses, no flip; steps beyond the end are the origin."""
-    poses = _walk(following(velocity(), max(horizon, 1)), dt, flip=False, stop_at_invalid=False)
-    poses = F.slice(poses, 1, max(horizon, 0)) if horizon > 0 else F.array().cast(POSES)
-    return F.concat(_zeros(1), poses, _zeros(F.lit(max(horizon, 0)) - F.size(poses)))
+    if horizon <= 0:
+        return _zeros(1)
+    padded = lambda poses: F.concat(_zeros(1), poses, _zeros(F.lit(horizon) - F.size(poses)))
+    return _walk(following(velocity(), horizon), dt, flip=False, stop_at_invalid=False, finish=padded)
 
 
 def indicator_curve(horizon: int, dt: float) -> Column:
     """The origin and the points of the steps from here to ``horizon`` further, both ends in; empty for no horizon."""
     if horizon <= 0:
         return F.array().cast(POSES)
-    return F.concat(_zeros(1), _walk(following(velocity(), horizon + 1), dt, flip=False, stop_at_invalid=False))
+    return _walk(following(velocity(), horizon + 1), dt, flip=False, stop_at_invalid=False, finish=lambda poses: F.concat(_zeros(1), poses))
 
 
 def is_last() -> Column:

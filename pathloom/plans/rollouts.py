@@ -199,8 +199,7 @@ def _r(c: str) -> str:
 @query(_walk_sql("-", "0.1::DOUBLE", 8) + f""", n AS (SELECT episode_id, s, max(k) AS n FROM walk GROUP BY ALL)
 SELECT w.episode_id, w.s AS frame_index, t.step::INT AS step, {_r('x')}, {_r('y')}, {_r('yaw')} FROM n, (SELECT unnest(range(8)) AS step) t JOIN walk w ON w.episode_id = n.episode_id AND w.s = n.s AND w.k = least(t.step + 1, n.n)""")
 def action_chunk_long(spark, sf_dir):
-    f = frames(spark, sf_dir)
-    return _pose_rows(f.select("episode_id", "frame_index", sequence.action_chunk(HORIZON, 0.1).alias("c")), "c")
+    return _pose_rows(sequence.action_chunks(frames(spark, sf_dir), HORIZON, 0.1), "chunk")
 
 
 @query(_walk_sql("", "1::DOUBLE", 8) + f"""

@@ -97,6 +97,8 @@ def test_future_poses_and_their_ends(spark):
         poses = walk(valid, 0.1, -1) or [(0.0, 0.0, 0.0)]
         want = poses + [poses[-1]] * (4 - len(poses))
         assert [x for p in chunk[s] for x in p] == pytest.approx([x for p in want for x in p], abs=1e-12)
+    sums = {r.frame_index: [tuple(p) for p in r.chunk] for r in sequence.action_chunks(df, 4, 0.1).collect()}
+    assert all([x for p in sums[s] for x in p] == pytest.approx([x for p in chunk[s] for x in p], abs=1e-9) for s in range(12))
     good = spark.createDataFrame([("e", i, *x) for i, x in enumerate(v)], "episode_id string, frame_index long, vx double, vy double, wz double")
     rows = good.select("frame_index", sequence.future_trajectory(4).alias("t"), sequence.indicator_curve(4, 0.1).alias("i"), sequence.history("frame_index", 2).alias("h")).collect()
     for r in rows:
