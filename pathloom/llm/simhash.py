@@ -37,6 +37,8 @@ from pathloom.llm.components import components
 MAX_BITS = 3
 #: Shared positional bytes that MAX_BITS guarantees.
 LEAST_SHARED = 8 - MAX_BITS
+#: A fingerprint of more than one in so many rows is hot.
+HOT_SHARE = 1000
 #: Postings up to this length are compared pair by pair at once.
 BLOCK = 1024
 
@@ -166,13 +168,17 @@ def links(prints: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``docs(doc_id, text)`` → ``(doc_id, fp, component_id)``, one row per row of ``docs``."""
     prints = cut(fingerprints(docs, shingle))
-    classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")))
     roots = components(links(classes.select("fp"))).withColumnRenamed("node", "fp")
     grouped = roots.join(classes, "fp")
     least = grouped.groupBy("root").agg(F.min("first_id").alias("least_id"))
     named = grouped.join(least, "root").select("fp", "least_id")
-    classes = classes.join(named, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"))
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    named = cut(classes.join(named, "fp", "left").select("fp", "n", F.coalesce("least_id", "first_id").alias("component_id")))
+    # fewer than HOT_SHARE fingerprints can have more than that part of the rows: their rows are not dealt by fingerprint
+    total = named.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(named.where(F.col("n") * HOT_SHARE > total).select("fp", "component_id"))
+    rest = prints.join(hot, "fp", "left_anti").join(named.select("fp", "component_id"), "fp")
+    return prints.join(hot, "fp").unionByName(rest).select("doc_id", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, shingle: int = 3) -> DataFrame:
