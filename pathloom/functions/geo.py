@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -104,39 +105,52 @@ def solve2(a: Column, b: Column, c: Column, d: Column, e: Column, f: Column) ->
     return F.when(regular, (e * d - b * f) / det).otherwise((a * e + c * f) * share), F.when(regular, (a * f - e * c) / det).otherwise((b * e + d * f) * share)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def nearest_on_path(points: Column, x: Column, z: Column, ahead: Column) -> Column:
     """On a polyline (array of x, z): nearest segment and point, what remains, and the point ``ahead`` along it.
 
     struct(segment, distance, remaining, x, z). The first of equally near segments counts; a path of one point is
     that point, an empty one the position itself.
     """
-    def project(i: Column) -> Column:
-        p, q = F.get(points, i), F.get(points, i + 1)
-        dx, dz = q["x"] - p["x"], q["z"] - p["z"]
-        n = dx * dx + dz * dz
-        t = F.when(n < 1e-12, 0.0).otherwise(F.least(F.greatest(((x - p["x"]) * dx + (z - p["z"]) * dz) / F.nullif(n, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)))
-        cx, cz = p["x"] + t * dx, p["z"] + t * dz
-        return F.struct(F.hypot(x - cx, z - cz).alias("distance"), i.alias("segment"), cx.alias("x"), cz.alias("z"))
-
-    n = F.size(points)
-    best = F.array_min(F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), project))
-    on = F.struct(best["x"].alias("x"), best["z"].alias("z"))
-    rest = F.concat(F.array(on), F.slice(points, best["segment"] + 2, n))  # from the point on, to the end
     kind = "struct<x:double,z:double,left:double,length:double,px:double,pz:double>"
-    start = F.struct(best["x"].alias("x"), best["z"].alias("z"), F.greatest(ahead, F.lit(0.0)).alias("left"), F.lit(0.0).alias("length"), best["x"].alias("px"), best["z"].alias("pz")).cast(kind)
+    out = "struct<segment:int,distance:double,remaining:double,x:double,z:double>"
+
+    def project(i: Column, p: Column, q: Column) -> Column:
+        def place(d: Column) -> Column:
+            n = d["x"] * d["x"] + d["z"] * d["z"]
+            along = ((x - p["x"]) * d["x"] + (z - p["z"]) * d["z"]) / F.nullif(n, F.lit(0.0))
+            t = F.when(n < 1e-12, 0.0).otherwise(F.least(F.greatest(along, F.lit(0.0)), F.lit(1.0)))
+            return bound(t, lambda t: F.struct((p["x"] + t * d["x"]).alias("x"), (p["z"] + t * d["z"]).alias("z")))
+
+        step = F.struct((q["x"] - p["x"]).alias("x"), (q["z"] - p["z"]).alias("z"))
+        return bound(bound(step, place), lambda c: F.struct(F.hypot(x - c["x"], z - c["z"]).alias("distance"), i.alias("segment"), c["x"].alias("x"), c["z"].alias("z")))
 
     def walk(acc: Column, p: Column) -> Column:
-        d = F.hypot(p["x"] - acc["px"], p["z"] - acc["pz"])
-        t = F.when(d > 1e-9, F.least(acc["left"] / d, F.lit(1.0))).otherwise(F.when(acc["left"] > 0, 1.0).otherwise(0.0))
-        return F.struct((acc["x"] + (p["x"] - acc["px"]) * t).alias("x"), (acc["z"] + (p["z"] - acc["pz"]) * t).alias("z"), F.greatest(acc["left"] - d, F.lit(0.0)).alias("left"), (acc["length"] + d).alias("length"), p["x"].alias("px"), p["z"].alias("pz")).cast(kind)
+        def move(d: Column) -> Column:
+            t = F.when(d > 1e-9, F.least(acc["left"] / d, F.lit(1.0))).otherwise(F.when(acc["left"] > 0, 1.0).otherwise(0.0))
+            return bound(t, lambda t: F.struct((acc["x"] + (p["x"] - acc["px"]) * t).alias("x"), (acc["z"] + (p["z"] - acc["pz"]) * t).alias("z"), F.greatest(acc["left"] - d, F.lit(0.0)).alias("left"), (acc["length"] + d).alias("length"), p["x"].alias("px"), p["z"].alias("pz")).cast(kind))
 
-    end = F.aggregate(F.slice(rest, 2, n + 1), start, walk)
-    only = F.get(points, 0)
-    full = F.struct(best["segment"].alias("segment"), best["distance"].alias("distance"), end["length"].alias("remaining"), end["x"].alias("x"), end["z"].alias("z"))
-    out = "struct<segment:int,distance:double,remaining:double,x:double,z:double>"
-    one = F.struct(F.lit(0).alias("segment"), F.hypot(only["x"] - x, only["z"] - z).alias("distance"), F.hypot(only["x"] - x, only["z"] - z).alias("remaining"), only["x"].alias("x"), only["z"].alias("z"))
-    none = F.struct(F.lit(0).alias("segment"), F.lit(0.0).alias("distance"), F.lit(0.0).alias("remaining"), x.alias("x"), z.alias("z"))
-    return F.when(n >= 2, full.cast(out)).when(n == 1, one.cast(out)).otherwise(none.cast(out))
+        return bound(F.hypot(p["x"] - acc["px"], p["z"] - acc["pz"]), move)
+
+    def along(pts: Column) -> Column:
+        n = F.size(pts)
+        nearest = F.array_min(F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), lambda i: bound(F.struct(F.get(pts, i).alias("p"), F.get(pts, i + 1).alias("q")), lambda s: project(i, s["p"], s["q"]))))
+
+        def from_there(best: Column) -> Column:
+            start = F.struct(best["x"].alias("x"), best["z"].alias("z"), F.greatest(ahead, F.lit(0.0)).alias("left"), F.lit(0.0).alias("length"), best["x"].alias("px"), best["z"].alias("pz")).cast(kind)
+            end = F.aggregate(F.slice(pts, best["segment"] + 2, n), start, walk)
+            return bound(end, lambda e: F.struct(best["segment"].alias("segment"), best["distance"].alias("distance"), e["length"].alias("remaining"), e["x"].alias("x"), e["z"].alias("z")).cast(out))
+
+        only = F.get(pts, F.lit(0))
+        one = F.struct(F.lit(0).alias("segment"), F.hypot(only["x"] - x, only["z"] - z).alias("distance"), F.hypot(only["x"] - x, only["z"] - z).alias("remaining"), only["x"].alias("x"), only["z"].alias("z"))
+        none = F.struct(F.lit(0).alias("segment"), F.lit(0.0).alias("distance"), F.lit(0.0).alias("remaining"), x.alias("x"), z.alias("z"))
+        return F.when(n >= 2, bound(nearest, from_there)).when(n == 1, one.cast(out)).otherwise(none.cast(out))
+
+    return bound(points, along)
 
 
 def attraction(d: Column, amplitude: float) -> Column:
