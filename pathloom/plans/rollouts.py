@@ -193,7 +193,8 @@ def _walk_sql(sign: str, dt: str, steps: int) -> str:
 
 
 def _r(c: str) -> str:
-    return f"round({c}, {R}) AS {c.split('.')[-1]}"
+    """Rounded; a zero keeps no sign, as in Spark."""
+    return f"round({c}, {R}) + 0.0 AS {c.split('.')[-1]}"
 
 
 @query(_walk_sql("-", "0.1::DOUBLE", 8) + f""", n AS (SELECT episode_id, s, max(k) AS n FROM walk GROUP BY ALL)
@@ -203,7 +204,7 @@ def action_chunk_long(spark, sf_dir):
 
 
 @query(_walk_sql("", "1::DOUBLE", 8) + f"""
-SELECT f.episode_id, f.frame_index, t.step::INT AS step, round(coalesce(x, 0), {R}) AS x, round(coalesce(y, 0), {R}) AS y, round(coalesce(yaw, 0), {R}) AS yaw
+SELECT f.episode_id, f.frame_index, t.step::INT AS step, round(coalesce(x, 0), {R}) + 0.0 AS x, round(coalesce(y, 0), {R}) + 0.0 AS y, round(coalesce(yaw, 0), {R}) + 0.0 AS yaw
 FROM frames f CROSS JOIN (SELECT unnest(range(9)) AS step) t LEFT JOIN walk w ON w.episode_id = f.episode_id AND w.s = f.frame_index AND w.k = t.step""")
 def future_trajectory_long(spark, sf_dir):
     f = frames(spark, sf_dir)
