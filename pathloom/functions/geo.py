@@ -153,6 +153,24 @@ def nearest_on_path(points: Column, x: Column, z: Column, ahead: Column) -> Colu
     return bound(points, along)
 
 
+def relative_pose(ref: Column, rx: Column, ry: Column, rz: Column, target: Column, tx: Column, ty: Column, tz: Column) -> tuple[Column, tuple[Column, Column, Column]]:
+    """A pose as seen from another: rotation and position in the frame of the unit quaternion ``ref`` at (rx, ry, rz)."""
+    back = conjugate(ref)
+    return product(back, target), rotate(back, tx - rx, ty - ry, tz - rz)
+
+
+def triangle_point(a: tuple, b: tuple, c: tuple, u: Column, v: Column) -> tuple[Column, ...]:
+    """The point of a triangle that two numbers of [0, 1) pick; pairs that point outside are turned back inside."""
+    out = u + v >= 1
+    s, t = F.when(out, 1 - u).otherwise(u), F.when(out, 1 - v).otherwise(v)
+    return tuple(p + s * (q - p) + t * (r - p) for p, q, r in zip(a, b, c, strict=True))
+
+
+def metres_per_pixel(low: tuple, high: tuple, pixels: int) -> Column:
+    """Size of a map's pixel: the shorter side of the ground (x, z) in ``pixels``."""
+    return F.least(*(F.abs(b - a) / pixels for a, b in zip(low, high, strict=True)))
+
+
 def attraction(d: Column, amplitude: float) -> Column:
     """Weight of a potential field at a distance."""
     return F.exp(-(d * d) / 3.0) * amplitude

@@ -98,3 +98,24 @@ def first_number(values: Column, default: float = 0.0) -> Column:
     """First element as a number; missing, empty and not-a-number give the default."""
     x = F.get(values, 0).cast("double")
     return F.when(x.isNull() | F.isnan(x), F.lit(default)).otherwise(x)
+
+
+def sentence(ids: Column, words: Column) -> Column:
+    """The words of ``ids`` in the array ``words``, each with a space after it and a question mark at the end; id 0 is padding."""
+    real = F.filter(ids, lambda i: i != 0)
+    return F.concat(F.array_join(F.transform(real, lambda i: F.concat(F.get(words, i.cast("int")), F.lit(" "))), ""), F.lit("?"))
+
+
+def flat_fields(df: DataFrame, separator: str = ".") -> list[Column]:
+    """All leaves of ``df``'s nested structs as columns named by their paths."""
+    from pyspark.sql.types import StructType
+
+    def leaves(fields: StructType, path: tuple[str, ...]) -> list[Column]:
+        out = []
+        for f in fields:
+            here = (*path, f.name)
+            quoted = ".".join(f"`{x}`" for x in here)
+            out += leaves(f.dataType, here) if isinstance(f.dataType, StructType) else [F.col(quoted).alias(separator.join(here))]
+        return out
+
+    return leaves(df.schema, ())

@@ -100,3 +100,24 @@ def compatible(dy: Column, geodesic: Column, euclidean: Column, radius: Column,
     ratio = geodesic / euclidean
     straight = (ratio < 1.1) & (u > 20 * (ratio - 0.98) * (ratio - 0.98))
     return (F.abs(dy) <= 0.5) & (F.abs(geodesic) < float("inf")) & geodesic.between(near, far) & ~straight & (radius >= 1.5)
+
+
+def iteration_order(df: DataFrame, key: str, scene: str, seed: str | None = None, repeats: int | None = None) -> DataFrame:
+    """In which order episodes are visited: columns ``turn`` and ``place``, to be sorted by ``turn``, scene, ``place``.
+
+    Episodes go by key, or shuffled by the hash of seed and key, and stay with their scene. After ``repeats`` of
+    one scene the next scene follows; the rest of the first waits for a later turn.
+    """
+    order = [F.col(key)] if seed is None else [F.md5(F.concat(F.lit(f"{seed}/"), F.col(key).cast("string")).cast("binary")), F.col(key)]
+    rank = F.row_number().over(Window.partitionBy(scene).orderBy(*order)) - 1
+    out = df.withColumn("place", rank.cast("long"))
+    return out.withColumn("turn", F.lit(0).cast("long") if repeats is None else F.floor(F.col("place") / repeats).cast("long"))
+
+
+def generated_episodes(scenes: DataFrame, scene: str, n: int, seed: str, side: float = 10.0) -> DataFrame:
+    """``n`` episodes for each scene: start and goal in a square, as the hash of seed, scene and number gives them."""
+    each = scenes.select(F.col(scene), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("number")) if n > 0 else scenes.select(F.col(scene), F.lit(0).alias("number")).limit(0)
+    digest = each.withColumn("__h", F.md5(F.concat_ws("/", F.lit(seed), F.col(scene), F.col("number").cast("string")).cast("binary")))
+    names = ("start_x", "start_z", "goal_x", "goal_z")
+    part = lambda i: F.conv(F.substring("__h", 8 * i + 1, 8), 16, 10).cast("double") / float(1 << 32) * side
+    return digest.select(scene, F.col("number").cast("long").alias("number"), *(part(i).alias(x) for i, x in enumerate(names)))

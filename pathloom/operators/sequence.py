@@ -264,3 +264,23 @@ def social_stats(df: DataFrame, near: float = 1.5, slow: float = 0.5, default_st
         (F.sum("dis") / steps).alias("avg_robot_to_human_dis_over_epi"), (F.coalesce(F.sum(F.when(F.col("ever"), F.col("dis"))), F.lit(0.0)) / after).alias("avg_robot_to_human_after_encounter_dis_over_epi"),
         first.cast("long").alias("frist_ecnounter_steps"), F.count_if(F.col("found")).alias("follow_human_steps_after_frist_encounter"), (count(back) / steps).alias("backup_ratio"), (count(still) / steps).alias("yield_ratio"),
     )
+
+
+def smoothed(df: DataFrame, value: str, alpha: float = 0.4) -> DataFrame:
+    """Exponential average that starts at the first value: episode_id, frame_index, ``smoothed``."""
+    items = F.struct("frame_index", F.col(value).cast("double").alias("x"))
+    start = F.struct(F.lit(None).cast("double").alias("last"), F.struct(F.lit(None).cast("double").alias("smoothed")).alias("out"))
+
+    def step(state: Column, item: Column) -> Column:
+        now = F.coalesce(state["last"] * (1 - alpha) + item["x"] * alpha, item["x"], state["last"])
+        return F.struct(now.alias("last"), F.struct(now.alias("smoothed")).alias("out"))
+
+    return folded(df, items, start, step, "struct<smoothed:double>")
+
+
+def within_limits(df: DataFrame, most_steps: int | None = None, most_seconds: float | None = None, time: str = "timestamp_s") -> DataFrame:
+    """Steps before an episode's limit of steps or, from its first step on, of seconds; either may be absent."""
+    if most_seconds is not None:
+        first = F.min(time).over(Window.partitionBy("episode_id"))
+        df = df.withColumn("__since", F.col(time) - first).where(F.col("__since") < most_seconds).drop("__since")
+    return df if most_steps is None else df.where(F.col("frame_index") < most_steps)

@@ -225,3 +225,23 @@ def hourly_counts(spark, sf_dir):
 
     e = table(spark, sf_dir, "events")
     return windowed_counts(e, "ts", "1 hour", "10 minutes", ["event_type"]).select("event_type", "start", "n", F.round("total", 4).alias("total"))
+
+
+@query("""WITH h AS (SELECT c_custkey, c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY md5('visit/' || c_custkey), c_custkey) - 1 AS place FROM customer)
+SELECT c_custkey, c_nationkey, place, place // 3 AS turn FROM h""")
+def iteration_order(spark, sf_dir):
+    return datasets.iteration_order(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c_custkey", "c_nationkey", "visit", 3)
+
+
+@query("""WITH h AS (SELECT n_name, i AS number, md5('g/' || n_name || '/' || i) AS h FROM nation, (SELECT unnest(range(20)) AS i))
+SELECT n_name, number, """ + ", ".join(f"round(('0x' || substr(h, {8 * i + 1}, 8))::BIGINT::DOUBLE / 4294967296 * 10, 6) AS {x}" for i, x in enumerate(("start_x", "start_z", "goal_x", "goal_z"))) + " FROM h")
+def generated_episodes(spark, sf_dir):
+    made = datasets.generated_episodes(table(spark, sf_dir, "nation"), "n_name", 20, "g")
+    return made.select("n_name", "number", *(F.round(c, R).alias(c) for c in made.columns[2:]))
+
+
+@query("SELECT doc_id, concat(CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1 THEN 'who ' ELSE 'is ' END, CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'who ' END, 'there ?') AS sentence FROM documents")
+def word_sentence(spark, sf_dir):
+    known = F.array(*map(F.lit, ("<pad>", "who", "is", "there")))
+    ids = F.array(F.col("doc_id") % 3, F.col("doc_id") % 2, F.lit(3).cast("long"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.sentence(ids, known).alias("sentence"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pathloom.functions import geo
-from pathloom.operators import guard, sequence, stats
+from pathloom.functions import actions, geo, pixels
+from pathloom.operators import guard, measures, sequence, stats
 from pathloom.plans.registry import query
 from pathloom.plans.standins import FRAMES_SQL, frames, table
 
@@ -210,3 +210,62 @@ def nested_metric_means(spark, sf_dir):
 @query(FRAMES_SQL + "SELECT episode_id, frame_index, round(avg(robot_z) OVER (PARTITION BY episode_id ORDER BY frame_index) + 1e-9, 6) AS mean FROM frames")
 def rolling_mean(spark, sf_dir):
     return frames(spark, sf_dir).select(*KEYS, F.round(stats.rolling_mean("robot_z", ["episode_id"], ["frame_index"]) + TIE, R).alias("mean"))
+
+
+# ---- commands, smoothing, limits and measures
+
+
+@query(FRAMES_SQL + """, u AS (SELECT episode_id, frame_index, greatest(least(vx, 1), 0) * 2 AS forward, greatest(least(vy, 1), -1) * 0.5::DOUBLE AS side, greatest(least(wz * 2, 1), -1) * 3 AS turn FROM frames),
+s AS (SELECT *, greatest(1, abs(forward * 2) / 2, abs(side * 3) / 0.5::DOUBLE) AS scale FROM u)
+SELECT episode_id, frame_index, round(forward, 6) + 0.0 AS forward, round(side, 6) + 0.0 AS "lateral", round(turn, 6) + 0.0 AS turn,
+  round(greatest(least(forward / 2, 1), 0), 6) + 0.0 AS n_forward, round(side / 0.5::DOUBLE, 6) + 0.0 AS n_lateral, round(turn / 3, 6) + 0.0 AS n_turn,
+  round(forward * 2 / scale + 1e-9, 6) + 0.0 AS fit_forward, round(side * 3 / scale + 1e-9, 6) + 0.0 AS fit_lateral FROM s""")
+def action_limits(spark, sf_dir):
+    limits = actions.ActionLimits(2.0, 0.5, 3.0, allow_back=False)
+    names = ("forward", "lateral", "turn")
+    f = frames(spark, sf_dir).select(*KEYS, *(c.alias(n) for n, c in zip(names, actions.physical(F.col("vx"), F.col("vy"), F.col("wz") * 2, limits), strict=True)))
+    back = actions.normalized(*map(F.col, names), limits)
+    fit = actions.within_axes(F.col("forward") * 2, F.col("lateral") * 3, limits)
+    f = f.select("*", *(c.alias(f"n_{n}") for n, c in zip(names, back, strict=True)), (fit[0] + TIE).alias("fit_forward"), (fit[1] + TIE).alias("fit_lateral"))
+    return _rounded(f, KEYS, [c for c in f.columns if c not in KEYS])
+
+
+@query("""WITH e AS (SELECT event_id, list_transform(range(72), lambda i: (event_id * (i + 3) * 7 + i * i) % 256) AS px FROM events),
+b AS (SELECT event_id, k, px[k // 8 * 9 + k % 8 + 1] > px[k // 8 * 9 + k % 8 + 2] AS bit FROM e, (SELECT unnest(range(64)) AS k)),
+h AS (SELECT event_id, k // 4 AS digit, sum(CASE WHEN bit THEN 8 >> (k % 4)::INT ELSE 0 END)::INT AS v FROM b GROUP BY ALL)
+SELECT event_id, string_agg(substr('0123456789abcdef', v + 1, 1), '' ORDER BY digit) AS dhash FROM h GROUP BY event_id""")
+def picture_hash(spark, sf_dir):
+    grey = F.transform(F.sequence(F.lit(0), F.lit(71)), lambda i: (F.col("event_id") * (i + 3) * 7 + i * i) % 256)
+    pictures = table(spark, sf_dir, "events").select("event_id", grey.alias("pixels"))
+    return pictures.select("event_id", pixels.difference_hash(F.col("pixels")).alias("dhash"))
+
+
+@query(FRAMES_SQL + """, walk AS (SELECT episode_id, frame_index, dis_to_human AS smoothed FROM frames WHERE frame_index = 0
+  UNION ALL SELECT f.episode_id, f.frame_index, smoothed * 0.6::DOUBLE + f.dis_to_human * 0.4::DOUBLE FROM walk w JOIN frames f ON f.episode_id = w.episode_id AND f.frame_index = w.frame_index + 1)
+SELECT episode_id, frame_index, round(smoothed + 1e-9, 6) AS smoothed FROM walk""")
+def follow_target(spark, sf_dir):
+    s = sequence.smoothed(frames(spark, sf_dir), "dis_to_human", 0.4)
+    return s.select(*KEYS, F.round(F.col("smoothed") + TIE, R).alias("smoothed"))
+
+
+@query(FRAMES_SQL + "SELECT episode_id, count(*) AS n_steps FROM frames WHERE frame_index < 40 AND timestamp_s < 3.05 GROUP BY episode_id")
+def step_limits(spark, sf_dir):
+    return sequence.within_limits(frames(spark, sf_dir), 40, 3.05).groupBy("episode_id").agg(F.count("*").alias("n_steps"))
+
+
+@query(FRAMES_SQL + """SELECT episode_id, frame_index, round(cos(robot_yaw) * (3 - robot_x) - sin(robot_yaw) * (1 - robot_z) + 1e-9, 6) AS x, round(0.4::DOUBLE, 6) AS y,
+  round(sin(robot_yaw) * (3 - robot_x) + cos(robot_yaw) * (1 - robot_z) + 1e-9, 6) AS z, round(sin((0.5::DOUBLE - robot_yaw) / 2) + 1e-9, 6) AS turn FROM frames""")
+def relative_pose(spark, sf_dir):
+    here = (F.col(c) for c in ("robot_x", "robot_y", "robot_z"))
+    turn, (x, y, z) = geo.relative_pose(geo.from_yaw(F.col("robot_yaw")), *here, geo.from_yaw(F.lit(0.5)), F.lit(3.0), F.lit(0.5), F.lit(1.0))
+    return frames(spark, sf_dir).select(*KEYS, F.round(x + TIE, R).alias("x"), F.round(y, R).alias("y"), F.round(z + TIE, R).alias("z"), F.round(turn["y"] + TIE, R).alias("turn"))
+
+
+@query(FRAMES_SQL + """, m AS (SELECT episode_id, frame_index, (dis_to_human <= 3 AND human_following) AS facing, sum((dis_to_human <= 3 AND human_following)::INT) OVER w AS so_far, frame_index + 1 AS n FROM frames WINDOW w AS (PARTITION BY episode_id ORDER BY frame_index))
+SELECT episode_id, frame_index, facing, so_far::BIGINT AS following_step, round(so_far / n, 6) AS following_rate FROM m""")
+def measure_chain(spark, sf_dir):
+    chain = measures.Measures()
+    chain.add("facing", lambda: (F.col("dis_to_human") <= 3) & F.col("human_following"))
+    chain.add("following_step", lambda: F.sum(F.col("facing").cast("long")).over(sequence.so_far()), ("facing",))
+    chain.add("following_rate", lambda: F.round(F.col("following_step") / (F.col("frame_index") + 1), R), ("following_step",))
+    return chain.apply(frames(spark, sf_dir).select(*KEYS, "dis_to_human", "human_following")).drop("dis_to_human", "human_following")

@@ -6,8 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pathloom.functions import geo, text
-from pathloom.operators import context, datasets, evaluate, guard, logic, prefix, sequence, stats, worklist
+from pathloom.functions import actions, geo, pixels, text
+from pathloom.operators import context, datasets, evaluate, guard, logic, measures, prefix, sequence, stats, worklist
 
 
 def steps(spark, lengths, **columns):
@@ -238,3 +238,57 @@ def test_splits_drop_the_remainder(spark):
     assert got and {tuple(r) for r in got} == {tuple(r) for r in datasets.splits(df, "id", 5, "s", collate="scene").collect()}
     with pytest.raises(ValueError, match="evenly"):
         datasets.balanced_scene(F.lit(1), 10, 3)
+
+
+def test_commands_keep_their_limits(spark):
+    limits = actions.ActionLimits(2.0, 0.5, 3.0, allow_back=False)
+    df = spark.createDataFrame([(0.5, -2.0, 0.1), (-0.5, 0.4, -1.0)], "f double, l double, t double")
+    out = df.select(*actions.physical(F.col("f"), F.col("l"), F.col("t"), limits)).collect()
+    assert [tuple(round(x, 9) for x in r) for r in out] == [(1.0, -0.5, 0.3), (0.0, 0.2, -3.0)]
+    back = df.select(*actions.normalized(F.lit(1.0), F.lit(-0.25), F.lit(9.0), limits)).first()
+    assert tuple(back) == (0.5, -0.5, 1.0)
+    fit = df.select(*actions.within_axes(F.lit(4.0), F.lit(0.5), limits)).first()
+    assert tuple(fit) == (2.0, 0.25)
+
+
+def test_difference_hash_of_a_picture(spark):
+    falling = [9 - c for _ in range(8) for c in range(9)]
+    df = spark.createDataFrame([(falling,), ([0] * 72,), ([5] + [1] * 71,), ([1, 2],), (None,)], "p array<int>")
+    got = [r[0] for r in df.select(pixels.difference_hash(F.col("p"))).collect()]
+    assert got == ["f" * 16, "0" * 16, "8" + "0" * 15, None, None]
+
+
+def test_measures_need_what_stands_before_them(spark):
+    chain = measures.Measures().add("a", lambda: F.col("id") + 1).add("b", lambda: F.col("a") * 2, ("a",))
+    assert chain.apply(spark.range(1)).first().b == 2
+    with pytest.raises(ValueError):
+        chain.add("a", lambda: F.lit(1))
+    with pytest.raises(ValueError):
+        measures.Measures().add("b", lambda: F.col("a"), ("a",))
+
+
+def test_smoothing_limits_and_order_of_visits(spark):
+    df = steps(spark, [4], x=F.col("frame_index").cast("double"), timestamp_s=F.col("frame_index") / 10.0)
+    assert by_step(sequence.smoothed(df, "x", 0.5), "smoothed") == [0.0, 0.5, 1.25, 2.125]
+    gaps = df.withColumn("x", F.when(F.col("frame_index") != 1, F.col("x")))
+    assert by_step(sequence.smoothed(gaps, "x", 0.5), "smoothed") == [0.0, 0.0, 1.0, 2.0]
+    assert sequence.within_limits(df, 3).count() == 3 and sequence.within_limits(df, None, 0.15).count() == 2
+    eps = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(6)], "k long, s string")
+    visits = datasets.iteration_order(eps, "k", "s", None, 2).orderBy("turn", "s", "place").collect()
+    assert [r.k for r in visits] == [0, 2, 1, 3, 4, 5]
+    made = datasets.generated_episodes(eps.select("s").distinct(), "s", 5, "z").collect()
+    assert len(made) == 10 and all(0 <= r.start_x < 10 for r in made) and datasets.generated_episodes(eps, "s", 0, "z").count() == 0
+
+
+def test_poses_points_and_nested_fields(spark):
+    one = spark.range(1)
+    a = (F.lit(0.0), F.lit(0.0)), (F.lit(2.0), F.lit(0.0)), (F.lit(0.0), F.lit(2.0))
+    assert tuple(one.select(*geo.triangle_point(*a, F.lit(0.75), F.lit(0.75))).first()) == (0.5, 0.5)
+    assert one.select(geo.metres_per_pixel((F.lit(0.0), F.lit(0.0)), (F.lit(8.0), F.lit(4.0)), 2)).first()[0] == 2.0
+    turn, at = geo.relative_pose(geo.from_yaw(F.lit(0.3)), *(F.lit(1.0),) * 3, geo.from_yaw(F.lit(0.3)), *(F.lit(1.0),) * 3)
+    assert tuple(one.select(turn["w"], *at).first()) == pytest.approx((1.0, 0.0, 0.0, 0.0))
+    nested = one.select(F.struct(F.lit(1).alias("b"), F.struct(F.lit(2).alias("d")).alias("c")).alias("a"), "id")
+    flat = nested.select(*text.flat_fields(nested))
+    assert flat.columns == ["a.b", "a.c.d", "id"] and tuple(flat.first()) == (1, 2, 0)
+    ids = spark.createDataFrame([([0, 2, 1],), ([],)], "i array<int>")
+    assert [r[0] for r in ids.select(text.sentence(F.col("i"), F.array(F.lit("p"), F.lit("x"), F.lit("y")))).collect()] == ["y x ?", "?"]
