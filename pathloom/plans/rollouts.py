@@ -168,7 +168,13 @@ def dedup_history(spark, sf_dir):
     return d.select("episode_id", "frame_index", F.explode("chosen").alias("c")).select("episode_id", "frame_index", F.col("c.frame").alias("kept_frame"), "c.distance")
 
 
-@query()
+@query(FRAMES_SQL + f""", span AS (SELECT a, least(a, 25)::DOUBLE AS target FROM (SELECT DISTINCT frame_index AS a FROM frames WHERE frame_index > 0)),
+halve AS (SELECT a, target, 0 AS n, 1e-12::DOUBLE AS low, 1e5::DOUBLE AS high FROM span WHERE target < a AND target > a * 0.1::DOUBLE
+  UNION ALL SELECT a, target, n + 1, CASE WHEN e > target THEN k ELSE low END, CASE WHEN e > target THEN high ELSE k END
+  FROM (SELECT *, a * (0.9::DOUBLE * (1 - exp(-k)) / k + 0.1::DOUBLE) AS e FROM (SELECT *, (low + high) / 2 AS k FROM halve WHERE n < 90))),
+rates AS (SELECT s.a, CASE WHEN target <= s.a * 0.1::DOUBLE THEN 1e6::DOUBLE ELSE coalesce(h.k, 0) END AS rate FROM span s LEFT JOIN (SELECT a, (low + high) / 2 AS k FROM halve WHERE n = 90) h USING (a))
+SELECT episode_id, frame_index, round(rate, {R}) AS rate, round(exp(-rate / a) * 0.9::DOUBLE + 0.1::DOUBLE, {R}) AS newest, round(exp(-rate) * 0.9::DOUBLE + 0.1::DOUBLE, {R}) AS oldest
+FROM frames JOIN rates ON a = frame_index""")
 def bats_scores(spark, sf_dir):
     """Keep probability of the newest and the oldest history frame of each anchor."""
     f = frames(spark, sf_dir).select("episode_id", "frame_index")
