@@ -174,3 +174,24 @@ def metres_per_pixel(low: tuple, high: tuple, pixels: int) -> Column:
 def attraction(d: Column, amplitude: float) -> Column:
     """Weight of a potential field at a distance."""
     return F.exp(-(d * d) / 3.0) * amplitude
+
+
+def between_vectors(a: tuple[Column, Column, Column], b: tuple[Column, Column, Column], eps: float = 1e-8) -> Column:
+    """The shortest turn from one direction to another; null if one of them has no length.
+
+    Opposite directions have no single shortest turn: the axis is then at right angles to the first
+    and to the coordinate axis along which it is least.
+    """
+    length = lambda v: F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2])
+    cross = lambda u, v: (u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0])
+    la, lb = length(a), length(b)
+    u, v = tuple(x / F.nullif(la, F.lit(0.0)) for x in a), tuple(x / F.nullif(lb, F.lit(0.0)) for x in b)
+    c = F.greatest(u[0] * v[0] + u[1] * v[1] + u[2] * v[2], F.lit(-1.0))
+    straight, s = cross(u, v), F.sqrt((c + 1) * 2)
+    turned = quaternion(straight[0] / s, straight[1] / s, straight[2] / s, s / 2)
+    ax, ay, az = (F.abs(x) for x in u)
+    unit = [F.when((ax <= ay) & (ax <= az), w[0]).when(ay <= az, w[1]).otherwise(w[2]) for w in ((1.0, 0.0, 0.0), (0.0, 1.0, 0.0), (0.0, 0.0, 1.0))]
+    side = cross(u, unit)
+    half, n = F.sqrt((1 - c) / 2), length(side)
+    back = quaternion(side[0] / n * half, side[1] / n * half, side[2] / n * half, F.sqrt((c + 1) / 2))
+    return F.when(la.isNull() | lb.isNull() | (la == 0) | (lb == 0), F.lit(None)).when(c < -1 + eps, back).otherwise(turned)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -121,3 +125,35 @@ def generated_episodes(scenes: DataFrame, scene: str, n: int, seed: str, side: f
     names = ("start_x", "start_z", "goal_x", "goal_z")
     part = lambda i: F.conv(F.substring("__h", 8 * i + 1, 8), 16, 10).cast("double") / float(1 << 32) * side
     return digest.select(scene, F.col("number").cast("long").alias("number"), *(part(i).alias(x) for i, x in enumerate(names)))
+
+
+@dataclass(frozen=True)
+class ReceptacleSet:
+    """Parts of names that a receptacle, or the object that holds it, must or must not have."""
+
+    objects: tuple[str, ...] = ("",)
+    names: tuple[str, ...] = ("",)
+    not_objects: tuple[str, ...] = ()
+    not_names: tuple[str, ...] = ()
+
+
+def receptacle_matches(name: Column, parent: Column, sets: list[ReceptacleSet]) -> Column:
+    """Whether a receptacle is in the first set that decides on it.
+
+    A set decides by excluding it, by holding it, or, for a receptacle of the scene itself (no parent), by its name alone.
+    """
+
+    def has(text: Column, parts: tuple[str, ...]) -> Column:
+        return F.coalesce(reduce(or_, [F.contains(text, F.lit(p)) for p in parts], F.lit(False)), F.lit(False))
+
+    out = F.lit(False)
+    for s in reversed(sets):
+        named = has(name, s.names)
+        out = F.when(has(parent, s.not_objects) | has(name, s.not_names), False).when(parent.isNull(), named).when(named & has(parent, s.objects), True).otherwise(out)
+    return out
+
+
+def upright(ux: Column, uy: Column, uz: Column, least: float = 0.9) -> Column:
+    """Whether the up direction of a receptacle is within a tilt of the vertical (cosine ``least``); false without a direction."""
+    n = F.sqrt(ux * ux + uy * uy + uz * uz)
+    return F.coalesce(uy / F.nullif(n, F.lit(0.0)) >= least, F.lit(False))

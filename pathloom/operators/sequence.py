@@ -86,37 +86,52 @@ def action_chunk(horizon: int = 8, dt: float = 0.1) -> Column:
     return _walk(following(velocity(), horizon), dt, flip=True, stop_at_invalid=True, finish=padded)
 
 
-def action_chunks(df: DataFrame, horizon: int = 8, dt: float = 0.1) -> DataFrame:
-    """``df(episode_id, frame_index, vx, vy, wz)`` → ``(episode_id, frame_index, chunk)``, equal to ``action_chunk`` up to rounding.
+def _ahead(df: DataFrame, n: int, dt: float, flip: bool) -> DataFrame:
+    """``df(episode_id, frame_index, vx, vy, wz)`` → where each step starts (turn, px, py) and where it and the ``n - 1`` after it end.
 
-    With Θ and P the headings and positions of the whole episode, the pose k steps after s is P at s+k+1 less P at s,
-    turned back by Θ at s. So all chunks come from running sums and leads over one sort, without arrays or folds.
+    With Θ and P the headings and positions of the whole episode, the pose after step e as seen from step s is P after e
+    less P before s, turned back by Θ before s. So all windows come from running sums over one sort, without folds. A
+    velocity that is absent or not finite moves nothing and is counted in ``n_bad``, up to and with its step.
     """
     order = steps()
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    before, now = (order.rowsBetween(Window.unboundedPreceding, x) for x in (-1, 0))
     fine = F.lit(True)
     for name in ("vx", "vy", "wz"):
         fine = fine & F.coalesce(~F.isnan(name) & (F.abs(name) < float("inf")), F.lit(False))
-    d = df.select("episode_id", "frame_index", fine.alias("ok"), *(F.when(fine, F.col(n) * sign).otherwise(0.0).alias(n) for n, sign in (("vx", 1.0), ("vy", -1.0), ("wz", -1.0))))
-    d = d.withColumn("turn", F.coalesce(F.sum(F.col("wz") * dt).over(before), F.lit(0.0)))
-    dx = (F.cos("turn") * F.col("vx") - F.sin("turn") * F.col("vy")) * dt
-    dy = (F.sin("turn") * F.col("vx") + F.cos("turn") * F.col("vy")) * dt
-    d = d.withColumns({"px": F.coalesce(F.sum(dx).over(before), F.lit(0.0)), "py": F.coalesce(F.sum(dy).over(before), F.lit(0.0)), "dx": dx, "dy": dy})
-    # where each step ends, also the last one of an episode, and the next invalid step
-    d = d.select("episode_id", "frame_index", "ok", "turn", "px", "py", F.struct((F.col("px") + F.col("dx")).alias("x"), (F.col("py") + F.col("dy")).alias("y"), (F.col("turn") + F.col("wz") * dt).alias("yaw")).alias("end"))
-    d = d.withColumn("n_ok", F.sum((~F.col("ok")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    ahead = [F.lead(F.struct("end", "ok", "n_ok"), k).over(order).alias(f"a{k}") for k in range(horizon)]
-    d = d.select("episode_id", "frame_index", "ok", "n_ok", "turn", "px", "py", *ahead)
-    names = []
-    for k in range(horizon):
-        a = F.col(f"a{k}")
-        mx, my = a["end"]["x"] - F.col("px"), a["end"]["y"] - F.col("py")
-        pose = F.struct((F.cos("turn") * mx + F.sin("turn") * my).alias("x"), (F.cos("turn") * my - F.sin("turn") * mx).alias("y"), (a["end"]["yaw"] - F.col("turn")).alias("yaw"))
-        zero = F.struct(*(F.lit(0.0).alias(n) for n in ("x", "y", "yaw")))
-        valid = F.col("ok") & a.isNotNull() & F.coalesce(a["n_ok"] == F.col("n_ok"), F.lit(False))
-        d = d.withColumn(f"p{k}", F.when(valid, pose).otherwise(F.col(names[-1]) if names else zero))
-        names.append(f"p{k}")
-    return d.select("episode_id", "frame_index", F.array(*names).alias("chunk"))
+    sign = -1.0 if flip else 1.0
+    d = df.select("episode_id", "frame_index", fine.alias("ok"), *(F.when(fine, F.col(n) * s).otherwise(0.0).alias(n) for n, s in (("vx", 1.0), ("vy", sign), ("wz", sign))))
+    d = d.withColumns({"turn": F.coalesce(F.sum(F.col("wz") * dt).over(before), F.lit(0.0)), "n_bad": F.sum((~F.col("ok")).cast("int")).over(now)})
+    d = d.withColumns({"dx": (F.cos("turn") * F.col("vx") - F.sin("turn") * F.col("vy")) * dt, "dy": (F.sin("turn") * F.col("vx") + F.cos("turn") * F.col("vy")) * dt})
+    d = d.withColumns({p: F.coalesce(F.sum(m).over(before), F.lit(0.0)) for p, m in (("px", "dx"), ("py", "dy"))})
+    end = F.struct((F.col("px") + F.col("dx")).alias("x"), (F.col("py") + F.col("dy")).alias("y"), (F.col("turn") + F.col("wz") * dt).alias("yaw"), "n_bad")
+    return d.select("episode_id", "frame_index", "ok", "n_bad", "turn", "px", "py", F.collect_list(end).over(order.rowsBetween(0, n - 1)).alias("ends"))
+
+
+def _pose_rows(d: DataFrame, last: Column, place: Column, none: Column) -> DataFrame:
+    """Rows (episode_id, frame_index, step, x, y, yaw) for steps 0 to ``last``: the pose at ``place`` of ``ends``, or ``none`` without one."""
+    d = d.withColumn("step", F.explode(F.sequence(F.lit(0), last))).withColumn("end", F.get("ends", place))
+    mx, my = F.col("end.x") - F.col("px"), F.col("end.y") - F.col("py")
+    poses = {"x": F.cos("turn") * mx + F.sin("turn") * my, "y": F.cos("turn") * my - F.sin("turn") * mx, "yaw": F.col("end.yaw") - F.col("turn")}
+    return d.select("episode_id", "frame_index", "step", *(F.when(F.col("end").isNull(), none).otherwise(p).alias(n) for n, p in poses.items()))
+
+
+def action_chunk_rows(df: DataFrame, horizon: int = 8, dt: float = 0.1) -> DataFrame:
+    """``action_chunk`` as rows (episode_id, frame_index, step, x, y, yaw), equal up to rounding."""
+    d = _ahead(df, horizon, dt, flip=True)
+    valid = F.when(F.col("ok"), F.size(F.filter("ends", lambda e: e["n_bad"] == F.col("n_bad")))).otherwise(0)
+    return _pose_rows(d.withColumn("valid", valid), F.lit(horizon - 1), F.least("step", F.col("valid") - 1), F.lit(0.0))
+
+
+def future_trajectory_rows(df: DataFrame, horizon: int, dt: float = 1.0, beyond: bool = True) -> DataFrame:
+    """``future_trajectory`` as rows, equal up to rounding; poses are null from a velocity on that is absent or not finite.
+
+    Without ``beyond`` there are no rows past the episode's end, which is ``indicator_curve`` at one step less of horizon.
+    """
+    d = _ahead(df, max(horizon, 1), dt, flip=False)
+    good = F.col("n_bad") - (~F.col("ok")).cast("int")
+    last = F.least(F.size("ends"), F.lit(horizon)) if not beyond else F.lit(max(horizon, 0))
+    rows = _pose_rows(d.withColumn("ends", F.transform("ends", lambda e: F.struct(*(F.when(e["n_bad"] == good, e[n]).alias(n) for n in ("x", "y", "yaw"))))), last, F.col("step") - 1, F.lit(0.0))
+    return rows
 
 
 def future_trajectory(horizon: int, dt: float = 1.0) -> Column:
@@ -226,6 +241,18 @@ def delta(value: str) -> Column:
     return F.coalesce(-(F.col(value) - F.lag(value).over(steps())), F.lit(0.0))
 
 
+def approach_reward(distance: str, angle: str, radius: float, per_metre: float = 1.0, per_radian: float = 1.0) -> Column:
+    """What was gained on the goal since the step before, and, inside ``radius``, on the wanted heading since the last step inside it.
+
+    A value before that is absent or below zero, which marks a measure not taken, gains nothing.
+    """
+    before = Window.partitionBy("episode_id").orderBy("frame_index").rowsBetween(Window.unboundedPreceding, -1)
+    d, a, inside = F.col(distance), F.col(angle), F.coalesce(F.col(distance) < radius, F.lit(False))
+    gain = lambda last, now: F.when(last >= 0, last - now).otherwise(0.0)
+    turned = gain(F.last(F.when(inside, a), ignorenulls=True).over(before), a)
+    return F.coalesce(gain(F.lag(d).over(steps()), d), F.lit(0.0)) * per_metre + F.when(inside, F.coalesce(turned, F.lit(0.0))).otherwise(0.0) * per_radian
+
+
 def latch(flag: Column) -> Column:
     """True from the first step on at which ``flag`` held."""
     return F.coalesce(F.max(flag).over(so_far()), F.lit(False))

@@ -245,3 +245,13 @@ def word_sentence(spark, sf_dir):
     known = F.array(*map(F.lit, ("<pad>", "who", "is", "there")))
     ids = F.array(F.col("doc_id") % 3, F.col("doc_id") % 2, F.lit(3).cast("long"))
     return table(spark, sf_dir, "documents").select("doc_id", text.sentence(ids, known).alias("sentence"))
+
+
+@query("""WITH r AS (SELECT p_partkey, p_name, CASE WHEN p_size % 7 > 0 THEN p_brand END AS parent, p_size % 11 - 5.0 AS ux, 10.0 AS uy FROM part)
+SELECT p_partkey, CASE WHEN contains(p_name, 'bolt') OR coalesce(contains(parent, '#2'), false) THEN false WHEN parent IS NULL THEN contains(p_name, 'red')
+  WHEN contains(p_name, 'red') AND contains(parent, '#1') THEN true WHEN contains(p_name, 'hot') THEN false ELSE contains(p_name, 'blue') END AS matches, uy / sqrt(ux * ux + uy * uy) >= 0.95 AS upright FROM r""")
+def receptacle_match(spark, sf_dir):
+    sets = [datasets.ReceptacleSet(objects=("#1",), names=("red",), not_objects=("#2",), not_names=("bolt",)), datasets.ReceptacleSet(names=("blue",), not_names=("hot",))]
+    parent = F.when(F.col("p_size") % 7 > 0, F.col("p_brand"))
+    up = datasets.upright(F.col("p_size") % 11 - 5.0, F.lit(10.0), F.lit(0.0), 0.95)
+    return table(spark, sf_dir, "part").select("p_partkey", datasets.receptacle_matches(F.col("p_name"), parent, sets).alias("matches"), up.alias("upright"))

@@ -269,3 +269,20 @@ def measure_chain(spark, sf_dir):
     chain.add("following_step", lambda: F.sum(F.col("facing").cast("long")).over(sequence.so_far()), ("facing",))
     chain.add("following_rate", lambda: F.round(F.col("following_step") / (F.col("frame_index") + 1), R), ("following_step",))
     return chain.apply(frames(spark, sf_dir).select(*KEYS, "dis_to_human", "human_following")).drop("dis_to_human", "human_following")
+
+
+@query(FRAMES_SQL + """, s AS (SELECT episode_id, frame_index, dis_to_human AS d, abs(robot_yaw) AS a, dis_to_human < 3 AS inside, lag(dis_to_human) OVER w AS d0,
+  last_value(CASE WHEN dis_to_human < 3 THEN abs(robot_yaw) END IGNORE NULLS) OVER (PARTITION BY episode_id ORDER BY frame_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS a0 FROM frames WINDOW w AS (PARTITION BY episode_id ORDER BY frame_index))
+SELECT episode_id, frame_index, round(coalesce(d0 - d, 0) + CASE WHEN inside THEN 0.5 * coalesce(a0 - a, 0) ELSE 0 END, 6) + 0.0 AS reward FROM s""")
+def approach_reward(spark, sf_dir):
+    f = frames(spark, sf_dir).withColumn("angle", F.abs("robot_yaw"))
+    return _rounded(f.withColumn("reward", sequence.approach_reward("dis_to_human", "angle", 3.0, per_radian=0.5)), KEYS, ["reward"])
+
+
+@query(FRAMES_SQL + """, v AS (SELECT episode_id, frame_index, vx, vy + 0.003 AS vy, sqrt(vx * vx + (vy + 0.003) * (vy + 0.003)) AS n FROM frames WHERE vx <> 0)
+SELECT episode_id, frame_index, round(-vy / n / sqrt((1 + vx / n) * 2), 5) AS qy, round(sqrt((1 + vx / n) / 2), 5) AS qw FROM v WHERE vx > 0""")
+def heading_quaternion(spark, sf_dir):
+    """The turn from the axis x to the direction of travel in the plane of x and z."""
+    zero = F.lit(0.0)
+    q = geo.between_vectors((F.lit(1.0), zero, zero), (F.col("vx"), zero, F.col("vy") + 0.003))
+    return frames(spark, sf_dir).where("vx > 0").select(*KEYS, F.round(q["y"], 5).alias("qy"), F.round(q["w"], 5).alias("qw"))

@@ -187,9 +187,8 @@ def bats_scores(spark, sf_dir):
 # ---- trajectories
 
 
-def _pose_rows(df, column):
-    rows = df.select("episode_id", "frame_index", F.posexplode(column).alias("step", "p"))
-    return rows.select("episode_id", "frame_index", "step", *(F.round(f"p.{c}", R).alias(c) for c in ("x", "y", "yaw")))
+def _rounded_poses(rows):
+    return rows.select("episode_id", "frame_index", "step", *(F.round(c, R).alias(c) for c in ("x", "y", "yaw")))
 
 
 def _walk_sql(sign: str, dt: str, steps: int) -> str:
@@ -206,21 +205,19 @@ def _r(c: str) -> str:
 @query(_walk_sql("-", "0.1::DOUBLE", 8) + f""", n AS (SELECT episode_id, s, max(k) AS n FROM walk GROUP BY ALL)
 SELECT w.episode_id, w.s AS frame_index, t.step::INT AS step, {_r('x')}, {_r('y')}, {_r('yaw')} FROM n, (SELECT unnest(range(8)) AS step) t JOIN walk w ON w.episode_id = n.episode_id AND w.s = n.s AND w.k = least(t.step + 1, n.n)""")
 def action_chunk_long(spark, sf_dir):
-    return _pose_rows(sequence.action_chunks(frames(spark, sf_dir), HORIZON, 0.1), "chunk")
+    return _rounded_poses(sequence.action_chunk_rows(frames(spark, sf_dir), HORIZON, 0.1))
 
 
 @query(_walk_sql("", "1::DOUBLE", 8) + f"""
 SELECT f.episode_id, f.frame_index, t.step::INT AS step, round(coalesce(x, 0), {R}) + 0.0 AS x, round(coalesce(y, 0), {R}) + 0.0 AS y, round(coalesce(yaw, 0), {R}) + 0.0 AS yaw
 FROM frames f CROSS JOIN (SELECT unnest(range(9)) AS step) t LEFT JOIN walk w ON w.episode_id = f.episode_id AND w.s = f.frame_index AND w.k = t.step""")
 def future_trajectory_long(spark, sf_dir):
-    f = frames(spark, sf_dir)
-    return _pose_rows(f.select("episode_id", "frame_index", sequence.future_trajectory(HORIZON).alias("c")), "c")
+    return _rounded_poses(sequence.future_trajectory_rows(frames(spark, sf_dir), HORIZON))
 
 
 @query(_walk_sql("", "0.1::DOUBLE", 5) + f"SELECT episode_id, s AS frame_index, k AS step, {_r('x')}, {_r('y')}, {_r('yaw')} FROM walk")
 def indicator_curve_long(spark, sf_dir):
-    f = frames(spark, sf_dir)
-    return _pose_rows(f.select("episode_id", "frame_index", sequence.indicator_curve(4, 0.1).alias("c")), "c")
+    return _rounded_poses(sequence.future_trajectory_rows(frames(spark, sf_dir), 5, 0.1, beyond=False))
 
 
 @query(FRAMES_SQL + """SELECT a.episode_id, a.frame_index, count(b.frame_index) AS n_future, round(sum(b.vx), 6) AS sum_vx

@@ -10,6 +10,7 @@ import hashlib
 import json
 import uuid
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,26 @@ def fingerprint(value: object) -> str:
     return hashlib.sha256(canonical_json(value).encode()).hexdigest()
 
 
+def write_json(spark: SparkSession, path: str, value: object) -> str:
+    """One canonical JSON file that appears as a whole; the SHA-256 of its bytes."""
+    data = canonical_json(value).encode()
+    stage = f"{path}.stage-{uuid.uuid4().hex}"
+    fs, p = _fs(spark, stage)
+    try:
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+        if exists(spark, path):
+            remove(spark, path)
+        move(spark, stage, path)
+    finally:
+        if exists(spark, stage):
+            remove(spark, stage)
+    return hashlib.sha256(data).hexdigest()
+
+
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """SHA-256 of each file."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -151,3 +172,36 @@ def half_floats(df: DataFrame, key: str, vector: str) -> DataFrame:
 
     kind = dict(df.dtypes)[key]
     return df.select(key, F.col(vector).cast("array<float>")).mapInArrow(run, f"{key} {kind}, packed binary")
+
+
+def flat_arrays(df: DataFrame, order: str, values: list[str], dtypes: list[str], rows: int = 1 << 20) -> DataFrame:
+    """Columns as pieces of flat arrays: (column, first, n, data), ``data`` the values' bytes in numpy's notation of ``dtypes``.
+
+    ``order`` numbers the rows from 0 without gaps, and tells in which piece of ``rows`` rows a value is and where. The
+    pieces of a column side by side, by ``first``, are the body of its array file; ``npy_header`` is its head. Values must not be null.
+    """
+    import numpy as np
+
+    names = ["column", "first", "n", "data"]
+
+    def run(pdf):
+        pdf = pdf.sort_values(order)
+        first = int(pdf[order].iloc[0])
+        if (np.diff(pdf[order]) != 1).any():
+            raise ValueError(f"{order} repeats or skips numbers from {first} on")
+        made = [(v, first, len(pdf), pdf[v].to_numpy().astype(d).tobytes()) for v, d in zip(values, dtypes, strict=True)]
+        return pd.DataFrame(made, columns=names)
+
+    piece = F.floor(F.col(order) / rows).alias("__piece")
+    return df.select(piece, order, *values).groupBy("__piece").applyInPandas(run, "column string, first long, n long, data binary")
+
+
+def npy_header(dtype: str, n: int) -> bytes:
+    """The head of a one-dimensional array file."""
+    import io
+
+    import numpy as np
+
+    head = io.BytesIO()
+    np.lib.format.write_array_header_1_0(head, {"descr": np.lib.format.dtype_to_descr(np.dtype(dtype)), "fortran_order": False, "shape": (n,)})
+    return head.getvalue()

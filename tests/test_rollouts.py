@@ -82,6 +82,13 @@ def walk(velocities, dt, sign):
     return out
 
 
+def poses_of(rows):
+    out = {}
+    for r in rows.orderBy("frame_index", "step").collect():
+        out.setdefault(r.frame_index, []).extend((r.x, r.y, r.yaw))
+    return out
+
+
 def test_future_poses_and_their_ends(spark):
     rng = random.Random(4)
     v = [tuple(rng.uniform(-1, 1) for _ in range(3)) for _ in range(12)]
@@ -97,8 +104,7 @@ def test_future_poses_and_their_ends(spark):
         poses = walk(valid, 0.1, -1) or [(0.0, 0.0, 0.0)]
         want = poses + [poses[-1]] * (4 - len(poses))
         assert [x for p in chunk[s] for x in p] == pytest.approx([x for p in want for x in p], abs=1e-12)
-    sums = {r.frame_index: [tuple(p) for p in r.chunk] for r in sequence.action_chunks(df, 4, 0.1).collect()}
-    assert all([x for p in sums[s] for x in p] == pytest.approx([x for p in chunk[s] for x in p], abs=1e-9) for s in range(12))
+    assert poses_of(sequence.action_chunk_rows(df, 4, 0.1)) == {s: pytest.approx([x for p in chunk[s] for x in p], abs=1e-9) for s in range(12)}
     good = spark.createDataFrame([("e", i, *x) for i, x in enumerate(v)], "episode_id string, frame_index long, vx double, vy double, wz double")
     rows = good.select("frame_index", sequence.future_trajectory(4).alias("t"), sequence.indicator_curve(4, 0.1).alias("i"), sequence.history("frame_index", 2).alias("h")).collect()
     for r in rows:
@@ -107,6 +113,11 @@ def test_future_poses_and_their_ends(spark):
         assert [x for p in r.t for x in p] == pytest.approx([x for p in want for x in p], abs=1e-9)
         assert len(r.i) == 1 + min(5, 12 - r.frame_index)
         assert r.h == list(range(max(0, r.frame_index - 2), r.frame_index))
+    assert poses_of(sequence.future_trajectory_rows(good, 4)) == {r.frame_index: pytest.approx([x for p in r.t for x in p], abs=1e-9) for r in rows}
+    assert poses_of(sequence.future_trajectory_rows(good, 5, 0.1, beyond=False)) == {r.frame_index: pytest.approx([x for p in r.i for x in p], abs=1e-9) for r in rows}
+    broken = poses_of(sequence.future_trajectory_rows(df, 4))
+    assert broken[5][:9] == pytest.approx([x for p in [(0.0, 0.0, 0.0), *walk(v[5:7], 1.0, 1)] for x in p], abs=1e-9) and broken[5][9:] == [None] * 6
+    assert sequence.action_chunk_rows(df.limit(0)).count() == 0
 
 
 def test_early_end_rules(spark):
@@ -292,3 +303,33 @@ def test_poses_points_and_nested_fields(spark):
     assert flat.columns == ["a.b", "a.c.d", "id"] and tuple(flat.first()) == (1, 2, 0)
     ids = spark.createDataFrame([([0, 2, 1],), ([],)], "i array<int>")
     assert [r[0] for r in ids.select(text.sentence(F.col("i"), F.array(F.lit("p"), F.lit("x"), F.lit("y")))).collect()] == ["y x ?", "?"]
+
+
+def test_approach_reward_skips_what_was_not_measured(spark):
+    rows = [("e", 0, 4.0, 0.5), ("e", 1, 2.0, 0.9), ("e", 2, 5.0, 0.1), ("e", 3, 1.5, 0.4), ("e", 4, -1.0, 0.2), ("e", 5, 1.0, None), ("e", 6, 1.0, 0.1)]
+    df = spark.createDataFrame(rows, "episode_id string, frame_index long, d double, a double")
+    got = by_step(df.withColumn("r", sequence.approach_reward("d", "a", 3.0)), "r")
+    # 0: nothing before; 3: the angle of step 1 counts; 5: distance -1 was no measure, and there is no angle
+    assert got == pytest.approx([0.0, 2.0, -3.0, 3.5 + 0.5, 2.5 + 0.2, 0.0, 0.1])
+
+
+def test_turns_between_vectors(spark):
+    pairs = [((1.0, 0.0, 0.0), (0.0, 3.0, 0.0)), ((1.0, 2.0, -0.5), (-0.3, 0.2, 0.9)), ((0.0, 2.0, 0.0), (0.0, -1.0, 0.0)), ((1.0, 1.0, 1.0), (-2.0, -2.0, -2.0)), ((0.4, 0.0, 0.0), (0.4, 0.0, 0.0))]
+    df = spark.createDataFrame([(*a, *b) for a, b in pairs], "a0 double, a1 double, a2 double, b0 double, b1 double, b2 double")
+    a, b = (tuple(F.col(f"{n}{i}") for i in range(3)) for n in "ab")
+    turned = geo.rotate(geo.between_vectors(a, b), *a)
+    for r, (u, v) in zip(df.select(*turned).collect(), pairs, strict=True):
+        scale = math.dist(u, (0, 0, 0)) / math.dist(v, (0, 0, 0))
+        assert tuple(r) == pytest.approx([x * scale for x in v], abs=1e-9)
+    none = spark.createDataFrame([(0.0, 0.0, 0.0, 1.0, 0.0, 0.0)], df.schema)
+    assert none.select(geo.between_vectors(a, b)).first()[0] is None
+
+
+def test_receptacle_sets_decide_in_order(spark):
+    rows = [("top", "table_1"), ("top", "chair_1"), ("drawer", "table_1"), ("floor", None), ("top_floor", None), (None, "table_1")]
+    df = spark.createDataFrame(rows, "name string, parent string")
+    sets = [datasets.ReceptacleSet(objects=("table",), names=("top",), not_names=("drawer",)), datasets.ReceptacleSet(names=("floor", "drawer"), not_objects=("table",))]
+    got = [r[0] for r in df.select(datasets.receptacle_matches(F.col("name"), F.col("parent"), sets)).collect()]
+    assert got == [True, False, False, False, True, False]
+    up = spark.createDataFrame([(0.0, 1.0, 0.0), (1.0, 1.0, 0.0), (0.0, 0.0, 0.0), (0.0, -1.0, 0.0)], "x double, y double, z double")
+    assert [r[0] for r in up.select(datasets.upright(F.col("x"), F.col("y"), F.col("z"))).collect()] == [True, False, False, False]

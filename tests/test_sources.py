@@ -118,3 +118,26 @@ def test_streamed_rules_match_the_batch(spark, tmp_path):
 
 def test_schemas_read_what_they_name():
     assert "`success_visible_detector` boolean" in schemas.EPISODE_RESULT and schemas.STEP_LOG.count("`") == 64
+
+
+def test_json_and_flat_arrays(spark, tmp_path):
+    import hashlib
+    import io
+
+    import numpy as np
+
+    path = f"{tmp_path}/report.json"
+    for value in ({"b": 1, "a": [1.5, "é"]}, {"b": 2}):
+        assert sinks.write_json(spark, path, value) == hashlib.sha256(open(path, "rb").read()).hexdigest()
+        assert json.load(open(path)) == value
+    assert [x for x in os.listdir(tmp_path) if "stage" in x] == []
+    df = spark.range(25).select("id", (F.col("id") * 3).alias("offset"), (F.col("id") / 2).alias("score")).repartition(4)
+    pieces = sinks.flat_arrays(df, "id", ["offset", "score"], ["<i8", "<f4"], rows=10)
+    for name, dtype, want in (("offset", "<i8", np.arange(25) * 3), ("score", "<f4", np.arange(25) / 2)):
+        own = pieces.where(F.col("column") == name).orderBy("first").collect()
+        assert [(r["first"], r["n"]) for r in own] == [(0, 10), (10, 10), (20, 5)]
+        data = sinks.npy_header(dtype, 25) + b"".join(bytes(r["data"]) for r in own)
+        assert (np.load(io.BytesIO(data)) == want).all()
+    assert sinks.flat_arrays(df.limit(0), "id", ["offset"], ["<i8"]).count() == 0
+    with pytest.raises(Exception, match="repeats or skips"):
+        sinks.flat_arrays(df.where("id <> 3"), "id", ["offset"], ["<i8"]).collect()
