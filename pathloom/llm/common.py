@@ -36,5 +36,14 @@ def kept_rows(batch: pa.RecordBatch, keep: list[bool]) -> pa.RecordBatch:
     return batch.filter(pa.array(keep, pa.bool_()))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores if it is read in fewer parts than there are, as from one small file; else as it is.
+
+    A table of many files or row groups is thus never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
