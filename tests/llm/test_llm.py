@@ -441,3 +441,13 @@ def test_extendible_hashing(spark):
                 assert sum(n for h, n in sizes.items() if format(h, "060b").startswith(s[:-1])) > limit
     assert sharding.assign(docs.limit(0), "doc_id", F.octet_length("text"), limit).count() == 0
     assert sharding.manifest(sharding.assign(docs, "doc_id", F.octet_length("text"), limit)).agg(F.sum("n_rows")).first()[0] == len(rows)
+
+
+def test_only_tables_of_few_parts_are_dealt_anew(spark):
+    from pathloom.llm.common import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    one, many = spark.range(0, 50, 1, 1), spark.range(0, 50, 1, cores + 3)
+    assert spread(one).rdd.getNumPartitions() == cores and spread(many) is many
+    assert sorted(r.id for r in spread(one).collect()) == list(range(50))
+    assert spread(one.limit(0)).count() == 0
