@@ -4,8 +4,7 @@ Units of a file are the lines of its text that speak of licensing, each such
 line with the eleven that follow (a header over several lines), and, for
 licence files by name, the whole text. Units and templates are sparse vectors
 of lower-case words. A word's document frequency is counted over all units of
-all files for the words of the templates, which are few; other words have the
-frequency zero. The unit nearest to a template decides if its cosine reaches
+all files, for the words of the templates and all others alike. The unit nearest to a template decides if its cosine reaches
 the threshold. A licence file decides for its directory, the best one if there
 are several, and a file without a licence of its own takes that of its nearest
 ancestor directory: the ancestors of each distinct directory are joined with
@@ -42,6 +41,8 @@ TEMPLATES = {
 SPEAKS = "[Ll][Ii][Cc][Ee][Nn][CcSs][Ee]|[Cc][Oo][Pp][Yy][Rr][Ii][Gg][Hh][Tt]|[Ss][Pp][Dd][Xx]|[Pp]ermission is hereby granted|[Rr]edistribution and use"
 LICENSE_FILE = "(^|/)(LICEN[CS]E|COPYING|NOTICE|UNLICENSE)([.-][A-Za-z0-9.-]*)?$"
 HEADER_LINES = 12
+#: A word in more than one of so many units is frequent.
+FREQUENT_SHARE = 1000
 THRESHOLD = 0.6
 
 
@@ -75,10 +76,15 @@ def cosines(found: DataFrame, templates: dict[str, str]) -> DataFrame:
     vocabulary = terms.select("word").distinct()
     unit = ["file_id", "path", "unit"]
     counts = cut(found.select(*unit, F.explode("words").alias("word")).groupBy(*unit, "word").agg(F.count("*").cast("double").alias("tf")))
-    df = counts.join(F.broadcast(vocabulary), "word").groupBy("word").agg(F.count("*").alias("df"))
-    idf = vocabulary.join(df, "word", "left").select("word", (F.log((1.0 + n) / (1.0 + F.coalesce("df", F.lit(0)))) + 1.0).alias("idf"))
+    df = cut(counts.groupBy("word").agg(F.count("*").alias("df")))
+    inverse = F.log((1.0 + n) / (1.0 + F.coalesce("df", F.lit(0)))) + 1.0
+    idf = vocabulary.join(df, "word", "left").select("word", inverse.alias("idf"))
     idf = F.broadcast(cut(idf))  # one row per word of the templates
-    weighted = counts.join(idf, "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.log(F.lit(1.0 + n)) + 1.0))
+    # rows of frequent words are not dealt by word; they are bounded, as a unit's words are
+    frequent = F.broadcast(df.where(F.col("df") * FREQUENT_SHARE > n).select("word", inverse.alias("idf")))
+    rest = df.where(F.col("df") * FREQUENT_SHARE <= n).select("word", inverse.alias("idf"))
+    weighted = counts.join(frequent, "word").unionByName(counts.join(frequent, "word", "left_anti").join(rest, "word"))
+    weighted = weighted.withColumn("w", F.col("tf") * F.col("idf"))
     wt = terms.join(idf, "word").select("template", "word", (F.col("tf") * F.col("idf")).alias("wt"))
     norms = wt.groupBy("template").agg(F.sqrt(F.sum(F.col("wt") * F.col("wt"))).alias("norm_t"))
     wt = F.broadcast(cut(wt.join(norms, "template")))
