@@ -7,7 +7,7 @@ configuration syntax become name-literal pairs (``name = "…"``, ``name: …``,
 propagated as constants, in either order and through concatenations, and each
 pair whose target name is sensitive is scored by that name and by how random
 its literal is. Literals that score enough are spans of kind ``lexed``, unless
-a base span already covers part of them.
+base spans already cover all of them.
 
 Defined cases: null text is empty, with zero spans; spans are in code points,
 end exclusive; repeated rows are scanned each; an empty table gives an empty
@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -49,10 +50,13 @@ STRONGER = {"api", "access", "private", "secret", "client", "signing", "encrypti
 THRESHOLD = 0.6
 _PLACEHOLDER = re.compile(r"(?i)\A(?:\$\{.*\}|<.*>|%\(.*\)s|\{\{.*\}\}|change_?me.*|example.*|your[_-].*|none|null|true|false|x+|\*+|\.+)\Z")
 _LEX = re.compile(
-    r"""(?P<string>"(?:[^"\\\n]|\\.){0,4096}"|'(?:[^'\\\n]|\\.){0,4096}')"""
+    r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')"""
     r"""|(?P<op>:=|=>|==|[=:])|(?P<plus>\+)|(?P<end>[\n;,{}()\[\]])"""
-    r"""|(?P<name>[^\W\d][\w.-]{0,255})|(?P<bare>[^\s"'=:+;,{}()\[\]]+)"""
+    r"""|(?P<name>[^\W\d][\w.-]*)|(?P<bare>[^\s"'=:+;,{}()\[\]]+)"""
 )
+_REPEATED = re.compile(r"(?i)\A(?:x+|\*+|\.+)\Z")
+#: Characters at either end of a literal that tell a placeholder.
+ENDS = 64
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -64,14 +68,39 @@ def name_score(name: str) -> float:
     return min(1.0, score + 0.4) if score and STRONGER & set(words[:-1]) else score
 
 
+class Value:
+    """What the score needs of a literal or of a concatenation, however long: its length, its characters and its ends."""
+
+    __slots__ = ("n", "chars", "head", "tail")
+
+    def __init__(self, text: str = ""):
+        self.n, self.chars, self.head, self.tail = len(text), Counter(text), text[:ENDS], text[-ENDS:]
+
+    def add(self, other: Value) -> None:
+        if self.n < ENDS:
+            self.head = (self.head + other.head)[:ENDS]
+        self.tail = (self.tail + other.tail)[-ENDS:]
+        self.n += other.n
+        self.chars.update(other.chars)
+
+    def placeholder(self) -> bool:
+        if self.n <= ENDS:
+            return bool(_PLACEHOLDER.match(self.head))
+        # longer ones are told by their ends, but for those of one repeated character
+        return bool(_PLACEHOLDER.match(self.head + self.tail)) and not (_REPEATED.match(self.head) and len({c.lower() for c in self.chars}) > 1)
+
+    def score(self) -> float:
+        if self.n < 8 or self.placeholder() or any(c.isspace() for c in self.chars):
+            return 0.0
+        n = self.n
+        entropy = -sum(c / n * math.log2(c / n) for c in self.chars.values())
+        classes = sum(any(f(c) for c in self.chars) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
+        return min(1.0, entropy / math.log2(min(n, 64)) * (0.7 + 0.15 * classes))
+
+
 def value_score(value: str) -> float:
     """How random a literal is: its entropy against a random one's of that length, placeholders and short ones none."""
-    if len(value) < 8 or _PLACEHOLDER.match(value) or any(c.isspace() for c in value):
-        return 0.0
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    classes = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    return min(1.0, entropy / math.log2(min(n, 64)) * (0.7 + 0.15 * classes))
+    return Value(value).score()
 
 
 def pairs(text: str) -> list[tuple[str, list[tuple[str, str, int, int]]]]:
@@ -114,27 +143,60 @@ def lexed_spans(text: str) -> list[tuple[int, int]]:
     for name, operands in bound:
         known.setdefault(name, operands)  # the first binding of a name is its constant
 
-    def literals(operands: list, seen: frozenset) -> list[tuple[str, int, int]] | None:
-        out = []
-        for kind, value, start, end in operands:
-            if kind == "name" and value in known:
-                if value in seen or len(seen) > 16:
-                    return None
-                inner = literals(known[value], seen | {value})
-                if inner is None:
-                    return None
-                out += inner
-            else:
-                out.append((value, start, end))
-            if len(out) > 256:
+    def inner(operands: list) -> list[str]:
+        return [value for kind, value, _, _ in operands if kind == "name" and value in known]
+
+    values: dict[str, Value | None] = {}  # each constant once, so that neither depth nor repeats count
+
+    def joined(operands: list) -> Value | None:
+        out = Value()
+        for kind, value, _, _ in operands:
+            part = values[value] if kind == "name" and value in known else Value(value)
+            if part is None:
                 return None
+            out.add(part)
         return out
 
-    spans = set()
+    def resolve(names: list[str]) -> None:
+        open_, stack = set(), [(x, False) for x in names]
+        while stack:
+            name, done = stack.pop()
+            if done:
+                open_.discard(name)
+                values[name] = None if name in cyclic else joined(known[name])
+            elif name not in values and name not in open_:
+                open_.add(name)
+                stack.append((name, True))
+                for x in inner(known[name]):
+                    if x in open_:
+                        cyclic.add(name)
+                    elif x not in values:
+                        stack.append((x, False))
+
+    def reached(operands: list, seen: set[str]) -> Iterator[list]:
+        """The operands and those of all constants in them that are not in ``seen``."""
+        stack = [operands]
+        while stack:
+            yield (now := stack.pop())
+            for x in inner(now):
+                if x not in seen:
+                    seen.add(x)
+                    stack.append(known[x])
+
+    spans, told, cyclic = set(), set(), set()
     for name, operands in bound:
         weight = name_score(name)
-        if weight and (parts := literals(operands, frozenset({name}))) and weight * value_score("".join(p[0] for p in parts)) >= THRESHOLD:
-            spans |= {(s, e) for _, s, e in parts if e > s}
+        if not weight:
+            continue
+        resolve(inner(operands))
+        if known[name] is operands:
+            resolve([name])
+        elif name in (x for now in reached(operands, set()) for x in inner(now)):
+            continue  # it takes itself in
+        value = values[name] if known[name] is operands else joined(operands)
+        if value is not None and weight * value.score() >= THRESHOLD:
+            for now in reached(operands, told):
+                spans |= {(s, e) for kind, x, s, e in now if e > s and not (kind == "name" and x in known)}
     return sorted(spans)
 
 
@@ -149,9 +211,15 @@ def spans(text: str, may: tuple[bool, bool, bool, bool] = (True, True, True, Tru
         base += [("hex", *m.span()) for m in _HEX.finditer(text)]
     more = []
     if may[3]:
-        covered = sorted((s, e) for _, s, e in base)
+        covered: list[list[int]] = []  # the base spans' union, in order
+        for a, b in sorted((s, e) for _, s, e in base):
+            if covered and a <= covered[-1][1]:
+                covered[-1][1] = max(covered[-1][1], b)
+            else:
+                covered.append([a, b])
         for s, e in lexed_spans(text):
-            if not any(a < e and s < b for a, b in covered):
+            at = bisect_right(covered, s, key=lambda x: x[0]) - 1
+            if at < 0 or covered[at][1] < e:
                 more.append(("lexed", s, e))
     return sorted(base + more, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
