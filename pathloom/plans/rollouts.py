@@ -168,6 +168,20 @@ def dedup_history(spark, sf_dir):
     return d.select("episode_id", "frame_index", F.explode("chosen").alias("c")).select("episode_id", "frame_index", F.col("c.frame").alias("kept_frame"), "c.distance")
 
 
+@query(FRAMES_SQL + """, past AS (SELECT a.episode_id, a.frame_index, a.front_dhash, b.frame_index AS older, b.front_dhash AS h,
+  row_number() OVER (PARTITION BY a.episode_id, a.frame_index ORDER BY b.frame_index DESC) AS r FROM frames a JOIN frames b ON a.episode_id = b.episode_id AND b.frame_index < a.frame_index),
+bits AS (SELECT x.h AS a, y.h AS b, (bit_count(xor(('0x' || substr(x.h, 1, 8))::BIGINT, ('0x' || substr(y.h, 1, 8))::BIGINT)) + bit_count(xor(('0x' || substr(x.h, 9, 8))::BIGINT, ('0x' || substr(y.h, 9, 8))::BIGINT)))::INT AS d
+  FROM (SELECT DISTINCT front_dhash AS h FROM frames) x, (SELECT DISTINCT front_dhash AS h FROM frames) y),
+scan AS (SELECT episode_id, frame_index, r, older, h AS kept_hash, 1 AS n, true AS kept, 64 AS d FROM past WHERE r = 1
+  UNION ALL SELECT p.episode_id, p.frame_index, p.r, p.older, CASE WHEN bits.d > 32 AND n < 4 THEN p.h ELSE kept_hash END, n + (bits.d > 32 AND n < 4)::INT, bits.d > 32 AND n < 4, bits.d
+  FROM scan s JOIN past p ON p.episode_id = s.episode_id AND p.frame_index = s.frame_index AND p.r = s.r + 1 JOIN bits ON bits.a = p.h AND bits.b = s.kept_hash)
+SELECT episode_id, frame_index, older AS kept_frame, d AS distance FROM scan WHERE kept""")
+def dedup_history_full(spark, sf_dir):
+    """As ``dedup_history``, but through all history of an anchor, as the reference scans."""
+    d = context.deduplicated_history(frames(spark, sf_dir), 4, threshold=32)
+    return d.select("episode_id", "frame_index", F.explode("chosen").alias("c")).select("episode_id", "frame_index", F.col("c.frame").alias("kept_frame"), "c.distance")
+
+
 @query(FRAMES_SQL + f""", span AS (SELECT a, least(a, 25)::DOUBLE AS target FROM (SELECT DISTINCT frame_index AS a FROM frames WHERE frame_index > 0)),
 halve AS (SELECT a, target, 0 AS n, 1e-12::DOUBLE AS low, 1e5::DOUBLE AS high FROM span WHERE target < a AND target > a * 0.1::DOUBLE
   UNION ALL SELECT a, target, n + 1, CASE WHEN e > target THEN k ELSE low END, CASE WHEN e > target THEN high ELSE k END
@@ -178,7 +192,8 @@ FROM frames JOIN rates ON a = frame_index""")
 def bats_scores(spark, sf_dir):
     """Keep probability of the newest and the oldest history frame of each anchor."""
     f = frames(spark, sf_dir).select("episode_id", "frame_index")
-    rates = context.decay_rates(spark, 500, 190)  # one row per step of the longest rollout
+    longest = f.agg(F.max("frame_index")).first()[0] or 0
+    rates = context.decay_rates(spark, longest, 190)  # one row per step of the longest rollout
     j = f.join(F.broadcast(rates), F.col("frame_index") == F.col("anchor")).where("frame_index > 0")
     p = lambda at: F.round(context.keep_probability(at, F.col("anchor"), F.col("rate")), R)
     return j.select("episode_id", "frame_index", F.round("rate", R).alias("rate"), p(F.col("anchor") - 1).alias("newest"), p(F.lit(0)).alias("oldest"))
