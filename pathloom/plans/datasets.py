@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pathloom.functions import text
 from pathloom.operators import datasets, logic
+from pathloom.operators.prefix import running_before
 from pathloom.plans.registry import query
 from pathloom.plans.standins import FRAMES_SQL, episodes, frames, table
 
@@ -70,6 +71,13 @@ def balanced_scenes(spark, sf_dir):
     return table(spark, sf_dir, "part").where("p_partkey BETWEEN 1 AND 200").select("p_partkey", datasets.balanced_scene(F.col("p_partkey") - 1, 200, 5).alias("scene"))
 
 
+@query("SELECT p_partkey, (row_number() OVER (ORDER BY p_partkey) - 1) // ((SELECT count(*) FROM part) // 5) AS scene FROM part")
+def balanced_scenes_all(spark, sf_dir):
+    """All parts as episodes, numbered by key; their number must divide evenly."""
+    p = table(spark, sf_dir, "part").select("p_partkey")
+    return running_before(p, ["p_partkey"], F.lit(1), "episode").select("p_partkey", datasets.balanced_scene(F.col("episode"), p.count(), 5).alias("scene"))
+
+
 @query(FRAMES_SQL + "SELECT episode_id FROM episodes WHERE scene_id IN ('scene1', 'scene4')")
 def scene_filter(spark, sf_dir):
     path = F.concat(F.lit("data/scene_datasets/"), F.col("scene_id"), F.lit(".basis.glb"))
@@ -117,6 +125,14 @@ def natural_sort(spark, sf_dir):
     return keyed.select("c_custkey", F.row_number().over(Window.partitionBy("g").orderBy("k0", "k1", "k2")).cast("long").alias("place"))
 
 
+@query("""SELECT c_custkey, row_number() OVER (ORDER BY (CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END), CASE WHEN c_custkey % 3 > 0 THEN c_custkey END, CASE WHEN c_custkey % 3 = 0 THEN c_name END) AS place FROM customer""")
+def natural_sort_all(spark, sf_dir):
+    """All customers, numbered by a range partitioning and not by one window."""
+    c = table(spark, sf_dir, "customer").withColumn("name", F.when(F.col("c_custkey") % 3 > 0, F.col("c_custkey").cast("string")).otherwise(F.col("c_name")))
+    keyed = c.select("c_custkey", *(k.alias(f"k{i}") for i, k in enumerate(text.natural_key(F.col("name")))))
+    return running_before(keyed, ["k0", "k1", "k2", "c_custkey"], F.lit(1), "before").select("c_custkey", (F.col("before") + 1).alias("place"))
+
+
 WORDS_SQL = r"""WITH w AS (SELECT conv_id, turn, list_filter(list_transform(regexp_extract_all(replace(replace(lower(text), ',', ''), '?', ''), '[\p{L}\p{M}\p{N}\p{Pc}-]+|[^\p{L}\p{M}\p{N}\p{Pc}-]+'), lambda x: trim(x, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13)))), lambda x: x <> '') AS ws FROM conversations),
 each AS (SELECT conv_id, turn, i, ws[i] AS word FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM w))"""
 
