@@ -52,8 +52,8 @@ def word_features(word: str) -> set[int]:
 class Features:
     """Distinct features of a text, of all kinds or only of those in ``known`` (bucket → place)."""
 
-    def __init__(self, known: dict[int, int] | None = None, memo: int = 400_000):
-        self.known, self.limit = known, memo
+    def __init__(self, known: dict[int, int] | None = None, memo: int = 128 << 20):
+        self.known, self.limit, self.held = known, memo, 0  # bytes, about
         self.memo: dict[str, tuple[int, ...]] = {}
 
     def of(self, text: str) -> np.ndarray:
@@ -62,11 +62,15 @@ class Features:
         for word in set(_WORD.findall(text.lower())):
             ids = memo.get(word)
             if ids is None:
-                ids = word_features(word[:64])
+                ids = word_features(word)
                 ids = tuple(ids if self.known is None else [self.known[x] for x in ids if x in self.known])
-                if len(memo) >= self.limit:
+                size = 200 + 4 * len(word) + 40 * len(ids)
+                if self.held + size > self.limit:
                     memo.clear()
-                memo[word] = ids
+                    self.held = 0
+                if size <= self.limit:
+                    memo[word] = ids
+                    self.held += size
             if ids:
                 found.update(ids)
         return np.fromiter(sorted(found), np.int32, len(found))
