@@ -3,14 +3,17 @@
 Each shard of training documents (a bounded number of words of consecutive
 rows) gets a suffix array; the words of the benchmark are its alphabet, and any
 other word ends a suffix. Every suffix of every benchmark item is looked up by
-binary search: its two neighbours give its longest verbatim match and where it
-is, and the range of its first words gives all occurrences of its window.
+binary search, and its two neighbours give its longest verbatim match. Where
+that is as long as the window that begins there, the range of suffixes that
+share the window gives all its places, whose words are hit and whose documents
+are affected; ``longest_matches`` returns the matches and places themselves.
 Shards are searched where their rows are, so documents are never shuffled.
 
 Two things that cannot change a search are left out of a suffix array: runs of
 benchmark words shorter than the shortest window, and order beyond the length
 of the longest item. The benchmark is read in blocks of a bounded number of
-words; each block is broadcast and searched against all rows.
+words; each block is broadcast and searched against all rows, whose words are
+cut and numbered once for all blocks.
 
 Defined cases: null text has no words; an item without words has no windows; an
 item of fewer words than a window is one window; equal windows of several items
@@ -22,8 +25,9 @@ are ignored by ``contamination`` and kept by ``decontaminate``.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -70,9 +74,16 @@ class Block:
         self.item_of = [item for item, own in items for _ in range(len(own) + 1)]
         self.begin = np.concatenate([np.arange(len(own) + 1) for _, own in items]) if items else np.zeros(0, np.int64)
 
-    def numbers(self, text: bytes) -> np.ndarray:
-        own = words(text)
-        return np.fromiter(map(self.ids.get, own, repeat(0)), np.int32, len(own))
+    def table(self, vocabulary: list[bytes]) -> np.ndarray:
+        """The block's number of each word, zero for those it has not."""
+        return np.fromiter(map(self.ids.get, vocabulary, repeat(0)), np.int32, len(vocabulary))
+
+
+def numbered(texts: list[bytes]) -> tuple[list[bytes], list[np.ndarray]]:
+    """The distinct words of some texts, and each text as places in them."""
+    places: dict[bytes, int] = defaultdict(count().__next__)
+    found = [np.fromiter(map(places.__getitem__, own), np.int32, len(own)) for own in map(words, texts)]
+    return list(places), found
 
 
 class Shard:
@@ -135,30 +146,36 @@ class Shard:
             high[open_[~below]] = middle[~below]
         return low
 
+    def longest(self, block: Block) -> np.ndarray:
+        """Of each of the block's suffixes the words of its longest match, which one of its two neighbours shows."""
+        query, n = block.suffixes, len(self.array)
+        best = np.zeros(len(query), np.int64)
+        if n and len(query):
+            size = block.rest[query]
+            place = self.search(block, query, size)
+            for rank in (place, place - 1):
+                there = (rank >= 0) & (rank < n)
+                shared = np.where(there, self._compare(self.array[np.clip(rank, 0, n - 1)], block, query, size)[1], 0)
+                best = np.maximum(best, shared)
+        return best
+
     def hits(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which words of the whole are hit; and distinct pairs (document, window)."""
-        low, high = (self.search(block, block.starts, block.sizes, upper) for upper in (False, True))
+        reach = np.zeros(len(block.words), np.int64)
+        reach[block.suffixes] = self.longest(block)
+        found = np.flatnonzero(reach[block.starts] >= block.sizes)  # windows whose suffixes match that far
+        low, high = (self.search(block, block.starts[found], block.sizes[found], upper) for upper in (False, True))
         n = high - low
         ranks = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-        window, at = np.repeat(np.arange(len(n)), n), self.place[self.array[ranks]]
+        window, at = np.repeat(found, n), self.place[self.array[ranks]]
         cover = np.bincount(at, minlength=self.total + 1) - np.bincount(at + block.sizes[window], minlength=self.total + 1)
-        pairs = np.unique(np.searchsorted(self.ends, at, side="right") * max(len(n), 1) + window)
-        return np.cumsum(cover[:-1]) > 0, pairs // max(len(n), 1), pairs % max(len(n), 1)
+        width = max(len(block.starts), 1)
+        pairs = np.unique(np.searchsorted(self.ends, at, side="right") * width + window)
+        return np.cumsum(cover[:-1]) > 0, pairs // width, pairs % width
 
-    def longest(self, block: Block) -> Iterator[tuple[int, int, int, int]]:
-        """For each suffix of an item that matches somewhere: (suffix, longest match, document, word in it)."""
-        query, n = block.suffixes, len(self.array)
-        if not n or not len(query):
-            return
-        size = block.rest[query]
-        place = self.search(block, query, size)
-        best, where = np.zeros(len(query), np.int64), np.zeros(len(query), np.int64)
-        for rank in (place, place - 1):
-            there = (rank >= 0) & (rank < n)
-            at = self.array[np.clip(rank, 0, n - 1)]
-            shared = np.where(there, self._compare(at, block, query, size)[1], 0)
-            where = np.where(shared > best, at, where)
-            best = np.maximum(best, shared)
+    def matches(self, block: Block) -> Iterator[tuple[int, int, int, int]]:
+        """For each suffix of an item that matches as much as the shortest window: (suffix, longest match, document, word in it)."""
+        query, best = block.suffixes, self.longest(block)
         # of equally long matches the first place: they are side by side in the array
         for q in np.flatnonzero(best >= block.least):
             one, length = np.array([query[q]]), np.array([best[q]])
@@ -206,17 +223,16 @@ def _shards(texts: list[bytes], most: int) -> Iterator[tuple[int, list[bytes]]]:
 def _found(texts: list[bytes], shared: list[Broadcast], shard_words: int) -> Iterator[tuple[int, int, set[int]]]:
     """Words, words hit and items of each text."""
     for _, part in _shards(texts, shard_words):
-        hit, items, n_words = None, [set() for _ in part], []
+        hit, items, (vocabulary, places) = None, [set() for _ in part], numbered(part)
         for block in _opened(shared):
-            numbers = [block.numbers(t) for t in part]
-            shard = Shard(numbers, block)
+            table = block.table(vocabulary)
+            shard = Shard([table[x] for x in places], block)
             own, document, window = shard.hits(block)
             for d, w in zip(document.tolist(), window.tolist(), strict=True):
                 items[d].update(block.owners[w])
-            n_words = [len(x) for x in numbers]
             hit = own if hit is None else hit | own  # a word that several blocks hit counts once
         n_hit = np.diff(np.concatenate([[0], np.cumsum(hit)])[np.concatenate([[0], shard.ends])])
-        yield from zip(n_words, n_hit.tolist(), items, strict=True)
+        yield from zip(map(len, places), n_hit.tolist(), items, strict=True)
 
 
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
@@ -260,8 +276,10 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         for b in batches:
             keys, rows = b.column(0).to_pylist(), []
             for first, part in _shards(texts_of(b.column(1)), shard_words):
+                vocabulary, places = numbered(part)
                 for block in _opened(shared):
-                    for suffix, length, document, at in Shard([block.numbers(t) for t in part], block).longest(block):
+                    table = block.table(vocabulary)
+                    for suffix, length, document, at in Shard([table[x] for x in places], block).matches(block):
                         rows.append((block.item_of[suffix], int(block.begin[suffix]), length, keys[first + document], at))
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=[x.split()[0] for x in schema.split(", ")])
