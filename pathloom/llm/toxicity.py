@@ -7,19 +7,24 @@ linear classifier in numpy minimises the class-prior-corrected risk
     prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives))
 
 by gradient steps that turn around while the estimated negative risk is below
-zero. The prior is the share of toxic rows among the labelled ones that may be
-learnt from. Inputs are the words of the text and their character four-grams,
-as present or absent; those that the positives hold far more often than the
-unlabelled are selected, all statistics over the training sample. The bias is
-then set so that the mean score of the unlabelled sample is the prior.
+zero. The prior is the share of toxic documents among the labelled ones that
+may be learnt from. Inputs are the words of the text and their character
+four-grams, as present or absent; those that the positives hold far more often
+than the unlabelled are selected, all statistics over the training sample.
+Two things bind the fit beyond the risk: weights stay at zero or above, since
+features are signs of the positives by selection; and of the bias that the risk
+gives only its part in the weights' steps is left, since after the last step
+the bias is set anew so that the mean score of the unlabelled sample is the
+prior, which makes scores probabilities of that sample.
 
 Bounds (parameters): ``max_positive`` and ``max_unlabelled`` rows, picked by
 the hash of their key, are what the driver fits on; all rows are scored.
 
 Defined cases: null text is empty and scores as a text without known features;
 without positives or without text to learn from every score is the prior (0 if
-nothing is labelled); repeated rows score alike; null labels are unlabelled; an
-empty table gives an empty result; other columns of ``docs`` are ignored by
+nothing is labelled); repeated rows score alike; a document with several label
+rows is toxic if one of them is 1, labels other than 1 are not toxic, null
+labels are none; an empty table gives an empty result; other columns of ``docs`` are ignored by
 ``score`` and kept by ``reject``.
 """
 
@@ -104,6 +109,23 @@ def _counts(rows: list[np.ndarray]) -> np.ndarray:
     return n
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+
+
+def risks(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[float, float]:
+    """The risk of the positives, weighed by the prior, and that of the negatives as estimated, which can be below zero."""
+    return prior * np.logaddexp(0, -zp).mean(), np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+
+
+def gradients(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """What a step goes along, by the scores before the sigmoid: the gradient of the sum of both risks, or, while the second is below zero, of minus the second."""
+    against_p, against_u = prior * _sigmoid(zp) / len(zp), _sigmoid(zu) / len(zu)
+    if risks(zp, zu, prior)[1] < 0:
+        return against_p, -against_u
+    return prior * (_sigmoid(zp) - 1) / len(zp) - against_p, against_u
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, least: int = 5, ratio: float = 2.0, most: int = 20_000, epochs: int = 400, rate: float = 0.05, l2: float = 5e-5) -> Model:
     """Non-negative PU fit over rows of feature buckets. Texts that repeat count once."""
     positive, unlabelled = (list({r.tobytes(): r for r in rows}.values()) for rows in (positive, unlabelled))
@@ -130,17 +152,10 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     (ip, jp), (iu, ju) = flat(rows_p), flat(rows_u)
     w, b = np.zeros(len(known)), float(np.log(prior / (1 - prior)))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -50, 50)))
     for step in range(1, epochs + 1):
         zp = np.bincount(jp, w[ip], len(rows_p)) + b
         zu = np.bincount(ju, w[iu], len(rows_u)) + b
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        gp_neg, gu_neg = prior * sigmoid(zp) / len(zp), sigmoid(zu) / len(zu)  # logistic loss of the label 0
-        gp_pos = prior * (sigmoid(zp) - 1) / len(zp)  # and of the label 1
-        if negative >= 0:
-            gp, gu = gp_pos - gp_neg, gu_neg
-        else:
-            gp, gu = gp_neg, -gu_neg
+        gp, gu = gradients(zp, zu, prior)
         g = np.bincount(ip, gp[jp], len(w)) + np.bincount(iu, gu[ju], len(w)) + l2 * w
         gb = gp.sum() + gu.sum()
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -153,20 +168,21 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     low, high = -50.0, 50.0
     for _ in range(60):  # the mean score over the unlabelled is the prior
         b = (low + high) / 2
-        low, high = (b, high) if sigmoid(zu + b).mean() < prior else (low, b)
+        low, high = (b, high) if _sigmoid(zu + b).mean() < prior else (low, b)
     return Model(prior, w, b, known)
 
 
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, max_positive: int = 4000, max_unlabelled: int = 10000) -> Model:
     """Fit on rows of ``docs(doc_id, text)``, positives by ``labels(doc_id, toxic)``; ``may_learn``: a condition on ``doc_id``."""
     may_learn = F.lit(True) if may_learn is None else may_learn
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(may_learn & F.col("toxic").isNotNull())
+    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") == 1).cast("int").alias("toxic")).where(may_learn & F.col("toxic").isNotNull())
+    marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n, toxic = marked.agg(F.count("*"), F.sum("toxic")).first()
     if not n or not toxic:
         return Model(0.0)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(may_learn & F.col("doc_id").isNotNull())
     by_hash = [F.xxhash64("doc_id", F.lit(1)), "doc_id"]
-    picked_p = marked.where("toxic = 1").select("doc_id").distinct().orderBy(*by_hash).limit(max_positive)
+    picked_p = marked.where("toxic = 1").select("doc_id").orderBy(*by_hash).limit(max_positive)
     picked_u = keyed.select("doc_id").distinct().orderBy(*by_hash).limit(max_unlabelled)
     picked = picked_p.select("doc_id", F.lit(1).alias("kind")).unionByName(picked_u.select("doc_id", F.lit(0).alias("kind")))
 
