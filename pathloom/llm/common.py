@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Tables of up to so many rows of a few numbers, which are counted, are broadcast; larger ones are joined by shuffle.
+BROADCAST_ROWS = 1 << 20
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a new local one only where that is unset (tests)."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset a new local one, in local mode only (tests)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -32,6 +42,48 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list:
     return [empty if x is None else x for x in column.to_pylist()]
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, made longer until no column of ``frames`` has it, whatever its case."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """``df``, which should be cut, with a hint to broadcast it if its count allows."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id and text are in ``gone(doc_id, text_hash)``; rows without an id stay."""
+    a, b = unused("gone_id", docs), unused("gone_hash", docs)
+    side = gone.where("doc_id is not null").select(F.col("doc_id").alias(a), F.col("text_hash").alias(b))
+    return docs.join(if_small(cut(side.distinct())), (F.col("doc_id").cast("long") == F.col(a)) & (text_hash() == F.col(b)), "left_anti")
+
+
+def text_hash():
+    """A hash of the column ``text``, which tells apart the texts of one id."""
+    return F.xxhash64(F.col("text").cast("binary"))
+
+
+def key_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of batches sorted by the first, cut so that no key is parted."""
+    carry: list[list[np.ndarray]] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        now = [b.column(c).to_numpy(zero_copy_only=False) for c in range(b.num_columns)]
+        if now[0][0] == now[0][-1] and (not carry or carry[-1][0][-1] == now[0][0]):
+            carry.append(now)
+            continue
+        last = int(np.flatnonzero(now[0] != now[0][-1])[-1]) + 1
+        yield [np.concatenate(x) for x in zip(*carry, [x[:last] for x in now], strict=True)]
+        carry = [[x[last:] for x in now]]
+    if carry:
+        yield [np.concatenate(x) for x in zip(*carry, strict=True)]
+
+
 def kept_rows(batch: pa.RecordBatch, keep: list[bool]) -> pa.RecordBatch:
     return batch.filter(pa.array(keep, pa.bool_()))
 

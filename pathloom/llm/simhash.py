@@ -5,18 +5,20 @@ included. Two fingerprints that differ in at most three bits agree in at least
 five of their eight byte positions. The postings of single bytes would pair
 almost everything, so the index intersects postings four positions at a time:
 a fixed system of four-subsets that has a member inside every five-subset, so
-that each linked pair shares a posting. Within a posting the shared positional
-bytes of a pair are tallied, pairs with fewer than five are dropped and the
-rest verified bit by bit; a posting yields a star per component, never all its
-pairs. Postings that are long are first split on equal parts of their free
-bits, which loses no link. Components of the stars are found with distributed
-star contractions.
+that each linked pair shares a posting. A pair of a posting has four matches
+by that; its tally goes on over the other four positions, pairs that stay
+below five are dropped, and only the rest is verified bit by bit. A posting
+yields a star per component, never all its pairs. Postings that are long are
+first split on equal parts of their free bits, which loses no link. Components
+of the stars are found with distributed star contractions.
 
 Defined cases: null text is the empty text; a text without words has the
 fingerprint zero and is linked like any other; null ``doc_id`` rows take part
 and never become a component's id unless it has no other; repeated rows and
-exact copies share a fingerprint and are indexed once; an empty table gives an
-empty result; other columns are ignored.
+exact copies share a fingerprint and are indexed once; rows of one ``doc_id``
+with different texts are rows of their own; an empty table gives an empty
+result; other columns are ignored by ``near_duplicates`` and kept by
+``deduplicate``, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.llm.common import cut, shuffle_partitions, texts_of
+from pathloom.llm.common import cut, key_groups, shuffle_partitions, text_hash, texts_of, without_rows
 from pathloom.llm.components import components
 
 #: Linked at this many differing bits or fewer.
@@ -60,14 +62,14 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``docs(doc_id, text)`` → ``(doc_id, fp)``, ``fp`` as a signed long."""
+    """``docs(doc_id, text)`` → ``(doc_id, text_hash, fp)``, ``fp`` as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = np.array([fingerprint(t, shingle) for t in texts_of(b.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.array([fingerprint(t, shingle) for t in texts_of(b.column(2))], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), text_hash(), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def covering_quads() -> list[tuple[int, ...]]:
@@ -90,6 +92,14 @@ def _keys(fp: str) -> list[Column]:
     return keys
 
 
+def _linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the pairs are linked: positions that agree are tallied, and bits counted only where the tally suffices."""
+    apart = a ^ b
+    out = (apart.view(np.uint8).reshape(*apart.shape, 8) == 0).sum(axis=-1) >= LEAST_SHARED
+    out[out] = np.bitwise_count(apart[out]) <= MAX_BITS
+    return out
+
+
 def _stars(fps: np.ndarray, free: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Edges that connect the distinct ``fps`` just as all their links do; they can differ only in the bits ``free``."""
     n = len(fps)
@@ -98,9 +108,7 @@ def _stars(fps: np.ndarray, free: tuple[int, ...]) -> Iterator[tuple[np.ndarray,
     if len(free) <= MAX_BITS:
         yield np.broadcast_to(fps[:1], n - 1), fps[1:]
     elif n <= BLOCK:
-        apart = fps[:, None] ^ fps[None, :]
-        shared = (apart.view(np.uint8).reshape(n, n, 8) == 0).sum(axis=2)
-        near = (shared >= LEAST_SHARED) & (np.bitwise_count(apart) <= MAX_BITS)
+        near = _linked(fps[:, None], fps[None, :])
         label = np.arange(n)
         while True:
             new = np.where(near, label[None, :], n).min(axis=1)
@@ -122,10 +130,10 @@ def _stars(fps: np.ndarray, free: tuple[int, ...]) -> Iterator[tuple[np.ndarray,
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (k, fp) sorted by k → edges (u, v). Short postings are compared all at once, by distance in the order."""
-    quads, carry = covering_quads(), (np.zeros(0, np.int64), np.zeros(0, np.uint64))
-
-    def edges(k: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
-        start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
+    quads = covering_quads()
+    for k, raw in key_groups(batches):
+        fp = raw.view(np.uint64)
+        start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         size = np.diff(np.append(start, len(k)))
         left, right = [], []
         long = size > 16
@@ -136,9 +144,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(same):
                 break
             a, b = fs[same], fs[same + gap]
-            apart = a ^ b
-            hit = (apart.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1) >= LEAST_SHARED
-            hit &= np.bitwise_count(apart) <= MAX_BITS
+            hit = _linked(a, b)
             left.append(a[hit]), right.append(b[hit])
         for s, n in zip(start[long], size[long], strict=True):
             quad = quads[int(k[s]) >> 32]
@@ -148,14 +154,6 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             u, v = np.concatenate(left), np.concatenate(right)
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
 
-    for b in batches:
-        k = np.concatenate([carry[0], b.column(0).to_numpy(zero_copy_only=False)])
-        fp = np.concatenate([carry[1], b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
-        last = int(np.searchsorted(k, k[-1])) if len(k) else 0
-        yield from edges(k[:last], fp[:last])
-        carry = (k[last:], fp[last:])
-    yield from edges(*carry)
-
 
 def links(prints: DataFrame) -> DataFrame:
     """Edges (u, v) over the distinct ``prints(fp)``, spanning every group of linked fingerprints."""
@@ -165,9 +163,8 @@ def links(prints: DataFrame) -> DataFrame:
     return index.mapInArrow(_postings, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``docs(doc_id, text)`` → ``(doc_id, fp, component_id)``, one row per row of ``docs``."""
-    prints = cut(fingerprints(docs, shingle))
+def _grouped(prints: DataFrame) -> DataFrame:
+    """``prints(…, fp)`` with the ``component_id`` of each row; ``prints`` is read more than once."""
     classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")))
     roots = components(links(classes.select("fp"))).withColumnRenamed("node", "fp")
     grouped = roots.join(classes, "fp")
@@ -178,14 +175,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     total = named.agg(F.sum("n")).first()[0] or 0
     hot = F.broadcast(named.where(F.col("n") * HOT_SHARE > total).select("fp", "component_id"))
     rest = prints.join(hot, "fp", "left_anti").join(named.select("fp", "component_id"), "fp")
-    return prints.join(hot, "fp").unionByName(rest).select("doc_id", "fp", "component_id")
+    return prints.join(hot, "fp").unionByName(rest)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """``docs(doc_id, text)`` → ``(doc_id, fp, component_id)``, one row per row of ``docs``."""
+    return _grouped(cut(fingerprints(docs, shingle))).select("doc_id", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``docs`` without the documents whose group has one with a smaller ``doc_id``.
+    """``docs`` without the rows whose group has a row with a smaller ``doc_id``.
 
-    Columns are those of ``docs``. Rows that repeat one ``doc_id`` stay together; rows without one stay.
+    Columns are those of ``docs``. Rows that repeat one ``doc_id`` and its text stay or go together; rows without a ``doc_id`` stay.
     """
-    groups = near_duplicates(docs, shingle)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone_id"), "left_anti")
+    gone = _grouped(cut(fingerprints(docs, shingle))).where("doc_id <> component_id")
+    return without_rows(docs, gone.select("doc_id", "text_hash"))
