@@ -7,34 +7,37 @@ in order, turns are joined by the template, and attachments are recorded with
 their place, reference and tokens. Texts are escaped so that no control string
 can come from them, and the escape is reversed when the output is read back.
 
-Template: ``<|im_start|>role\\ntext<|im_end|>\\n`` for each turn. ``&`` becomes
-``&amp;`` and ``<|`` becomes ``&lt;|`` in texts and roles, a line break in a
-role ``&#10;``. The loss mask is an array of spans of the formatted string, in
-code points: the texts of the learnt role, without markers or placeholders.
+Template: ``<|im_start|>role\\ntext<|im_end|>\\n`` for each turn. In texts and
+roles ``&`` becomes ``&amp;``, and ``<`` becomes ``&lt;`` before ``|`` and at the
+end, where the next part could go on with ``|``; a line break in a role becomes
+``&#10;``. The loss mask is an array of spans of the formatted string, in code
+points: the texts of the learnt role, without markers or placeholders.
 
 Defined cases: null text and null roles are empty; null parts are dropped, and
 unknown part types are read as text; turns are ordered by ``turn``, nulls
 first, then by role and parts, so ties have one order; repeated rows are
 repeated turns; rows without a conversation id form one conversation; an empty
 table gives an empty result; other columns are ignored. A conversation is one
-row of the output, so its turns are gathered; nothing else is.
+row of the output, so its turns are gathered; nothing else is. Places are
+running sums over its turns, so work grows with its length only.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 START, END = "<|im_start|>", "<|im_end|>"
 PART = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
 
 
 def escape(x: Column) -> Column:
-    return F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<|"), F.lit("&lt;|"))
+    return F.regexp_replace(F.replace(x, F.lit("&"), F.lit("&amp;")), r"<(?=\||\z)", "&lt;")
 
 
 def unescape(x: Column) -> Column:
-    return F.replace(F.replace(F.replace(x, F.lit("&#10;"), F.lit("\n")), F.lit("&lt;|"), F.lit("<|")), F.lit("&amp;"), F.lit("&"))
+    return F.replace(F.replace(F.replace(x, F.lit("&#10;"), F.lit("\n")), F.lit("&lt;"), F.lit("<")), F.lit("&amp;"), F.lit("&"))
 
 
 class PartVisitor:
@@ -77,62 +80,53 @@ def text_part(text: Column | str) -> Column:
 def format_chats(messages: DataFrame, visitor: PartVisitor | None = None, learnt: str = "assistant") -> DataFrame:
     """``messages(conv_id, turn, role, parts)`` → one row per conversation.
 
-    Columns: conv_id, formatted, loss_spans (array of start and end), attachments
-    (array of turn_no, type, ref, tokens, position) and expanded_tokens.
+    Columns: conv_id, formatted, loss_spans (array of start and end, with the number and the start of their turn),
+    attachments (array of turn_no, type, ref, tokens, position) and expanded_tokens.
     """
     visitor = visitor or PartVisitor()
     parts = F.transform(F.filter(F.coalesce(F.col("parts"), F.array().cast(f"array<{PART}>")), lambda p: p.isNotNull()), visitor.visit)
-    head = F.concat(F.lit(START), F.replace(escape(F.coalesce(F.col("role"), F.lit(""))), F.lit("\n"), F.lit("&#10;")), F.lit("\n"))
-    # a turn is its header, its parts and its end as segments: (kind, body, tokens, ref, loss)
-    plain = lambda body: F.struct(F.lit("mark").alias("kind"), body.alias("body"), F.lit(0).cast("long").alias("tokens"), F.lit(None).cast("string").alias("ref"), F.lit(False).alias("loss"))
-    loss = F.coalesce(F.col("role") == learnt, F.lit(False))
-    body = F.transform("_parts", lambda p: F.struct(p["kind"].alias("kind"), p["body"].alias("body"), p["tokens"].alias("tokens"), p["ref"].alias("ref"), ((p["kind"] == "text") & loss).alias("loss")))
-    turns = messages.select("conv_id", "turn", "role", parts.alias("_parts"))
-    turns = turns.select("conv_id", "turn", "role", F.concat(F.array(plain(head)), body, F.array(plain(F.lit(END + "\n")))).alias("segments"))
-    # lengths are counted once per segment, before the conversation is gathered
-    sized = F.transform("segments", lambda s: F.struct(s["kind"].alias("kind"), s["body"].alias("body"), s["tokens"].alias("tokens"), s["ref"].alias("ref"), s["loss"].alias("loss"), F.length(s["body"]).cast("long").alias("size")))
-    turns = turns.select("conv_id", F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), sized.alias("segments")).alias("t"))
-    chats = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
-    chats = chats.select("conv_id", F.transform("ts", lambda t, i: _placed(t, i)).alias("ts"))
-    chats = chats.select("conv_id", F.array_join(F.transform("ts", lambda t: t["body"]), "").alias("formatted"), _starts("ts").alias("ts"))
-    spans = F.flatten(F.transform("ts", lambda t: F.transform(F.filter(t["marks"], lambda m: m["loss"]), lambda m: F.struct((t["at"] + m["at"]).alias("start"), (t["at"] + m["at"] + m["size"]).alias("end")))))
-    found = F.flatten(F.transform("ts", lambda t: F.transform(F.filter(t["marks"], lambda m: m["kind"].isin("image", "audio", "document")), lambda m: F.struct(t["turn_no"].alias("turn_no"), m["kind"].alias("type"), m["ref"].alias("ref"), m["tokens"].alias("tokens"), (t["at"] + m["at"]).alias("position")))))
-    chats = chats.select("conv_id", "formatted", spans.alias("loss_spans"), found.alias("attachments"))
+    role = F.coalesce(F.col("role"), F.lit(""))
+    head = F.concat(F.lit(START), F.replace(escape(role), F.lit("\n"), F.lit("&#10;")), F.lit("\n"))
+    turns = messages.select("conv_id", "turn", role.alias("role"), head.alias("head"), parts.alias("visited"))
+    # of each part what is told of it, and its place in the turn
+    told = F.transform("visited", lambda p: F.struct(p["kind"].alias("kind"), p["ref"].alias("ref"), p["tokens"].alias("tokens"), F.length(p["body"]).cast("long").alias("size")))
+    body = F.concat(F.col("head"), F.array_join(F.transform("visited", lambda p: p["body"]), ""), F.lit(END + "\n"))
+    turns = turns.select("conv_id", "turn", "role", body.alias("body"), _placed(told, F.length("head").cast("long")).alias("marks"), F.length(body).cast("long").alias("size"))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "body", "marks")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    turns = turns.withColumns({"at": F.coalesce(F.sum("size").over(before), F.lit(0)), "turn_no": F.row_number().over(order).cast("long") - 1})
+    spans = F.transform(F.filter("marks", lambda m: (m["kind"] == "text") & (F.col("role") == learnt)), lambda m: F.struct((F.col("at") + m["at"]).alias("start"), (F.col("at") + m["at"] + m["size"]).alias("end"), F.col("turn_no").alias("turn_no"), F.col("at").alias("turn_start")))
+    found = F.transform(F.filter("marks", lambda m: m["kind"] != "text"), lambda m: F.struct(F.col("turn_no").alias("turn_no"), m["kind"].alias("type"), m["ref"].alias("ref"), m["tokens"].alias("tokens"), (F.col("at") + m["at"]).alias("position")))
+    turn = F.struct("turn_no", "body", spans.alias("spans"), found.alias("found"))
+    chats = turns.select("conv_id", turn.alias("t")).groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
+    every = lambda name: F.flatten(F.transform("ts", lambda t: t[name]))
+    chats = chats.select("conv_id", F.array_join(F.transform("ts", lambda t: t["body"]), "").alias("formatted"), every("spans").alias("loss_spans"), every("found").alias("attachments"))
     return chats.withColumn("expanded_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda a, x: a + x["tokens"]))
 
 
-def _running(items: Column, kind: str, keep) -> Column:
-    """Items with the sum of the sizes before each, by one pass over the array."""
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
-    step = lambda acc, x: F.struct((acc["at"] + x["size"]).alias("at"), F.concat(acc["out"], F.array(keep(x, acc["at"]))).alias("out"))
-    return F.aggregate(items, empty, step)["out"]
+def _placed(parts: Column, first: Column) -> Column:
+    """A message's parts, each with its place ``at`` behind the ``first`` code points, by one pass over them."""
+    kind = "struct<kind:string,ref:string,tokens:bigint,size:bigint,at:bigint>"
+    keep = lambda p, at: F.struct(*(p[n].alias(n) for n in ("kind", "ref", "tokens", "size")), at.alias("at"))
+    step = lambda acc, p: F.struct((acc["at"] + p["size"]).alias("at"), F.concat(acc["out"], F.array(keep(p, acc["at"]))).alias("out"))
+    return F.aggregate(parts, F.struct(first.alias("at"), F.array().cast(f"array<{kind}>").alias("out")), step)["out"]
 
 
-def _placed(turn: Column, number: Column) -> Column:
-    """One turn: its whole string, its size, and its segments with their places in it."""
-    kind = "struct<kind:string,ref:string,tokens:bigint,loss:boolean,size:bigint,at:bigint>"
-    keep = lambda s, at: F.struct(s["kind"].alias("kind"), s["ref"].alias("ref"), s["tokens"].alias("tokens"), s["loss"].alias("loss"), s["size"].alias("size"), at.alias("at"))
-    marks = F.filter(_running(turn["segments"], kind, keep), lambda m: m["kind"] != "mark")
-    size = F.aggregate(turn["segments"], F.lit(0).cast("long"), lambda a, s: a + s["size"])
-    return F.struct(number.cast("long").alias("turn_no"), F.array_join(F.transform(turn["segments"], lambda s: s["body"]), "").alias("body"), size.alias("size"), marks.alias("marks"))
-
-
-def _starts(turns: str) -> Column:
-    """Turns without their strings, each with its place in the conversation."""
-    mark = "struct<kind:string,ref:string,tokens:bigint,loss:boolean,size:bigint,at:bigint>"
-    light = F.transform(turns, lambda t: F.struct(t["turn_no"].alias("turn_no"), t["size"].alias("size"), t["marks"].alias("marks")))
-    keep = lambda t, at: F.struct(t["turn_no"].alias("turn_no"), t["marks"].alias("marks"), at.alias("at"))
-    return _running(light, f"struct<turn_no:bigint,marks:array<{mark}>,at:bigint>", keep)
+def _pieces(formatted: str) -> Column:
+    """What stands before the first start mark, and behind each."""
+    return F.split(formatted, r"<\|im_start\|>")
 
 
 def read_turns(formatted: str) -> Column:
     """The turns of a formatted string as an array of (role, text), unescaped; placeholders stay in the text."""
-    pieces = F.filter(F.split(formatted, r"<\|im_start\|>"), lambda p, i: i > 0)
+    pieces = F.filter(_pieces(formatted), lambda p, i: i > 0)
     text = lambda p: F.substring(p, F.length(F.substring_index(p, "\n", 1)) + 2, F.length(p))
     role = lambda p: unescape(F.substring_index(p, "\n", 1))
     return F.transform(pieces, lambda p: F.struct(role(p).alias("role"), unescape(F.substring_index(text(p), END, 1)).alias("text")))
 
 
 def read_loss(formatted: str, spans: str) -> Column:
-    """The texts under the loss mask, unescaped, in order, as an array."""
-    return F.transform(spans, lambda s: unescape(F.substring(F.col(formatted), s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))))
+    """The texts under the loss mask, unescaped, in order, as an array; each is read within its turn."""
+    within = lambda piece, s: F.substring(piece, (s["start"] - s["turn_start"] - len(START)).cast("int") + 1, (s["end"] - s["start"]).cast("int"))
+    read = lambda pieces: F.transform(spans, lambda s: unescape(within(F.element_at(pieces, (s["turn_no"] + 2).cast("int")), s)))
+    return F.transform(F.array(_pieces(formatted)), read)[0]  # the array binds the pieces, which are cut once

@@ -1,28 +1,34 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance from the nearest directory.
 
-Units of a file are the lines of its text that speak of licensing, each such
-line with the eleven that follow (a header over several lines), and, for
-licence files by name, the whole text. Units and templates are sparse vectors
-of lower-case words. A word's document frequency is counted over all units of
-all files, for the words of the templates and all others alike. The unit nearest to a template decides if its cosine reaches
-the threshold. A licence file decides for its directory, the best one if there
-are several, and a file without a licence of its own takes that of its nearest
-ancestor directory: the ancestors of each distinct directory are joined with
-the licensed ones and the deepest is kept.
+A line speaks of licensing if it has a word for it or begins a template. Units
+of a file are each such line, the words from its start on, over as many lines
+as it takes, up to the next power of two of each template's length (a header of
+any number of lines), and, for licence files by name, the whole text. Units of
+a file with the same words are one. Units and templates are sparse vectors of
+lower-case words. A word's document frequency is counted over all units of all
+files, for the words of the templates and all others alike; texts that many
+files have are weighed once, with their number of files. The unit nearest to a
+template decides if its cosine reaches the threshold. A licence file decides
+for its directory, the best one if there are several, and a file without a
+licence of its own takes that of its nearest ancestor directory: the ancestors
+of each distinct directory are joined with the licensed ones and the deepest is
+kept.
 
 Defined cases: null text and text without such lines have no units; a null path
 is the root directory; equal cosines go to the smaller template name, equal
-licence files to the smaller ``file_id``; repeated rows are scanned once per
-``file_id`` and path and all get the result; an empty table gives an empty
-result; other columns are ignored.
+licence files to the smaller ``file_id``, which is of any type that has an
+order; repeated rows are scanned once per ``file_id``, path and words, and all
+get the result; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.llm.common import cut
+from pathloom.llm.common import cut, if_small
 
 # Short notices of common licences, by their SPDX names.
 TEMPLATES = {
@@ -40,7 +46,8 @@ TEMPLATES = {
 }
 SPEAKS = "[Ll][Ii][Cc][Ee][Nn][CcSs][Ee]|[Cc][Oo][Pp][Yy][Rr][Ii][Gg][Hh][Tt]|[Ss][Pp][Dd][Xx]|[Pp]ermission is hereby granted|[Rr]edistribution and use"
 LICENSE_FILE = "(^|/)(LICEN[CS]E|COPYING|NOTICE|UNLICENSE)([.-][A-Za-z0-9.-]*)?$"
-HEADER_LINES = 12
+#: So many words of a template, at a line's start or further on in it, make the line speak.
+OPENING = 3
 #: A word in more than one of so many units is frequent.
 FREQUENT_SHARE = 1000
 THRESHOLD = 0.6
@@ -50,15 +57,37 @@ def _words(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit("([A-Za-z0-9]+)"), F.lit(1)), lambda w: F.lower(w))
 
 
-def units(files: DataFrame) -> DataFrame:
-    """``files(file_id, path, text)`` → ``(file_id, path, unit, words)``."""
-    speaking = files.where(F.col("text").rlike(SPEAKS) | F.col("path").rlike(LICENSE_FILE)).select("file_id", "path", F.split("text", "\n").alias("lines"), "text")
-    lines = F.transform("lines", lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    header = lambda p: F.array_join(F.slice("lines", p["i"] + 1, HEADER_LINES), "\n")
-    own = F.flatten(F.transform(F.filter(lines, lambda p: p["x"].rlike(SPEAKS)), lambda p: F.array(p["x"], header(p))))
-    whole = F.when(F.col("path").rlike(LICENSE_FILE), F.array("text")).otherwise(F.array().cast("array<string>"))
-    found = speaking.select("file_id", "path", F.posexplode(F.concat(own, whole)).alias("unit", "body"))
-    return found.select("file_id", "path", "unit", _words(F.col("body")).alias("words")).where(F.size("words") > 0)
+def _split(body: str) -> list[str]:
+    return re.findall("[A-Za-z0-9]+", body)
+
+
+def speaks(templates: dict[str, str]) -> str:
+    """The pattern of lines that speak of licensing: SPEAKS, and the first words of each template."""
+    either = lambda c: f"[{c.upper()}{c.lower()}]" if c.isalpha() else c
+    openings = {"[^A-Za-z0-9]+".join("".join(map(either, w)) for w in _split(t)[:OPENING]) for t in templates.values()}
+    return "|".join([SPEAKS, *sorted(openings - {""})])
+
+
+def header_sizes(templates: dict[str, str]) -> list[int]:
+    """The lengths in words of the headers that are tried."""
+    return sorted({1 << (max(len(_split(t)), 1) - 1).bit_length() for t in templates.values()})
+
+
+def units(files: DataFrame, templates: dict[str, str]) -> DataFrame:
+    """``files(file_id, path, text)`` → ``(file_id, path, body)``, a body's words with single spaces."""
+    pattern, sizes = speaks(templates), header_sizes(templates)
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.struct(_words(x).alias("w"), x.rlike(pattern).alias("s"))), lambda x: F.size(x["w"]) > 0)
+    speaking = files.where(F.col("text").rlike(pattern) | F.col("path").rlike(LICENSE_FILE)).select("file_id", "path", "text", lines.alias("lines"))
+    starts = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("i"), x["s"].alias("s"))), lambda x: x["s"])
+    # a line has at least one word, so as many lines as words are enough
+    header = lambda p: F.slice(F.flatten(F.transform(F.slice("lines", p["i"] + 1, sizes[-1]), lambda x: x["w"])), 1, sizes[-1])
+    own = F.transform(starts, lambda p: F.element_at("lines", p["i"] + 1)["w"])
+    headers = F.transform(starts, header)
+    found = speaking.select("file_id", "path", "text", own.alias("own"), headers.alias("headers"))
+    first = lambda n: F.transform("headers", lambda h: F.slice(h, 1, n))
+    whole = F.when(F.col("path").rlike(LICENSE_FILE), F.array(_words(F.col("text")))).otherwise(F.array().cast("array<array<string>>"))
+    found = found.select("file_id", "path", F.explode(F.concat("own", *map(first, sizes), whole)).alias("words"))
+    return found.where(F.size("words") > 0).select("file_id", "path", F.array_join("words", " ").alias("body"))
 
 
 def template_terms(spark, templates: dict[str, str]) -> DataFrame:
@@ -69,29 +98,28 @@ def template_terms(spark, templates: dict[str, str]) -> DataFrame:
     return rows.select("template", F.explode(_words(F.col("body"))).alias("word")).groupBy("template", "word").agg(F.count("*").cast("double").alias("tf"))
 
 
-def cosines(found: DataFrame, templates: dict[str, str]) -> DataFrame:
-    """Units with the cosine of each template that shares a word: (file_id, path, unit, template, cosine)."""
-    terms = cut(template_terms(found.sparkSession, templates))
-    n = found.count()
+def cosines(bodies: DataFrame, templates: dict[str, str]) -> DataFrame:
+    """Distinct ``bodies(h, body, n_files)`` with the cosine of each template that shares a word: (h, template, cosine)."""
+    terms = cut(template_terms(bodies.sparkSession, templates))
+    n = bodies.agg(F.sum("n_files")).first()[0] or 0
     vocabulary = terms.select("word").distinct()
-    unit = ["file_id", "path", "unit"]
-    counts = cut(found.select(*unit, F.explode("words").alias("word")).groupBy(*unit, "word").agg(F.count("*").cast("double").alias("tf")))
-    df = cut(counts.groupBy("word").agg(F.count("*").alias("df")))
+    counts = cut(bodies.select("h", "n_files", F.explode(F.split("body", " ")).alias("word")).groupBy("h", "n_files", "word").agg(F.count("*").cast("double").alias("tf")))
+    df = cut(counts.groupBy("word").agg(F.sum("n_files").alias("df")))
     inverse = F.log((1.0 + n) / (1.0 + F.coalesce("df", F.lit(0)))) + 1.0
     idf = vocabulary.join(df, "word", "left").select("word", inverse.alias("idf"))
     idf = F.broadcast(cut(idf))  # one row per word of the templates
     # rows of frequent words are not dealt by word; they are bounded, as a unit's words are
     frequent = F.broadcast(df.where(F.col("df") * FREQUENT_SHARE > n).select("word", inverse.alias("idf")))
     rest = df.where(F.col("df") * FREQUENT_SHARE <= n).select("word", inverse.alias("idf"))
+    counts = counts.select("h", "word", "tf")
     weighted = counts.join(frequent, "word").unionByName(counts.join(frequent, "word", "left_anti").join(rest, "word"))
     weighted = weighted.withColumn("w", F.col("tf") * F.col("idf"))
     wt = terms.join(idf, "word").select("template", "word", (F.col("tf") * F.col("idf")).alias("wt"))
     norms = wt.groupBy("template").agg(F.sqrt(F.sum(F.col("wt") * F.col("wt"))).alias("norm_t"))
     wt = F.broadcast(cut(wt.join(norms, "template")))
-    norm_u = weighted.groupBy(*unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm_u"))
-    dots = weighted.join(wt, "word").groupBy(*unit, "template").agg(F.sum(F.col("w") * F.col("wt")).alias("dot"), F.first("norm_t").alias("norm_t"))
-    joined = dots.join(norm_u.select(*(F.col(c).alias(f"n_{c}") for c in unit), "norm_u"), F.expr(" AND ".join(f"{c} <=> n_{c}" for c in unit)))
-    return joined.select(*unit, "template", F.round(F.col("dot") / F.col("norm_u") / F.col("norm_t"), 6).alias("cosine"))
+    norm_u = weighted.groupBy("h").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm_u"))
+    dots = weighted.join(wt, "word").groupBy("h", "template").agg(F.sum(F.col("w") * F.col("wt")).alias("dot"), F.first("norm_t").alias("norm_t"))
+    return dots.join(norm_u, "h").select("h", "template", F.round(F.col("dot") / F.col("norm_u") / F.col("norm_t"), 6).alias("cosine"))
 
 
 def directory(path: Column) -> Column:
@@ -104,15 +132,21 @@ def scan(files: DataFrame, templates: dict[str, str] | None = None, threshold: f
     ``origin`` is ``file`` or ``header`` for a licence of the file's own,
     ``inherited`` for its directory's, ``none`` without one (all else null).
     """
+    templates = templates or TEMPLATES
     files = files.select("file_id", F.coalesce("path", F.lit("")).alias("path"), "text")
-    scored = cosines(cut(units(files).distinct()), templates or TEMPLATES).where(F.col("cosine") >= threshold)
-    best = F.max_by(F.struct("template", "cosine"), F.struct("cosine", F.col("rank")))
+    found = units(files, templates).select("file_id", "path", F.md5(F.col("body").cast("binary")).alias("h"), "body")
+    found = cut(found.distinct())
+    bodies = cut(found.groupBy("h", "body").agg(F.count("*").alias("n_files")))
     # the smaller name wins among equals: rank names downward
-    names = sorted(templates or TEMPLATES, reverse=True)
-    scored = scored.withColumn("rank", F.array_position(F.array(*map(F.lit, names)), F.col("template")))
-    own = cut(scored.groupBy("file_id", "path").agg(best.alias("b")).select("file_id", "path", "b.template", "b.cosine"))
+    names = sorted(templates, reverse=True)
+    rank = F.array_position(F.array(*map(F.lit, names)), F.col("template"))
+    best = F.max_by(F.struct("template", "cosine"), F.struct("cosine", rank)).alias("b")
+    scored = cosines(bodies, templates).where(F.col("cosine") >= threshold).groupBy("h").agg(best).select("h", "b.template", "b.cosine")
+    own = found.select("file_id", "path", "h").join(if_small(cut(scored)), "h")
+    own = cut(own.groupBy("file_id", "path").agg(best).select("file_id", "path", "b.template", "b.cosine"))
     licensed = own.where(F.col("path").rlike(LICENSE_FILE)).groupBy(directory(F.col("path")).alias("dir"))
-    licensed = licensed.agg(F.max_by("template", F.struct("cosine", -F.col("file_id"))).alias("dir_license"), F.max("cosine").alias("dir_cosine"))
+    licensed = licensed.agg(F.min(F.struct((-F.col("cosine")).alias("c"), "file_id", "template")).alias("m"))
+    licensed = licensed.select("dir", F.col("m.template").alias("dir_license"), (-F.col("m.c")).alias("dir_cosine"))
     steps = lambda d: F.split(d, "/")
     chain = F.transform(F.sequence(F.lit(0), F.size(steps("dir"))), lambda n: F.array_join(F.slice(steps("dir"), 1, n), "/"))
     dirs = files.select(directory(F.col("path")).alias("dir")).distinct()

@@ -1,6 +1,6 @@
 """SQL for DuckDB that gives the rows of those queries that SQL can express."""
 
-from pathloom.llm.license_scan import HEADER_LINES, LICENSE_FILE, SPEAKS, TEMPLATES, THRESHOLD
+from pathloom.llm.license_scan import LICENSE_FILE, TEMPLATES, THRESHOLD, header_sizes, speaks
 
 
 def _quoted(text: str) -> str:
@@ -8,6 +8,7 @@ def _quoted(text: str) -> str:
 
 
 _TEMPLATES = ", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in sorted(TEMPLATES.items()))
+_SIZES = header_sizes(TEMPLATES)
 _WORDS = "list_transform(regexp_extract_all({}, '[A-Za-z0-9]+'), lambda w: lower(w))"
 
 OP1 = rf"""
@@ -18,15 +19,14 @@ WITH files AS (
     WHEN (doc_id // 10) % 3 = 1 THEN concat('/', doc_id % 7, '/LICENSE')
     ELSE concat('/', doc_id % 7, '/', doc_id % 11, '/LICENSE') END AS path
   FROM documents),
-lines AS (SELECT doc_id, path, string_split(text, chr(10)) AS l FROM files WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, path, list_filter(list_transform(string_split(text, chr(10)), lambda x: struct_pack(w := {_WORDS.format("x")}, s := regexp_matches(x, '{speaks(TEMPLATES)}'))), lambda z: len(z.w) > 0) AS l FROM files WHERE text IS NOT NULL),
 numbered AS (SELECT doc_id, path, l, unnest(range(1, len(l) + 1)) AS i FROM lines),
-speaking AS (SELECT * FROM numbered WHERE regexp_matches(l[i], '{SPEAKS}')),
+headers AS (SELECT doc_id, path, l[i].w AS own, flatten(list_transform(l[i:i + {_SIZES[-1] - 1}], lambda z: z.w)) AS words FROM numbered WHERE l[i].s),
 bodies AS (
-  SELECT doc_id, path, 'l' || i AS unit, l[i] AS body FROM speaking
-  UNION ALL SELECT doc_id, path, 'h' || i, array_to_string(l[i:i + {HEADER_LINES - 1}], chr(10)) FROM speaking
-  UNION ALL SELECT doc_id, path, 'w', text FROM files WHERE text IS NOT NULL AND regexp_matches(path, '{LICENSE_FILE}')),
-units AS (SELECT doc_id, path, unit, {_WORDS.format("body")} AS words FROM bodies),
-real AS (SELECT * FROM units WHERE len(words) > 0),
+  SELECT doc_id, path, own AS words FROM headers
+  UNION SELECT doc_id, path, words[1:n] FROM headers, (SELECT unnest({_SIZES}) AS n)
+  UNION SELECT doc_id, path, {_WORDS.format("text")} FROM files WHERE text IS NOT NULL AND regexp_matches(path, '{LICENSE_FILE}')),
+real AS (SELECT doc_id, path, words, array_to_string(words, ' ') AS unit FROM bodies WHERE len(words) > 0),
 total AS (SELECT count(*)::DOUBLE AS n FROM real),
 counts AS (SELECT doc_id, path, unit, word, count(*)::DOUBLE AS tf FROM (SELECT doc_id, path, unit, unnest(words) AS word FROM real) GROUP BY ALL),
 templates(template, body) AS (VALUES {_TEMPLATES}),
@@ -65,7 +65,7 @@ OP9 = r"""
 WITH m AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
-e AS (SELECT *, length(replace(replace(text, '&', '&amp;'), '<|', '&lt;|')) + length(replace(replace(replace(role, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&#10;')) + length('<|im_start|>') + length('<|im_end|>') + 2 AS n FROM m)
+e AS (SELECT *, length(regexp_replace(replace(replace(text, '&', '&amp;'), '<|', '&lt;|'), '<\z', '&lt;')) + length(replace(regexp_replace(replace(replace(role, '&', '&amp;'), '<|', '&lt;|'), '<\z', '&lt;'), chr(10), '&#10;')) + length('<|im_start|>') + length('<|im_end|>') + 2 AS n FROM m)
 SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
@@ -77,7 +77,7 @@ OP10 = """
 WITH h AS (SELECT doc_id, coalesce(strlen(text), 0) AS b, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
 d AS (SELECT unnest(range(0, 31)) AS depth),
 sums AS (SELECT depth, h >> (60 - depth) AS bucket, sum(b) AS n FROM h, d GROUP BY ALL),
-leaf AS (SELECT doc_id, min(depth) AS depth FROM h JOIN sums ON h.h >> (60 - sums.depth) = sums.bucket WHERE n <= 8388608 GROUP BY doc_id)
+leaf AS (SELECT doc_id, min(depth) AS depth FROM h JOIN sums ON h.h >> (60 - sums.depth) = sums.bucket WHERE n <= 262144 GROUP BY doc_id)
 SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(h >> (60 - depth)), 60, '0'), depth::INT) END AS shard, depth::INT AS depth, b::BIGINT AS row_bytes FROM h JOIN leaf USING (doc_id)
 """
 

@@ -9,7 +9,7 @@ from pathloom.llm import bitslice_topk, chat_format, decontam, license_scan, pac
 from pathloom.llm.common import documents
 from pathloom.llm.oracles import ORACLES
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 256 << 10
 
 
 def repository_files(docs: DataFrame) -> DataFrame:
@@ -85,12 +85,8 @@ QUERIES = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_toxici
 
 
 def queries() -> dict:
-    import corpus_pipeline
-
-    return QUERIES | {"pipeline": corpus_pipeline.run}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    import corpus_pipeline
-
-    return ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return dict(ORACLES)
