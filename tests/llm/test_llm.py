@@ -343,10 +343,11 @@ def test_packing_round_trip(spark):
     assert packing.pack(table(spark, [])).count() == 0
 
 
-def test_sum_of_squares_rule():
+@pytest.mark.parametrize("max_open", [1000, 5, 1])
+def test_sum_of_squares_rule(max_open):
     rng = random.Random(23)
-    packer = packing.Packer(window=16)
-    for _ in range(300):
+    packer, given, out = packing.Packer(window=16, max_open=max_open), 0, []
+    for _ in range(600):
         size = rng.randint(1, 15)
         counts = packer.counts.copy()
 
@@ -354,13 +355,29 @@ def test_sum_of_squares_rule():
             after = counts.copy()
             if level:
                 after[level] -= 1
-            after[level + size] += 1
+            after[level + size if level + size <= 16 else level + size - 16] += 1
             return int((after[:16] ** 2).sum())
 
-        options = [0] + [h for h in range(1, 17 - size) if counts[h]]
+        options = [0] * (packer.open < max_open) + [h for h in range(1, 17 - size) if counts[h]]
+        options = options or [h for h in range(17 - size, 16) if counts[h]]  # cut only where none is left whole
         chosen = packer.level_for(size)
         assert chosen in options and cost(chosen) == min(map(cost, options))
-        list(packer.add(1, bytes(4 * size)))
+        out += packer.add(1, bytes(4 * size))
+        given += size
+        assert packer.open <= max_open and packer.open == packer.counts[:16].sum() == sum(map(len, packer.levels))
+    assert all(sum(len(x[3]) for x in window) == 64 for window in out)
+    held = given - 16 * len(out)
+    assert held == sum(len(x[3]) // 4 for level in packer.levels for window in level for x in window)
+    assert sum(len(x[3]) // 4 for window in packer.close() for x in window) == held
+
+
+def test_most_pieces_are_placed_by_the_rule():
+    rng = random.Random(24)
+    packer, placed = packing.Packer(), 0
+    for i in range(3000):
+        placed += sum(len(x[3]) for window in packer.add(i, bytes(4 * rng.randint(1, 900))) for x in window)
+    closed = sum(len(x[3]) for window in packer.close() for x in window)
+    assert closed < 0.02 * placed
 
 
 # ---- top-k
@@ -375,7 +392,7 @@ def test_top_k_matches_brute_force(spark):
     got = defaultdict(list)
     for r in bitslice_topk.top_k(table_, F.col("vec_id") % 20 == 0, k=20, block_rows=100).collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
-    fine = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    fine = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     asked = [(i, v) for i, v in fine if i % 20 == 0]
     assert set(got) == {i for i, _ in asked}
     for i, v in asked:
