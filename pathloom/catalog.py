@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pathloom.plans import datasets, metrics, rollouts  # noqa: F401  they register their queries
+from pathloom.plans import datasets, files, metrics, rollouts  # noqa: F401  they register their queries
 from pathloom.plans.registry import ORACLES, QUERIES
 
 

@@ -195,3 +195,27 @@ def between_vectors(a: tuple[Column, Column, Column], b: tuple[Column, Column, C
     half, n = F.sqrt((1 - c) / 2), length(side)
     back = quaternion(side[0] / n * half, side[1] / n * half, side[2] / n * half, F.sqrt((c + 1) / 2))
     return F.when(la.isNull() | lb.isNull() | (la == 0) | (lb == 0), F.lit(None)).when(c < -1 + eps, back).otherwise(turned)
+
+
+def bin_place(value: Column, low: float, high: float, bins: int) -> tuple[Column, Column, Column]:
+    """Between which of ``bins`` points from ``low`` to ``high`` a value lies, and how far along; values outside are moved to the ends."""
+    at = (F.least(F.greatest(value, F.lit(low)), F.lit(high)) - low) / (high - low) * (bins - 1)
+    return F.floor(at).cast("int"), F.ceil(at).cast("int"), at - F.floor(at)
+
+
+def trilinear(grid: Column, sides: tuple[int, int, int], places: list[tuple[Column, Column, Column]]) -> Column:
+    """The value between the eight points around a place of a grid, an array with the last side running fastest."""
+    total = F.lit(0.0)
+    for corner in range(8):
+        index, weight = F.lit(0), F.lit(1.0)
+        for axis, (lower, upper, share) in enumerate(places):
+            up = corner >> axis & 1
+            index = index * sides[axis] + (upper if up else lower)
+            weight = weight * (share if up else 1 - share)
+        total = total + weight * F.get(grid, index)
+    return total
+
+
+def search_place(ascending: Column, value: Column) -> Column:
+    """How many of an ascending array's items are below a value: where it would be put in front of its equals."""
+    return F.size(F.filter(ascending, lambda x: x < value))

@@ -106,6 +106,20 @@ def sentence(ids: Column, words: Column) -> Column:
     return F.concat(F.array_join(F.transform(real, lambda i: F.concat(F.get(words, i.cast("int")), F.lit(" "))), ""), F.lit("?"))
 
 
+def stamp(time: Column) -> Column:
+    """A moment as backups are named by it."""
+    return F.date_format(F.to_utc_timestamp(time, F.current_timezone()), "yyyyMMdd'T'HHmmss'Z'")
+
+
+def parse_stamp(text: Column) -> Column:
+    return F.from_utc_timestamp(F.to_timestamp(text, "yyyyMMdd'T'HHmmss'Z'"), F.current_timezone())
+
+
+def iso_time(time: Column) -> Column:
+    """A moment as logs tell it, in UTC."""
+    return F.date_format(F.to_utc_timestamp(time, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
 def flat_fields(df: DataFrame, separator: str = ".") -> list[Column]:
     """All leaves of ``df``'s nested structs as columns named by their paths."""
     from pyspark.sql.types import StructType

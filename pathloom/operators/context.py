@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -112,21 +115,95 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(half(a, 1).bitwiseXOR(half(b, 1))) + F.bit_count(half(a, 9).bitwiseXOR(half(b, 9)))
 
 
-def deduplicated_history(frames: DataFrame, n: int, threshold: int = 10, reach: int | None = None) -> DataFrame:
-    """Greedy selection per anchor from newest to oldest: a frame is kept if its hash is farther than
-    ``threshold`` from the last kept one, until ``n`` are. Columns episode_id, frame_index, chosen
-    (array of frame and distance, oldest first; the newest kept has distance 64)."""
-    span = steps().rowsBetween(Window.unboundedPreceding if reach is None else -reach, -1)
+def history_scores(frames: DataFrame, n: int, time: str = "timestamp_s") -> DataFrame:
+    """One row per anchor and selected frame, the last ``n`` before it, oldest first: score 1, distance 64 for the oldest and 0 for the others."""
+    item = F.struct("frame_index", F.col(time).alias("timestamp"))
+    got = frames.select("episode_id", "frame_index", F.collect_list(item).over(steps().rowsBetween(-n, -1)).alias("chosen"))
+    rows = got.select("episode_id", "frame_index", F.posexplode("chosen").alias("step", "c"))
+    return rows.select("episode_id", "frame_index", "step", F.col("c.frame_index").alias("ref_frame"), "c.timestamp", F.lit(1.0).alias("score"), F.when(F.col("step") == 0, 64).otherwise(0).alias("distance"))
+
+
+def context_rows(selected: DataFrame, cameras: list[str]) -> DataFrame:
+    """``selected(episode_id, frame_index, step, ref_frame, …)`` for each camera: block number, reference, and a mask that is always on."""
+    rows = selected.select("*", F.posexplode(F.array(*map(F.lit, cameras))).alias("camera_index", "camera"))
+    ref = F.format_string("%s/%06d/%s", "episode_id", "ref_frame", "camera")
+    return rows.withColumns({"block": F.col("step") * len(cameras) + F.col("camera_index"), "ref": ref, "mask": F.lit(True)})
+
+
+def bats_selection(frames: DataFrame, budget: int, cameras: int = 1, dedup: bool = False, threshold: int = 10) -> DataFrame:
+    """Per anchor the frames of highest keep probability that the budget holds, later ones first among equals: rows of
+    episode_id, frame_index, step, ref_frame, score, distance, oldest first.
+
+    The probability never falls towards the anchor, so the highest are the latest, and no history is sorted. Distances
+    are 64 for the latest and 0 for the others; with ``dedup`` they are those of the hashes, as in ``deduplicated_history``,
+    which then also decides what is skipped.
+    """
+    n = blocks_marked(budget, cameras)
+    placed = frames.withColumn("place", F.row_number().over(steps()) - 1)
+    longest = placed.agg(F.max("place")).first()[0] or 0
+    rates = F.broadcast(decay_rates(frames.sparkSession, longest, budget, cameras))  # one row per step of the longest rollout
+    anchors = placed.join(rates, F.col("place") == F.col("anchor")).select("episode_id", "frame_index", "rate")
+    if dedup:
+        chosen = deduplicated_history(frames, n, threshold).withColumnRenamed("kept_frame", "ref_frame")
+    else:
+        chosen = history_scores(frames.withColumn("t", F.lit(0.0)), n, "t").select("episode_id", "frame_index", "step", "ref_frame")
+        latest = F.max("step").over(Window.partitionBy("episode_id", "frame_index"))
+        chosen = chosen.withColumn("distance", F.when(F.col("step") == latest, 64).otherwise(0))
+    scored = chosen.join(anchors, ["episode_id", "frame_index"])
+    return scored.select("episode_id", "frame_index", "step", "ref_frame", keep_probability(F.col("ref_frame"), F.col("frame_index"), F.col("rate")).alias("score"), "distance")
+
+
+def _episodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by their first column, one for each of its values."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        keys = b.column(0).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for at, end in zip(cuts, cuts[1:], strict=False):
+            if held and end > at and held[0].column(0)[0].as_py() != keys[at]:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            if end > at:
+                held.append(b.slice(at, end - at))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def deduplicated_history(frames: DataFrame, n: int, threshold: int = 10) -> DataFrame:
+    """Greedy selection per anchor through all its history, from newest to oldest: a frame is kept if its hash is farther
+    than ``threshold`` from the last kept one, until ``n`` are. Rows (episode_id, frame_index, step, kept_frame, distance),
+    oldest first; the newest kept has distance 64.
+
+    Which frame follows a kept one does not depend on the anchor: it is found once per frame, and the anchors go along.
+    """
+    schema = "episode_id string, frame_index long, step int, kept_frame long, distance int"
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _episodes(batches):
+            frame, high, low = (b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
+            follows, apart = np.full(len(frame), -1), np.zeros(len(frame), np.int32)
+            for j in range(1, len(frame)):
+                for at in range(j, 0, -256):  # back in pieces, since a frame that differs is mostly near
+                    part = slice(max(at - 256, 0), at)
+                    d = np.bitwise_count(high[part] ^ high[j]) + np.bitwise_count(low[part] ^ low[j])
+                    if (far := np.flatnonzero(d > threshold)).size:
+                        follows[j], apart[j] = part.start + far[-1], d[far[-1]]
+                        break
+            now, distance, found = np.arange(len(frame)) - 1, np.full(len(frame), 64, np.int32), []
+            for _ in range(n):
+                anchors = np.flatnonzero(now >= 0)
+                if not len(anchors):
+                    break
+                found.append((anchors, now[anchors], distance[anchors]))
+                distance[anchors], now[anchors] = apart[now[anchors]], follows[now[anchors]]
+            if not found:
+                continue
+            anchor, kept, distance = (np.concatenate(x) for x in zip(*found, strict=True))
+            step = np.bincount(anchor, minlength=len(frame))[anchor] - 1 - np.repeat(np.arange(len(found)), [len(x[0]) for x in found])
+            columns = [pa.array([b.column(0)[0].as_py()] * len(anchor), pa.string()), pa.array(frame[anchor]), pa.array(step, pa.int32()), pa.array(frame[kept]), pa.array(distance, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
     half = lambda at: F.conv(F.substring("front_dhash", at, 8), 16, 10).cast("long")
-    item = F.struct("frame_index", half(1).alias("hi"), half(9).alias("lo"))
-    got = frames.select("episode_id", "frame_index", F.reverse(F.collect_list(item).over(span)).alias("past"))
-    kind = "struct<hi:bigint,lo:bigint,kept:array<struct<frame:bigint,distance:int>>>"
-
-    def merge(acc: Column, x: Column) -> Column:
-        apart = F.when(acc["hi"].isNull(), F.lit(64)).otherwise(F.bit_count(acc["hi"].bitwiseXOR(x["hi"])) + F.bit_count(acc["lo"].bitwiseXOR(x["lo"])))
-        keep = (F.size(acc["kept"]) < n) & (acc["hi"].isNull() | (apart > threshold))
-        new = F.struct(x["hi"].alias("hi"), x["lo"].alias("lo"), F.concat(acc["kept"], F.array(F.struct(x["frame_index"].alias("frame"), apart.cast("int").alias("distance")))).alias("kept"))
-        return F.when(keep, new.cast(kind)).otherwise(acc)
-
-    start = F.struct(F.lit(None).cast("long").alias("hi"), F.lit(None).cast("long").alias("lo"), F.array().cast("array<struct<frame:bigint,distance:int>>").alias("kept"))
-    return got.select("episode_id", "frame_index", F.aggregate("past", start.cast(kind), merge, lambda acc: F.reverse(acc["kept"])).alias("chosen"))
+    rows = frames.select(F.col("episode_id").cast("string"), F.col("frame_index").cast("long"), half(1).alias("high"), half(9).alias("low"))
+    return rows.repartition("episode_id").sortWithinPartitions("episode_id", "frame_index").mapInArrow(run, schema)

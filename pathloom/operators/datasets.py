@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pathloom.operators.prefix import checkpointed, running_before
+
 
 def first_seen_order(df: DataFrame, group: str, position: str) -> DataFrame:
     """``df`` with the place of each row when groups stand together in the order of their first row (``group_start``)."""
@@ -21,22 +23,22 @@ def splits(df: DataFrame, key: str, n_splits: int, seed: str, collate: str | Non
     """Equal runs of rows in a seeded order, grouped by ``collate`` in first-seen order; the remainder is dropped.
 
     The order is the MD5 of seed and key, so it is the same in any engine and process.
-    Positions come from one global order over keys alone, not over rows' contents.
+    Places are running numbers over range partitions of the keys, rows' contents stay where they are.
     """
     keyed = df.select(key, *([collate] if collate else []), F.md5(F.concat(F.lit(seed), F.col(key).cast("string")).cast("binary")).alias("h"))
     n = keyed.count()
     size = n // n_splits
-    chosen = keyed.withColumn("pos", F.row_number().over(Window.orderBy("h", key)) - 1).where(F.col("pos") < size * n_splits)
+    chosen = running_before(keyed, ["h", key], F.lit(1), "pos").where(F.col("pos") < size * n_splits)
     if collate:
-        chosen = first_seen_order(chosen, collate, "pos")
-        chosen = chosen.withColumn("pos", F.row_number().over(Window.orderBy("group_start", "pos")) - 1)
+        chosen = first_seen_order(checkpointed(chosen), collate, "pos").withColumnRenamed("pos", "within")
+        chosen = running_before(chosen, ["group_start", "within"], F.lit(1), "pos")
     return chosen.select(key, F.floor(F.col("pos") / max(size, 1)).alias("split"))
 
 
 def encode(df: DataFrame, name: str, position: str) -> DataFrame:
-    """Dense ids of names by first appearance: (name, id)."""
+    """Dense ids of names by first appearance: (name, id). Positions of different names differ."""
     first = df.groupBy(name).agg(F.min(position).alias("first"))
-    return first.select(name, (F.row_number().over(Window.orderBy("first")) - 1).cast("long").alias("id"))
+    return running_before(first, ["first"], F.lit(1), "id").select(name, "id")
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -118,6 +120,36 @@ def iteration_order(df: DataFrame, key: str, scene: str, seed: str | None = None
     return out.withColumn("turn", F.lit(0).cast("long") if repeats is None else F.floor(F.col("place") / repeats).cast("long"))
 
 
+def visit_turns(df: DataFrame, key: str, scene: str, n_steps: str, most_steps: int, spread: float, seed: str, cycles: int = 1) -> DataFrame:
+    """In which order episodes are visited if a scene is left once its episodes have taken about ``most_steps`` steps.
+
+    Each cycle shuffles anew by the hash of seed, cycle and key. Scenes take turns in the order of their first episodes; what
+    is left of a scene waits for its next turn. The limit of a turn is drawn from ``most_steps`` times 1 ± ``spread`` by
+    the hash of seed, cycle, scene and turn. Columns key, scene, ``cycle``, ``turn``, ``scene_place``, ``place``: sort by
+    ``cycle``, ``turn``, ``scene_place``, ``place``. A scene's episodes are gathered, which its dataset bounds.
+    """
+    each = df.select(key, scene, F.col(n_steps).cast("long").alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cycles - 1).cast("long"))).alias("cycle"))
+    digest = lambda *parts: F.md5(F.concat_ws("/", F.lit(seed), *(p.cast("string") for p in parts)).cast("binary"))
+    each = each.withColumn("h", digest(F.col("cycle"), F.col(key)))
+    listed = each.groupBy("cycle", scene).agg(F.array_sort(F.collect_list(F.struct("h", key, "n"))).alias("items"))
+    # a number of 32 bits from the hash, as a share of the range
+    drawn = lambda turn: F.conv(F.substring(digest(F.col("cycle"), F.col(scene), turn), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    low, high = int(most_steps * (1 - spread)), int(most_steps * (1 + spread))
+    limit = lambda turn: F.lit(low) + F.floor(drawn(turn) * (high - low + 1))
+    start = F.struct(F.lit(0).cast("long").alias("turn"), F.lit(0).cast("long").alias("steps"), F.array().cast("array<bigint>").alias("turns"))
+
+    def step(acc: Column, x: Column) -> Column:
+        switch = acc["steps"] >= limit(acc["turn"])
+        turn = F.when(switch, acc["turn"] + 1).otherwise(acc["turn"])
+        steps = F.when(switch, F.lit(0).cast("long")).otherwise(acc["steps"]) + x["n"]
+        return F.struct(turn.alias("turn"), steps.alias("steps"), F.concat(acc["turns"], F.array(turn)).alias("turns"))
+
+    folded = listed.select("cycle", scene, "items", F.aggregate("items", start, step, lambda acc: acc["turns"]).alias("turns"), F.col("items")[0]["h"].alias("first"))
+    places = folded.select("cycle", scene, "first", F.row_number().over(Window.partitionBy("cycle").orderBy("first", scene)).cast("long").alias("scene_place"))  # one row per scene
+    rows = folded.select("cycle", scene, F.posexplode(F.arrays_zip("items", "turns")).alias("place", "x")).select(F.col("x.items")[key].alias(key), scene, "cycle", F.col("x.turns").alias("turn"), F.col("place").cast("long").alias("place"))
+    return rows.join(places.select("cycle", scene, (F.col("scene_place") - 1).alias("scene_place")), ["cycle", scene]).select(key, scene, "cycle", "turn", "scene_place", "place")
+
+
 def generated_episodes(scenes: DataFrame, scene: str, n: int, seed: str, side: float = 10.0) -> DataFrame:
     """``n`` episodes for each scene: start and goal in a square, as the hash of seed, scene and number gives them."""
     each = scenes.select(F.col(scene), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("number")) if n > 0 else scenes.select(F.col(scene), F.lit(0).alias("number")).limit(0)

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 
 def type_closure(parents: DataFrame) -> DataFrame:
-    """All (sub, super) pairs over ``parents(sub, super)``, each type under itself too."""
+    """All (sub, super) pairs over ``parents(sub, super)``, each type under itself too. Types in a cycle are under each other."""
     parents.createOrReplaceTempView("__type_parents")
     return parents.sparkSession.sql("""
-        WITH RECURSIVE closure(sub, super) AS (
-          SELECT DISTINCT t, t FROM (SELECT sub AS t FROM __type_parents UNION SELECT super FROM __type_parents)
-          UNION ALL SELECT c.sub, p.super FROM closure c JOIN __type_parents p ON c.super = p.sub)
+        WITH RECURSIVE closure(sub, super, path) AS (
+          SELECT DISTINCT t, t, array(t) FROM (SELECT sub AS t FROM __type_parents UNION SELECT super FROM __type_parents)
+          UNION ALL SELECT c.sub, p.super, array_append(c.path, p.super) FROM closure c JOIN __type_parents p ON c.super = p.sub AND NOT array_contains(c.path, p.super))
         SELECT DISTINCT sub, super FROM closure WHERE super IS NOT NULL""")
 
 
@@ -45,3 +45,15 @@ def formula(tree: tuple | str) -> Column:
     sides = [formula(p) for p in parts]
     joined = reduce(Column.__and__ if op in ("and", "nand") else Column.__or__, sides)
     return ~joined if op in ("nand", "nor") else joined
+
+
+def truth_trace(tree: tuple) -> Column:
+    """What the parts of ``tree`` are found to be, in order, until one decides it; those after that are null."""
+    op, *parts = tree
+    stop = op in ("or", "nor")  # the value that ends the evaluation
+    seen, out = F.lit(True), []
+    for part in parts:
+        value = formula(part)
+        out.append(F.when(seen, value))
+        seen = seen & (value != F.lit(stop))
+    return F.array(*out)

@@ -28,11 +28,12 @@ def following(value: Column | str, n: int) -> Column:
     return F.collect_list(value).over(steps().rowsBetween(0, n - 1))
 
 
-def pad_to_length(items: Column, length: Column | int) -> Column:
-    """Cut, or repeat the last item; an empty list stays empty."""
+def pad_to_length(items: Column, length: Column | int, empty: Column | None = None) -> Column:
+    """Cut, or repeat the last item. Without any, ``empty`` is repeated (null unless given); for lists of lists that is the empty list."""
     length = F.lit(length) if isinstance(length, int) else length
-    short = F.concat(items, F.array_repeat(F.get(items, F.size(items) - 1), F.greatest(length - F.size(items), F.lit(0)).cast("int")))
-    return F.when(F.size(items) == 0, items).otherwise(F.slice(short, F.lit(1), length))
+    last = F.when(F.size(items) > 0, F.get(items, F.size(items) - 1)).otherwise(F.lit(None) if empty is None else empty)
+    padded = F.concat(items, F.array_repeat(last, F.greatest(length - F.size(items), F.lit(0)).cast("int")))
+    return F.slice(padded, F.lit(1), F.greatest(length, F.lit(0)))
 
 
 def _advance(acc: Column, vx: Column, vy: Column, wz: Column, dt: float) -> tuple[Column, Column, Column]:
@@ -45,6 +46,8 @@ def velocity(vx: str = "vx", vy: str = "vy", wz: str = "wz") -> Column:
     return F.struct(F.col(vx).alias("vx"), F.col(vy).alias("vy"), F.col(wz).alias("wz"))
 
 
+#: Steps of an episode that are folded at a time.
+RUN = 64
 POSES = "array<struct<x:double,y:double,yaw:double>>"
 
 
@@ -166,16 +169,26 @@ def folded(df: DataFrame, items: Column, start: Column, step: Callable[[Column,
 
     ``items`` must be a struct that starts with ``frame_index``. One row per step,
     columns episode_id, frame_index and those of ``out``. An episode is bounded by
-    the step limit of a rollout, so its steps fit an array.
+    the step limit of a rollout, so its steps fit an array; they are folded in runs
+    of RUN steps, whose results are only put side by side, so that a long one is
+    not copied once a step.
     """
+    kind = f"array<struct<frame_index:bigint,out:{out_type}>>"
     lists = df.groupBy("episode_id").agg(F.array_sort(F.collect_list(items)).alias("items"))
+    starts = F.sequence(F.lit(1), F.size("items"), F.lit(RUN))
 
     def merge(acc: Column, x: Column) -> Column:
         state = step(acc["s"], x)
         return F.struct(state.alias("s"), F.concat(acc["outs"], F.array(F.struct(x["frame_index"].alias("frame_index"), state["out"].alias("out")))).alias("outs"))
 
-    begin = F.struct(start.alias("s"), F.array().cast(f"array<struct<frame_index:bigint,out:{out_type}>>").alias("outs"))
-    rows = lists.select("episode_id", F.explode(F.aggregate("items", begin, merge, lambda acc: acc["outs"])).alias("r"))
+    def run(acc: Column, at: Column) -> Column:
+        one = F.aggregate(F.slice("items", at, RUN), F.struct(acc["s"].alias("s"), F.array().cast(kind).alias("outs")), merge)
+        bound = F.transform(F.array(one), lambda r: F.struct(r["s"].alias("s"), F.concat(acc["runs"], F.array(r["outs"])).alias("runs")))
+        return bound[0]
+
+    begin = F.struct(start.alias("s"), F.array().cast(f"array<{kind}>").alias("runs"))
+    rows = lists.select("episode_id", F.explode(F.aggregate(starts, begin, run, lambda acc: acc["runs"])).alias("r"))
+    rows = rows.select("episode_id", F.explode("r").alias("r"))
     return rows.select("episode_id", "r.frame_index", "r.out.*")
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from pathloom.operators.prefix import running_before
 
 #: Column order of a worklist.
 COLUMNS = ["ref_id", "ref", "episode_id", "frame_index", "camera_name", "data_index", "video_key", "video_frame_index", "chunk_index", "file_index", "video_path"]
@@ -60,6 +61,21 @@ def checked(refs: DataFrame, frame_records: DataFrame, video_index: DataFrame) -
     return assemble(refs, frame_records, video_index)
 
 
+def looked_up(df: DataFrame, table: DataFrame, keys: list[str], value: str, out: str | None = None) -> DataFrame:
+    """``df`` with the ``value`` that ``table`` has for its keys, named ``out``. A key that is not there is an error when rows are read."""
+    name = out or value
+    side = table.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col(value).alias("__value"), F.lit(True).alias("__there"))
+    joined = df.join(side, [F.col(k) == F.col(f"__{k}") for k in keys], "left")
+    missing = F.raise_error(F.concat_ws(" ", F.lit(f"no {value} for"), *(F.col(k).cast("string") for k in keys))).cast(dict(table.dtypes)[value])
+    return joined.select(*df.columns, F.when(F.col("__there"), F.col("__value")).otherwise(missing).alias(name))
+
+
+def first_use_ids(refs: DataFrame, ref: str, order: list[str]) -> DataFrame:
+    """(ref, ref_id): references numbered from 0 in the order of their first use; ``order`` tells uses apart."""
+    first = refs.groupBy(ref).agg(F.min(F.struct(*order)).alias("first"))
+    return running_before(first, ["first"], F.lit(1), "ref_id").select(ref, "ref_id")
+
+
 def with_cameras(frames: DataFrame, cameras: list[str]) -> DataFrame:
     """Every frame with every camera, in the order given; a fixed array, so no join is needed."""
     return frames.select("*", F.posexplode(F.array(*map(F.lit, cameras))).alias("camera_index", "camera_name"))
@@ -79,9 +95,8 @@ def video_bounds(work: DataFrame) -> DataFrame:
 
 def pilot(work: DataFrame, k: int) -> DataFrame:
     """The first reference of each video, and of those ``k`` evenly spaced ones, places cut down to whole numbers."""
-    first = work.groupBy("video_path").agg(F.min("ref_id").alias("ref_id"))
-    order = Window.orderBy("ref_id")  # one row per video
-    placed = first.withColumn("place", F.row_number().over(order) - 1).withColumn("n", F.count("*").over(Window.partitionBy()))
+    first = running_before(work.groupBy("video_path").agg(F.min("ref_id").alias("ref_id")), ["ref_id"], F.lit(1), "place")
+    placed = first.withColumn("n", F.lit(first.count()))
     step = lambda i: F.floor(i * (F.col("n") - 1).cast("double") / max(k - 1, 1) + 1e-9)
     wanted = F.exists(F.sequence(F.lit(0), F.least(F.lit(k), F.col("n")).cast("int") - 1), lambda i: step(i) == F.col("place"))
     return placed.where((F.col("n") <= k) | wanted).select("video_path", "ref_id")

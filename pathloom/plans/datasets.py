@@ -66,13 +66,8 @@ def weighted_choice(spark, sf_dir):
     return datasets.weighted_choice(o, ["o_custkey"], "w", "o_orderkey", (F.col("o_custkey") % 10).cast("double") / 10)
 
 
-@query("SELECT p_partkey, (p_partkey - 1) // 40 AS scene FROM part WHERE p_partkey BETWEEN 1 AND 200")
-def balanced_scenes(spark, sf_dir):
-    return table(spark, sf_dir, "part").where("p_partkey BETWEEN 1 AND 200").select("p_partkey", datasets.balanced_scene(F.col("p_partkey") - 1, 200, 5).alias("scene"))
-
-
 @query("SELECT p_partkey, (row_number() OVER (ORDER BY p_partkey) - 1) // ((SELECT count(*) FROM part) // 5) AS scene FROM part")
-def balanced_scenes_all(spark, sf_dir):
+def balanced_scenes(spark, sf_dir):
     """All parts as episodes, numbered by key; their number must divide evenly."""
     p = table(spark, sf_dir, "part").select("p_partkey")
     return running_before(p, ["p_partkey"], F.lit(1), "episode").select("p_partkey", datasets.balanced_scene(F.col("episode"), p.count(), 5).alias("scene"))
@@ -116,17 +111,8 @@ def ref_roundtrip(spark, sf_dir):
     return refs.select("ref", "context_key", *text.parse_ref(F.col("ref")))
 
 
-@query("""SELECT c_custkey, row_number() OVER (ORDER BY (CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END), CASE WHEN c_custkey % 3 > 0 THEN c_custkey END, CASE WHEN c_custkey % 3 = 0 THEN c_name END) AS place FROM customer WHERE c_nationkey = 3""")
-def natural_sort(spark, sf_dir):
-    from pyspark.sql.window import Window
-
-    c = table(spark, sf_dir, "customer").where("c_nationkey = 3").withColumn("name", F.when(F.col("c_custkey") % 3 > 0, F.col("c_custkey").cast("string")).otherwise(F.col("c_name")))
-    keyed = c.select("c_custkey", F.lit(1).alias("g"), *(k.alias(f"k{i}") for i, k in enumerate(text.natural_key(F.col("name")))))
-    return keyed.select("c_custkey", F.row_number().over(Window.partitionBy("g").orderBy("k0", "k1", "k2")).cast("long").alias("place"))
-
-
 @query("""SELECT c_custkey, row_number() OVER (ORDER BY (CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END), CASE WHEN c_custkey % 3 > 0 THEN c_custkey END, CASE WHEN c_custkey % 3 = 0 THEN c_name END) AS place FROM customer""")
-def natural_sort_all(spark, sf_dir):
+def natural_sort(spark, sf_dir):
     """All customers, numbered by a range partitioning and not by one window."""
     c = table(spark, sf_dir, "customer").withColumn("name", F.when(F.col("c_custkey") % 3 > 0, F.col("c_custkey").cast("string")).otherwise(F.col("c_name")))
     keyed = c.select("c_custkey", *(k.alias(f"k{i}") for i, k in enumerate(text.natural_key(F.col("name")))))
@@ -227,20 +213,23 @@ def scene_ids(spark, sf_dir):
     return scenes.agg(F.count("*").alias("n_scenes"), F.min("c_nationkey").alias("first"), F.max("c_nationkey").alias("last"))
 
 
-@query("SELECT * FROM (SELECT c_nationkey AS k, 'only_customer' AS side FROM customer EXCEPT SELECT s_nationkey, 'only_customer' FROM supplier) UNION ALL SELECT * FROM (SELECT s_nationkey, 'only_supplier' FROM supplier EXCEPT SELECT c_nationkey, 'only_supplier' FROM customer)")
+@query("""WITH a AS (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_nationkey % 4 <> 1), b AS (SELECT DISTINCT s_nationkey AS k FROM supplier WHERE s_nationkey % 5 <> 2)
+SELECT k, 'only_customer' AS side FROM a WHERE k NOT IN (SELECT k FROM b) UNION ALL SELECT k, 'only_supplier' FROM b WHERE k NOT IN (SELECT k FROM a)""")
 def key_differences(spark, sf_dir):
-    a = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")).distinct()
-    b = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k")).distinct()
+    """Keys that only one of two sets has; each lacks some."""
+    a = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")).where("k % 4 <> 1").distinct()
+    b = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k")).where("k % 5 <> 2").distinct()
     return a.exceptAll(b).withColumn("side", F.lit("only_customer")).unionByName(b.exceptAll(a).withColumn("side", F.lit("only_supplier")))
 
 
-@query("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+@query("""WITH w AS (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL)
+SELECT * FROM w WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
 def hourly_counts(spark, sf_dir):
-    """The batch twin of the windowed stream."""
-    from pathloom.streaming.episodes import windowed_counts
+    """The windows that a stream over the events has closed by its watermark, as its sink holds them."""
+    from pathloom.streaming.episodes import collected, windowed_counts
 
-    e = table(spark, sf_dir, "events")
-    return windowed_counts(e, "ts", "1 hour", "10 minutes", ["event_type"]).select("event_type", "start", "n", F.round("total", 4).alias("total"))
+    windows = collected(spark, f"{sf_dir}/events.parquet", lambda e: windowed_counts(e.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour", "10 minutes", ["event_type"]))
+    return windows.select("event_type", F.col("start").cast("timestamp_ntz").alias("start"), "n", F.round("total", 4).alias("total"))
 
 
 @query("""WITH h AS (SELECT c_custkey, c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY md5('visit/' || c_custkey), c_custkey) - 1 AS place FROM customer)
@@ -271,3 +260,34 @@ def receptacle_match(spark, sf_dir):
     parent = F.when(F.col("p_size") % 7 > 0, F.col("p_brand"))
     up = datasets.upright(F.col("p_size") % 11 - 5.0, F.lit(10.0), F.lit(0.0), 0.95)
     return table(spark, sf_dir, "part").select("p_partkey", datasets.receptacle_matches(F.col("p_name"), parent, sets).alias("matches"), up.alias("upright"))
+
+
+@query("""WITH RECURSIVE o AS (SELECT c, c_custkey AS k, c_nationkey AS s, 1 + c_custkey % 7 AS n, md5('v/' || c || '/' || c_custkey) AS h FROM customer, (SELECT unnest([0, 1]) AS c)),
+p AS (SELECT *, row_number() OVER (PARTITION BY c, s ORDER BY h, k) - 1 AS place FROM o),
+draw AS (SELECT c, s, t, 8 + floor(('0x' || substr(md5('v/' || c || '/' || s || '/' || t), 1, 8))::BIGINT::DOUBLE / 4294967296 * 5)::BIGINT AS lim FROM (SELECT DISTINCT c, s FROM o), (SELECT unnest(range(0, 2000)) AS t)),
+walk AS (SELECT c, s, k, place, 0::BIGINT AS turn, n AS steps FROM p WHERE place = 0
+  UNION ALL SELECT p.c, p.s, p.k, p.place, w.turn + (w.steps >= d.lim)::INT, CASE WHEN w.steps >= d.lim THEN 0 ELSE w.steps END + p.n FROM walk w JOIN p ON p.c = w.c AND p.s = w.s AND p.place = w.place + 1 JOIN draw d ON d.c = w.c AND d.s = w.s AND d.t = w.turn),
+scenes AS (SELECT c, s, row_number() OVER (PARTITION BY c ORDER BY min(h), s) - 1 AS scene_place FROM o GROUP BY c, s)
+SELECT walk.c AS cycle, walk.s AS c_nationkey, k AS c_custkey, turn, scene_place, place FROM walk JOIN scenes ON scenes.c = walk.c AND scenes.s = walk.s""")
+def visit_turns(spark, sf_dir):
+    """Two shuffled cycles of visits that leave a scene after 8 to 12 steps, as drawn for each turn."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", (1 + F.col("c_custkey") % 7).alias("n"))
+    return datasets.visit_turns(c, "c_custkey", "c_nationkey", "n", 10, 0.2, "v", cycles=2)
+
+
+@query(FRAMES_SQL + """, t AS (SELECT episode_id, frame_index, human_following AS a, dis_to_human > 2 AS b, human_collision AS c FROM frames)
+SELECT episode_id, frame_index, a AS and_0, CASE WHEN a THEN b END AS and_1, CASE WHEN a AND b THEN c END AS and_2, a AS or_0, CASE WHEN NOT a THEN b END AS or_1, CASE WHEN NOT a AND NOT b THEN c END AS or_2 FROM t""")
+def formula_trace(spark, sf_dir):
+    """Which parts of a conjunction and of a negated disjunction are looked at, and what they are."""
+    f = frames(spark, sf_dir).withColumn("far", F.col("dis_to_human") > 2)
+    traces = {op: logic.truth_trace((name, "human_following", "far", "human_collision")) for op, name in (("and", "and"), ("or", "nor"))}
+    return f.select("episode_id", "frame_index", *(t[i].alias(f"{op}_{i}") for op, t in traces.items() for i in range(3)))
+
+
+@query("""SELECT o_orderkey, strftime(o_orderdate::TIMESTAMP + INTERVAL 1 SECOND * (o_orderkey % 86400), '%Y%m%dT%H%M%SZ') AS stamp, epoch(o_orderdate::TIMESTAMP)::BIGINT + o_orderkey % 86400 AS seconds,
+  strftime(o_orderdate::TIMESTAMP + INTERVAL 1 SECOND * (o_orderkey % 86400), '%Y-%m-%dT%H:%M:%S+00:00') AS iso FROM orders""")
+def time_stamps(spark, sf_dir):
+    """Stamps of backups and events: written, read back, and as seconds."""
+    at = F.timestamp_seconds(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 86400)
+    stamped = table(spark, sf_dir, "orders").select("o_orderkey", text.stamp(at).alias("stamp"), text.iso_time(at).alias("iso"))
+    return stamped.select("o_orderkey", "stamp", F.unix_timestamp(text.parse_stamp(F.col("stamp"))).alias("seconds"), "iso")

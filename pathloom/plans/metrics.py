@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pathloom.functions import actions, geo, pixels
+from pathloom.functions import actions, encode, geo, pixels
 from pathloom.operators import guard, measures, sequence, stats
 from pathloom.plans.registry import query
 from pathloom.plans.standins import FRAMES_SQL, frames, table
@@ -286,3 +286,40 @@ def heading_quaternion(spark, sf_dir):
     zero = F.lit(0.0)
     q = geo.between_vectors((F.lit(1.0), zero, zero), (F.col("vx"), zero, F.col("vy") + 0.003))
     return frames(spark, sf_dir).where("vx > 0").select(*KEYS, F.round(q["y"], 5).alias("qy"), F.round(q["w"], 5).alias("qw"))
+
+
+_PLACES_SQL = ", ".join(f"floor({a})::INT AS {n}0, ceil({a})::INT AS {n}1, {a} - floor({a}) AS {n}t" for n, a in ((n, f"least(greatest(((vec_id * {m}) % 100)::DOUBLE / 20 - 1, 0), 3) / 3 * 3") for n, m in (("x", 7), ("y", 11), ("z", 13))))
+
+
+@query(f"WITH p AS (SELECT vec_id, embedding::DOUBLE[] AS g, {_PLACES_SQL} FROM embeddings) SELECT vec_id, round(" + " + ".join(
+    "*".join(f"{n}t" if up >> i & 1 else f"(1 - {n}t)" for i, n in enumerate("xyz")) + " * g[1 + " + " + ".join(f"{n}{up >> i & 1} * {w}" for i, (n, w) in enumerate((("x", 16), ("y", 4), ("z", 1)))) + "]" for up in range(8)
+) + ", 6) + 0.0 AS value FROM p")
+def grid_interpolation(spark, sf_dir):
+    """Values between the points of a grid of four by four by four, at places that also lie outside it."""
+    places = [geo.bin_place((F.col("vec_id") * m % 100).cast("double") / 20 - 1, 0.0, 3.0, 4) for m in (7, 11, 13)]
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(geo.trilinear(F.col("embedding").cast("array<double>"), (4, 4, 4), places), R).alias("value"))
+
+
+@query(FRAMES_SQL + "SELECT a.episode_id, a.frame_index, (SELECT count(*) FROM (SELECT unnest([0.5, 1.0, 1.0, 2.5, 4.0]) AS x) WHERE x < a.dis_to_human)::INT AS place FROM frames a")
+def sorted_search(spark, sf_dir):
+    ladder = F.array(*map(F.lit, [0.5, 1.0, 1.0, 2.5, 4.0]))
+    return frames(spark, sf_dir).select(*KEYS, geo.search_place(ladder, F.col("dis_to_human")).alias("place"))
+
+
+def _quarters():
+    """A stand-in encoder: the mean and the largest value of each quarter of a picture."""
+    import numpy as np
+
+    def encode(pictures):
+        parts = np.array(pictures, np.float64).reshape(len(pictures), 4, 16)
+        return np.stack([parts.mean(axis=2), parts.max(axis=2)], axis=2)
+
+    return encode
+
+
+@query("""WITH v AS (SELECT vec_id, t::INT AS token, embedding[t * 16 + 1:t * 16 + 16]::DOUBLE[] AS x FROM embeddings, (SELECT unnest(range(4)) AS t))
+SELECT vec_id, token, round(list_avg(x), 4) + 0.0 AS mean, round(list_max(x), 4) + 0.0 AS largest FROM v""")
+def encoded_pictures(spark, sf_dir):
+    """Tokens of a stand-in encoder for every vector as a picture."""
+    tokens = encode.encoded(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", _quarters, 4, 2)
+    return tokens.select("vec_id", "token", F.round(F.col("vector")[0].cast("double"), 4).alias("mean"), F.round(F.col("vector")[1].cast("double"), 4).alias("largest"))

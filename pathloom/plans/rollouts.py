@@ -144,9 +144,19 @@ def context_offsets(spark, sf_dir):
     return _index(spark, sf_dir).select("episode_id", "frame_index", "n_blocks", "offset")
 
 
-@query(FRAMES_SQL + "SELECT 0::BIGINT AS gaps, 0::BIGINT AS too_long, 0::BIGINT AS wrong_tokens, sum(least(frame_index, 240))::BIGINT AS total_blocks, 0::BIGINT AS loose_episodes FROM frames")
+@query(FRAMES_SQL + """, good AS (SELECT source_episode_id AS k, episode_id, frame_index, least(frame_index, 240) AS n, coalesce(sum(least(frame_index, 240)) OVER (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM frames),
+bad AS (SELECT episode_id, frame_index, CASE WHEN k % 9 = 0 AND frame_index = 11 THEN 999 ELSE n END AS n, pos + (k % 5 = 0 AND frame_index = 3)::INT AS pos, 64 + 4 * n + (frame_index % 7 = 5)::INT AS tokens FROM good),
+ends AS (SELECT episode_id, min(pos) AS start, max(pos + n) AS stop FROM bad GROUP BY episode_id),
+loose AS (SELECT start FROM ends WHERE start > 0 EXCEPT ALL SELECT stop FROM ends),
+gaps AS (SELECT *, lag(pos + n) OVER (PARTITION BY episode_id ORDER BY frame_index) <> pos AS gap FROM bad)
+SELECT coalesce(sum(gap::INT), 0)::BIGINT AS gaps, sum((n > 240)::INT)::BIGINT AS too_long, sum((tokens <> 64 + 4 * n)::INT)::BIGINT AS wrong_tokens, sum(n)::BIGINT AS total_blocks, (SELECT count(*) FROM loose) AS loose_episodes FROM gaps""")
 def context_validate(spark, sf_dir):
-    return context.violations(_index(spark, sf_dir), ["source_episode_id"], BUDGET)
+    """Violations in an index with planted ones of each kind."""
+    k, i = F.col("source_episode_id"), F.col("frame_index")
+    bad = _index(spark, sf_dir).withColumns({
+        "offset": F.col("offset") + ((k % 5 == 0) & (i == 3)).cast("int"), "total_tokens": F.col("total_tokens") + (i % 7 == 5).cast("int"), "n_blocks": F.when((k % 9 == 0) & (i == 11), 999).otherwise(F.col("n_blocks")),
+    })
+    return context.violations(bad, ["source_episode_id"], BUDGET)
 
 
 @query(FRAMES_SQL + """SELECT (SELECT count(*) FROM episodes) AS n_episodes, count(*) AS n_frames, sum((frame_index > 0)::INT)::BIGINT AS n_refs,
@@ -155,38 +165,32 @@ def index_estimate(spark, sf_dir):
     return context.estimate(frames(spark, sf_dir), context.blocks_plain(BUDGET))
 
 
-@query(FRAMES_SQL + """, past AS (SELECT a.episode_id, a.frame_index, a.front_dhash, b.frame_index AS older, b.front_dhash AS h,
-  row_number() OVER (PARTITION BY a.episode_id, a.frame_index ORDER BY b.frame_index DESC) AS r FROM frames a JOIN frames b ON a.episode_id = b.episode_id AND b.frame_index BETWEEN a.frame_index - 16 AND a.frame_index - 1),
+DEDUP_SQL = FRAMES_SQL + """, past AS (SELECT a.episode_id, a.frame_index, a.front_dhash, b.frame_index AS older, b.front_dhash AS h,
+  row_number() OVER (PARTITION BY a.episode_id, a.frame_index ORDER BY b.frame_index DESC) AS r FROM frames a JOIN frames b ON a.episode_id = b.episode_id AND b.frame_index < a.frame_index),
 bits AS (SELECT x.h AS a, y.h AS b, (bit_count(xor(('0x' || substr(x.h, 1, 8))::BIGINT, ('0x' || substr(y.h, 1, 8))::BIGINT)) + bit_count(xor(('0x' || substr(x.h, 9, 8))::BIGINT, ('0x' || substr(y.h, 9, 8))::BIGINT)))::INT AS d
   FROM (SELECT DISTINCT front_dhash AS h FROM frames) x, (SELECT DISTINCT front_dhash AS h FROM frames) y),
 scan AS (SELECT episode_id, frame_index, r, older, h AS kept_hash, 1 AS n, true AS kept, 64 AS d FROM past WHERE r = 1
   UNION ALL SELECT p.episode_id, p.frame_index, p.r, p.older, CASE WHEN bits.d > 32 AND n < 4 THEN p.h ELSE kept_hash END, n + (bits.d > 32 AND n < 4)::INT, bits.d > 32 AND n < 4, bits.d
   FROM scan s JOIN past p ON p.episode_id = s.episode_id AND p.frame_index = s.frame_index AND p.r = s.r + 1 JOIN bits ON bits.a = p.h AND bits.b = s.kept_hash)
-SELECT episode_id, frame_index, older AS kept_frame, d AS distance FROM scan WHERE kept""")
-def dedup_history(spark, sf_dir):
-    d = context.deduplicated_history(frames(spark, sf_dir), 4, threshold=32, reach=16)
-    return d.select("episode_id", "frame_index", F.explode("chosen").alias("c")).select("episode_id", "frame_index", F.col("c.frame").alias("kept_frame"), "c.distance")
+"""
 
 
-@query(FRAMES_SQL + """, past AS (SELECT a.episode_id, a.frame_index, a.front_dhash, b.frame_index AS older, b.front_dhash AS h,
-  row_number() OVER (PARTITION BY a.episode_id, a.frame_index ORDER BY b.frame_index DESC) AS r FROM frames a JOIN frames b ON a.episode_id = b.episode_id AND b.frame_index < a.frame_index),
-bits AS (SELECT x.h AS a, y.h AS b, (bit_count(xor(('0x' || substr(x.h, 1, 8))::BIGINT, ('0x' || substr(y.h, 1, 8))::BIGINT)) + bit_count(xor(('0x' || substr(x.h, 9, 8))::BIGINT, ('0x' || substr(y.h, 9, 8))::BIGINT)))::INT AS d
-  FROM (SELECT DISTINCT front_dhash AS h FROM frames) x, (SELECT DISTINCT front_dhash AS h FROM frames) y),
-scan AS (SELECT episode_id, frame_index, r, older, h AS kept_hash, 1 AS n, true AS kept, 64 AS d FROM past WHERE r = 1
-  UNION ALL SELECT p.episode_id, p.frame_index, p.r, p.older, CASE WHEN bits.d > 32 AND n < 4 THEN p.h ELSE kept_hash END, n + (bits.d > 32 AND n < 4)::INT, bits.d > 32 AND n < 4, bits.d
-  FROM scan s JOIN past p ON p.episode_id = s.episode_id AND p.frame_index = s.frame_index AND p.r = s.r + 1 JOIN bits ON bits.a = p.h AND bits.b = s.kept_hash)
-SELECT episode_id, frame_index, older AS kept_frame, d AS distance FROM scan WHERE kept""")
-def dedup_history_full(spark, sf_dir):
-    """As ``dedup_history``, but through all history of an anchor, as the reference scans."""
-    d = context.deduplicated_history(frames(spark, sf_dir), 4, threshold=32)
-    return d.select("episode_id", "frame_index", F.explode("chosen").alias("c")).select("episode_id", "frame_index", F.col("c.frame").alias("kept_frame"), "c.distance")
+@query(DEDUP_SQL + "SELECT episode_id, frame_index, older AS kept_frame, d AS distance FROM scan WHERE kept")
+def dedup_history(spark, sf_dir):
+    """Greedy selection through all history of each anchor."""
+    return context.deduplicated_history(frames(spark, sf_dir), 4, threshold=32).select("episode_id", "frame_index", "kept_frame", "distance")
 
 
-@query(FRAMES_SQL + f""", span AS (SELECT a, least(a, 25)::DOUBLE AS target FROM (SELECT DISTINCT frame_index AS a FROM frames WHERE frame_index > 0)),
+def _rates_sql(target: int) -> str:
+    """Decay rates by anchor, for a budget that holds ``target`` frames, by halving."""
+    return f""", span AS (SELECT a, least(a, {target})::DOUBLE AS target FROM (SELECT DISTINCT frame_index AS a FROM frames WHERE frame_index > 0)),
 halve AS (SELECT a, target, 0 AS n, 1e-12::DOUBLE AS low, 1e5::DOUBLE AS high FROM span WHERE target < a AND target > a * 0.1::DOUBLE
   UNION ALL SELECT a, target, n + 1, CASE WHEN e > target THEN k ELSE low END, CASE WHEN e > target THEN high ELSE k END
   FROM (SELECT *, a * (0.9::DOUBLE * (1 - exp(-k)) / k + 0.1::DOUBLE) AS e FROM (SELECT *, (low + high) / 2 AS k FROM halve WHERE n < 90))),
-rates AS (SELECT s.a, CASE WHEN target <= s.a * 0.1::DOUBLE THEN 1e6::DOUBLE ELSE coalesce(h.k, 0) END AS rate FROM span s LEFT JOIN (SELECT a, (low + high) / 2 AS k FROM halve WHERE n = 90) h USING (a))
+rates AS (SELECT s.a, CASE WHEN target <= s.a * 0.1::DOUBLE THEN 1e6::DOUBLE ELSE coalesce(h.k, 0) END AS rate FROM span s LEFT JOIN (SELECT a, (low + high) / 2 AS k FROM halve WHERE n = 90) h USING (a))"""
+
+
+@query(FRAMES_SQL + _rates_sql(25) + f"""
 SELECT episode_id, frame_index, round(rate, {R}) AS rate, round(exp(-rate / a) * 0.9::DOUBLE + 0.1::DOUBLE, {R}) AS newest, round(exp(-rate) * 0.9::DOUBLE + 0.1::DOUBLE, {R}) AS oldest
 FROM frames JOIN rates ON a = frame_index""")
 def bats_scores(spark, sf_dir):
@@ -199,6 +203,58 @@ def bats_scores(spark, sf_dir):
     return j.select("episode_id", "frame_index", F.round("rate", R).alias("rate"), p(F.col("anchor") - 1).alias("newest"), p(F.lit(0)).alias("oldest"))
 
 
+def _scored_sql(target: int) -> str:
+    return FRAMES_SQL + _rates_sql(target) + """, scored AS (SELECT f.episode_id, f.frame_index, b.frame_index AS ref_frame, exp(rate * (b.frame_index - f.frame_index) / greatest(1, f.frame_index)) * 0.9::DOUBLE + 0.1::DOUBLE AS score
+  FROM frames f JOIN rates ON a = f.frame_index JOIN frames b ON b.episode_id = f.episode_id AND b.frame_index < f.frame_index),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY episode_id, frame_index ORDER BY round(score, 9) DESC, ref_frame DESC) AS r FROM scored)"""
+
+
+@query(_scored_sql(25) + f""" SELECT episode_id, frame_index, ref_frame, (row_number() OVER (PARTITION BY episode_id, frame_index ORDER BY ref_frame) - 1)::INT AS step, round(score, {R}) AS score, CASE WHEN r = 1 THEN 64 ELSE 0 END AS distance
+FROM ranked WHERE r <= 25""")
+def bats_selection(spark, sf_dir):
+    """The history frames with the highest keep probability, and their scores and distances."""
+    chosen = context.bats_selection(frames(spark, sf_dir), 190)
+    return chosen.select("episode_id", "frame_index", "ref_frame", "step", F.round("score", R).alias("score"), "distance")
+
+
+@query(DEDUP_SQL.replace("WITH RECURSIVE", "WITH RECURSIVE", 1).rstrip() + _rates_sql(4) + f"""
+SELECT episode_id, frame_index, older AS ref_frame, round(exp(rate * (older - frame_index) / greatest(1, frame_index)) * 0.9::DOUBLE + 0.1::DOUBLE, {R}) AS score, scan.d AS distance FROM scan JOIN rates ON rates.a = frame_index WHERE kept""")
+def bats_selection_dedup(spark, sf_dir):
+    """The same with frames skipped whose pictures are near the last kept one."""
+    chosen = context.bats_selection(frames(spark, sf_dir), 85, dedup=True, threshold=32)
+    return chosen.select("episode_id", "frame_index", "ref_frame", F.round("score", R).alias("score"), "distance")
+
+
+@query(FRAMES_SQL + """, past AS (SELECT a.episode_id, a.frame_index, b.frame_index AS ref_frame, b.timestamp_s AS timestamp, row_number() OVER (PARTITION BY a.episode_id, a.frame_index ORDER BY b.frame_index) - 1 AS step
+  FROM frames a JOIN frames b ON a.episode_id = b.episode_id AND b.frame_index BETWEEN a.frame_index - 5 AND a.frame_index - 1), cams AS (SELECT unnest(range(2)) AS i, unnest(['front', 'rear']) AS camera)
+SELECT episode_id, frame_index, step::INT AS step, (step * 2 + i)::INT AS block, camera, printf('%s/%06d/%s', episode_id, ref_frame, camera) AS ref, round(timestamp, 6) AS timestamp, true AS mask, 1.0::DOUBLE AS score, CASE WHEN step = 0 THEN 64 ELSE 0 END AS distance FROM past, cams""")
+def history_scores(spark, sf_dir):
+    """Rows of a sliding history for two cameras, with times, masks, scores and distances."""
+    rows = context.context_rows(context.history_scores(frames(spark, sf_dir), 5), ["front", "rear"])
+    return rows.select("episode_id", "frame_index", "step", "block", "camera", "ref", F.round("timestamp", R).alias("timestamp"), "mask", "score", "distance")
+
+
+@query(FRAMES_SQL + """, uses AS (SELECT a.idx, b.frame_index, printf('%s/%06d/front', b.episode_id, b.frame_index) AS ref FROM frames a JOIN frames b ON a.episode_id = b.episode_id AND b.frame_index BETWEEN a.frame_index - 3 AND a.frame_index - 1),
+firsts AS (SELECT ref, row_number() OVER (ORDER BY min(struct_pack(i := idx, f := frame_index))) - 1 AS ref_id FROM uses GROUP BY ref) SELECT idx, uses.ref, ref_id FROM uses JOIN firsts USING (ref)""")
+def ref_lookup(spark, sf_dir):
+    """Ids of references by first use, looked up for every use."""
+    f = frames(spark, sf_dir, with_index=True)
+    uses = context.references(f, 3, ["front"]).join(f.select("episode_id", "frame_index", "idx"), ["episode_id", "frame_index"]).select("idx", "ref_frame", "ref")
+    return worklist.looked_up(uses, worklist.first_use_ids(uses, "ref", ["idx", "ref_frame"]), ["ref"], "ref_id").select("idx", "ref", "ref_id")
+
+
+@query(FRAMES_SQL + """SELECT episode_id, frame_index, (bit_count(xor(('0x' || substr(front_dhash, 1, 8))::BIGINT, ('0x' || substr(last, 1, 8))::BIGINT)) + bit_count(xor(('0x' || substr(front_dhash, 9, 8))::BIGINT, ('0x' || substr(last, 9, 8))::BIGINT)))::INT AS distance
+FROM (SELECT *, lag(front_dhash) OVER (PARTITION BY episode_id ORDER BY frame_index) AS last FROM frames) WHERE last IS NOT NULL""")
+def hash_lookup(spark, sf_dir):
+    """Picture hashes of a frame and the one before it, looked up by episode, frame and camera."""
+    f = frames(spark, sf_dir)
+    table_ = f.select("episode_id", "frame_index", F.lit("front").alias("camera"), "front_dhash")
+    asked = f.where("frame_index > 0").select("episode_id", "frame_index", F.lit("front").alias("camera"))
+    now = worklist.looked_up(asked, table_, ["episode_id", "frame_index", "camera"], "front_dhash", "now")
+    both = worklist.looked_up(now.withColumn("frame_index", F.col("frame_index") - 1), table_, ["episode_id", "frame_index", "camera"], "front_dhash", "last")
+    return both.select("episode_id", (F.col("frame_index") + 1).alias("frame_index"), context.hamming(F.col("now"), F.col("last")).cast("int").alias("distance"))
+
+
 # ---- trajectories
 
 
@@ -311,9 +367,18 @@ def worklist_join(spark, sf_dir):
     return worklist.assemble(*_inputs(spark, sf_dir))
 
 
-@query(WORK_SQL + "SELECT 0::BIGINT AS without_frame, 0::BIGINT AS without_video, 0::BIGINT AS repeated_frames, 0::BIGINT AS repeated_videos, 0::BIGINT AS other_cameras, max(ref_id) - min(ref_id) + 1 - count(DISTINCT ref_id) AS id_gaps FROM work")
+@query(WORK_SQL + """, refs AS (SELECT ref_id, episode_id, frame_index, CASE WHEN ref_id % 50 = 7 THEN 'left' ELSE camera_name END AS camera_name FROM work WHERE ref_id % 71 <> 17),
+records AS (SELECT episode_id, frame_index, idx FROM ranked WHERE idx % 97 <> 3 UNION ALL SELECT episode_id, frame_index, idx FROM ranked WHERE idx % 89 = 5 AND idx % 97 <> 3),
+videos AS (SELECT idx FROM ranked WHERE idx % 83 <> 11 UNION ALL SELECT idx FROM ranked WHERE idx % 79 = 13 AND idx % 83 <> 11),
+j AS (SELECT ref_id, camera_name, nf, nv FROM refs LEFT JOIN (SELECT episode_id, frame_index, count(*) AS nf, min(idx) AS idx FROM records GROUP BY ALL) USING (episode_id, frame_index) LEFT JOIN (SELECT idx, count(*) AS nv FROM videos GROUP BY idx) USING (idx))
+SELECT sum((nf IS NULL)::INT)::BIGINT AS without_frame, sum((nf IS NOT NULL AND nv IS NULL)::INT)::BIGINT AS without_video, sum(coalesce(nf > 1, false)::INT)::BIGINT AS repeated_frames, sum(coalesce(nv > 1, false)::INT)::BIGINT AS repeated_videos,
+  sum((camera_name <> 'front')::INT)::BIGINT AS other_cameras, max(ref_id) - min(ref_id) + 1 - count(DISTINCT ref_id) AS id_gaps FROM j""")
 def worklist_audit(spark, sf_dir):
-    return worklist.audit(*_inputs(spark, sf_dir))
+    """The audit of inputs with planted faults of each kind."""
+    refs, records, videos = _inputs(spark, sf_dir)
+    refs = refs.where("ref_id % 71 <> 17").withColumn("camera_name", F.when(F.col("ref_id") % 50 == 7, "left").otherwise(F.col("camera_name")))
+    records, videos = records.where("data_index % 97 <> 3"), videos.where("data_index % 83 <> 11")
+    return worklist.audit(refs, records.unionByName(records.where("data_index % 89 = 5")), videos.unionByName(videos.where("data_index % 79 = 13")))
 
 
 @query(WORK_SQL + "SELECT video_path, min(video_frame_index) AS first_frame, max(video_frame_index) AS last_frame FROM work GROUP BY video_path")

@@ -51,8 +51,15 @@ def legacy_discover(spark: SparkSession, root: str) -> DataFrame:
     return stems.groupBy("run", "stem").agg(F.max("info").alias("info"), F.max("mp4").alias("has_video")).where("info").drop("info")
 
 
-def step_logs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Step records with their file; files are arrays, and an element's own index orders it."""
+def step_logs(spark: SparkSession, paths: str | list[str], checked: bool = False) -> DataFrame:
+    """Step records with their file; files are arrays, and an element's own index orders it.
+
+    ``checked``: ValueError if a file is no array or an empty one, which a conversion does not take.
+    """
+    if checked:
+        texts = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_extract("value", r"^\s*(\[\s*\]|.)", 1).alias("head"))
+        if bad := texts.where(~F.col("head").isin("[") | F.col("head").isNull()).first():
+            raise ValueError(f"{bad.file} holds no list of steps")
     rows = spark.read.schema(schemas.STEP_LOG).option("multiLine", True).option("mode", "FAILFAST").json(paths)
     return rows.withColumn("file", F.col("_metadata.file_path"))
 

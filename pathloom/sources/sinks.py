@@ -34,6 +34,16 @@ def move(spark: SparkSession, a: str, b: str) -> None:
         raise OSError(f"cannot move {a} to {b}")
 
 
+def replace(spark: SparkSession, a: str, b: str) -> None:
+    """Move a file over another in one step, so that a reader finds the old or the new one."""
+    jvm = spark.sparkContext._jvm
+    _, p = _fs(spark, a)
+    _, q = _fs(spark, b)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(q.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(p, q, options)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
@@ -44,6 +54,17 @@ def write_chunks(df: DataFrame, path: str, columns: tuple[str, str] = ("chunk_in
     df.repartition(*columns).sortWithinPartitions(*columns).write.option("partitionOverwriteMode", "dynamic").partitionBy(*columns).mode("overwrite").parquet(path)
 
 
+def write_single(df: DataFrame, path: str, kind: str = "parquet", **options: str) -> None:
+    """All rows as one file of just this name, from one task: for small tables."""
+    spark = df.sparkSession
+    stage = f"{path}.stage-{uuid.uuid4().hex}"
+    df.coalesce(1).write.options(**options).format(kind).save(stage)
+    fs, p = _fs(spark, stage)
+    parts = [f.getPath() for f in fs.listStatus(p) if f.getPath().getName().startswith("part-")]
+    move(spark, parts[0].toString(), path)
+    remove(spark, stage)
+
+
 def merge_parquet(spark: SparkSession, paths: list[str], out: str) -> None:
     """Rows of all files by column name, in one table that appears as a whole."""
     if not paths:
@@ -52,12 +73,12 @@ def merge_parquet(spark: SparkSession, paths: list[str], out: str) -> None:
 
 
 def concat_lines(spark: SparkSession, paths: list[str], out: str) -> None:
-    """Text lines of all files, files in the order given."""
+    """Text lines of all files, files in the order given, as a table of text that appears as a whole."""
     lines = None
     for i, p in enumerate(paths):
         own = spark.read.text(p).select(F.lit(i).alias("file"), F.monotonically_increasing_id().alias("at"), "value")
         lines = own if lines is None else lines.unionByName(own)
-    lines.orderBy("file", "at").select("value").write.mode("overwrite").text(out)
+    publish(spark, out, lambda stage: lines.orderBy("file", "at").select("value").write.text(stage), replace=True)
 
 
 def canonical_json(value: object) -> str:
@@ -80,9 +101,7 @@ def write_json(spark: SparkSession, path: str, value: object) -> str:
             out.write(bytearray(data))
         finally:
             out.close()
-        if exists(spark, path):
-            remove(spark, path)
-        move(spark, stage, path)
+        replace(spark, stage, path)
     finally:
         if exists(spark, stage):
             remove(spark, stage)
@@ -135,6 +154,25 @@ def shard_states(expected: DataFrame, found: DataFrame) -> DataFrame:
     return expected.join(f, "shard", "left").withColumn("state", state).drop("__n")
 
 
+def shard_completeness(expected: DataFrame, files: DataFrame, main: list[str], artifacts: list[str], checkpoints: DataFrame, found: DataFrame, videos: DataFrame) -> DataFrame:
+    """(shard, state) for each ``expected(shard, n_rows)``: missing if none of the kinds ``main`` is there.
+
+    Complete if every ``main`` and ``artifacts`` kind of ``files(shard, kind, bytes)`` is there and not empty, the record in
+    ``checkpoints(shard, complete, n_rows)`` says so with the same count, ``found(shard, n_rows)`` has it in its rows, and
+    ``videos(shard, n_frames)`` in each video. Else incomplete.
+    """
+    kinds = files.groupBy("shard").agg(F.collect_set("kind").alias("there"), F.collect_set(F.when(F.col("bytes") > 0, F.col("kind"))).alias("full"))
+    c = checkpoints.groupBy("shard").agg(F.bool_and(F.coalesce("complete", F.lit(False))).alias("told"), F.max("n_rows").alias("told_rows"))
+    v = videos.groupBy("shard").agg(F.min("n_frames").alias("least"), F.max("n_frames").alias("most"))
+    j = expected.join(kinds, "shard", "left").join(c, "shard", "left").join(found.select("shard", F.col("n_rows").alias("found_rows")), "shard", "left").join(v, "shard", "left")
+    wanted = lambda names: F.array(*map(F.lit, names))
+    whole = F.size(F.array_except(wanted([*main, *artifacts]), F.coalesce("full", F.array().cast("array<string>")))) == 0
+    n = F.col("n_rows")
+    sound = whole & F.coalesce(F.col("told") & (F.col("told_rows") == n) & (F.col("found_rows") == n) & (F.col("least") == n) & (F.col("most") == n), F.lit(False))
+    none = ~F.arrays_overlap(wanted(main), F.coalesce("there", F.array().cast("array<string>")))
+    return j.select("shard", F.when(none, "missing").when(sound, "complete").otherwise("incomplete").alias("state"))
+
+
 def write_shards(work: DataFrame, path: str, spec: dict, shard_size: int = 8192) -> int:
     """Write the shards of ``work(ref_id, …)`` that are not complete yet; the number written.
 
@@ -205,3 +243,24 @@ def npy_header(dtype: str, n: int) -> bytes:
     head = io.BytesIO()
     np.lib.format.write_array_header_1_0(head, {"descr": np.lib.format.dtype_to_descr(np.dtype(dtype)), "fortran_order": False, "shape": (n,)})
     return head.getvalue()
+
+
+def write_named(df: DataFrame, root: str, name: str, content: str) -> int:
+    """One file ``root/name`` per row with the column ``content`` as it is; files are written where their rows are. Their number."""
+    spark = df.sparkSession
+    _, p = _fs(spark, root)
+    base = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+    def run(batches):
+        from pyarrow import fs
+
+        store, folder = fs.FileSystem.from_uri(base)
+        for b in batches:
+            for path, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                whole = f"{folder}/{path}"
+                store.create_dir(whole.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(whole, compression=None) as out:
+                    out.write(data or b"")
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    return df.select(F.col(name).cast("string"), F.col(content).cast("binary")).mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from pathloom.operators.prefix import checkpointed, shared_folder
+from pathloom.sources import sinks
+
 STATE = "n_steps long, n_away long, n_stuck long, x double, z double, vx double, vz double, ended string"
 OUT = "episode_id string, frame_index long, vx double, vz double, n_away long, n_stuck long, cause string"
 
@@ -74,3 +78,16 @@ def append_once(path: str):
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return put
+
+
+def collected(spark: SparkSession, path: str, plan: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What the stream ``plan`` over the Parquet files at ``path`` has put out once all that is there is read."""
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
+    try:
+        run = plan(source).writeStream.outputMode("append").format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
+        run.awaitTermination()
+        return checkpointed(spark.read.parquet(f"{root}/out"))
+    finally:
+        if sinks.exists(spark, root):
+            sinks.remove(spark, root)

@@ -61,7 +61,10 @@ def test_greedy_dedup_compares_with_the_last_kept(spark):
     rng = random.Random(3)
     hashes = [rng.choice(["0" * 16, "0" * 15 + "f", "f" * 16, "00000000ffffffff"]) for _ in range(12)]
     df = spark.createDataFrame([("e", i, h) for i, h in enumerate(hashes)], "episode_id string, frame_index long, front_dhash string")
-    got = {r.frame_index: [(c.frame, c.distance) for c in r.chosen] for r in context.deduplicated_history(df, 3, threshold=10).collect()}
+    got = {i: [] for i in range(12)}
+    for r in context.deduplicated_history(df, 3, threshold=10).orderBy("frame_index", "step").collect():
+        assert r.step == len(got[r.frame_index])
+        got[r.frame_index].append((r.kept_frame, r.distance))
     for anchor in range(12):
         kept = []
         for j in range(anchor - 1, -1, -1):
@@ -153,8 +156,8 @@ def test_folds(spark):
         want.append(v)
     assert ema == pytest.approx(want)
     assert by_step(sequence.slew_limited(df, "f", 1.0, dt=0.3), "limited") == pytest.approx([0.3, 0.6, 0.9, 1.0, 1.0, 1.0])
-    padded = spark.range(1).select(sequence.pad_to_length(F.array(F.lit(1), F.lit(2)), 4), sequence.pad_to_length(F.array(F.lit(1), F.lit(2)), 1), sequence.pad_to_length(F.array().cast("array<int>"), 3)).first()
-    assert tuple(padded) == ([1, 2, 2, 2], [1], [])
+    padded = spark.range(1).select(sequence.pad_to_length(F.array(F.lit(1), F.lit(2)), 4), sequence.pad_to_length(F.array(F.lit(1), F.lit(2)), 1), sequence.pad_to_length(F.array().cast("array<int>"), 3), sequence.pad_to_length(F.array().cast("array<array<int>>"), 2, F.array().cast("array<int>")), sequence.pad_to_length(F.array(F.lit(1)), -1)).first()
+    assert tuple(padded) == ([1, 2, 2, 2], [1], [None] * 3, [[], []], [])
 
 
 def work_tables(spark):
@@ -333,3 +336,56 @@ def test_receptacle_sets_decide_in_order(spark):
     assert got == [True, False, False, False, True, False]
     up = spark.createDataFrame([(0.0, 1.0, 0.0), (1.0, 1.0, 0.0), (0.0, 0.0, 0.0), (0.0, -1.0, 0.0)], "x double, y double, z double")
     assert [r[0] for r in up.select(datasets.upright(F.col("x"), F.col("y"), F.col("z"))).collect()] == [True, False, False, False]
+
+
+def test_long_folds_and_many_episodes(spark):
+    n = 3 * sequence.RUN + 7
+    df = steps(spark, [n, 1, n, sequence.RUN], x=(F.col("frame_index") % 5).cast("double"))
+    got = sequence.smoothed(df, "x", 0.5).orderBy("episode_id", "frame_index").collect()
+    assert len(got) == 2 * n + 1 + sequence.RUN
+    last = {}
+    for r in got:
+        x = float(r.frame_index % 5)
+        last[r.episode_id] = x if r.frame_index == 0 else 0.5 * last[r.episode_id] + 0.5 * x
+        assert r.smoothed == pytest.approx(last[r.episode_id])
+
+
+def test_history_without_a_far_frame_goes_back_through_all(spark):
+    df = spark.createDataFrame([(e, i, "f" * 16 if i == 0 else "0" * 16) for e in ("a", "b") for i in range(700)], "episode_id string, frame_index long, front_dhash string").repartition(3)
+    got = context.deduplicated_history(df, 5).groupBy("episode_id").agg(F.count("*").alias("n"), F.sum((F.col("kept_frame") == 0).cast("int")).alias("oldest"), F.max("distance").alias("d")).collect()
+    assert {(r.episode_id, r.n, r.oldest, r.d) for r in got} == {(e, 699 + 698, 699, 64) for e in ("a", "b")}
+    assert context.deduplicated_history(df.limit(0), 5).count() == 0
+
+
+def test_lookups_tell_what_is_missing(spark):
+    table = spark.createDataFrame([("a", 1), ("b", None)], "ref string, ref_id long")
+    uses = spark.createDataFrame([("a",), ("b",), ("a",)], "ref string")
+    assert [r.ref_id for r in worklist.looked_up(uses, table, ["ref"], "ref_id").orderBy("ref").collect()] == [1, 1, None]
+    with pytest.raises(Exception, match="no ref_id for c"):
+        worklist.looked_up(uses.unionByName(spark.createDataFrame([("c",)], "ref string")), table, ["ref"], "ref_id").collect()
+
+
+def test_types_in_a_cycle(spark):
+    closure = logic.type_closure(spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "a")], "sub string, super string"))
+    assert {tuple(r) for r in closure.collect()} == {(x, y) for x in "abcd" for y in "abc"} | {("d", "d")}
+
+
+def test_statistics_of_few_and_absent_values(spark):
+    df = spark.createDataFrame([([1.0, None],), ([4.0, 2.0],), ([2.0, 2.0],), (None,)], "v array<double>")
+    got = {r.dim: r for r in stats.array_statistics(df, F.col("v")).collect()}
+    assert (got[0].min, got[0].max, got[0].mean) == (1.0, 4.0, pytest.approx(7 / 3)) and got[0].q01 == pytest.approx(1.02) and got[0].q99 == pytest.approx(3.96)
+    assert (got[1].q01, got[1].q99, got[1].std) == (2.0, 2.0, 1e-6)
+    assert stats.array_statistics(df.limit(0), F.col("v")).count() == 0
+
+
+def test_encoders_are_held_to_their_shape(spark):
+    import numpy as np
+
+    from pathloom.functions import encode
+
+    df = spark.createDataFrame([(i, [i, i + 1]) for i in range(5)] + [(9, None)], "k long, p array<int>")
+    good = encode.encoded(df, "k", "p", lambda: lambda x: np.array(x, float).reshape(len(x), 2, 1), 2, 1, batch=2)
+    assert sorted(tuple(r) for r in good.collect()) == sorted((i, t, [float(i + t)]) for i in range(5) for t in range(2))
+    for bad in (lambda: lambda x: np.zeros((len(x), 1, 1)), lambda: lambda x: np.full((len(x), 2, 1), np.nan)):
+        with pytest.raises(Exception, match="encoder gave"):
+            encode.encoded(df, "k", "p", bad, 2, 1).collect()

@@ -141,3 +141,29 @@ def test_json_and_flat_arrays(spark, tmp_path):
     assert sinks.flat_arrays(df.limit(0), "id", ["offset"], ["<i8"]).count() == 0
     with pytest.raises(Exception, match="repeats or skips"):
         sinks.flat_arrays(df.where("id <> 3"), "id", ["offset"], ["<i8"]).collect()
+
+
+def test_json_takes_the_place_of_an_older_one(spark, tmp_path):
+    path = f"{tmp_path}/a/b.json"
+    for value in ({"x": 1}, {"x": 2}):
+        digest = sinks.write_json(spark, path, value)
+        assert json.load(open(path)) == value and sinks.file_digests(spark, f"{tmp_path}/a").where("path LIKE '%b.json'").first().sha256 == digest
+    assert [x for x in os.listdir(f"{tmp_path}/a") if not x.startswith(".")] == ["b.json"]
+
+
+@pytest.mark.parametrize("text", ["[]", " [ ] ", '{"frame_index": 1}'])
+def test_logs_must_list_steps(spark, tmp_path, text):
+    put(f"{tmp_path}/a_info.json", [{"frame_index": 0}])
+    assert readers.step_logs(spark, f"{tmp_path}/*_info.json", checked=True).count() == 1
+    put(f"{tmp_path}/b_info.json", text)
+    with pytest.raises(ValueError, match="b_info.json"):
+        readers.step_logs(spark, f"{tmp_path}/*_info.json", checked=True)
+
+
+def test_lines_keep_their_order(spark, tmp_path):
+    for part in range(2):
+        put(f"{tmp_path}/{part}.jsonl", "".join(f"{part}-{i}\n" for i in range(200)))
+    for _ in range(2):
+        sinks.concat_lines(spark, [f"{tmp_path}/1.jsonl", f"{tmp_path}/0.jsonl"], f"{tmp_path}/out")
+    parts = sorted(x for x in os.listdir(f"{tmp_path}/out") if x.startswith("part-"))
+    assert "".join(open(f"{tmp_path}/out/{x}").read() for x in parts).split() == [f"{p}-{i}" for p in (1, 0) for i in range(200)]

@@ -19,7 +19,7 @@ def test_bats_scores_has_every_frame_of_a_long_episode(spark, tmp_path):
 def test_dedup_history_looks_back_through_all(spark, tmp_path):
     _events(spark, tmp_path, 50)
     # one frame differs from all others and is 49 frames back from the last anchor
-    kept = {r.kept_frame for r in rollouts.dedup_history_full(spark, str(tmp_path)).where("frame_index = 49").collect()}
+    kept = {r.kept_frame for r in rollouts.dedup_history(spark, str(tmp_path)).where("frame_index = 49").collect()}
     hashes = {r.frame_index: r.front_dhash for r in rollouts.frames(spark, str(tmp_path)).collect()}
     apart = bin(int(hashes[0], 16) ^ int(hashes[1], 16)).count("1")
     assert apart > 32 and kept == {0, 48}
