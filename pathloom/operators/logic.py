@@ -18,12 +18,15 @@ def type_closure(parents: DataFrame) -> DataFrame:
         SELECT DISTINCT sub, super FROM closure WHERE super IS NOT NULL""")
 
 
-def assignments(entities: DataFrame, closure: DataFrame, wanted: list[str], ordered: bool = True) -> DataFrame:
+def assignments(entities: DataFrame, closure: DataFrame, wanted: list[str], ordered: bool = True, most: int = 10_000) -> DataFrame:
     """Distinct entities for each wanted type, subtypes included: columns e0, e1, …
 
-    ``ordered`` gives permutations; else combinations, each set once. The universe of
-    a domain is a parameter of the task, so this join is bounded by it.
+    ``ordered`` gives permutations; else combinations, each set once. The result is the
+    product of what fits each type, so the universe of a domain must be small: ValueError
+    if there are more than ``most`` entities.
     """
+    if entities.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} entities")
     typed = entities.join(closure.withColumnRenamed("sub", "type"), "type")
     sides = [typed.where(F.col("super") == t).select(F.col("name").alias(f"e{i}")).distinct() for i, t in enumerate(wanted)]
     out = sides[0]

@@ -291,3 +291,25 @@ def time_stamps(spark, sf_dir):
     at = F.timestamp_seconds(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 86400)
     stamped = table(spark, sf_dir, "orders").select("o_orderkey", text.stamp(at).alias("stamp"), text.iso_time(at).alias("iso"))
     return stamped.select("o_orderkey", "stamp", F.unix_timestamp(text.parse_stamp(F.col("stamp"))).alias("seconds"), "iso")
+
+
+@query("SELECT vec_id, CASE WHEN vec_id % 5 = 0 OR vec_id % 5 = 1 THEN -1.0::DOUBLE ELSE round(embedding[1]::DOUBLE, 6) + 0.0 END AS scalar FROM embeddings")
+def measure_scalar(spark, sf_dir):
+    """The first element of a measure as a number; absent, empty and not-a-number ones give the default."""
+    values = F.when(F.col("vec_id") % 5 == 0, F.array().cast("array<double>")).when(F.col("vec_id") % 5 == 1, F.array(F.lit(float("nan")))).when(F.col("vec_id") % 5 != 5, F.col("embedding").cast("array<double>"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(text.first_number(values, -1.0), 6).alias("scalar"))
+
+
+@query("SELECT p_partkey, concat('on_', p_size) AS name, 2::INT AS n_args, p_brand AS first_arg, concat('c', p_size) AS last_arg FROM part")
+def name_parser(spark, sf_dir):
+    """Predicates written as name(arg, arg), with spaces, taken apart."""
+    written = F.concat(F.lit("  on_"), "p_size", F.lit("( "), "p_brand", F.lit(" ,  c"), "p_size", F.lit(", ) "))
+    name, args = text.call_parts(written)
+    return table(spark, sf_dir, "part").select("p_partkey", name, args).select("p_partkey", "name", F.size("args").alias("n_args"), F.col("args")[0].alias("first_arg"), F.col("args")[1].alias("last_arg"))
+
+
+@query("SELECT c_custkey, row_number() OVER (ORDER BY lower(regexp_extract(c_name, '^[^0-9]*')), regexp_extract(c_name, '[0-9]+')::BIGINT) AS place FROM (SELECT c_custkey, concat(CASE WHEN c_custkey % 2 = 0 THEN 'Room' ELSE 'room' END, c_custkey) AS c_name FROM customer)")
+def natural_split_sort(spark, sf_dir):
+    """Names with numbers in them, the numbers compared as such and letters without case."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.when(F.col("c_custkey") % 2 == 0, "Room").otherwise("room"), "c_custkey").alias("name"))
+    return running_before(c.select("c_custkey", text.natural_split_key(F.col("name")).alias("key")), ["key", "c_custkey"], F.lit(1), "before").select("c_custkey", (F.col("before") + 1).alias("place"))
