@@ -54,6 +54,22 @@ SELECT p.doc_id, p.path, coalesce(o.template, n.template) AS license,
 FROM placed p LEFT JOIN own o ON o.doc_id = p.doc_id AND o.path = p.path LEFT JOIN nearest n ON n.dir = p.dir
 """
 
+_TOKENS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP4 = rf"""
+WITH items AS (SELECT item_id, {_TOKENS.format("coalesce(text, '')")} AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(len(w), 10) AS size FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS words FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM sized)),
+sizes AS (SELECT DISTINCT size FROM windows),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_TOKENS.format("coalesce(text, '')")} AS w FROM documents),
+places AS (SELECT r, i, size, array_to_string(w[i:i + size - 1], ' ') AS words FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes WHERE len(w) >= size)),
+found AS (SELECT r, i, p.size, item_id FROM places p JOIN windows n ON p.size = n.size AND p.words = n.words),
+hit AS (SELECT r, count(DISTINCT at_word) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS at_word FROM (SELECT DISTINCT r, i, size FROM found)) GROUP BY r),
+of AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN of USING (r)
+"""
+
 OP7 = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings),
 s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0)
@@ -81,4 +97,4 @@ leaf AS (SELECT doc_id, min(depth) AS depth FROM h JOIN sums ON h.h >> (60 - sum
 SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(h >> (60 - depth)), 60, '0'), depth::INT) END AS shard, depth::INT AS depth, b::BIGINT AS row_bytes FROM h JOIN leaf USING (doc_id)
 """
 
-ORACLES = {"op1_license_scan": OP1, "op7_topk": OP7, "op9_chat_format": OP9, "op10_sharding": OP10}
+ORACLES = {"op1_license_scan": OP1, "op4_decontamination": OP4, "op7_topk": OP7, "op9_chat_format": OP9, "op10_sharding": OP10}
