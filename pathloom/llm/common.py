@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import re
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +86,25 @@ def key_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield [np.concatenate(x) for x in zip(*carry, strict=True)]
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def in_parts(run: Callable[[Batches], Batches], rows: int = 1024) -> Callable[[Batches], Batches]:
+    """A function for ``mapInArrow`` that is given ``rows`` rows at a time, and whose worker returns its free memory at the end.
+
+    Workers are kept for later stages, so what one stage leaves allocated would add up with what the next one needs.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches: Batches) -> Batches:
+        yield from run(b.slice(at, rows) for b in batches for at in range(0, max(b.num_rows, 1), rows))
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return wrapped
+
+
 def kept_rows(batch: pa.RecordBatch, keep: list[bool]) -> pa.RecordBatch:
     return batch.filter(pa.array(keep, pa.bool_()))
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathloom.llm.bpe import encoder, in_slices
-from pathloom.llm.common import texts_of
+from pathloom.llm.common import in_parts, texts_of
 
 #: One piece: document, its first id's place there, ids of the document in all, the piece's ids as bytes.
 Piece = tuple[int | None, int, int, bytes]
@@ -154,4 +154,4 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k", window: int = 1024,
             note(full)
         yield out()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(in_parts(run), SCHEMA)

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.llm.common import texts_of
+from pathloom.llm.common import in_parts, texts_of
 
 # The base patterns, in the order in which kinds sort.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -251,7 +251,7 @@ def scan(docs: DataFrame) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True))], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(in_parts(run), SCHEMA)
 
 
 def hide(text: str, found: list[tuple[str, int, int]], mark: str = "[SECRET]") -> str:
@@ -288,4 +288,4 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
                     columns[chars] = pa.array(values, columns[chars].type)
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(in_parts(run), schema)

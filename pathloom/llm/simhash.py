@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.llm.common import cut, key_groups, shuffle_partitions, text_hash, texts_of, without_rows
+from pathloom.llm.common import cut, in_parts, key_groups, shuffle_partitions, text_hash, texts_of, without_rows
 from pathloom.llm.components import components
 
 #: Linked at this many differing bits or fewer.
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             found = np.array([fingerprint(t, shingle) for t in texts_of(b.column(2))], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), text_hash(), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, text_hash long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), text_hash(), F.col("text").cast("binary")).mapInArrow(in_parts(run), "doc_id long, text_hash long, fp long")
 
 
 def covering_quads() -> list[tuple[int, ...]]:

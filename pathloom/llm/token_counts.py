@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathloom.llm.bpe import encoder, in_slices
-from pathloom.llm.common import texts_of
+from pathloom.llm.common import in_parts, texts_of
 
 SCHEMA = "doc_id long, section string, section_no int, start long, end long, tokens long, crossing long, doc_tokens long"
 
@@ -81,7 +81,7 @@ def token_counts(docs: DataFrame, fields: dict[str, Column | str], vocabulary: s
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
     columns = [(F.col(c) if isinstance(c, str) else c).cast("string").alias(f"f{i}") for i, c in enumerate(fields.values())]
-    return docs.select(F.col("doc_id").cast("long"), *columns).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), *columns).mapInArrow(in_parts(run), SCHEMA)
 
 
 def with_title(docs: DataFrame, vocabulary: str = "byte_bpe_50k", rule: str = "most") -> DataFrame:

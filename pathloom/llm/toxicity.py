@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.llm.common import cut, kept_rows, texts_of
+from pathloom.llm.common import cut, in_parts, kept_rows, texts_of
 
 BUCKETS = 1 << 22
 THRESHOLD = 0.3
@@ -193,7 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, m
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["kind", "features"])
 
     # the picked keys are at most max_positive + max_unlabelled longs
-    rows = cut(keyed.join(F.broadcast(picked), "doc_id").select("kind", "text").mapInArrow(run, "kind int, features binary")).toLocalIterator()
+    rows = cut(keyed.join(F.broadcast(picked), "doc_id").select("kind", "text").mapInArrow(in_parts(run), "kind int, features binary")).toLocalIterator()
     sides: tuple[list, list] = ([], [])
     for kind, found in rows:
         if len(found):
@@ -212,7 +212,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             s = shared.value.scores([features.of(t) for t in texts_of(b.column(1))])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())], names=["doc_id", "score", "predicted"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, predicted int")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(in_parts(run), "doc_id long, score double, predicted int")
 
 
 def reject(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -225,4 +225,4 @@ def reject(docs: DataFrame, model: Model, text: str = "text", threshold: float =
         for b in batches:
             yield kept_rows(b, (shared.value.scores([features.of(t) for t in texts_of(b.column(place))]) < threshold).tolist())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(in_parts(run), docs.schema)
