@@ -35,11 +35,12 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.llm.common import kept_rows, texts_of
+from pathloom.llm.common import in_parts, kept_rows, texts_of
 
 WINDOW = 10
-#: Words of a shard, and of a block of the benchmark; one longer text is a shard or block of its own.
+#: Words and rows of a shard at most, and words of a block of the benchmark; one longer text is a shard or block of its own.
 SHARD_WORDS = 2_000_000
+SHARD_ROWS = 2048
 BLOCK_WORDS = 1_000_000
 #: A-Z lowered, other ASCII but digits and letters turned to spaces, everything else kept.
 _TABLE = bytes(i + 32 if 65 <= i <= 90 else i if i >= 128 or 48 <= i <= 57 or 97 <= i <= 122 else 32 for i in range(256))
@@ -249,7 +250,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
             columns = [b.column(0), pa.array(n, pa.int64()), pa.array(hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(digests, pa.string()), pa.array([x > 0 for x in hit], pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(in_parts(run, SHARD_ROWS), SCHEMA)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -261,7 +262,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", win
             texts = [x.encode() for x in texts_of(b.column(place))]
             yield kept_rows(b, [hit == 0 for _, hit, _ in _found(texts, shared, SHARD_WORDS)])
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(in_parts(run, SHARD_ROWS), docs.schema)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -284,6 +285,6 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=[x.split()[0] for x in schema.split(", ")])
 
-    found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, schema)
+    found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(in_parts(run, SHARD_ROWS), schema)
     best = found.groupBy("item_id", "item_word").agg(F.max(F.struct("length", (-F.col("doc_id")).alias("d"), (-F.col("doc_word")).alias("w"))).alias("m"))
     return best.select("item_id", "item_word", "m.length", (-F.col("m.d")).alias("doc_id"), (-F.col("m.w")).alias("doc_word"))
