@@ -1,5 +1,6 @@
 """SQL for DuckDB that gives the rows of those queries that SQL can express."""
 
+from pathloom.llm import quality_rules, vector_codes
 from pathloom.llm.license_scan import LICENSE_FILE, TEMPLATES, THRESHOLD, header_sizes, speaks
 
 
@@ -97,4 +98,80 @@ leaf AS (SELECT doc_id, min(depth) AS depth FROM h JOIN sums ON h.h >> (60 - sum
 SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(h >> (60 - depth)), 60, '0'), depth::INT) END AS shard, depth::INT AS depth, b::BIGINT AS row_bytes FROM h JOIN leaf USING (doc_id)
 """
 
-ORACLES = {"op1_license_scan": OP1, "op4_decontamination": OP4, "op7_topk": OP7, "op9_chat_format": OP9, "op10_sharding": OP10}
+
+
+def _codes_sql(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """Codebooks by plain search of all entries, a few tables per round."""
+    floor = "CASE WHEN {0} % {1} < 0 THEN {0} // {1} - 1 ELSE {0} // {1} END"  # whole division goes towards zero
+    out = [
+        f"kept AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"cut AS MATERIALIZED (SELECT r, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM kept, (SELECT unnest(range({parts})) AS p))",
+        f"b0 AS MATERIALIZED (SELECT p, e, x AS c FROM cut JOIN (SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM kept) USING (r) WHERE e < {entries})",
+    ]
+    near = "SELECT r, p, x, e, d FROM (SELECT r, cut.p, x, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM cut JOIN b{0} b ON b.p = cut.p) QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY d, e) = 1"
+    for i in range(rounds):
+        mean = floor.format("s", "n")
+        out.append(f"a{i} AS MATERIALIZED ({near.format(i)})")
+        out.append(f"m{i} AS (SELECT p, e, list(c ORDER BY i) AS c FROM (SELECT p, e, i, {mean} AS c FROM (SELECT p, e, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS i FROM a{i}) GROUP BY ALL)) GROUP BY ALL)")
+        out.append(f"b{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.c, b.c) AS c FROM b{i} b LEFT JOIN m{i} m USING (p, e))")
+    out.append(f"last AS (SELECT r, string_agg(lower(lpad(to_hex(e), 2, '0')), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM ({near.format(rounds)}) GROUP BY r)")
+    out.append(f"told AS (SELECT sha256(coalesce(string_agg(array_to_string(c, ','), ',' ORDER BY p, e), '')) AS codebooks_sha256 FROM b{rounds})")
+    out.append("by_label AS (SELECT label, sum(error)::BIGINT AS label_error FROM kept JOIN last USING (r) GROUP BY label)")
+    return f"WITH {', '.join(out)} SELECT vec_id, code, error, label_error, codebooks_sha256 FROM kept JOIN last USING (r) JOIN by_label ON kept.label IS NOT DISTINCT FROM by_label.label, told"
+
+
+OP11 = _codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE)
+
+# CRC-32 by bits: the reversed polynomial, started from and ended by all ones
+_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), lambda i: ascii(substr({0}, i, 1))::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda _: 0::BIGINT)), lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+
+OP12 = f"""
+WITH m AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id, {_CRC.format("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM m)),
+rebuilt AS (
+  SELECT ids.conv_id, i, role, text FROM ids JOIN m ON m.conv_id = ids.conv_id - ids.conv_id % 5 AND i <= h
+  UNION ALL SELECT ids.conv_id, i, role, text FROM ids JOIN m ON m.conv_id = ids.conv_id AND i > h),
+steps AS (SELECT conv_id, i, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS d, length(role) || ':' || role || text AS t, strlen(text) AS b FROM rebuilt),
+paths AS (SELECT conv_id, 0 AS d, [] AS path, 0 AS b FROM ids UNION ALL SELECT conv_id, d, list(t) OVER (PARTITION BY conv_id ORDER BY d) AS path, b FROM steps),
+ends AS (SELECT conv_id, max(d) AS last_d FROM paths GROUP BY conv_id),
+nodes AS MATERIALIZED (SELECT d, sha256(array_to_string(path, chr(0))) AS node, min(path) AS path, min(conv_id) AS conv_id, count(*) AS n, min(b) AS b,
+  string_agg(CASE WHEN last_d = d THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ids FROM paths JOIN ends USING (conv_id) GROUP BY d, node),
+up AS (SELECT c.d, c.node, p.conv_id AS parent FROM nodes c JOIN nodes p ON p.d = c.d - 1 AND p.node = sha256(array_to_string(c.path[1:c.d - 1], chr(0)))),
+kids AS (SELECT p.d, p.node, count(*) AS n_children FROM nodes c JOIN nodes p ON p.d = c.d - 1 AND p.node = sha256(array_to_string(c.path[1:c.d - 1], chr(0))) GROUP BY ALL),
+spread AS (SELECT a, sha256(array_to_string(path[1:a], chr(0))) AS node, (n - 1) * b AS saved, (k.n_children IS NULL)::INT AS leaf FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM nodes) x LEFT JOIN kids k ON k.d = x.d AND k.node = x.node),
+sums AS (SELECT a AS d, node, sum(saved)::BIGINT AS saved, sum(leaf)::BIGINT AS leaves FROM spread GROUP BY ALL)
+SELECT conv_id, n.d::BIGINT AS depth, parent AS parent_conv_id, n AS n_convs, coalesce(n_children, 0) AS n_children, leaves AS n_leaves, saved AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n JOIN sums s ON s.d = n.d AND s.node = n.node LEFT JOIN up ON up.d = n.d AND up.node = n.node LEFT JOIN kids k ON k.d = n.d AND k.node = n.node
+"""
+
+
+def _rules_sql() -> str:
+    """Counts, the certified cutoffs of each language and rule, and the verdicts."""
+    rules, sums = quality_rules.RULES, "exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({0}) + (n - i) * ln(1 - {0}))"
+    limit = quality_rules.ALPHA / len(rules)
+    ladder = ", ".join(f"('{r.name}', {i}, {c})" for r in rules for i, c in enumerate(r.ladder))
+    rejects = "CASE rule " + " ".join(f"WHEN '{r.name}' THEN {r.whole} > 0 AND 1000 * {r.part} {'<=' if r.low else '>='} cutoff * {r.whole}" for r in rules) + " END"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+grams AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+again AS (SELECT r, i FROM grams QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+repeats AS (SELECT r, count(DISTINCT i + o) AS n_repeat_words FROM again, (SELECT unnest(range(5)) AS o) GROUP BY r),
+lines AS (SELECT r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l FROM d),
+counts AS MATERIALIZED (SELECT r, doc_id, lang, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  len(l) - len(list_distinct(l)) AS n_dup_lines, len(l) AS n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM d JOIN lines USING (r) LEFT JOIN repeats USING (r)),
+based AS MATERIALIZED (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts),
+good AS (SELECT * FROM based WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+ladder(rule, place, cutoff) AS (VALUES {ladder}),
+seen AS (SELECT lang, rule, place, cutoff, count(*) AS n, count(*) FILTER ({rejects}) AS k FROM good, ladder GROUP BY ALL),
+level AS (SELECT {quality_rules.DELTA} / (count(DISTINCT coalesce(lang, chr(0))) * {len(rules)}) AS most FROM seen),
+risk AS (SELECT lang, rule, place, cutoff, CASE WHEN k >= n * {limit} THEN 1 ELSE (SELECT sum({sums.format(limit)}) FROM (SELECT unnest(range(0, k + 1)) AS i)) END AS p FROM seen),
+sure AS (SELECT lang, rule, place, cutoff, bool_and(p <= most) OVER (PARTITION BY lang, rule ORDER BY place) AS held FROM risk, level),
+limits AS (SELECT lang, rule, arg_max(cutoff, place) AS cutoff FROM sure WHERE held GROUP BY ALL),
+bad AS (SELECT DISTINCT r FROM based JOIN limits ON based.lang IS NOT DISTINCT FROM limits.lang WHERE {rejects})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.r IS NULL AS kept FROM based LEFT JOIN bad USING (r)
+"""
+
+
+OP13 = _rules_sql()
+
+ORACLES = {"op1_license_scan": OP1, "op4_decontamination": OP4, "op7_topk": OP7, "op9_chat_format": OP9, "op10_sharding": OP10, "op11_vector_codes": OP11, "op12_prefix_trie": OP12, "op13_quality_rules": OP13}

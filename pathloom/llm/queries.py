@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathloom.llm import bitslice_topk, chat_format, decontam, license_scan, packing, secret_scan, sharding, simhash, token_counts, toxicity
-from pathloom.llm.common import documents
+from pathloom.llm import bitslice_topk, chat_format, decontam, license_scan, packing, prefix_trie, quality_rules, secret_scan, sharding, simhash, token_counts, toxicity, vector_codes
+from pathloom.llm.common import cut, documents, if_small
 from pathloom.llm.oracles import ORACLES
 
 SHARD_BYTES = 256 << 10
@@ -81,7 +81,36 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir), "doc_id", F.octet_length("text"), SHARD_BYTES).select("doc_id", "shard", "depth", "row_bytes")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_toxicity, op4_decontamination, op5_simhash, op6_token_counts, op7_topk, op8_packing, op9_chat_format, op10_sharding)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    history = vector_codes.fit(vectors)
+    coded = cut(vector_codes.encode(vectors, history, ["vec_id", "label"]))
+    labels = coded.groupBy(F.col("label").alias("__label")).agg(F.sum("error").alias("label_error"))
+    books = history[-1] if history else []
+    joined = coded.join(if_small(cut(labels)), F.col("label").eqNullSafe(F.col("__label")))
+    return joined.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation opens with the first turns of another, up to eight; h is by the id's CRC-32."""
+    own = prefix_trie.sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    c = F.col("conv_id")
+    heads = own.select(c.alias("base"), F.slice("turns", 1, 8).alias("head"))
+    h = (F.crc32(c.cast("string").cast("binary")) % 9).cast("int")
+    opened = own.withColumn("h", h).join(heads, (c - c % 5) == F.col("base"), "left")
+    no_turns = F.array().cast("array<struct<key:binary,bytes:bigint>>")
+    head = F.when(F.col("h") > 0, F.slice(F.coalesce("head", no_turns), 1, F.greatest("h", F.lit(1)))).otherwise(no_turns)
+    rebuilt = opened.select("conv_id", F.concat(head, F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns"), F.lit(1)))).alias("turns"))
+    return prefix_trie.trie(rebuilt)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = quality_rules.counted(documents(spark, sf_dir), ["doc_id", "lang"])
+    judged = quality_rules.judged(counts, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_toxicity, op4_decontamination, op5_simhash, op6_token_counts, op7_topk, op8_packing, op9_chat_format, op10_sharding, op11_vector_codes, op12_prefix_trie, op13_quality_rules)}
 
 
 def queries() -> dict:
