@@ -50,7 +50,7 @@ def _corpus(seed, n, junk=0.2):
     out = []
     for i in range(n):
         bad = rng.random() < junk
-        share = 0.6 if bad else rng.choice([0, 0, 0, 0, 0.05, 0.15, rng.random() * 0.3])
+        share = 0.9 if bad else rng.choice([0, 0, 0, 0, 0.05, 0.15, rng.random() * 0.3])
         words = [f"w{rng.randint(0, 10**6)}" + ("#" if rng.random() < share else "") for _ in range(40)]
         out.append((i, " ".join(words), rng.choice(["en", "en", "de", None]), int(not bad)))
     return out
