@@ -7,15 +7,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pathloom.operators.prefix import checkpointed
+
 
 def type_closure(parents: DataFrame) -> DataFrame:
-    """All (sub, super) pairs over ``parents(sub, super)``, each type under itself too. Types in a cycle are under each other."""
-    parents.createOrReplaceTempView("__type_parents")
-    return parents.sparkSession.sql("""
-        WITH RECURSIVE closure(sub, super, path) AS (
-          SELECT DISTINCT t, t, array(t) FROM (SELECT sub AS t FROM __type_parents UNION SELECT super FROM __type_parents)
-          UNION ALL SELECT c.sub, p.super, array_append(c.path, p.super) FROM closure c JOIN __type_parents p ON c.super = p.sub AND NOT array_contains(c.path, p.super))
-        SELECT DISTINCT sub, super FROM closure WHERE super IS NOT NULL""")
+    """All (sub, super) pairs over ``parents(sub, super)``, each type under itself too. Types in a cycle are under each other.
+
+    Each round joins the distinct pairs found so far with themselves, so it doubles the length of the paths it covers:
+    as many rounds as the logarithm of the longest path, and no path is carried, however many lead from one type to another.
+    """
+    edges = parents.where("sub is not null and super is not null").select("sub", "super")
+    types = parents.select(F.col("sub").alias("t")).unionByName(parents.select(F.col("super").alias("t"))).where("t is not null")
+    pairs = checkpointed(edges.unionByName(types.select(F.col("t").alias("sub"), F.col("t").alias("super"))).distinct())
+    n, before = pairs.count(), -1
+    while n != before:
+        on = pairs.select(F.col("sub").alias("super"), F.col("super").alias("__above"))
+        pairs = checkpointed(pairs.join(on, "super").select("sub", F.col("__above").alias("super")).distinct())
+        n, before = pairs.count(), n
+    return pairs
 
 
 def assignments(entities: DataFrame, closure: DataFrame, wanted: list[str], ordered: bool = True, most: int = 10_000) -> DataFrame:
@@ -60,3 +69,23 @@ def truth_trace(tree: tuple) -> Column:
         out.append(F.when(seen, value))
         seen = seen & (value != F.lit(stop))
     return F.array(*out)
+
+
+def nested_trace(tree: tuple | str) -> Column:
+    """(node, value) of all nodes of ``tree`` in pre-order, 0 at the root; the value is null where nobody asked for it.
+
+    A part is asked for if its parent is, and no part of the parent before it has decided. Only then is it evaluated.
+    """
+    rows: list[Column] = []
+
+    def visit(node: tuple | str, asked: Column) -> None:
+        rows.append(F.struct(F.lit(len(rows)).alias("node"), F.when(asked, formula(node)).alias("value")))
+        if isinstance(node, str):
+            return
+        op, *parts = node
+        for part in parts:
+            visit(part, asked)
+            asked = asked & (formula(part) != F.lit(op in ("or", "nor")))
+
+    visit(tree, F.lit(True))
+    return F.array(*rows)

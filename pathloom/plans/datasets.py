@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathloom.functions import text
 from pathloom.operators import datasets, logic
+from pathloom.operators import quantifiers as quantifiers_
 from pathloom.operators.prefix import running_before
 from pathloom.plans.registry import query
 from pathloom.plans.standins import FRAMES_SQL, episodes, frames, table
@@ -165,10 +169,16 @@ def truthiness(spark, sf_dir):
 HIERARCHY = [("asia", "place"), ("europe", "place"), ("coast", "asia"), ("place", "thing")]
 
 
-@query("""WITH RECURSIVE p(sub, super) AS (VALUES ('asia', 'place'), ('europe', 'place'), ('coast', 'asia'), ('place', 'thing')),
-c AS (SELECT t AS sub, t AS super FROM (SELECT sub AS t FROM p UNION SELECT super FROM p) UNION SELECT c.sub, p.super FROM c JOIN p ON c.super = p.sub) SELECT sub, super FROM c""")
+HIERARCHY_SQL = "WITH RECURSIVE p(sub, super) AS (SELECT DISTINCT p_type, p_brand FROM part UNION SELECT DISTINCT p_brand, concat('size', p_size) FROM part UNION SELECT DISTINCT concat('size', p_size), concat('class', p_size % 3) FROM part UNION SELECT DISTINCT concat('class', p_size % 3), 'thing' FROM part)"
+
+
+@query(HIERARCHY_SQL + """, c AS (SELECT t AS sub, t AS super FROM (SELECT sub AS t FROM p UNION SELECT super FROM p) UNION SELECT c.sub, p.super FROM c JOIN p ON c.super = p.sub) SELECT sub, super FROM c""")
 def type_closure(spark, sf_dir):
-    return logic.type_closure(spark.createDataFrame(HIERARCHY, "sub string, super string"))
+    """Types, brands, sizes and classes of parts under each other: thousands of paths lead from a type to the root."""
+    p = table(spark, sf_dir, "part")
+    size, group = F.concat(F.lit("size"), "p_size"), F.concat(F.lit("class"), F.col("p_size") % 3)
+    steps = [(F.col("p_type"), F.col("p_brand")), (F.col("p_brand"), size), (size, group), (group, F.lit("thing"))]
+    return logic.type_closure(reduce(DataFrame.unionByName, [p.select(a.alias("sub"), b.alias("super")).distinct() for a, b in steps]))
 
 
 ENTITIES_SQL = """WITH e AS (SELECT n_name AS name, CASE n_regionkey WHEN 2 THEN 'asia' WHEN 3 THEN 'europe' WHEN 1 THEN 'coast' ELSE 'thing' END AS type, n_nationkey AS k FROM nation)"""
@@ -192,6 +202,48 @@ def predicate_combinations(spark, sf_dir):
     return logic.assignments(_entities(spark, sf_dir).select("name", "type"), closure, ["place", "place"], ordered=False)
 
 
+PLACES_SQL = """WITH lives AS (SELECT c_custkey AS c, c_nationkey AS n FROM customer), poor AS (SELECT c_custkey AS c FROM customer WHERE c_acctbal < -800), urgent AS (SELECT o_custkey AS c, o_orderkey AS o FROM orders WHERE o_orderpriority = '1-URGENT'),
+served AS (SELECT c FROM urgent UNION SELECT c_custkey FROM customer WHERE c_acctbal >= 9900)"""
+
+
+def _places(spark: SparkSession, sf_dir: str) -> quantifiers_.Domain:
+    """Nations under their regions, customers and orders, and who lives where, is poor or rich, has placed what."""
+    c, o, n = (table(spark, sf_dir, x) for x in ("customer", "orders", "nation"))
+    person, order = F.concat(F.lit("c"), "c_custkey"), F.concat(F.lit("o"), "o_orderkey")
+    nation = lambda k: F.concat(F.lit("n"), k)
+    entities = c.select(person.alias("name"), F.lit("person").alias("type")).unionByName(o.select(order.alias("name"), F.lit("order").alias("type"))).unionByName(n.select(nation("n_nationkey").alias("name"), F.concat(F.lit("region"), "n_regionkey").alias("type")))
+    parents = n.select(F.concat(F.lit("region"), "n_regionkey").alias("sub"), F.lit("place").alias("super")).distinct()
+    facts = {
+        "lives": c.select(person, nation("c_nationkey")), "poor": c.where("c_acctbal < -800").select(person), "rich": c.where("c_acctbal >= 9900").select(person),
+        "placed": o.select(F.concat(F.lit("c"), "o_custkey"), order), "urgent": o.where("o_orderpriority = '1-URGENT'").select(order),
+    }
+    return quantifiers_.Domain(entities, parents, facts)
+
+
+@query(PLACES_SQL + """ SELECT concat('n', n) AS place, concat('c', c) AS person FROM lives WHERE c IN (SELECT c FROM poor)
+  AND n NOT IN (SELECT n FROM lives JOIN poor USING (c) WHERE c NOT IN (SELECT c FROM served))""")
+def nested_quantifiers(spark, sf_dir):
+    """Places and their poor, where all poor people of the place have an urgent order or are rich: for all, and exists in it, inside exists."""
+    Is, All, Any, Quantified = quantifiers_.Is, *(lambda *parts, op=op: quantifiers_.Combined(op, parts) for op in ("and", "or")), quantifiers_.Quantified
+    has_urgent = Quantified("exists", (("o", "order"),), All(Is("placed", ("q", "o")), Is("urgent", ("o",))))
+    poor_here = quantifiers_.Combined("nand", (Is("lives", ("q", "place")), Is("poor", ("q",))))
+    everyone = Quantified("forall", (("q", "person"),), Any(poor_here, has_urgent, Is("rich", ("q",))))
+    whole = Quantified("exists", (("place", "place"), ("person", "person")), All(Is("lives", ("person", "place")), Is("poor", ("person",)), everyone))
+    return _places(spark, sf_dir).bindings(whole)
+
+
+@query(PLACES_SQL + """ SELECT concat('n', n_nationkey) AS place FROM nation WHERE n_regionkey IN (1, 2) AND n_nationkey NOT IN (SELECT n FROM lives JOIN poor USING (c)) OR n_regionkey IN (1, 2) AND n_nationkey IN (SELECT n FROM lives GROUP BY n HAVING bool_and(c IN (SELECT c FROM urgent)))""")
+def negated_quantifiers(spark, sf_dir):
+    """Places of two regions where nobody is poor, or everybody has an urgent order."""
+    Is, Quantified, Combined = quantifiers_.Is, quantifiers_.Quantified, quantifiers_.Combined
+    nobody = Quantified("forall", (("q", "person"),), Combined("nor", (Combined("and", (Is("lives", ("q", "place")), Is("poor", ("q",)))),)))
+    urgent = Quantified("exists", (("o", "order"),), Combined("and", (Is("placed", ("q", "o")), Is("urgent", ("o",)))))
+    busy = Combined("and", (Quantified("exists", (("r", "person"),), Is("lives", ("r", "place"))), Combined("nor", (Quantified("exists", (("q", "person"),), Combined("and", (Is("lives", ("q", "place")), Combined("nor", (urgent,))))),))))
+    domain = _places(spark, sf_dir)
+    found = [domain.satisfying(Combined("or", (nobody, busy)), {"place": kind}) for kind in ("region1", "region2")]
+    return found[0].unionByName(found[1])
+
+
 @query(FRAMES_SQL + "SELECT episode_id, bool_and(dis_to_human <= 5 AND vy >= -1) AS always, bool_or(human_collision) AS ever FROM frames GROUP BY episode_id")
 def quantifiers(spark, sf_dir):
     f = frames(spark, sf_dir)
@@ -284,6 +336,17 @@ def formula_trace(spark, sf_dir):
     return f.select("episode_id", "frame_index", *(t[i].alias(f"{op}_{i}") for op, t in traces.items() for i in range(3)))
 
 
+@query(FRAMES_SQL + """, t AS (SELECT episode_id, frame_index, human_following AS a, dis_to_human > 2 AS b, human_collision AS c, vx > 0.5 AS d FROM frames),
+v AS (SELECT *, NOT (b AND c) AS n, (a OR d) AS o FROM t), w AS (SELECT *, NOT (n OR d) AS r, o AND n AND NOT (n OR d) AS root FROM v)
+SELECT episode_id, frame_index, unnest(range(0, 10))::INT AS node, unnest([root, o, a, CASE WHEN NOT a THEN d END, CASE WHEN o THEN r END, CASE WHEN o THEN n END, CASE WHEN o THEN b END, CASE WHEN o AND b THEN c END, CASE WHEN o AND NOT n THEN d END, CASE WHEN o AND r THEN b END]) AS value
+FROM (SELECT * REPLACE (o AND r AND b AS root) FROM w)""")
+def nested_trace(spark, sf_dir):
+    """All nodes of a formula of three levels, in pre-order, each where it was asked for."""
+    f = frames(spark, sf_dir).withColumns({"b": F.col("dis_to_human") > 2, "d": F.col("vx") > 0.5})
+    tree = ("and", ("or", "human_following", "d"), ("nor", ("nand", "b", "human_collision"), "d"), "b")
+    return f.select("episode_id", "frame_index", F.explode(logic.nested_trace(tree)).alias("t")).select("episode_id", "frame_index", "t.node", "t.value")
+
+
 @query("""SELECT o_orderkey, strftime(o_orderdate::TIMESTAMP + INTERVAL 1 SECOND * (o_orderkey % 86400), '%Y%m%dT%H%M%SZ') AS stamp, epoch(o_orderdate::TIMESTAMP)::BIGINT + o_orderkey % 86400 AS seconds,
   strftime(o_orderdate::TIMESTAMP + INTERVAL 1 SECOND * (o_orderkey % 86400), '%Y-%m-%dT%H:%M:%S+00:00') AS iso FROM orders""")
 def time_stamps(spark, sf_dir):
