@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathloom.operators import context, worklist
-from pathloom.operators.prefix import checkpointed, shared_folder
+from pathloom.operators.prefix import checkpointed, running_before, shared_folder
 from pathloom.plans.registry import query
 from pathloom.plans.standins import FRAMES_SQL, frames
-from pathloom.sources import readers, schemas, sinks
+from pathloom.sources import readers, schemas, sinks, versions
 
 R = 6
 CAMERAS = ["front", "left", "right", "rear"]
@@ -67,10 +68,13 @@ def rollout_discovery(spark, sf_dir):
     return _through(spark, lambda root: _rollout_tree(spark, sf_dir, root), read)
 
 
-@query(FOUND_SQL + " SELECT scene, k::VARCHAR AS episode FROM found WHERE len(missing) = 0 ORDER BY scene, k LIMIT 7")
+LIMIT_SQL = FOUND_SQL + ", numbered AS (SELECT *, row_number() OVER (ORDER BY scene, k) AS place, sum((len(missing) = 0)::INT) OVER (ORDER BY scene, k) AS taken FROM found)"
+
+
+@query(LIMIT_SQL + " SELECT scene, k::VARCHAR AS episode, len(missing) = 0 AS accepted FROM numbered WHERE place <= (SELECT min(place) FROM numbered WHERE taken = 7)")
 def rollout_limit(spark, sf_dir):
-    """The first accepted episodes in natural order."""
-    read = lambda root: readers.discover(spark, root, skip_invalid=True, limit=7).where("accepted").select("scene", "episode")
+    """A scan that ends at the seventh accepted episode in natural order: what it has looked at until then."""
+    read = lambda root: readers.discover(spark, root, skip_invalid=True, limit=7).select("scene", "episode", "accepted")
     return _through(spark, lambda root: _rollout_tree(spark, sf_dir, root), read)
 
 
@@ -160,29 +164,45 @@ def front_video_scan(spark, sf_dir):
     return _through(spark, lambda root: index.write.parquet(f"{root}/videos"), lambda root: readers.front_videos(spark, f"{root}/videos"))
 
 
-@query(SOURCES_SQL + " SELECT k, scene_id, total_step FROM src")
+def _entries(spark: SparkSession, folder: str) -> F.Column:
+    """The names in a folder, but for those of Spark's marks."""
+    fs, p = sinks.file_system(spark, folder)
+    return F.lit(",".join(sorted(f.getPath().getName() for f in fs.listStatus(p) if not f.getPath().getName().startswith(("_", ".")))))
+
+
+@query(SOURCES_SQL + " SELECT k, scene_id, total_step, 'a,b,out' AS entries FROM src")
 def merged_parquet(spark, sf_dir):
-    """Two tables whose columns stand in another order, merged by name into one that replaces an old one."""
+    """Two tables whose columns stand in another order, merged by name into one that replaces an old one, twice; nothing else is left."""
 
     def make(root):
         s = _sources(spark, sf_dir)
         s.where("k % 2 = 0").select("k", "scene_id", "total_step").write.parquet(f"{root}/a")
         s.where("k % 2 = 1").select("total_step", "k", "scene_id").write.parquet(f"{root}/b")
         spark.range(3).write.parquet(f"{root}/out")
-        sinks.merge_parquet(spark, [f"{root}/a", f"{root}/b"], f"{root}/out")
+        for _ in range(2):
+            sinks.merge_parquet(spark, [f"{root}/a", f"{root}/b"], f"{root}/out")
 
-    return _through(spark, make, lambda root: spark.read.parquet(f"{root}/out").select("k", "scene_id", "total_step"))
+    return _through(spark, make, lambda root: spark.read.parquet(f"{root}/out").select("k", "scene_id", "total_step", _entries(spark, root).alias("entries")))
 
 
-@query(SOURCES_SQL + " SELECT concat('{\"k\":', k, ',\"n\":', total_step, '}') AS value FROM src")
+@query(SOURCES_SQL + """ SELECT row_number() OVER (ORDER BY CASE WHEN k = (SELECT min(k) FROM src) THEN 0 WHEN k % 3 > 0 THEN 1 ELSE 2 END, k) - 1 AS place, concat('{"k":', k, ',"n":', total_step, '}') AS value, '0,1,2,out' AS entries FROM src""")
 def concatenated_lines(spark, sf_dir):
+    """Files of one, many and some lines, in this order, each line at its place in the result."""
+
     def make(root):
         s = _sources(spark, sf_dir).select(F.to_json(F.struct("k", F.col("total_step").alias("n"))).alias("value"), "k")
-        for part in range(2):
-            s.where(F.col("k") % 2 == part).select("value").write.text(f"{root}/{part}")
-        sinks.concat_lines(spark, [f"{root}/0", f"{root}/1"], f"{root}/out")
+        least = s.agg(F.min("k")).first()[0]
+        part = F.when(F.col("k") == least, 0).when(F.col("k") % 3 > 0, 1).otherwise(2)
+        for i in range(3):
+            sinks.write_single(s.where(part == i).orderBy("k").select("value"), f"{root}/{i}", "text")
+        for _ in range(2):
+            sinks.concat_lines(spark, [f"{root}/{i}" for i in range(3)], f"{root}/out")
 
-    return _through(spark, make, lambda root: spark.read.text(f"{root}/out"))
+    def read(root):
+        lines = sinks.ordered_lines(spark, [f"{root}/out"])
+        return running_before(lines, ["file", "start", "at"], F.lit(1), "place").select("place", "value", _entries(spark, root).alias("entries"))
+
+    return _through(spark, make, read)
 
 
 @query(FRAMES_SQL + "SELECT (source_episode_id // 20) // 3 AS chunk_index, (source_episode_id // 20) % 3 AS file_index, count(*) AS n_rows, 1::BIGINT AS n_files FROM frames WHERE source_episode_id % 40 <> 7 OR frame_index > 0 GROUP BY ALL")
@@ -215,10 +235,11 @@ def episode_dataset_scan(spark, sf_dir):
     return _through(spark, make, read)
 
 
-@query("SELECT unnest(generate_series(0, 24)) AS id, concat('w', unnest(generate_series(0, 24))) AS word")
+@query("SELECT concat(lang, '/', source) AS word, row_number() OVER (ORDER BY lang, source) - 1 AS id FROM (SELECT DISTINCT lang, source FROM documents)")
 def vocabulary_scan(spark, sf_dir):
-    """The word list of a dataset, with its ids."""
-    words = spark.range(25).agg(F.transform(F.array_sort(F.collect_list("id")), lambda i: F.concat(F.lit("w"), i)).alias("word_list")).select(F.struct("word_list").alias("instruction_vocab"))
+    """The word list of a dataset, here of the documents' languages and sources, with its ids."""
+    kinds = spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang", "source").distinct()
+    words = kinds.agg(F.transform(F.array_sort(F.collect_list(F.struct("lang", "source"))), lambda w: F.concat(w["lang"], F.lit("/"), w["source"])).alias("word_list")).select(F.struct("word_list").alias("instruction_vocab"))
     read = lambda root: readers.vocabulary_of(spark, f"{root}/d.json.gz").select(F.col("id").cast("long").alias("id"), "word")
     return _through(spark, lambda root: sinks.write_single(words, f"{root}/d.json.gz", "json", compression="gzip"), read)
 
@@ -258,10 +279,49 @@ def shard_resume(spark, sf_dir):
     first = checkpointed(f.where("ref_id < 2000"))
 
     def make(root):
-        sinks.write_shards(first.withColumn("run", F.lit(1)), f"{root}/s", {"size": 700}, shard_size=700)
-        sinks.write_shards(f.withColumn("run", F.lit(2)), f"{root}/s", {"size": 700}, shard_size=700)
+        sinks.write_shards(first, f"{root}/s", {"size": 700}, shard_size=700)
+        sinks.write_shards(f, f"{root}/s", {"size": 700}, shard_size=700)
+
+    def read(root):
+        rows = spark.read.parquet(f"{root}/s/data").groupBy(F.col("shard").cast("long").alias("shard")).agg(F.count("*").alias("n_rows"), F.max("ref_id").alias("last"))
+        return rows.join(sinks.shard_records(spark, f"{root}/s").select("shard", "run"), "shard")
+
+    return _through(spark, make, read)
+
+
+@query(FRAMES_SQL + """, s AS (SELECT idx // 700 AS shard, count(*) AS n_rows, sum(idx + CASE WHEN idx // 700 = 4 AND idx % 2 = 0 THEN 1 ELSE 0 END)::BIGINT AS total FROM frames GROUP BY ALL)
+SELECT shard, n_rows, total, CASE WHEN shard IN (0, 1, 2, 3, 4) THEN 2 ELSE 1 END AS run, CASE shard WHEN 0 THEN 'damaged' WHEN 1 THEN 'damaged' WHEN 2 THEN 'damaged' WHEN 3 THEN 'unrecorded' WHEN 4 THEN 'outdated' ELSE 'complete' END AS state FROM s""")
+def manifest_resume(spark, sf_dir):
+    """Shards that were cut short, removed, altered, left without a record, or are of older rows are written again, no others."""
+    f = frames(spark, sf_dir, with_index=True).select(F.col("idx").alias("ref_id"), F.col("idx").alias("value"))
+    work = checkpointed(f)
+    newer = work.withColumn("value", F.col("value") + F.when((F.floor(F.col("ref_id") / 700) == 4) & (F.col("ref_id") % 2 == 0), 1).otherwise(0))
+    states = []
+
+    def make(root):
+        path = f"{root}/s"
+        sinks.write_shards(work, path, {"size": 700}, shard_size=700)
+        fs, _ = sinks.file_system(spark, path)
+        for shard in (0, 1):  # one is cut to half its bytes, one removed
+            file = sinks.files_in_order(spark, [f"{path}/data/shard={shard}"])[0]
+            data = sinks.read_small(spark, file)
+            sinks.remove(spark, file)
+            if not shard:
+                sinks.write_bytes(spark, file, data[: len(data) // 2])
+        other = spark.read.parquet(f"{path}/data/shard=2").withColumns({"value": F.col("value") + 1, "shard": F.lit(2)})
+        sinks.write_chunks(checkpointed(other), f"{path}/data", ("shard",))
+        sinks.forget_records(spark, path, F.col("shard") == 3)
+        states.append(checkpointed(sinks.manifest_states(newer.withColumn("shard", F.floor(F.col("ref_id") / 700)), path).select("shard", "state")))
+        sinks.write_shards(newer, path, {"size": 700}, shard_size=700)
+        if sinks.write_shards(newer, path, {"size": 700}, shard_size=700):
+            raise AssertionError("a complete shard was written again")
+
+    def read(root):
+        rows = spark.read.parquet(f"{root}/s/data").groupBy(F.col("shard").cast("long").alias("shard")).agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
+        runs = sinks.shard_records(spark, f"{root}/s").select("shard", F.when(F.col("shard") == 3, 2).otherwise(F.col("run")).alias("run"))
+        return rows.join(runs, "shard").join(states[0], "shard").select("shard", "n_rows", "total", "run", "state")
 
-    return _through(spark, make, lambda root: spark.read.parquet(f"{root}/s/data").groupBy(F.col("shard").cast("long").alias("shard"), "run").agg(F.count("*").alias("n_rows"), F.max("ref_id").alias("last")))
+    return _through(spark, make, read)
 
 
 MAIN = ["data", "episodes", "checkpoint", *CAMERAS]
@@ -275,11 +335,17 @@ def shard_completeness(spark, sf_dir):
     s = _sources(spark, sf_dir).select(F.col("k").alias("shard"), F.col("total_step").alias("n_rows"))
     case = F.col("shard") % 10
     files = s.select("shard", F.explode(F.array(*map(F.lit, [*MAIN, *ARTIFACTS]))).alias("kind")).where(~((case == 0) & F.col("kind").isin(MAIN)) & ~((case == 1) & (F.col("kind") == "tasks")) & ~((case == 2) & (F.col("kind") == "rear")))
-    files = files.withColumn("bytes", F.when((case == 3) & (F.col("kind") == "data"), 0).otherwise(9).cast("long"))
+    content = F.when((case == 3) & (F.col("kind") == "data"), "").otherwise("something")
+    files = files.select(F.format_string("%d/%s", "shard", "kind").alias("name"), content.alias("content"))
     checkpoints = s.select("shard", (case != 4).alias("complete"), (F.col("n_rows") + (case == 5).cast("int")).alias("n_rows"))
     found = s.where(case != 0).select("shard", F.col("n_rows"))
     videos = s.select("shard", (F.col("n_rows") - (case == 6).cast("int")).alias("n_frames"))
-    return sinks.shard_completeness(s, files, MAIN, ARTIFACTS, checkpoints, found, videos)
+
+    def read(root):
+        listed = readers.listing(spark, root).select(F.regexp_extract("path", "([0-9]+)/[^/]+$", 1).cast("long").alias("shard"), F.substring_index("path", "/", -1).alias("kind"), F.col("length").alias("bytes"))
+        return sinks.shard_completeness(s, listed, MAIN, ARTIFACTS, checkpoints, found, videos)
+
+    return _through(spark, lambda root: sinks.write_named(files, root, "name", "content"), read)
 
 
 @query(SOURCES_SQL + """, one AS (SELECT '{"episodes":' || count(*) || ',"frames":' || sum(total_step)::BIGINT || ',"name":"caf\\u00e9"}' AS body FROM src) SELECT body, sha256(body) AS sha256, sha256(body) AS read_sha256 FROM one""")
@@ -318,6 +384,66 @@ def staged_publish(spark, sf_dir):
     return _through(spark, make, read)
 
 
+@query(SOURCES_SQL + """, m(moment, odd) AS (VALUES ('first', false), ('during', false), ('after', true), ('failed', true), ('resolved', false), ('rolled_back', false), ('pruned', true))
+SELECT moment, count(*) AS n, sum(k)::BIGINT AS total, 2 AS kept FROM m, src WHERE k % 2 = 0 OR odd GROUP BY ALL""")
+def versioned_publish(spark, sf_dir):
+    """What readers find while versions are built, after a failed one, through a path resolved before, after going back, and once older ones are gone."""
+    s, seen = checkpointed(_sources(spark, sf_dir).select("k")), []
+
+    def look(moment: str, df: DataFrame) -> None:
+        seen.append(checkpointed(df.agg(F.lit(moment).alias("moment"), F.count("*").alias("n"), F.sum("k").alias("total"))))
+
+    def make(root):
+        target = f"{root}/index"
+        versions.publish(spark, target, s.where("k % 2 = 0").write.parquet)
+        look("first", versions.read(spark, target))
+        resolved = versions.current(spark, target)
+
+        def build(stage):
+            s.write.parquet(stage)
+            look("during", versions.read(spark, target))
+
+        versions.publish(spark, target, build)
+        look("after", versions.read(spark, target))
+
+        def refuse(stage):
+            raise ValueError("unsound")
+
+        try:
+            versions.publish(spark, target, s.limit(1).write.parquet, validate=refuse)
+        except ValueError:
+            look("failed", versions.read(spark, target))
+        look("resolved", spark.read.parquet(resolved))
+        versions.rollback(spark, target)
+        look("rolled_back", versions.read(spark, target))
+        for _ in range(2):
+            versions.publish(spark, target, s.write.parquet)
+        look("pruned", versions.read(spark, target))
+
+    def read(root):
+        fs, p = sinks.file_system(spark, f"{root}/index/versions")
+        return reduce(DataFrame.unionByName, seen).withColumn("kept", F.lit(len(fs.listStatus(p))))
+
+    return _through(spark, make, read)
+
+
+@query(FRAMES_SQL + """ SELECT idx AS place, coalesce(sum(least(frame_index, 240)) OVER (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset", least(frame_index, 240)::BIGINT AS n_blocks, round(timestamp_s, 6) AS timestamp_s FROM frames""")
+def array_files(spark, sf_dir):
+    """Three array files of a history index, in whole and fractional numbers, one of them put together without writing at offsets."""
+    f = frames(spark, sf_dir, with_index=True)
+    index = checkpointed(context.offsets(context.counts(f.select("source_episode_id", "episode_id", "frame_index", "idx"), 1024), ["source_episode_id"]).join(f.select("idx", "timestamp_s"), "idx"))
+
+    def make(root):
+        for column, dtype, way in (("offset", "<i8", None), ("n_blocks", "<i4", False), ("timestamp_s", "<f8", True)):
+            sinks.write_array(index, "idx", column, dtype, f"{root}/{column}.npy", rows=512, at_offsets=way)
+
+    def read(root):
+        a, b, c = (sinks.read_array(spark, f"{root}/{x}.npy", rows=700).withColumnRenamed("value", x) for x in ("offset", "n_blocks", "timestamp_s"))
+        return a.join(b, "place").join(c, "place").select("place", "offset", "n_blocks", F.round("timestamp_s", R).alias("timestamp_s"))
+
+    return _through(spark, make, read)
+
+
 @query(FRAMES_SQL + """, o AS (SELECT idx, least(frame_index, 240) AS n_blocks, coalesce(sum(least(frame_index, 240)) OVER (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM frames),
 v AS (SELECT 'offset' AS name, idx, pos AS x, 8 AS size FROM o UNION ALL SELECT 'n_blocks', idx, n_blocks, 4 FROM o)
 SELECT name AS "column", (idx // 512) * 512 AS first, count(*) AS n, count(*) * max(size) AS n_bytes, arg_min(x, idx) AS first_value, arg_max(x, idx) AS last_value FROM v GROUP BY ALL""")

@@ -24,7 +24,7 @@ def discover(spark: SparkSession, root: str, skip_invalid: bool = False, limit:
     """Episodes under ``root/scene/``: one row per step log, natural order, with what is missing beside it.
 
     Incomplete ones raise FileNotFoundError, or are rows with ``accepted`` false if ``skip_invalid``.
-    ``limit`` counts accepted ones.
+    ``limit`` counts accepted ones, and ends the scan at the last of them: later ones are neither returned nor refused.
     """
     f = listing(spark, root).select(F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("scene"), F.substring_index("path", "/", -1).alias("name"))
     stem = F.regexp_replace("name", r"(_info\.json|_(front|left|right|rear)\.mp4|\.json)$", "")
@@ -32,14 +32,15 @@ def discover(spark: SparkSession, root: str, skip_invalid: bool = False, limit:
     found = f.select("scene", stem.alias("episode"), kind.alias("kind")).groupBy("scene", "episode").agg(F.collect_set("kind").alias("have"))
     found = found.where(F.array_contains("have", "info"))
     found = found.select("scene", "episode", F.array_except(F.array(*map(F.lit, REQUIRED)), "have").alias("missing")).withColumn("accepted", F.size("missing") == 0)
+    if limit is not None:
+        # the scan ends with the last episode that is taken: what comes behind it is not looked at
+        key = F.struct(F.col("scene"), *(k.alias(f"k{i}") for i, k in enumerate(natural_key(F.col("episode")))))
+        found = found.withColumn("__key", key)
+        taken = found.where("accepted").orderBy("__key").limit(limit).agg(F.count("*").alias("__n"), F.max("__key").alias("__last"))
+        found = found.crossJoin(F.broadcast(taken)).where((F.col("__n") < limit) | (F.col("__key") <= F.col("__last"))) if limit > 0 else found.limit(0)  # one row
+        found = found.drop("__key", "__n", "__last")
     if not skip_invalid and (bad := found.where("NOT accepted").first()):
         raise FileNotFoundError(f"{bad.scene}/{bad.episode} lacks {', '.join(bad.missing)}")
-    if limit is not None:
-        order = [F.col("scene"), *natural_key(F.col("episode"))]
-        # ``limit`` is small, so the first accepted ones are found without a global order
-        last = found.where("accepted").orderBy(*order).limit(limit)
-        rejected = found.where("NOT accepted")
-        found = last.unionByName(rejected)
     return found
 
 

@@ -1,4 +1,4 @@
-"""Writers: partitioned Parquet, merges, staged publishing, resume manifests, and flat array export.
+"""Writers: partitioned Parquet, merges, staged publishing, resume by manifests, and array files.
 
 File moves go through Hadoop's file system of the path, so that they work in any store that Spark writes.
 """
@@ -12,9 +12,11 @@ import uuid
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pathloom.operators.prefix import checkpointed
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -22,6 +24,34 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+file_system = _fs
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def read_small(spark: SparkSession, path: str) -> bytes:
+    """The bytes of a file that is known to be small, such as a pointer or a head."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file, written over an older one."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
@@ -66,19 +96,49 @@ def write_single(df: DataFrame, path: str, kind: str = "parquet", **options: str
 
 
 def merge_parquet(spark: SparkSession, paths: list[str], out: str) -> None:
-    """Rows of all files by column name, in one table that appears as a whole."""
+    """Rows of all files by column name, in one table that takes the place of an old one, of which nothing stays.
+
+    ``versions.publish`` with the same build is for tables that are read meanwhile.
+    """
     if not paths:
         raise ValueError("nothing to merge")
-    publish(spark, out, lambda stage: spark.read.parquet(*paths).write.parquet(stage), replace=True)
+    _replace_table(spark, out, lambda stage: spark.read.parquet(*paths).write.parquet(stage))
+
+
+def _replace_table(spark: SparkSession, out: str, build) -> None:
+    backup = publish(spark, out, build, replace=True)
+    if backup:
+        remove(spark, backup)
+
+
+def files_in_order(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Files in the order given, those of a folder by name; hidden ones are left out."""
+    found = []
+    for path in paths:
+        fs, p = _fs(spark, path)
+        inside = [f.getPath() for f in fs.listStatus(p)] if fs.getFileStatus(p).isDirectory() else [fs.getFileStatus(p).getPath()]
+        found += sorted(f.toUri().toString() for f in inside if not f.getName().startswith(("_", ".")))
+    return found
+
+
+def ordered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Text lines (value) with their key: ``file`` in the order given, ``start`` of the piece of the file, ``at`` within it.
+
+    A piece of a file is read by one task from its first line to its last, so ``at`` ascends within it, however
+    Spark packs the pieces. Lines end at ``\\n`` only, so that all other bytes stay as they are.
+    """
+    files = files_in_order(spark, paths)
+    one = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")  # noqa: E731  file:/x and file:///x are one
+    numbers = spark.createDataFrame(list(enumerate(files)), "file int, name string").select("file", one(F.col("name")).alias("name"))
+    read = spark.read.option("lineSep", "\n").text(files).select("value", one(F.col("_metadata.file_path")).alias("name"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    return read.join(numbers, "name").select("file", "start", "at", "value")
 
 
 def concat_lines(spark: SparkSession, paths: list[str], out: str) -> None:
-    """Text lines of all files, files in the order given, as a table of text that appears as a whole."""
-    lines = None
-    for i, p in enumerate(paths):
-        own = spark.read.text(p).select(F.lit(i).alias("file"), F.monotonically_increasing_id().alias("at"), "value")
-        lines = own if lines is None else lines.unionByName(own)
-    publish(spark, out, lambda stage: lines.orderBy("file", "at").select("value").write.text(stage), replace=True)
+    """Text lines of all files in order, as a table of text whose files, by name, hold them in that order; an old one is replaced."""
+    if not paths:
+        raise ValueError("nothing to concatenate")
+    _replace_table(spark, out, lambda stage: ordered_lines(spark, paths).orderBy("file", "start", "at").select("value").write.text(stage))
 
 
 def canonical_json(value: object) -> str:
@@ -94,13 +154,8 @@ def write_json(spark: SparkSession, path: str, value: object) -> str:
     """One canonical JSON file that appears as a whole; the SHA-256 of its bytes."""
     data = canonical_json(value).encode()
     stage = f"{path}.stage-{uuid.uuid4().hex}"
-    fs, p = _fs(spark, stage)
     try:
-        out = fs.create(p, True)
-        try:
-            out.write(bytearray(data))
-        finally:
-            out.close()
+        write_bytes(spark, stage, data)
         replace(spark, stage, path)
     finally:
         if exists(spark, stage):
@@ -173,10 +228,61 @@ def shard_completeness(expected: DataFrame, files: DataFrame, main: list[str], a
     return j.select("shard", F.when(none, "missing").when(sound, "complete").otherwise("incomplete").alias("state"))
 
 
-def write_shards(work: DataFrame, path: str, spec: dict, shard_size: int = 8192) -> int:
-    """Write the shards of ``work(ref_id, …)`` that are not complete yet; the number written.
+def rows_digest(df: DataFrame) -> Column:
+    """An aggregate that tells sets of rows apart, in any order: their number, and two sums over hashes of all columns."""
+    columns = sorted(df.columns)
+    return F.concat_ws(":", F.count("*"), F.bit_xor(F.xxhash64(*columns)), F.sum(F.pmod(F.xxhash64(F.lit(1), *columns), F.lit(1 << 40))))
+
+
+def shard_files(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, bytes, n_files) of what lies in the shards' folders; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{path}/data")
+    return files.select(F.regexp_extract("path", "shard=([0-9]+)/", 1).cast("long").alias("shard"), "length").groupBy("shard").agg(F.sum("length").alias("bytes"), F.count("*").alias("n_files"))
+
+
+def shard_records(spark: SparkSession, path: str) -> DataFrame:
+    """The last record of each shard: (shard, n_rows, digest, bytes, run)."""
+    schema = "shard long, n_rows long, digest string, bytes long, run int"
+    if not exists(spark, f"{path}/_records"):
+        return spark.createDataFrame([], schema)
+    last = spark.read.schema(schema).parquet(f"{path}/_records").groupBy("shard").agg(F.max_by(F.struct("n_rows", "digest", "bytes", "run"), "run").alias("r"))
+    return last.select("shard", "r.*")
+
+
+def forget_records(spark: SparkSession, path: str, which: Column) -> None:
+    """Drop the records of some shards, which are then written again by the next run."""
+    kept = checkpointed(shard_records(spark, path).where(~which))
+    _replace_table(spark, f"{path}/_records", kept.write.parquet)
+
+
+def manifest_states(rows: DataFrame, path: str, content: bool = True) -> DataFrame:
+    """(shard, state, n_rows, digest) for each shard of ``rows(shard, …)``, which are those that should be there.
 
-    The build's settings are fingerprinted beside the shards, and another fingerprint is refused.
+    missing: neither record nor file. unrecorded: files that no record vouches for, as of a run that broke off. outdated: the
+    record is of other rows than those expected. damaged: files lack, or have another size than the record says, or, if
+    ``content``, their rows are not those of the record, which is found by reading them. Else complete.
+    """
+    spark, there = rows.sparkSession, exists(rows.sparkSession, f"{path}/data")
+    expected = checkpointed(rows.groupBy("shard").agg(F.count("*").alias("n_rows"), rows_digest(rows).alias("digest")))
+    files = shard_files(spark, path) if there else spark.createDataFrame([], "shard long, bytes long, n_files long")
+    records = shard_records(spark, path).select("shard", F.col("n_rows").alias("told_rows"), F.col("digest").alias("told"), F.col("bytes").alias("told_bytes"))
+    j = expected.join(records, "shard", "left").join(files, "shard", "left")
+    state = F.when(F.col("told").isNull(), F.when(F.col("bytes").isNull(), "missing").otherwise("unrecorded"))
+    state = state.when((F.col("told") != F.col("digest")) | (F.col("told_rows") != F.col("n_rows")), "outdated")
+    j = j.withColumn("state", state.when(F.coalesce("bytes", F.lit(-1)) != F.col("told_bytes"), "damaged").otherwise("complete"))
+    if content and there:
+        found = spark.read.schema(rows.schema).option("ignoreCorruptFiles", "true").parquet(f"{path}/data")
+        found = found.join(j.where("state = 'complete'").select("shard"), "shard", "left_semi")
+        j = j.join(found.groupBy("shard").agg(rows_digest(found).alias("found")), "shard", "left")
+        j = j.withColumn("state", F.when((F.col("state") == "complete") & ~F.col("digest").eqNullSafe(F.col("found")), "damaged").otherwise(F.col("state")))
+    return j.select("shard", "state", "n_rows", "digest")
+
+
+def write_shards(work: DataFrame, path: str, spec: dict, shard_size: int = 8192, content: bool = True) -> int:
+    """Write the shards of ``work(ref_id, …)`` that are not complete by their records (``manifest_states``); the number written.
+
+    A shard's record, its rows, their digest and its files' bytes, is written once the shard is. The build's settings
+    are fingerprinted beside the shards, and another fingerprint is refused. A row without a number is a ValueError.
     """
     spark = work.sparkSession
     mark = f"{path}/_spec"
@@ -187,15 +293,16 @@ def write_shards(work: DataFrame, path: str, spec: dict, shard_size: int = 8192)
     else:
         spark.createDataFrame([(fingerprint(spec),)], "value string").coalesce(1).write.text(mark)
     rows = work.withColumn("shard", F.floor(F.col("ref_id") / shard_size))
-    expected = rows.groupBy("shard").agg(F.count("*").alias("n_rows"))
-    if exists(spark, f"{path}/data"):
-        found = spark.read.parquet(f"{path}/data").groupBy("shard").agg(F.count("*").alias("n_rows"))
-        todo = shard_states(expected, found).where("state <> 'complete'").select("shard")
-    else:
-        todo = expected.select("shard")
+    states = checkpointed(manifest_states(rows, path, content))
+    if not states.where("shard is null").isEmpty():
+        raise ValueError("rows without a number are in no shard")
+    todo = states.where("state <> 'complete'").drop("state")
     n = todo.count()
     if n:
-        write_chunks(rows.join(todo, "shard", "left_semi"), f"{path}/data", ("shard",))
+        run = (shard_records(spark, path).agg(F.max("run")).first()[0] or 0) + 1
+        write_chunks(rows.join(todo.select("shard"), "shard", "left_semi"), f"{path}/data", ("shard",))
+        sizes = shard_files(spark, path).select("shard", "bytes")
+        todo.join(sizes, "shard").select("shard", "n_rows", "digest", "bytes", F.lit(run).alias("run")).write.mode("append").parquet(f"{path}/_records")
     return n
 
 
@@ -245,6 +352,128 @@ def npy_header(dtype: str, n: int) -> bytes:
     return head.getvalue()
 
 
+def write_array(df: DataFrame, order: str, value: str, dtype: str, path: str, rows: int = 1 << 20, at_offsets: bool | None = None) -> int:
+    """One array file that ``numpy.load`` reads, from a column in the order of ``order``, which counts from 0 without gaps; its length.
+
+    Tasks make the pieces. In a POSIX file system (``at_offsets``; found from the path's scheme) each writes its own at the
+    place that its first number gives, so a repeated task writes the same bytes again; elsewhere pieces are
+    files, which one task copies behind the head, one after another, through a buffer. The file appears whole, by a move.
+    """
+    spark = df.sparkSession
+    n, low, high = df.agg(F.count("*"), F.min(order), F.max(order)).first()
+    if n and (low, high) != (0, n - 1):
+        raise ValueError(f"{order} goes from {low} to {high} in {n} rows")
+    fs, p = _fs(spark, path)
+    whole = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p)
+    stage = f"{path}.stage-{uuid.uuid4().hex}"
+    base = whole.getParent().toString() + "/" + stage.rsplit("/", 1)[-1]
+    head, width = npy_header(dtype, n), _width(dtype)
+    pieces = flat_arrays(df, order, [value], [dtype], rows).select("first", "n", "data")
+    if at_offsets is None:
+        at_offsets = whole.toUri().getScheme() == "file"
+    make_folder(spark, whole.getParent().toString())
+    try:
+        if at_offsets:
+            written = _at_offsets(pieces, base, head, width, n)
+        else:
+            written = _one_behind_another(pieces, base, head, n)
+        if written != n:
+            raise ValueError(f"{written} of {n} values were written")
+        replace(spark, base, path)
+    finally:
+        for left in (base, f"{base}-pieces"):
+            if exists(spark, left):
+                remove(spark, left)
+    return n
+
+
+def _width(dtype: str) -> int:
+    import numpy as np
+
+    return np.dtype(dtype).itemsize
+
+
+def _at_offsets(pieces: DataFrame, base: str, head: bytes, width: int, n: int) -> int:
+    local = base.split(":", 1)[1]
+
+    def run(batches):
+        import os
+
+        for b in batches:
+            for first, data in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                file = os.open(local, os.O_WRONLY | os.O_CREAT, 0o644)
+                try:
+                    rest, at = memoryview((head if not first else b"") + data), len(head) + first * width if first else 0
+                    while rest:
+                        done = os.pwrite(file, rest, at)
+                        rest, at = rest[done:], at + done
+                    os.fsync(file)
+                finally:
+                    os.close(file)
+            yield pa.RecordBatch.from_arrays([b.column(1)], names=["n"])
+
+    if not n:
+        pieces = pieces.sparkSession.createDataFrame([(0, 0, b"")], "first long, n long, data binary")
+    return pieces.mapInArrow(run, "n long").agg(F.sum("n")).first()[0]
+
+
+def _one_behind_another(pieces: DataFrame, base: str, head: bytes, n: int) -> int:
+    spark, parts = pieces.sparkSession, f"{base}-pieces"
+    named = pieces.select(F.format_string("%020d", "first").alias("name"), "data")
+    write_named(named, parts, "name", "data")
+
+    def run(batches):
+        from pyarrow import fs
+
+        store, target = fs.FileSystem.from_uri(base)
+        total = 0
+        with store.open_output_stream(target, compression=None) as out:
+            out.write(head)
+            names = sorted(f.path for f in store.get_file_info(fs.FileSelector(f"{target}-pieces", allow_not_found=True)) if f.is_file and f.base_name.isdigit())
+            for name in names:
+                with store.open_input_stream(name, compression=None) as piece:
+                    while block := piece.read(8 << 20):
+                        out.write(block)
+                        total += len(block)
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], names=["n"])
+
+    total = spark.range(0, 1, 1, 1).mapInArrow(run, "n long").first()[0]
+    width = pieces.agg(F.max(F.octet_length("data") / F.col("n"))).first()[0] if n else 1
+    return int(total / width)
+
+
+def read_array(spark: SparkSession, path: str, rows: int = 1 << 20) -> DataFrame:
+    """(place, value) of a one-dimensional array file of numbers; each task reads its own stretch of the file."""
+    import io
+
+    import numpy as np
+
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        head = io.BytesIO(bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, min(fs.getFileStatus(p).getLen(), 4096))))
+    finally:
+        stream.close()
+    np.lib.format.read_magic(head)
+    shape, _, dtype = np.lib.format.read_array_header_1_0(head)
+    start, uri, kind = head.tell(), p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString(), "double" if dtype.kind == "f" else "long"
+
+    def run(batches):
+        from pyarrow import fs as stores
+
+        store, file = stores.FileSystem.from_uri(uri)
+        with store.open_input_file(file) as f:
+            for b in batches:
+                for first in b.column(0).to_pylist():
+                    f.seek(start + first * dtype.itemsize)
+                    own = np.frombuffer(f.read(min(rows, shape[0] - first) * dtype.itemsize), dtype)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + len(own))), pa.array(own.astype("f8" if kind == "double" else "i8"))], names=["place", "value"])
+
+    return spark.range(0, shape[0], rows).mapInArrow(run, f"place long, value {kind}")
+
+
 def write_named(df: DataFrame, root: str, name: str, content: str) -> int:
     """One file ``root/name`` per row with the column ``content`` as it is; files are written where their rows are. Their number."""
     spark = df.sparkSession

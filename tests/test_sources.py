@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from pathloom.sources import readers, schemas, sinks
+from pathloom.sources import readers, schemas, sinks, versions
 from pathloom.streaming import episodes
 
 
@@ -167,3 +167,107 @@ def test_lines_keep_their_order(spark, tmp_path):
         sinks.concat_lines(spark, [f"{tmp_path}/1.jsonl", f"{tmp_path}/0.jsonl"], f"{tmp_path}/out")
     parts = sorted(x for x in os.listdir(f"{tmp_path}/out") if x.startswith("part-"))
     assert "".join(open(f"{tmp_path}/out/{x}").read() for x in parts).split() == [f"{p}-{i}" for p in (1, 0) for i in range(200)]
+
+
+def test_lines_of_files_of_any_size_keep_their_bytes(spark, tmp_path):
+    """Small files come before large ones, which Spark packs first, and pieces of a file stay in order."""
+    sizes = [1, 3000, 2, 500, 1]
+    for part, n in enumerate(sizes):
+        put(f"{tmp_path}/{part}.jsonl", "".join(f"{part}-{i}\t\r é{'x' * (i % 50)}\n" for i in range(n)))
+    paths = [f"{tmp_path}/{i}.jsonl" for i in (0, 1, 4, 3, 2)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        for _ in range(2):
+            sinks.concat_lines(spark, paths, f"{tmp_path}/out")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    parts = sorted(x for x in os.listdir(f"{tmp_path}/out") if x.startswith("part-"))
+    assert b"".join(open(f"{tmp_path}/out/{x}", "rb").read() for x in parts) == b"".join(open(p, "rb").read() for p in paths)
+    assert sorted(os.listdir(tmp_path)) == [*(f"{i}.jsonl" for i in range(5)), "out"]
+
+
+def test_versions(spark, tmp_path):
+    target, df = f"{tmp_path}/t", spark.range(10)
+    with pytest.raises(FileNotFoundError):
+        versions.current(spark, target)
+    first = versions.publish(spark, target, df.where("id < 3").write.parquet)
+    assert versions.read(spark, target).count() == 3
+
+    def broken(stage):
+        df.write.parquet(stage)
+        raise OSError("broke off")
+
+    for build, check in ((broken, None), (df.write.parquet, broken)):
+        with pytest.raises(Exception):  # noqa: B017  the second fails as the stage is there
+            versions.publish(spark, target, build, check)
+        assert versions.current(spark, target) == first and sorted(os.listdir(target)) == ["pointers", "versions"]
+    second = versions.publish(spark, target, df.write.parquet)
+    assert os.path.isdir(first) and versions.current(spark, target) == second
+    # a pointer that is being written is passed over, and its number is not taken again
+    open(f"{target}/pointers/000000000003", "w").close()
+    assert versions.current(spark, target) == second
+    third = versions.publish(spark, target, df.where("id < 7").write.parquet)
+    assert versions.current(spark, target) == third and [n for n, _ in versions.pointers(spark, target)] == [4, 2]
+    assert not os.path.isdir(first) and os.path.isdir(second)
+    assert versions.rollback(spark, target) == second and versions.read(spark, target).count() == 10
+    with pytest.raises(FileNotFoundError):
+        versions.rollback(spark, target, 9)
+
+
+@pytest.mark.parametrize("at_offsets", [True, False])
+def test_array_files_load(spark, tmp_path, at_offsets):
+    import numpy as np
+
+    df = spark.range(1000).select("id", (F.col("id") * 7 - 3000).alias("v"), (F.col("id") / 8).alias("w")).repartition(6)
+    for n, (column, dtype) in enumerate((("v", "<i8"), ("v", "<i2"), ("w", "<f4"), ("w", "<f2"))):
+        path = f"{tmp_path}/d/{n}.npy"
+        for _ in range(2):  # the second takes the place of the first
+            assert sinks.write_array(df, "id", column, dtype, path, rows=64, at_offsets=at_offsets) == 1000
+        want = np.arange(1000) * 7 - 3000 if column == "v" else np.arange(1000) / 8
+        loaded = np.load(path)
+        assert loaded.dtype == np.dtype(dtype) and (loaded == want.astype(dtype)).all()
+        assert [r.value for r in sinks.read_array(spark, path, rows=33).orderBy("place").collect()] == loaded.tolist()
+    assert sinks.write_array(df.limit(0), "id", "v", "<i8", f"{tmp_path}/d/none.npy", at_offsets=at_offsets) == 0 and len(np.load(f"{tmp_path}/d/none.npy")) == 0
+    for bad in (df.where("id <> 0"), df.where("id <> 500"), df.unionByName(df.where("id = 5"))):
+        with pytest.raises(Exception, match="goes from|repeats or skips"):
+            sinks.write_array(bad, "id", "v", "<i8", f"{tmp_path}/d/bad.npy", rows=64, at_offsets=at_offsets)
+    assert sorted(x for x in os.listdir(f"{tmp_path}/d") if not x.startswith(".")) == ["0.npy", "1.npy", "2.npy", "3.npy", "none.npy"]
+
+
+def test_resume_by_manifest(spark, tmp_path):
+    path, work = f"{tmp_path}/s", spark.range(10).select(F.col("id").alias("ref_id"), F.array(F.col("id").cast("double")).alias("v"))
+    write = lambda df=work, **o: sinks.write_shards(df, path, {"m": 1}, shard_size=4, **o)
+    file = lambda shard: next(f"{path}/data/shard={shard}/{x}" for x in os.listdir(f"{path}/data/shard={shard}") if x.endswith(".parquet"))
+    assert write() == 3 and write() == 0
+    changed = work.withColumn("v", F.when(F.col("ref_id") == 5, F.array(F.lit(0.5))).otherwise(F.col("v")))
+    assert write(changed) == 1 and write(changed) == 0 and write() == 1  # other values of the same number of rows
+    data = open(file(0), "rb").read()
+    open(file(0), "wb").write(data[: len(data) // 2])
+    os.remove(file(2))
+    assert write() == 2 and write() == 0
+    # a file of the same size whose rows are others is found by its content
+    other = spark.read.parquet(f"{path}/data/shard=1").withColumn("v", F.array(F.col("v")[0] + 1))
+    rows = other.collect()
+    spark.createDataFrame(rows, other.schema).coalesce(1).write.parquet(f"{tmp_path}/other")
+    new = next(f"{tmp_path}/other/{x}" for x in os.listdir(f"{tmp_path}/other") if x.endswith(".parquet"))
+    old, raw = file(1), open(new, "rb").read()
+    os.remove(f"{os.path.dirname(old)}/.{os.path.basename(old)}.crc")
+    if len(raw) == os.path.getsize(old):
+        open(old, "wb").write(raw)
+        assert write(content=False) == 0 and write() == 1
+    assert sorted(r.ref_id for r in spark.read.parquet(f"{path}/data").collect()) == list(range(10))
+    with pytest.raises(ValueError, match="without a number"):
+        write(work.unionByName(work.limit(1).withColumn("ref_id", F.lit(None).cast("long"))))
+
+
+def test_a_scan_ends_at_its_limit(spark, tmp_path):
+    for i, good in ((1, True), (2, False), (3, True), (4, False), (10, True)):
+        for kind in ("_info.json", ".json", *(f"_{c}.mp4" for c in readers.CAMERAS)) if good else ("_info.json",):
+            put(f"{tmp_path}/scene/{i}{kind}", "[]")
+    names = lambda **o: sorted(int(r.episode) for r in readers.discover(spark, str(tmp_path), **o).collect())
+    assert names(skip_invalid=True) == [1, 2, 3, 4, 10] and names(limit=1) == [1] and names(skip_invalid=True, limit=1) == [1]
+    assert names(skip_invalid=True, limit=2) == [1, 2, 3] and names(skip_invalid=True, limit=9) == [1, 2, 3, 4, 10] and names(limit=0) == []
+    for strict in ({}, {"limit": 2}):
+        with pytest.raises(FileNotFoundError):
+            readers.discover(spark, str(tmp_path), **strict)
