@@ -284,6 +284,32 @@ def hourly_counts(spark, sf_dir):
     return windows.select("event_type", F.col("start").cast("timestamp_ntz").alias("start"), "n", F.round("total", 4).alias("total"))
 
 
+@query("""WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) // 1000 AS ms, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+walk AS (
+  SELECT user_id, i, ms AS start, ms AS last, 1 AS n, 0 AS number, NULL::BIGINT AS c_start, NULL::BIGINT AS c_end, NULL::INT AS c_n, NULL::VARCHAR AS cause, NULL::INT AS c_number FROM e WHERE i = 1
+  UNION ALL
+  SELECT user_id, i, CASE WHEN fresh THEN ms ELSE start END, ms, CASE WHEN fresh THEN 1 ELSE n + 1 END, number + (fresh AND n > 0)::INT,
+    start, CASE WHEN late THEN deadline END, n, CASE WHEN late THEN why END, number
+  FROM (SELECT *, n > 0 AND ms >= deadline AS late, n = 0 OR ms >= deadline AS fresh FROM (
+    SELECT e.user_id, e.i, e.ms, w.start, w.last, CASE WHEN w.n = 15 THEN 0 ELSE w.n END AS n, w.number + (w.n = 15)::INT AS number,
+      least(w.start + 345600000, w.last + 129600000) AS deadline, CASE WHEN w.start + 345600000 <= w.last + 129600000 THEN 'seconds' ELSE 'silent' END AS why
+    FROM walk w JOIN e ON e.user_id = w.user_id AND e.i = w.i + 1))),
+mark AS (SELECT max(epoch_us(ts) // 1000) - 600000 AS mark_ms FROM events),
+tails AS (SELECT user_id, number, start, least(start + 345600000, last + 129600000) AS deadline, n, CASE WHEN start + 345600000 <= last + 129600000 THEN 'seconds' ELSE 'silent' END AS why FROM walk WHERE n < 15 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY i DESC) = 1 AND (SELECT max(i) FROM e WHERE e.user_id = walk.user_id) = walk.i)
+SELECT user_id, c_number::BIGINT AS number, c_start AS start_ms, c_end AS end_ms, c_n::BIGINT AS n_steps, cause FROM walk WHERE cause IS NOT NULL
+UNION ALL SELECT user_id, number, start, last, n, 'steps' FROM walk WHERE n = 15
+UNION ALL SELECT user_id, number, start, deadline, n, why FROM tails, mark WHERE deadline <= mark_ms""")
+def limited_episodes(spark, sf_dir):
+    """Episodes closed by 15 steps, four days, or a day and a half of silence, from a stream in four runs, each from the state of the last."""
+    from pathloom.streaming import episodes as streams
+
+    e = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    low, high = e.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    part = F.least(F.floor((F.unix_micros("ts") - low) * 4 / max(high - low, 1)), F.lit(3))
+    slices = [e.where(part == i) for i in range(4)]
+    return streams.streamed_in_runs(spark, slices, lambda steps: streams.limited_episodes(steps, "user_id", "ts", "10 minutes", 15, 4 * 86400, 1.5 * 86400))
+
+
 @query("""WITH h AS (SELECT c_custkey, c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY md5('visit/' || c_custkey), c_custkey) - 1 AS place FROM customer)
 SELECT c_custkey, c_nationkey, place, place // 3 AS turn FROM h""")
 def iteration_order(spark, sf_dir):

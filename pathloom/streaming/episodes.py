@@ -65,6 +65,91 @@ def follow_episodes(steps: DataFrame, **limits: float) -> DataFrame:
     return steps.groupBy("episode_id").transformWithStateInPandas(EpisodeRules(**limits), OUT, "Append", "None")
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+LIMITED = "{key} long, number long, start_ms long, end_ms long, n_steps long, cause string"
+
+
+class EpisodeLimits(StatefulProcessor):
+    """Closes an episode after a number of steps, a time since its start, or a time of silence; the next step opens another.
+
+    The times are event-time timers, so an episode that goes silent is closed once the watermark has passed its deadline, without
+    a step of its own. If a later step of the key comes first, in the same batch, it closes it as of the same deadline. Hence the
+    result does not depend on how steps fall into batches, as long as no step is older than the watermark.
+    One small row per running episode is kept; a batch's steps of a key are held together, which the trigger bounds.
+    """
+
+    def __init__(self, key: str, most_steps: int, most_ms: int, silent_ms: int):
+        self.key, self.most_steps, self.most_ms, self.silent_ms = key, most_steps, most_ms, silent_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("episode", "number long, start long, last long, n long")
+
+    def _deadline(self, start: int, last: int) -> tuple[int, str]:
+        return (start + self.most_ms, "seconds") if start + self.most_ms <= last + self.silent_ms else (last + self.silent_ms, "silent")
+
+    def _rows(self, rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in LIMITED.format(key=self.key).split(", ")])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        number, start, last, n = self.state.get() if self.state.exists() else (0, 0, 0, 0)
+        out = []
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        for ms in pd.concat([r["ms"] for r in rows]).sort_values(kind="stable"):
+            ms = int(ms)
+            if n:
+                deadline, cause = self._deadline(start, last)
+                if ms >= deadline:
+                    out.append((key[0], number, start, deadline, n, cause))
+                    number, n = number + 1, 0
+            start, last, n = (start if n else ms), ms, n + 1
+            if n == self.most_steps:
+                out.append((key[0], number, start, ms, n, "steps"))
+                number, n = number + 1, 0
+        self.state.update((number, start, last, n))
+        if n:
+            self.handle.registerTimer(self._deadline(start, last)[0])
+        yield self._rows(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        number, start, last, n = self.state.get()
+        deadline, cause = self._deadline(start, last)
+        if not n or deadline != expiredTimerInfo.getExpiryTimeInMs():
+            return
+        self.state.update((number + 1, start, last, 0))
+        yield self._rows([(key[0], number, start, deadline, n, cause)])
+
+    def close(self) -> None:
+        pass
+
+
+def limited_episodes(steps: DataFrame, key: str, time: str, late: str, most_steps: int, most_seconds: float, silent_seconds: float) -> DataFrame:
+    """``steps`` (streaming) → the episodes that are closed: (key, number, start_ms, end_ms, n_steps, cause)."""
+    limits = EpisodeLimits(key, most_steps, int(most_seconds * 1000), int(silent_seconds * 1000))
+    timed = steps.withWatermark(time, late).select(F.col(key).cast("long").alias(key), time, F.unix_millis(time).alias("ms"))
+    return timed.groupBy(key).transformWithStateInPandas(limits, LIMITED.format(key=key), "Append", "EventTime")
+
+
+def streamed_in_runs(spark: SparkSession, slices: list[DataFrame], plan: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What the stream ``plan`` has put out after reading ``slices``, each in a run of its own: the query is stopped and started again from its state."""
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        for df in slices:
+            df.write.mode("append").parquet(f"{root}/in")
+            source = spark.readStream.schema(slices[0].schema).parquet(f"{root}/in")
+            run = plan(source).writeStream.outputMode("append").format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
+            run.awaitTermination()
+        return checkpointed(spark.read.parquet(f"{root}/out"))
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        if sinks.exists(spark, root):
+            sinks.remove(spark, root)
+
+
 def windowed_counts(events: DataFrame, time: str, size: str, late: str, keys: list[str]) -> DataFrame:
     """Counts and value sums per event-time window, with events later than ``late`` dropped from closed windows."""
     w = events.withWatermark(time, late).groupBy(F.window(time, size), *keys)

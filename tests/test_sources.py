@@ -271,3 +271,18 @@ def test_a_scan_ends_at_its_limit(spark, tmp_path):
     for strict in ({}, {"limit": 2}):
         with pytest.raises(FileNotFoundError):
             readers.discover(spark, str(tmp_path), **strict)
+
+
+@pytest.mark.parametrize("cuts", [(0,), (0, 1, 5, 6, 9)])
+def test_limits_do_not_depend_on_batches(spark, cuts):
+    """Steps at seconds of a clock; an episode that goes silent is closed by its timer, once the other key's steps have moved the clock on."""
+    minute = lambda n: f"2024-01-01 {n // 60:02d}:{n % 60:02d}:00"
+    rows = sorted([(1, m) for m in (0, 1, 2, 60, 100, 101)] + [(2, m) for m in (0, 5, 9, 14, 400)], key=lambda r: r[1])
+    slices = [spark.createDataFrame([(k, minute(m)) for k, m in rows[a:b]], "k long, at string").select("k", F.col("at").cast("timestamp").alias("at")) for a, b in zip(cuts, (*cuts[1:], len(rows)))]
+    plan = lambda s: episodes.limited_episodes(s, "k", "at", "1 minute", 4, 12 * 60, 30 * 60)
+    base = 1704067200000
+    got = sorted((r.k, r.number, (r.start_ms - base) // 60000, (r.end_ms - base) // 60000, r.n_steps, r.cause) for r in episodes.streamed_in_runs(spark, slices, plan).collect())
+    assert got == [(1, 0, 0, 12, 3, "seconds"), (1, 1, 60, 72, 1, "seconds"), (1, 2, 100, 112, 2, "seconds"), (2, 0, 0, 12, 3, "seconds"), (2, 1, 14, 26, 1, "seconds")]
+    plan = lambda s: episodes.limited_episodes(s, "k", "at", "1 minute", 2, 60 * 60, 30 * 60)
+    got = sorted((r.k, (r.start_ms - base) // 60000, (r.end_ms - base) // 60000, r.n_steps, r.cause) for r in episodes.streamed_in_runs(spark, slices, plan).collect())
+    assert got == [(1, 0, 1, 2, "steps"), (1, 2, 32, 1, "silent"), (1, 60, 90, 1, "silent"), (1, 100, 101, 2, "steps"), (2, 0, 5, 2, "steps"), (2, 9, 14, 2, "steps")]
