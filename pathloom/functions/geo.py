@@ -217,5 +217,20 @@ def trilinear(grid: Column, sides: tuple[int, int, int], places: list[tuple[Colu
 
 
 def search_place(ascending: Column, value: Column) -> Column:
-    """How many of an ascending array's items are below a value: where it would be put in front of its equals."""
-    return F.size(F.filter(ascending, lambda x: x < value))
+    """Where halving an ascending array ends: at an item equal to the value, if it meets one, else at the first larger one, the last place at most.
+
+    Each step halves what is left, so an array of n items takes about log2(n) steps; null for an empty array.
+    """
+    n = F.size(ascending)
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(n + F.lit(1))).cast("int"))
+    start = F.struct(F.lit(0).alias("left"), (n - 1).alias("right"), F.lit(-1).alias("met"))
+
+    def halve(at: Column, _: Column) -> Column:
+        mid = F.floor((at["left"] + at["right"]) / 2).cast("int")
+        item, on = F.get(ascending, mid), (at["met"] < 0) & (at["left"] <= at["right"])
+        left = F.when(on & (item < value), mid + 1).otherwise(at["left"])
+        right = F.when(on & (item > value), mid - 1).otherwise(at["right"])
+        return F.struct(left.alias("left"), right.alias("right"), F.when(on & (item == value), mid).otherwise(at["met"]).alias("met"))
+
+    ended = F.aggregate(steps, start, halve, lambda at: F.when(at["met"] >= 0, at["met"]).otherwise(F.least(at["left"], n - 1)))
+    return F.when(n > 0, ended)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathloom.functions import text
-from pathloom.operators import datasets, logic
+from pathloom.operators import datasets, folds, logic, pool, sampling
 from pathloom.operators import quantifiers as quantifiers_
 from pathloom.operators.prefix import running_before
 from pathloom.plans.registry import query
@@ -323,6 +323,83 @@ def generated_episodes(spark, sf_dir):
     return made.select("n_name", "number", *(F.round(c, R).alias(c) for c in made.columns[2:]))
 
 
+def _drawn(h: str, i: int) -> str:
+    return f"(('0x' || substr({h}, {8 * i + 1}, 8))::BIGINT::DOUBLE / 4294967296)"
+
+
+@query(f"""WITH scenes AS (SELECT n_name AS scene, 12.0::DOUBLE + n_nationkey AS side, 1 + n_nationkey % 3 AS floors FROM nation),
+goals AS (SELECT *, {_drawn("h", 0)} * side AS gx, {_drawn("h", 1)} * side AS gz, floor({_drawn("h", 2)} * floors) AS gf, {_drawn("h", 3)} * 10 AS island FROM (SELECT *, md5('r/' || scene || '/' || target || '/goal') AS h FROM scenes, (SELECT unnest(range(120)) AS target))),
+tries AS (SELECT *, {_drawn("h", 0)} * side AS sx, {_drawn("h", 1)} * side AS sz, floor({_drawn("h", 2)} * floors) AS sf, {_drawn("h", 3)} AS u FROM (SELECT scene, target, side, floors, gx, gz, gf, attempt, md5('r/' || scene || '/' || target || '/' || attempt) AS h FROM goals, (SELECT unnest(range(1, 5)) AS attempt) WHERE island >= 1.5)),
+measured AS (SELECT *, abs(sx - gx) + abs(sz - gz) AS walked, (abs(sx - gx) + abs(sz - gz)) / sqrt((sx - gx) * (sx - gx) + (sz - gz) * (sz - gz)) AS ratio FROM tries),
+fitting AS (SELECT *, sf = gf AND walked BETWEEN 9 AND 20 AND NOT (ratio < 1.1 AND u > 20 * (ratio - 0.98) * (ratio - 0.98)) AS ok FROM measured),
+per AS (SELECT scene, target, min(attempt) FILTER (ok) AS hit, coalesce(min(attempt) FILTER (ok), 4) AS used FROM fitting GROUP BY ALL),
+told AS (SELECT *, count(hit) OVER w AS taken, sum(used) OVER w AS drawn FROM per WINDOW w AS (PARTITION BY scene ORDER BY target))
+SELECT told.scene, taken - 1 AS number, told.target, hit AS attempts, drawn::BIGINT AS drawn, round(sx, 6) AS start_x, round(sz, 6) AS start_z, round(gx, 6) AS goal_x, round(gz, 6) AS goal_z, round(walked, 6) AS distance
+FROM told JOIN fitting f ON f.scene = told.scene AND f.target = told.target AND f.attempt = told.hit WHERE taken <= 30""")
+def sampled_episodes(spark, sf_dir):
+    """Up to 30 episodes a scene, each the first start that fits a goal, of four at most, for 120 goals at most."""
+    n = table(spark, sf_dir, "nation")
+    scenes = n.select(F.col("n_name").alias("scene"), (F.col("n_nationkey") + 12.0).alias("side"), (1 + F.col("n_nationkey") % 3).alias("floors"))
+    made = sampling.sampled_episodes(scenes, 30, "r", near=9.0, far=20.0, retries=4, most_targets=120)
+    return made.select(*made.columns[:5], *(F.round(c, R).alias(c) for c in made.columns[5:]))
+
+
+def _scene_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as episodes whose line items are objects, with holders, states and markers that share their names."""
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("l"))
+    case = lambda x: F.concat(F.lit("case"), x["l_suppkey"] % 7)
+    thing = lambda x: F.concat(F.lit("part"), x["l_partkey"] % 50)
+    pairs = F.transform("l", lambda x, i: F.struct(F.concat(thing(x), F.lit("_"), i), case(x)))
+    states = F.transform("l", lambda x, i: F.struct(F.concat(case(x), F.lit("_"), i), F.map_from_arrays(F.array(i), F.array(x["l_quantity"]))))
+    marker = F.struct(F.lit("cab").alias("name"), case(F.col("l")[0]).alias("type"), F.array(F.col("l")[0]["l_tax"]).alias("offset"), F.concat(F.lit("link"), F.size("l")).alias("link"), thing(F.col("l")[0]).alias("object"))
+    return lines.select(
+        F.col("l_orderkey").alias("episode"), F.transform("l", lambda x: F.struct(thing(x).alias("name"), F.array(x["l_quantity"], x["l_extendedprice"], x["l_discount"], x["l_tax"]).alias("transform"))).alias("objects"),
+        F.map_from_entries(pairs).alias("holders"), F.map_from_entries(F.filter(states, lambda x: F.get(F.map_keys(x[F.lit("col2")]), 0) % 2 == 0)).alias("states"), F.when(F.col("l_orderkey") % 3 == 0, F.array(marker)).otherwise(F.array().cast("array<struct<name:string,type:string,offset:array<double>,link:string,object:string>>")).alias("markers"),
+    )
+
+
+POOL_SQL = """WITH l AS (SELECT l_orderkey AS o, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) - 1 AS i, count(*) OVER (PARTITION BY l_orderkey) AS n,
+  concat('part', l_partkey % 50) AS thing, concat('case', l_suppkey % 7) AS holder, l_quantity AS q, l_extendedprice AS p, l_discount AS d, l_tax AS t FROM lineitem),
+slots AS (SELECT o, i AS slot, thing AS name FROM l UNION ALL SELECT o, n + 2 * i, concat(thing, '_', i) FROM l UNION ALL SELECT o, n + 2 * i + 1, holder FROM l UNION ALL SELECT o, 3 * n + i // 2, concat(holder, '_', i) FROM l WHERE i % 2 = 0
+  UNION ALL SELECT o, 3 * n + (n + 1) // 2 + j, CASE j WHEN 0 THEN 'cab' WHEN 1 THEN holder WHEN 2 THEN concat('link', n) ELSE thing END FROM l, (SELECT unnest(range(4)) AS j) WHERE i = 0 AND o % 3 = 0),
+names AS (SELECT name, row_number() OVER (ORDER BY o, slot) - 1 AS id FROM (SELECT name, o, slot FROM slots QUALIFY row_number() OVER (PARTITION BY name ORDER BY o, slot) = 1))"""
+
+
+@query(POOL_SQL + """, starts AS (SELECT o, sum(n) OVER (ORDER BY o) - n AS start FROM (SELECT DISTINCT o, n FROM l)),
+x AS (SELECT o, slot, id FROM slots JOIN names USING (name))
+SELECT o AS episode, string_agg(id, ',' ORDER BY slot) AS ids, any_value(start)::BIGINT AS first_at, any_value(n)::INT AS n_objects FROM x JOIN starts USING (o) JOIN (SELECT DISTINCT o, n FROM l) USING (o) GROUP BY o""")
+def encoded_episodes(spark, sf_dir):
+    """The numbers of an episode's names, in the order they are used, and its places in the pool of matrices."""
+    e = pool.encode(_scene_objects(spark, sf_dir), "episode").episodes
+    numbers = F.concat(F.transform("objects", lambda x: x["name"]), F.flatten(F.transform("holders", lambda x: F.array(x["key"], x["value"]))), F.map_keys("states"), F.flatten(F.transform("markers", lambda x: F.array(x["name"], x["type"], x["link"], x["object"]))))
+    return e.select("episode", F.array_join(numbers.cast("array<string>"), ",").alias("ids"), F.col("objects")[0]["at"].alias("first_at"), F.size("objects").alias("n_objects"))
+
+
+@query(POOL_SQL + """ SELECT o AS episode, string_agg(concat(thing, ':', (q * 100)::BIGINT, ':', round(p * 100)::BIGINT, ':', round(d * 100)::BIGINT), ',' ORDER BY i) AS objects, string_agg(concat(thing, '_', i, '>', holder), ',' ORDER BY i) AS holders,
+  string_agg(CASE WHEN i % 2 = 0 THEN concat(holder, '_', i, '=', (q * 100)::BIGINT) END, ',' ORDER BY i) AS states, coalesce(max(CASE WHEN i = 0 AND o % 3 = 0 THEN concat('cab/', holder, '/link', n, '/', thing, '/', round(t * 100)::BIGINT) END), '') AS markers FROM l GROUP BY o""")
+def decoded_episodes(spark, sf_dir):
+    """Episodes that were encoded and decoded, as they were."""
+    back = pool.decode(pool.encode(_scene_objects(spark, sf_dir), "episode"), "episode")
+    cents = lambda x: F.round(x * 100).cast("long")
+    told = lambda parts, f: F.array_join(F.transform(parts, f), ",")
+    return back.select(
+        "episode", told("objects", lambda x: F.concat_ws(":", x["name"], *(cents(x["transform"][i]) for i in range(3)))).alias("objects"), told(F.map_entries("holders"), lambda x: F.concat(x["key"], F.lit(">"), x["value"])).alias("holders"),
+        told(F.map_entries("states"), lambda x: F.concat(x["key"], F.lit("="), cents(F.map_values(x["value"])[0]))).alias("states"), told("markers", lambda x: F.concat_ws("/", x["name"], x["type"], x["link"], x["object"], cents(x["offset"][0]))).alias("markers"),
+    )
+
+
+@query(FRAMES_SQL + """, x AS (SELECT episode_id, frame_index, CASE WHEN human_following THEN -2.0 WHEN dis_to_human > 3 THEN dis_to_human / 2 ELSE 1.0 END AS step FROM frames),
+w AS (SELECT episode_id, frame_index, least(10, greatest(0, 3 + step))::DOUBLE AS meter FROM x WHERE frame_index = 0
+  UNION ALL SELECT x.episode_id, x.frame_index, least(10, greatest(0, w.meter + x.step))::DOUBLE FROM w JOIN x ON x.episode_id = w.episode_id AND x.frame_index = w.frame_index + 1)
+SELECT episode_id, round(arg_max(meter, frame_index), 6) AS patience FROM w GROUP BY episode_id""")
+def patience(spark, sf_dir):
+    """A meter that rises while the person is away and falls while the robot follows, between 0 and 10: no window says it, and its pieces merge."""
+    step = lambda r: -2.0 if r["human_following"] else r["dis_to_human"] / 2 if r["dis_to_human"] > 3 else 1.0
+    found = folds.measured(frames(spark, sf_dir), ["episode_id"], ["frame_index"], ["human_following", "dis_to_human"], folds.Patience(step, 0.0, 10.0, 3.0), "patience")
+    return found.select("episode_id", F.round("patience", R).alias("patience"))
+
+
 @query("SELECT doc_id, concat(CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1 THEN 'who ' ELSE 'is ' END, CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'who ' END, 'there ?') AS sentence FROM documents")
 def word_sentence(spark, sf_dir):
     known = F.array(*map(F.lit, ("<pad>", "who", "is", "there")))

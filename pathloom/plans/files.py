@@ -227,14 +227,35 @@ def episode_dataset_scan(spark, sf_dir):
     def make(root):
         s = _sources(spark, sf_dir)
         episode = F.struct(F.col("k").cast("string").alias("episode_id"), F.concat(F.lit("data/scene_datasets/"), "scene_id", F.lit(".basis.glb")).alias("scene_id"), F.array(F.col("total_step").cast("double")).alias("start_position"))
-        for part in range(2):
-            one = s.where(F.col("k") % 2 == part).agg(F.collect_list(episode).alias("episodes"))
-            sinks.write_single(one, f"{root}/d{part}.json.gz", "json", compression="gzip")
+        files = s.groupBy("scene_id").agg(F.to_json(F.struct(F.collect_list(episode).alias("episodes"))).alias("content")).withColumn("name", F.concat("scene_id", F.lit(".json.gz")))
+        sinks.write_named(files, root, "name", "content", compression="gzip")
 
     read = lambda root: readers.episode_dataset(spark, f"{root}/*.json.gz", scenes=["scene1.basis", "scene4.basis"], scenes_dir="/new").select("episode_id", "scene_id", F.col("start_position")[0].alias("x"))
     return _through(spark, make, read)
 
 
+@query("""WITH s AS (SELECT s_nationkey AS n, count(*) AS n_goals, min(s_acctbal) AS least FROM supplier GROUP BY ALL),
+e AS (SELECT c_nationkey AS n, c_mktsegment AS seg, c_custkey AS c, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS place FROM customer)
+SELECT concat('/new/', n, '.glb') AS scene_id, place::VARCHAR AS episode_id, concat(n, '.glb_', seg) AS goals_key, seg AS object_category, round(c::DOUBLE, 6) AS x,
+  CASE WHEN n % 2 = 0 THEN coalesce(n_goals, 0) ELSE 1 END::INT AS n_goals, round(CASE WHEN n % 2 = 0 THEN least ELSE min(c) OVER (PARTITION BY n, seg)::DOUBLE END, 6) AS goal_x FROM e LEFT JOIN s USING (n)""")
+def goal_dataset_scan(spark, sf_dir):
+    """Zipped datasets, one a scene: half of them with a pool of goals by category, half with goals in the episodes, of which the first's count."""
+    c, s = (spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("customer", "supplier"))
+    goal = lambda x: F.struct(F.array(x.cast("double")).alias("position"), F.lit(1.0).alias("radius"))
+    pools = s.groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(F.array_sort(F.collect_list(goal(F.col("s_acctbal")))).alias("pool"))
+    scene, pooled = F.concat("c_nationkey", F.lit(".glb")), F.col("c_nationkey") % 2 == 0
+    own = F.array(F.struct(F.col("c_mktsegment").alias("object_category"), F.array(F.col("c_custkey").cast("double")).alias("position")))
+    episode = F.struct("c_custkey", F.concat(F.lit("data/scene_datasets/"), scene).alias("scene_id"), F.when(pooled, F.col("c_mktsegment")).alias("object_category"), F.array(F.col("c_custkey").cast("double")).alias("start_position"), F.when(~pooled, own).alias("goals"))
+    each = c.groupBy("c_nationkey").agg(F.array_sort(F.collect_list(episode)).alias("episodes"), F.collect_set("c_mktsegment").alias("segments")).join(pools, "c_nationkey", "left")
+    none = F.array().cast(dict(pools.dtypes)["pool"])
+    shared = F.when(pooled, F.map_from_entries(F.transform("segments", lambda x: F.struct(F.concat(scene, F.lit("_"), x), F.coalesce("pool", none)))))
+    ids = F.map_from_entries(F.transform("segments", lambda x, i: F.struct(x, i)))
+    files = each.select(F.concat("c_nationkey", F.lit(".json.gz")).alias("name"), F.to_json(F.struct(ids.alias("category_to_task_category_id"), ids.alias("category_to_mp3d_category_id"), shared.alias("goals_by_category"), "episodes")).alias("content"))
+    first = F.when(F.size("goals") > 0, F.get("goals", 0)["position"][0])
+    read = lambda root: readers.goal_dataset(spark, f"{root}/*.json.gz", "/new").select("scene_id", "episode_id", "goals_key", "object_category", F.round(F.col("start_position")[0], R).alias("x"), F.size("goals").alias("n_goals"), F.round(first, R).alias("goal_x"))
+    return _through(spark, lambda root: sinks.write_named(files, root, "name", "content", compression="gzip"), read)
+
+
 @query("SELECT concat(lang, '/', source) AS word, row_number() OVER (ORDER BY lang, source) - 1 AS id FROM (SELECT DISTINCT lang, source FROM documents)")
 def vocabulary_scan(spark, sf_dir):
     """The word list of a dataset, here of the documents' languages and sources, with its ids."""

@@ -300,10 +300,14 @@ def grid_interpolation(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(geo.trilinear(F.col("embedding").cast("array<double>"), (4, 4, 4), places), R).alias("value"))
 
 
-@query(FRAMES_SQL + "SELECT a.episode_id, a.frame_index, (SELECT count(*) FROM (SELECT unnest([0.5, 1.0, 1.0, 2.5, 4.0]) AS x) WHERE x < a.dis_to_human)::INT AS place FROM frames a")
+# halving [0.5, 1, 1, 2.5, 4]: the middle item is met first, and nothing lies beyond the last place
+LADDER_SQL = "CASE WHEN {0} = 1 THEN 2 WHEN {0} > 2.5 THEN 4 WHEN {0} > 1 THEN 3 WHEN {0} > 0.5 THEN 1 ELSE 0 END"
+
+
+@query(FRAMES_SQL + f"SELECT episode_id, frame_index, {LADDER_SQL.format('dis_to_human')}::INT AS place, {LADDER_SQL.format('(dis_to_human / 4)')}::INT AS near_place FROM frames")
 def sorted_search(spark, sf_dir):
     ladder = F.array(*map(F.lit, [0.5, 1.0, 1.0, 2.5, 4.0]))
-    return frames(spark, sf_dir).select(*KEYS, geo.search_place(ladder, F.col("dis_to_human")).alias("place"))
+    return frames(spark, sf_dir).select(*KEYS, geo.search_place(ladder, F.col("dis_to_human")).alias("place"), geo.search_place(ladder, F.col("dis_to_human") / 4).alias("near_place"))
 
 
 def _quarters():

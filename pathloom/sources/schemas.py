@@ -30,6 +30,11 @@ EPISODE_DATASET = _struct(
     episodes="array<struct<episode_id:string,scene_id:string,start_position:array<double>,start_rotation:array<double>,goals:array<struct<position:array<double>,radius:double>>,goals_key:string,info:map<string,double>,instruction:struct<instruction_text:string>,question:struct<question_text:string,answer_text:string>>>",
     instruction_vocab="struct<word_list:array<string>>", question_vocab="struct<word_list:array<string>>", goals_by_category="map<string,array<struct<position:array<double>,radius:double>>>",
 )
+_GOALS = "array<struct<object_category:string,object_id:string,position:array<double>,radius:double,view_points:array<struct<agent_state:struct<position:array<double>,rotation:array<double>>,iou:double>>>>"
+GOAL_DATASET = _struct(
+    category_to_task_category_id="map<string,bigint>", category_to_scene_annotation_category_id="map<string,bigint>", category_to_mp3d_category_id="map<string,bigint>", goals_by_category=f"map<string,{_GOALS}>",
+    episodes=f"array<struct<scene_id:string,object_category:string,start_position:array<double>,start_rotation:array<double>,info:map<string,double>,goals:{_GOALS}>>",
+)
 TASKS = _struct(task_index="bigint", task="string", task_type="string", task_subtype="string", platform_text="string", dataset_source="string", scene_id="string", answer="string")
 CONTEXT_META = _struct(context_key="string", dataset="string", split="string", episode_index="bigint", episode_id="string", frame_index="bigint", index="bigint", offset="bigint", n_blocks="bigint", total_tokens="bigint")
 REFS = _struct(ref_id="bigint", ref="string", episode_id="string", frame_index="bigint", camera_name="string")

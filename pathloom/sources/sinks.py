@@ -474,8 +474,8 @@ def read_array(spark: SparkSession, path: str, rows: int = 1 << 20) -> DataFrame
     return spark.range(0, shape[0], rows).mapInArrow(run, f"place long, value {kind}")
 
 
-def write_named(df: DataFrame, root: str, name: str, content: str) -> int:
-    """One file ``root/name`` per row with the column ``content`` as it is; files are written where their rows are. Their number."""
+def write_named(df: DataFrame, root: str, name: str, content: str, compression: str | None = None) -> int:
+    """One file ``root/name`` per row with the column ``content`` as it is, or compressed; files are written where their rows are. Their number."""
     spark = df.sparkSession
     _, p = _fs(spark, root)
     base = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
@@ -488,7 +488,7 @@ def write_named(df: DataFrame, root: str, name: str, content: str) -> int:
             for path, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 whole = f"{folder}/{path}"
                 store.create_dir(whole.rsplit("/", 1)[0], recursive=True)
-                with store.open_output_stream(whole, compression=None) as out:
+                with store.open_output_stream(whole, compression=compression) as out:
                     out.write(data or b"")
             yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
 
