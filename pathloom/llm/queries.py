@@ -27,8 +27,14 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(repository_files(documents(spark, sf_dir))).withColumnRenamed("file_id", "doc_id")
 
 
+def source_text() -> F.Column:
+    """A stand-in for source files, which ``documents`` has none of: settings with a constant, a sum, a call and a value without quotes, made from the text's digest."""
+    literal = F.translate(F.md5(F.coalesce("text", F.lit("")).cast("binary")), "0123456789abcdef", "Zk3!uR8p?Q2#wX7@")
+    return F.concat(F.lit('part = "'), literal, F.lit('"\nclient_secret_key = part + "-1"\nconnect(dbPassword=\''), F.reverse(literal), F.lit("')\nauthToken: "), literal, F.lit("\ntitle = part\n"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(documents(spark, sf_dir))
+    return secret_scan.scan(documents(spark, sf_dir).withColumn("source_text", source_text()), also="source_text")
 
 
 def held_out() -> F.Column:

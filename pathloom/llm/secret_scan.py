@@ -3,7 +3,10 @@
 Patterns give the base spans. Texts that name something sensitive are then
 lexed: strings, names, assignment signs and line ends of source and
 configuration syntax become name-literal pairs (``name = "…"``, ``name: …``,
-``{"name": "…"}``, ``name = other + "…"``). Names bound to literals are
+``{"name": "…"}``, ``name = other + "…"``, ``f(name="…")``, ``name = f("…")``), with
+plain, triple-quoted and prefixed strings. A value without quotes runs up to white
+space, a comma, a bracket or a quote. The lexer goes through a text once, in time
+linear in its length, whatever its quotes and escapes. Names bound to literals are
 propagated as constants, in either order and through concatenations, and each
 pair whose target name is sensitive is scored by that name and by how random
 its literal is. Literals that score enough are spans of kind ``lexed``, unless
@@ -46,14 +49,27 @@ _MAY = {"assign": r"(?i)password|passwd|secret|token|api_?key", "access": "AKIA[
 
 #: Weight of a target name's word; a pair counts from THRESHOLD on.
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 1.0, "secret": 1.0, "token": 0.9, "credential": 0.9, "credentials": 0.9, "apikey": 1.0, "auth": 0.7, "key": 0.5}
+#: Words that tell a name also where they end a longer one, as in dbpwd.
+RUN_TOGETHER = ("password", "passwd", "passphrase", "pwd", "secret", "token", "apikey")
 STRONGER = {"api", "access", "private", "secret", "client", "signing", "encryption", "auth"}
 THRESHOLD = 0.6
-_PLACEHOLDER = re.compile(r"(?i)\A(?:\$\{.*\}|<.*>|%\(.*\)s|\{\{.*\}\}|change_?me.*|example.*|your[_-].*|none|null|true|false|x+|\*+|\.+)\Z")
-_LEX = re.compile(
-    r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')"""
-    r"""|(?P<op>:=|=>|==|[=:])|(?P<plus>\+)|(?P<end>[\n;,{}()\[\]])"""
-    r"""|(?P<name>[^\W\d][\w.-]*)|(?P<bare>[^\s"'=:+;,{}()\[\]]+)"""
+_PLACEHOLDER = re.compile(
+    r"(?i)\A(?:\$\{.*\}|\$[a-z_]\w*|<.*>|%\(.*\)s|\{\{.*\}\}|change_?me.*|example.*|your[_-].*|none|null|true|false|x+|\*+|\.+"
+    r"|[a-z][a-z0-9+.-]*://[^@\s]*|[.~]?(?:/[\w.-]+)+/?)\Z"  # addresses without a user, and paths
 )
+_NAME = r"[^\W\d][\w.-]*"
+#: An apostrophe within a word opens nothing.
+_QUOTE = r"(?:(?:(?<!\w)[rRbBuUfF]{1,2})?\"|(?<!\w)[rRbBuUfF]{0,2}')"
+_LEX = re.compile(rf"(?P<quote>{_QUOTE})|(?P<op>:=|=>|==|[=:])|(?P<plus>\+)|(?P<end>[\n;,{{}}()\[\]])|(?P<name>{_NAME})|(?P<bare>[^\s\"'=:+;,{{}}()\[\]]++)")
+#: A value without quotes ends at white space, a comma, a bracket or a quote; at a semicolon only if a line's end or the next pair follows.
+_VALUE = re.compile(r"[ \t(]*+(?:(?P<quoted>" + _QUOTE + r")|(?P<run>(?:[^\s,;(){}\[\]\"']|;(?!\s|\Z|[\w .-]{1,64}=))++))")
+_OF_CHAIN = re.compile(rf"({_NAME})(?::=|=>|=|:)\Z")
+_ONLY_NAME = re.compile(rf"{_NAME}\Z")
+_CLOSED = {q: re.compile(rf"(?:[^{q}\\\n]++|\\.)*+{q}") for q in "\"'"}
+_TRIPLE = {q: re.compile(rf"(?:[^{q}\\]++|\\.|{q}(?!{q}{q}))*+{q}{q}{q}", re.DOTALL) for q in "\"'"}
+_ARGUMENT = re.compile(rf"\(\s*+(?:{_NAME}\s*+=\s*+)?(?={_QUOTE})")
+#: Calls whose argument names a secret and is none itself.
+_LOOKUP = re.compile(r"(?i)env|get|input|read|find|load|config|lookup|prompt|param")
 _REPEATED = re.compile(r"(?i)\A(?:x+|\*+|\.+)\Z")
 #: Characters at either end of a literal that tell a placeholder.
 ENDS = 64
@@ -64,7 +80,8 @@ def name_score(name: str) -> float:
     """How sensitive a target name is, from its words (snake, kebab, dotted or camel case)."""
     words = [w.lower() for w in _WORD.findall(name)]
     joined = {a + b for a, b in zip(words, words[1:], strict=False)}
-    score = max([SENSITIVE.get(w, 0.0) for w in [*words, *joined]], default=0.0)
+    ends = [SENSITIVE[x] for w in words for x in RUN_TOGETHER if w.endswith(x)]
+    score = max([*(SENSITIVE.get(w, 0.0) for w in [*words, *joined]), *ends], default=0.0)
     return min(1.0, score + 0.4) if score and STRONGER & set(words[:-1]) else score
 
 
@@ -103,36 +120,106 @@ def value_score(value: str) -> float:
     return Value(value).score()
 
 
-def pairs(text: str) -> list[tuple[str, list[tuple[str, str, int, int]]]]:
+class _Strings:
+    """Where string literals of a text end. Each character is looked at a bounded number of times.
+
+    A quote that nothing closes on its line is no string, and then no other of its kind on that line is tried; a triple quote
+    that nothing closes is none, and then no other of its kind in the text is tried.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.dead, self.no_triple = text, {'"': -1, "'": -1}, set()
+
+    def at(self, m: re.Match, group: str) -> tuple[int, int, int] | None:
+        """(start, end, where to go on) of the literal whose opening quote ``m`` has matched, without quotes, or None."""
+        q, start = m[group][-1], m.end(group)
+        if self.text.startswith(q * 2, start) and q not in self.no_triple:
+            if closed := _TRIPLE[q].match(self.text, start + 2):
+                return start + 2, closed.end() - 3, closed.end()
+            self.no_triple.add(q)
+        if start <= self.dead[q]:
+            return None
+        if closed := _CLOSED[q].match(self.text, start):
+            return start, closed.end() - 1, closed.end()
+        line = self.text.find("\n", start)
+        self.dead[q] = len(self.text) if line < 0 else line
+        return None
+
+
+Operand = tuple[str, str, int, int]
+
+
+def pairs(text: str) -> list[tuple[str, list[Operand]]]:
     """Name-literal pairs: a target name, and the operands bound to it as (kind, value, start, end)."""
-    found, target, operands, last, wants = [], None, [], None, False
-    for m in _LEX.finditer(text):
-        kind = m.lastgroup
-        if kind == "op" and m.group() != "==":
-            if last and target is None:
-                target, operands, wants = last, [], True
-            elif last and operands and wants is False:  # a chain a = b = "…", or the next pair of one line
-                found.append((target, operands))
-                target, operands, wants = last, [], True
-        elif kind in ("string", "name", "bare"):
-            start, end, value = m.start(), m.end(), m.group()
-            if kind == "string":
-                start, end, value = start + 1, end - 1, value[1:-1]
-            if target is not None and wants:
-                operands.append((kind, value, start, end))
-                wants = False
-            elif target is not None:
-                found.append((target, operands))
-                target, operands = None, []
-            last = value if kind != "bare" else None
+    found: list[tuple[str, list[Operand]]] = []
+    strings, target, operands, last, wants, at = _Strings(text), None, [], None, False, 0
+
+    def shut() -> None:
+        nonlocal target, operands, wants
+        if target is not None and operands:
+            found.append((target, operands))
+        target, operands, wants = None, [], False
+
+    while True:
+        if wants and (m := _VALUE.match(text, at)):
+            wants = False
+            if m["quoted"]:
+                if literal := strings.at(m, "quoted"):
+                    start, end, at = literal
+                    operands.append(("string", text[start:end], start, end))
+                    last = text[start:end]
+                    continue
+                at = m.end("quoted")  # nothing closes it: what follows is read as if it stood without quotes
+                m = _VALUE.match(text, at)
+                if not m or not m["run"]:
+                    continue
+            value, start, at = m["run"], m.start("run"), m.end("run")
+            follows = text[at : at + 1]
+            if follows in ("'", '"') and (chain := _OF_CHAIN.match(value)):  # a=b="…"
+                operands.append(("name", chain[1], start, start + len(chain[1])))
+                shut()
+                target, wants = chain[1], True
+                continue
+            if follows in ("'", '"') and value.endswith("+"):  # a+"…"
+                value, wants = value[:-1], True
+                if not value:
+                    continue
+            if follows == "(" and _ONLY_NAME.match(value):  # a call: its one literal, if it has just one
+                literal = None
+                if (opened := _ARGUMENT.match(text, at)) and not _LOOKUP.search(value):
+                    literal = strings.at(_LEX.match(text, opened.end()), "quote")
+                if literal and text[literal[2] : literal[2] + ENDS].lstrip().startswith(")"):
+                    start, end, at = literal
+                    operands.append(("string", text[start:end], start, end))
+                last = None
+                continue
+            operands.append(("name" if _ONLY_NAME.match(value) else "bare", value, start, start + len(value)))
+            last = value if _ONLY_NAME.match(value) else None
+            continue
+        wants = False
+        m = _LEX.search(text, at)
+        if not m:
+            break
+        kind, at = m.lastgroup, m.end()
+        if kind == "op":
+            if m.group() != "==" and last is not None:
+                shut()  # of a chain a = b = "…", or the pair before on this line
+                target, wants = last, True
         elif kind == "plus":
             wants = target is not None and bool(operands)
         elif kind == "end":
-            if target is not None and operands:
-                found.append((target, operands))
-            target, operands, last, wants = None, [], None, False
-    if target is not None and operands:
-        found.append((target, operands))
+            shut()
+            last = None
+        else:
+            shut()
+            if kind == "quote":
+                literal = strings.at(m, "quote")
+                if literal:
+                    at = literal[2]
+                last = text[literal[0] : literal[1]] if literal else None
+            else:
+                last = m.group() if kind == "name" else None
+    shut()
     return found
 
 
@@ -142,6 +229,13 @@ def lexed_spans(text: str) -> list[tuple[int, int]]:
     known: dict[str, list] = {}
     for name, operands in bound:
         known.setdefault(name, operands)  # the first binding of a name is its constant
+    for _, operands in bound:
+        for i in range(len(operands) - 1, -1, -1):  # a+b is a sum if both are constants, else a literal with a plus sign
+            kind, value, start, _ = operands[i]
+            parts = value.split("+") if kind == "bare" and "+" in value else []
+            if parts and all(x in known for x in parts):
+                places = [start + len("+".join(parts[:j])) + bool(j) for j in range(len(parts))]
+                operands[i : i + 1] = [("name", x, at, at + len(x)) for x, at in zip(parts, places, strict=True)]
 
     def inner(operands: list) -> list[str]:
         return [value for kind, value, _, _ in operands if kind == "name" and value in known]
@@ -237,8 +331,12 @@ def _scan_column(column: pa.Array) -> Iterator[tuple[str, list[tuple[str, int, i
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, n_lexed long, base_sha256 string, spans string"
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text)`` → counts, digest of the base spans and all spans, one row per row."""
+def scan(docs: DataFrame, also: str | None = None) -> DataFrame:
+    """``docs(doc_id, text)`` → counts, digest of the base spans and all spans, one row per row.
+
+    ``also`` names a second text column, whose spans come as a column ``<also>_spans``.
+    """
+    schema, more = (f"{SCHEMA}, {also}_spans string", [F.col(also).cast("string")]) if also else (SCHEMA, [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -249,9 +347,10 @@ def scan(docs: DataFrame) -> DataFrame:
                 rows.append((n["assign"], n["access"], n["hex"], n["lexed"], hashlib.sha256(base.encode()).hexdigest(), _told(found)))
             kinds = [*[pa.int64()] * 4, pa.string(), pa.string()]
             columns = list(zip(*rows, strict=True)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True))], names=[x.split()[0] for x in SCHEMA.split(", ")])
+            second = [pa.array([_told(found) for _, found in _scan_column(b.column(2))], pa.string())] if also else []
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)), *second], names=[x.split()[0] for x in schema.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(in_parts(run), SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more).mapInArrow(in_parts(run), schema)
 
 
 def hide(text: str, found: list[tuple[str, int, int]], mark: str = "[SECRET]") -> str:
