@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -126,28 +129,41 @@ def visit_turns(df: DataFrame, key: str, scene: str, n_steps: str, most_steps: i
     Each cycle shuffles anew by the hash of seed, cycle and key. Scenes take turns in the order of their first episodes; what
     is left of a scene waits for its next turn. The limit of a turn is drawn from ``most_steps`` times 1 ± ``spread`` by
     the hash of seed, cycle, scene and turn. Columns key, scene, ``cycle``, ``turn``, ``scene_place``, ``place``: sort by
-    ``cycle``, ``turn``, ``scene_place``, ``place``. A scene's episodes are gathered, which its dataset bounds.
+    ``cycle``, ``turn``, ``scene_place``, ``place``. A scene's rows pass through one task in order, as each turn depends on
+    those before, but only a turn's number and steps are held.
     """
     each = df.select(key, scene, F.col(n_steps).cast("long").alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cycles - 1).cast("long"))).alias("cycle"))
-    digest = lambda *parts: F.md5(F.concat_ws("/", F.lit(seed), *(p.cast("string") for p in parts)).cast("binary"))
-    each = each.withColumn("h", digest(F.col("cycle"), F.col(key)))
-    listed = each.groupBy("cycle", scene).agg(F.array_sort(F.collect_list(F.struct("h", key, "n"))).alias("items"))
-    # a number of 32 bits from the hash, as a share of the range
-    drawn = lambda turn: F.conv(F.substring(digest(F.col("cycle"), F.col(scene), turn), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    digest = F.md5(F.concat_ws("/", F.lit(seed), F.col("cycle").cast("string"), F.col(key).cast("string")).cast("binary"))
+    each = each.select("cycle", scene, key, "n", digest.alias("h"), F.col(scene).cast("string").alias("__name"))
+    places = each.groupBy("cycle", scene).agg(F.min("h").alias("first"))  # one row per scene
+    places = places.select("cycle", scene, (F.row_number().over(Window.partitionBy("cycle").orderBy("first", scene)) - 1).cast("long").alias("scene_place"))
     low, high = int(most_steps * (1 - spread)), int(most_steps * (1 + spread))
-    limit = lambda turn: F.lit(low) + F.floor(drawn(turn) * (high - low + 1))
-    start = F.struct(F.lit(0).cast("long").alias("turn"), F.lit(0).cast("long").alias("steps"), F.array().cast("array<bigint>").alias("turns"))
-
-    def step(acc: Column, x: Column) -> Column:
-        switch = acc["steps"] >= limit(acc["turn"])
-        turn = F.when(switch, acc["turn"] + 1).otherwise(acc["turn"])
-        steps = F.when(switch, F.lit(0).cast("long")).otherwise(acc["steps"]) + x["n"]
-        return F.struct(turn.alias("turn"), steps.alias("steps"), F.concat(acc["turns"], F.array(turn)).alias("turns"))
-
-    folded = listed.select("cycle", scene, "items", F.aggregate("items", start, step, lambda acc: acc["turns"]).alias("turns"), F.col("items")[0]["h"].alias("first"))
-    places = folded.select("cycle", scene, "first", F.row_number().over(Window.partitionBy("cycle").orderBy("first", scene)).cast("long").alias("scene_place"))  # one row per scene
-    rows = folded.select("cycle", scene, F.posexplode(F.arrays_zip("items", "turns")).alias("place", "x")).select(F.col("x.items")[key].alias(key), scene, "cycle", F.col("x.turns").alias("turn"), F.col("place").cast("long").alias("place"))
-    return rows.join(places.select("cycle", scene, (F.col("scene_place") - 1).alias("scene_place")), ["cycle", scene]).select(key, scene, "cycle", "turn", "scene_place", "place")
+    kinds = {f.name: f.dataType.simpleString() for f in each.schema}
+
+    def limit(cycle: int, name: str, turn: int) -> int:
+        """A number of 32 bits from the hash, as a share of the range."""
+        drawn = int(hashlib.md5(f"{seed}/{cycle}/{name}/{turn}".encode()).hexdigest()[:8], 16) / (1 << 32)
+        return low + int(drawn * (high - low + 1))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, turn, steps, place, most = None, 0, 0, 0, 0
+        for b in batches:
+            turns, ranks = [], []
+            for cycle, name, n in zip(*(b.column(c).to_pylist() for c in ("cycle", "__name", "n")), strict=True):
+                if (cycle, name) != at:
+                    at, turn, steps, place, most = (cycle, name), 0, 0, 0, limit(cycle, name, 0)
+                if steps >= most:
+                    turn, steps = turn + 1, 0
+                    most = limit(cycle, name, turn)
+                turns.append(turn)
+                ranks.append(place)
+                steps, place = steps + n, place + 1
+            yield pa.RecordBatch.from_arrays([b.column(key), b.column(scene), b.column("cycle"), pa.array(turns, pa.int64()), pa.array(ranks, pa.int64())], names=[key, scene, "cycle", "turn", "place"])
+
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = each.repartition(parts, "cycle", scene).sortWithinPartitions("cycle", scene, "h", key)
+    rows = ordered.mapInArrow(walk, f"`{key}` {kinds[key]}, `{scene}` {kinds[scene]}, cycle long, turn long, place long")
+    return rows.join(places, ["cycle", scene]).select(key, scene, "cycle", "turn", "scene_place", "place")
 
 
 def generated_episodes(scenes: DataFrame, scene: str, n: int, seed: str, side: float = 10.0) -> DataFrame:

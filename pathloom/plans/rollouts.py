@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pathloom.functions import geo, text
 from pathloom.operators import context, evaluate, sequence, stats, worklist
-from pathloom.plans.registry import query
+from pathloom.operators.prefix import shared_folder
+from pathloom.plans.registry import ORACLES, query
 from pathloom.plans.standins import FRAMES_SQL, episodes, frames, table
 
 HORIZON, BUDGET, CAMERAS = 8, 1024, ["front", "left", "right", "rear"]
@@ -110,6 +114,107 @@ def early_termination(spark, sf_dir):
     return evaluate.early_end(_steps(spark, sf_dir), far=2.0, lost_after=2, stuck_after=4, still=1.0)
 
 
+EARLY_SQL = ORACLES["early_termination"].rsplit("SELECT episode_id, end_step", 1)[0]
+
+
+@query(EARLY_SQL + "SELECT episode_id, end_step, cause FROM first WHERE cause IS NOT NULL")
+def streamed_rules(spark, sf_dir):
+    """The same rules over a stream of steps in three runs, each from the state of the last: the steps at which episodes end, and why."""
+    from pathloom.streaming import episodes as streams
+
+    steps = _steps(spark, sf_dir).select("episode_id", "frame_index", "human_following", "dis_to_human", "human_x", "human_z", "human_collision")
+    slices = [steps.where(F.least(F.floor(F.col("frame_index") / 25), F.lit(2)) == i) for i in range(3)]
+    out = streams.streamed_in_runs(spark, slices, lambda s: streams.follow_episodes(s, far=2.0, lost_after=2, stuck_after=4, still=1.0))
+    return out.where("cause is not null").select("episode_id", F.col("frame_index").alias("end_step"), "cause")
+
+
+@query(FRAMES_SQL + """SELECT episode_id, array_to_string(list_transform(CASE WHEN n >= 75 THEN k[1:75] ELSE k || list_transform(range(75 - n), lambda _: k[n]) END, lambda x: x::VARCHAR), ',') AS padded,
+  array_to_string(list_transform(k[1:4], lambda x: x::VARCHAR), ',') AS cut, 3::INT AS n_empty FROM (SELECT episode_id, list(dis_to_human::BIGINT ORDER BY frame_index) AS k, count(*) AS n FROM frames GROUP BY episode_id)""")
+def padded_lists(spark, sf_dir):
+    """An episode's values made 75 long by repeating the last or by cutting, 4 long, and an empty list of lists made 3 long."""
+    listed = frames(spark, sf_dir).groupBy("episode_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame_index", F.col("dis_to_human").cast("long").alias("k")))), lambda x: x["k"]).alias("k"))
+    text_of = lambda c: F.array_join(c.cast("array<string>"), ",")
+    none = F.array().cast("array<array<double>>")
+    return listed.select("episode_id", text_of(sequence.pad_to_length(F.col("k"), 75)).alias("padded"), text_of(sequence.pad_to_length(F.col("k"), 4)).alias("cut"), F.size(sequence.pad_to_length(none, 3, F.array().cast("array<double>"))).alias("n_empty"))
+
+
+@query(FRAMES_SQL + "SELECT episode_id, frame_index, i::INT AS camera_index, name AS camera_name FROM frames, (VALUES (0, 'rear'), (1, 'front')) AS c(i, name)")
+def chosen_cameras(spark, sf_dir):
+    """Frames with the cameras of a list that names some twice, in its order; unknown ones and none are refused."""
+    for bad in ([], ["front", "top"]):
+        try:
+            worklist.normalized_cameras(bad, CAMERAS)
+        except ValueError:
+            continue
+        raise AssertionError(f"{bad} was taken")
+    chosen = worklist.normalized_cameras(["rear", "front", "rear", "front"], CAMERAS)
+    return worklist.with_cameras(frames(spark, sf_dir).select("episode_id", "frame_index"), chosen).select("episode_id", "frame_index", "camera_index", "camera_name")
+
+
+@query("""WITH n AS (SELECT count(*) AS n FROM events), c AS (SELECT 'sound' AS "case", 'ok' AS verdict UNION ALL SELECT 'column', 'table lacks value' UNION ALL SELECT 'null', 'table holds nulls in event_id, value' UNION ALL SELECT 'unique', 'table repeats keys of user_id') SELECT * FROM c, n""")
+def required_columns(spark, sf_dir):
+    """What is said of a table that is sound, lacks a column, holds a null, or repeats a key."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    first = e.agg(F.min("event_id")).first()[0]
+    need = ["event_id", "value"]
+    cases = {
+        "sound": lambda: worklist.require_columns(e, need, "table"), "column": lambda: worklist.require_columns(e.drop("value"), need, "table"),
+        "null": lambda: worklist.require_columns(e.withColumn("value", F.when(F.col("event_id") != first, F.col("value"))), need, "table"), "unique": lambda: worklist.assert_unique(e, ["user_id"], "table"),
+    }
+    told = []
+    for name, check in cases.items():
+        try:
+            check()
+            told.append((name, "ok"))
+        except ValueError as error:
+            told.append((name, str(error)))
+    return spark.createDataFrame(told, "case string, verdict string").crossJoin(F.broadcast(e.agg(F.count("*").alias("n"))))  # four rows and one
+
+
+@query("""WITH a AS (SELECT count(*) AS n_events, count(DISTINCT user_id) AS n_users, max(event_id) AS last FROM events WHERE event_id % 10 > 0), b AS (SELECT count(*) AS n_events, count(DISTINCT user_id) AS n_users FROM events)
+SELECT * FROM (SELECT 'n_events' AS key, a.n_events::VARCHAR AS saved, b.n_events::VARCHAR AS expected FROM a, b UNION ALL SELECT 'n_users', a.n_users::VARCHAR, b.n_users::VARCHAR FROM a, b UNION ALL SELECT 'camera', NULL, 'front') WHERE saved IS DISTINCT FROM expected""")
+def resume_config(spark, sf_dir):
+    """Settings of a build as they were saved, and those that a second run expects: what differs or was not saved."""
+    import json
+
+    from pathloom.sources import sinks
+
+    e = table(spark, sf_dir, "events")
+    of = lambda df: dict(zip(("n_events", "n_users"), df.agg(F.count("*"), F.count_distinct("user_id")).first(), strict=True))
+    path = f"{shared_folder(spark)}/settings-{uuid.uuid4().hex}.json"
+    sinks.write_json(spark, path, of(e.where("event_id % 10 > 0")) | {"fps": 10})
+    try:
+        differing = sinks.config_differences(json.loads(sinks.read_small(spark, path)), of(e) | {"fps": 10, "camera": "front"})
+    finally:
+        sinks.remove(spark, path)
+    shown = [(k, *(None if x is None else str(x) for x in both)) for k, both in differing.items()]
+    return spark.createDataFrame(shown, "key string, saved string, expected string")
+
+
+@query(FRAMES_SQL + "SELECT episode_id, frame_index, round(vx, 6) AS motion__vx, round(vy, 6) AS motion__turn__vy, round(wz, 6) AS motion__turn__wz, round(dis_to_human, 6) AS dis FROM frames")
+def flat_records(spark, sf_dir):
+    """Records of nested structs, read from JSON text, as columns named by their paths."""
+    whole = frames(spark, sf_dir).select("episode_id", "frame_index", F.struct("vx", F.struct("vy", "wz").alias("turn")).alias("motion"), F.col("dis_to_human").alias("dis"))
+    written = whole.select(F.to_json(F.struct(*whole.columns)).alias("t"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in whole.schema)
+    read = written.select(F.from_json("t", kinds).alias("r")).select("r.*")
+    flat = read.select(*text.flat_fields(read, "__"))
+    return flat.select("episode_id", "frame_index", *(F.round(c, R).alias(c) for c in flat.columns[2:]))
+
+
+@query("""WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), s AS (SELECT vec_id, v[1] AS a, v[2] AS b, CASE WHEN vec_id % 3 = 0 THEN 2 * v[1] WHEN vec_id % 7 = 1 THEN 0 ELSE v[3] END AS c, CASE WHEN vec_id % 3 = 0 THEN 2 * v[2] WHEN vec_id % 7 = 1 THEN 0 ELSE v[4] END AS d, v[5] AS e, v[6] AS f FROM e),
+t AS (SELECT *, a * d - b * c AS det, a * a + b * b + c * c + d * d AS norm FROM s)
+SELECT vec_id, round(CASE WHEN abs(det) > 1e-12 THEN (e * d - b * f) / det WHEN norm > 0 THEN (a * e + c * f) / norm ELSE 0 END, 4) + 0.0 AS x, round(CASE WHEN abs(det) > 1e-12 THEN (a * f - e * c) / det WHEN norm > 0 THEN (b * e + d * f) / norm ELSE 0 END, 4) + 0.0 AS y FROM t""")
+def plane_solve(spark, sf_dir):
+    """Two equations in two unknowns from each vector; every third system is singular and has its least-norm solution."""
+    v = F.col("embedding").cast("array<double>")
+    a, b, c, d, e, f = (v[i] for i in range(6))
+    third, flat = F.col("vec_id") % 3 == 0, F.col("vec_id") % 7 == 1
+    c, d = (F.when(third, 2 * x).when(flat, 0.0).otherwise(y) for x, y in ((a, c), (b, d)))
+    x, y = geo.solve2(a, b, c, d, e, f)
+    return table(spark, sf_dir, "embeddings").select("vec_id", (F.round(x, 4) + 0.0).alias("x"), (F.round(y, 4) + 0.0).alias("y"))
+
+
 @query(FRAMES_SQL + "SELECT episode_id, sum((vy >= 0.9)::INT)::BIGINT AS n_following, round(avg((vy >= 0.9)::INT), 6) AS rate FROM frames GROUP BY episode_id")
 def following_aggregate(spark, sf_dir):
     held = F.count_if(F.col("vy") >= 0.9)
