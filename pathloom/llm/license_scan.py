@@ -51,6 +51,8 @@ OPENING = 3
 #: A word in more than one of so many units is frequent.
 FREQUENT_SHARE = 1000
 THRESHOLD = 0.6
+#: Directories of so many levels at most, the root's included, are joined in so many parts.
+TOP_LEVELS, SALT = 3, 64
 
 
 def _words(text: Column) -> Column:
@@ -109,7 +111,7 @@ def cosines(bodies: DataFrame, templates: dict[str, str]) -> DataFrame:
     idf = vocabulary.join(df, "word", "left").select("word", inverse.alias("idf"))
     idf = F.broadcast(cut(idf))  # one row per word of the templates
     # rows of frequent words are not dealt by word; they are bounded, as a unit's words are
-    frequent = F.broadcast(df.where(F.col("df") * FREQUENT_SHARE > n).select("word", inverse.alias("idf")))
+    frequent = if_small(cut(df.where(F.col("df") * FREQUENT_SHARE > n).select("word", inverse.alias("idf"))))
     rest = df.where(F.col("df") * FREQUENT_SHARE <= n).select("word", inverse.alias("idf"))
     counts = counts.select("h", "word", "tf")
     weighted = counts.join(frequent, "word").unionByName(counts.join(frequent, "word", "left_anti").join(rest, "word"))
@@ -151,7 +153,11 @@ def scan(files: DataFrame, templates: dict[str, str] | None = None, threshold: f
     chain = F.transform(F.sequence(F.lit(0), F.size(steps("dir"))), lambda n: F.array_join(F.slice(steps("dir"), 1, n), "/"))
     dirs = files.select(directory(F.col("path")).alias("dir")).distinct()
     above = dirs.select(F.col("dir").alias("of"), F.explode(F.array_distinct(chain)).alias("dir"))
-    nearest = above.join(licensed, "dir").groupBy("of").agg(F.max_by(F.struct("dir", "dir_license", "dir_cosine"), F.length("dir")).alias("d"))
+    # all directories are below the root, and a third may be below one more: the first levels are dealt in salted parts
+    top = F.size(steps("dir")) <= TOP_LEVELS
+    above = above.withColumn("part", F.when(top, F.pmod(F.xxhash64("of"), F.lit(SALT))).otherwise(0))
+    licensed = licensed.withColumn("part", F.explode(F.when(top, F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))))
+    nearest = above.join(if_small(cut(licensed)), ["dir", "part"]).groupBy("of").agg(F.max_by(F.struct("dir", "dir_license", "dir_cosine"), F.length("dir")).alias("d"))
     rows = files.select("file_id", "path", directory(F.col("path")).alias("of"))
     rows = rows.join(own.select(F.col("file_id").alias("o_id"), F.col("path").alias("o_path"), "template", "cosine"), F.expr("file_id <=> o_id AND path = o_path"), "left").join(nearest, "of", "left")
     has, inherits = F.col("template").isNotNull(), F.col("d").isNotNull()

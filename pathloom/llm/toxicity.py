@@ -173,7 +173,10 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
 
 
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, max_positive: int = 4000, max_unlabelled: int = 10000) -> Model:
-    """Fit on rows of ``docs(doc_id, text)``, positives by ``labels(doc_id, toxic)``; ``may_learn``: a condition on ``doc_id``."""
+    """Fit on rows of ``docs(doc_id, text)``, positives by ``labels(doc_id, toxic)``; ``may_learn``: a condition on ``doc_id``.
+
+    At most ``max_positive`` and ``max_unlabelled`` distinct rows reach the driver, whatever the number of rows that share an id.
+    """
     may_learn = F.lit(True) if may_learn is None else may_learn
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") == 1).cast("int").alias("toxic")).where(may_learn & F.col("toxic").isNotNull())
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -193,13 +196,12 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, m
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["kind", "features"])
 
     # the picked keys are at most max_positive + max_unlabelled longs
-    rows = cut(keyed.join(F.broadcast(picked), "doc_id").select("kind", "text").mapInArrow(in_parts(run), "kind int, features binary")).toLocalIterator()
-    sides: tuple[list, list] = ([], [])
-    for kind, found in rows:
-        if len(found):
-            sides[kind].append(np.frombuffer(found, np.int32))
-    order = lambda r: r.tobytes()  # noqa: E731  rows come in any order
-    return fit(sorted(sides[1], key=order), sorted(sides[0], key=order), toxic / n)
+    rows = cut(keyed.join(F.broadcast(picked), "doc_id").select("kind", "text").mapInArrow(in_parts(run), "kind int, features binary").distinct())
+    sides = []
+    for kind, most in ((1, max_positive), (0, max_unlabelled)):  # an id can have any number of rows, so the bound holds for rows too
+        bounded = rows.where((F.col("kind") == kind) & (F.octet_length("features") > 0)).select("features").orderBy(F.xxhash64("features"), "features").limit(most)
+        sides.append(sorted((np.frombuffer(r[0], np.int32) for r in bounded.toLocalIterator()), key=lambda r: r.tobytes()))  # rows come in any order
+    return fit(*sides, toxic / n)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
