@@ -9,7 +9,8 @@ that each linked pair shares a posting. A pair of a posting has four matches
 by that; its tally goes on over the other four positions, pairs that stay
 below five are dropped, and only the rest is verified bit by bit. A posting
 yields a star per component, never all its pairs. Postings that are long are
-first split on equal parts of their free bits, which loses no link. Components
+dealt anew by a fifth byte before the shuffle, and split on equal parts of their
+free bits within a task, which loses no link. Components
 of the stars are found with distributed star contractions.
 
 Defined cases: null text is the empty text; a text without words has the
@@ -24,6 +25,7 @@ result; other columns are ignored by ``near_duplicates`` and kept by
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations, repeat
 
 import numpy as np
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.llm.common import cut, in_parts, key_groups, shuffle_partitions, text_hash, texts_of, without_rows
+from pathloom.llm.common import cut, if_small, in_parts, key_groups, shuffle_partitions, text_hash, texts_of, without_rows
 from pathloom.llm.components import components
 
 #: Linked at this many differing bits or fewer.
@@ -43,6 +45,8 @@ LEAST_SHARED = 8 - MAX_BITS
 HOT_SHARE = 1000
 #: Postings up to this length are compared pair by pair at once.
 BLOCK = 1024
+#: Postings that should be longer than this, by one fingerprint in SAMPLE, are split before the shuffle.
+LONG, SAMPLE = 65_536, 16
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -72,6 +76,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), text_hash(), F.col("text").cast("binary")).mapInArrow(in_parts(run), "doc_id long, text_hash long, fp long")
 
 
+@cache
 def covering_quads() -> list[tuple[int, ...]]:
     """Four-subsets of the eight byte positions such that each five-subset contains one; greedy, so the same everywhere."""
     left, quads = {frozenset(x) for x in combinations(range(8), LEAST_SHARED)}, []
@@ -128,9 +133,28 @@ def _stars(fps: np.ndarray, free: tuple[int, ...]) -> Iterator[tuple[np.ndarray,
                 yield from _stars(group, rest)
 
 
+FURTHER = 1 << 40  # a key with a fifth position: this bit, the position in bits 41 to 43, its byte from bit 44 on
+
+
+def _fixed(k: int) -> tuple[int, ...]:
+    """The byte positions that are equal in a posting."""
+    quad = covering_quads()[k >> 32 & 255]
+    return (*quad, k >> 41 & 7) if k & FURTHER else quad
+
+
+def _further(fp: str, k: str) -> Column:
+    """The keys of a long posting with one byte more: of the four other positions, three bits or fewer leave one equal."""
+    quad = F.shiftrightunsigned(k, 32)
+    byte = lambda p: F.shiftrightunsigned(F.col(fp), 8 * p).bitwiseAND(F.lit(255).cast("long"))
+    more = lambda p: F.col(k).bitwiseOR(F.lit(FURTHER | p << 41)).bitwiseOR(F.shiftleft(byte(p), 44))
+    out = F.array().cast("array<bigint>")
+    for i, own in enumerate(covering_quads()):
+        out = F.when(quad == i, F.array(*(more(p) for p in range(8) if p not in own))).otherwise(out)
+    return out
+
+
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (k, fp) sorted by k → edges (u, v). Short postings are compared all at once, by distance in the order."""
-    quads = covering_quads()
     for k, raw in key_groups(batches):
         fp = raw.view(np.uint64)
         start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
@@ -147,18 +171,26 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hit = _linked(a, b)
             left.append(a[hit]), right.append(b[hit])
         for s, n in zip(start[long], size[long], strict=True):
-            quad = quads[int(k[s]) >> 32]
-            for a, b in _stars(np.unique(fp[s : s + n]), tuple(i for i in range(64) if i // 8 not in quad)):
+            for a, b in _stars(np.unique(fp[s : s + n]), tuple(i for i in range(64) if i // 8 not in _fixed(int(k[s])))):
                 left.append(a), right.append(b)
         if left and sum(map(len, left)):
             u, v = np.concatenate(left), np.concatenate(right)
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """Edges (u, v) over the distinct ``prints(fp)``, spanning every group of linked fingerprints."""
+def links(prints: DataFrame, long: int = LONG, sample: int = SAMPLE) -> DataFrame:
+    """Edges (u, v) over the distinct ``prints(fp)``, spanning every group of linked fingerprints.
+
+    Postings that should be longer than ``long``, by one fingerprint in ``sample``, are dealt anew by a fifth byte before the shuffle.
+    The sample only decides where a posting is split; one that it misses is split within its task.
+    """
     n = shuffle_partitions(prints.sparkSession)
     index = prints.select("fp", F.explode(F.array(*_keys("fp"))).alias("k")).select("k", "fp")
+    hot = cut(index.where(F.pmod(F.xxhash64("fp"), F.lit(sample)) == 0).groupBy("k").count().where(F.col("count") * sample > long).select("k"))
+    if not hot.isEmpty():
+        hot = if_small(hot)
+        further = index.join(hot, "k", "left_semi").select(F.explode(_further("fp", "k")).alias("k"), "fp")
+        index = index.join(hot, "k", "left_anti").unionByName(further)
     index = index.repartition(n, "k").sortWithinPartitions("k")
     return index.mapInArrow(_postings, "u long, v long")
 
