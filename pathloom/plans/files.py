@@ -288,7 +288,7 @@ def retry_list(spark, sf_dir):
         for place in range(2):  # the log's parts in the order they were written
             part = spark.read.text(f"{root}/{place}.log").select((F.monotonically_increasing_id() + place * (1 << 40)).alias("number"), "value")
             lines = part if lines is None else lines.unionByName(part)
-        return spark.createDataFrame([(x,) for x in readers.failed_splits(lines, [0])], "k long")
+        return readers.failed_split_rows(lines)
 
     return _through(spark, make, read)
 

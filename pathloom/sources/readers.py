@@ -152,10 +152,18 @@ def json_lines(spark: SparkSession, paths: str | list[str], schema: str) -> Data
     return spark.read.schema(schema).json(paths)
 
 
+def failed_split_rows(lines: DataFrame) -> DataFrame:
+    """(k): the numbers of the last ``# failed split-id list:`` line of a log (columns number, value); no rows without one."""
+    last = lines.where(F.col("value").startswith("# failed split-id list:")).agg(F.max_by("value", "number").alias("value")).where("value is not null")
+    listed = F.split(F.trim(F.regexp_replace(F.regexp_replace("value", "^[^:]*:", ""), "[,\\s]+", " ")), " ")
+    return last.select(F.explode(F.filter(listed, lambda x: x != "")).cast("long").alias("k"))
+
+
 def failed_splits(lines: DataFrame, default: list[int]) -> list[int]:
-    """Split numbers of the last ``# failed split-id list:`` line of a log (columns number, value), else the default."""
-    last = lines.where(F.col("value").startswith("# failed split-id list:")).agg(F.max_by("value", "number")).first()[0]
-    return default if last is None else [int(x) for x in last.split(":", 1)[1].replace(",", " ").split()]
+    """The same as numbers on the driver, for a command's arguments; the default without such a line."""
+    if lines.where(F.col("value").startswith("# failed split-id list:")).isEmpty():
+        return default
+    return [r.k for r in failed_split_rows(lines).collect()]
 
 
 def media_faults(episodes: DataFrame, media: DataFrame, fps: float) -> DataFrame:
