@@ -156,7 +156,7 @@ def failed_split_rows(lines: DataFrame) -> DataFrame:
     """(k): the numbers of the last ``# failed split-id list:`` line of a log (columns number, value); no rows without one."""
     last = lines.where(F.col("value").startswith("# failed split-id list:")).agg(F.max_by("value", "number").alias("value")).where("value is not null")
     listed = F.split(F.trim(F.regexp_replace(F.regexp_replace("value", "^[^:]*:", ""), "[,\\s]+", " ")), " ")
-    return last.select(F.explode(F.filter(listed, lambda x: x != "")).cast("long").alias("k"))
+    return last.select(F.explode(F.filter(listed, lambda x: x != "").cast("array<bigint>")).alias("k"))
 
 
 def failed_splits(lines: DataFrame, default: list[int]) -> list[int]:
