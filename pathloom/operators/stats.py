@@ -16,22 +16,21 @@ def array_statistics(df: DataFrame, values: Column) -> DataFrame:
     dimension is held in one place.
     """
     x = df.select(F.posexplode(values).alias("dim", "x")).withColumn("x", F.col("x").cast("float").cast("double")).where("x is not null")
-    counted = checkpointed(x.groupBy("dim", "x").agg(F.count("*").alias("n")))
+    counted = running_before(x.groupBy("dim", "x").agg(F.count("*").alias("n")), ["dim", "x"], F.col("n"), "before")
     xn = F.col("x") * F.col("n")
-    mean = counted.groupBy("dim").agg((F.sum(xn) / F.sum("n")).alias("mean"), F.min("x").alias("min"), F.max("x").alias("max"), F.sum("n").alias("total"))
-    mean = F.broadcast(checkpointed(mean))  # one row per dimension
+    # numbers run on over the dimensions, so each has a first one
+    mean = counted.groupBy("dim").agg((F.sum(xn) / F.sum("n")).alias("mean"), F.min("x").alias("min"), F.max("x").alias("max"), F.sum("n").alias("total"), F.min("before").alias("first"))
+    mean = checkpointed(mean)  # one row per dimension
+    before = F.col("before") - F.col("first")
     apart = (F.col("x") - F.col("mean")) * (F.col("x") - F.col("mean")) * F.col("n")
-    std = counted.join(mean, "dim").groupBy("dim").agg(F.greatest(F.sqrt(F.sum(apart) / F.sum("n")), F.lit(1e-6)).alias("std"))
-    before = running_before(counted, ["dim", "x"], F.col("n"), "before").join(mean, "dim")
-    first = before.groupBy("dim").agg(F.min("before").alias("first"))  # numbers run on over the dimensions
-    before = before.join(F.broadcast(first), "dim").withColumn("before", F.col("before") - F.col("first"))
-    found = []
+    found = [F.greatest(F.sqrt(F.sum(apart) / F.sum("n")), F.lit(1e-6)).alias("std")]
     for name, q in (("q01", 0.01), ("q99", 0.99)):
         place = (F.col("total") - 1) * q
-        at = lambda p: F.max(F.when((F.col("before") <= p) & (p < F.col("before") + F.col("n")), F.col("x")))
+        at = lambda p: F.max(F.when((before <= p) & (p < before + F.col("n")), F.col("x")))
         below, above, share = at(F.floor(place)), at(F.least(F.floor(place) + 1, F.col("total") - 1)), F.max(place - F.floor(place))
         found.append((below + (above - below) * share).alias(name))
-    return mean.join(std, "dim").join(before.groupBy("dim").agg(*found), "dim").select("dim", "mean", "std", "min", "max", "q01", "q99")
+    points = counted.join(F.broadcast(mean), "dim").groupBy("dim").agg(*found)
+    return points.join(F.broadcast(mean), "dim").select("dim", "mean", "std", "min", "max", "q01", "q99")
 
 
 def nested_means(df: DataFrame, key: str, metrics: Column) -> DataFrame:
