@@ -197,10 +197,13 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, m
 
     # the picked keys are at most max_positive + max_unlabelled longs
     rows = cut(keyed.join(F.broadcast(picked), "doc_id").select("kind", "text").mapInArrow(in_parts(run), "kind int, features binary").distinct())
+    hashed = rows.where(F.octet_length("features") > 0).withColumn("h", F.xxhash64("features"))
     sides = []
     for kind, most in ((1, max_positive), (0, max_unlabelled)):  # an id can have any number of rows, so the bound holds for rows too
-        bounded = rows.where((F.col("kind") == kind) & (F.octet_length("features") > 0)).select("features").orderBy(F.xxhash64("features"), "features").limit(most)
-        sides.append(sorted((np.frombuffer(r[0], np.int32) for r in bounded.toLocalIterator()), key=lambda r: r.tobytes()))  # rows come in any order
+        own = hashed.where(F.col("kind") == kind)
+        last = own.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]  # only hashes meet in one place
+        bounded = own.where(F.col("h") <= (0 if last is None else last)).select("features").toLocalIterator()
+        sides.append(sorted((np.frombuffer(r[0], np.int32) for r in bounded), key=lambda r: r.tobytes()))  # rows come in any order
     return fit(*sides, toxic / n)
 
 
