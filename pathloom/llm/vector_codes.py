@@ -4,7 +4,7 @@ A component x is floor(scale * x); a vector is cut into equal consecutive parts,
 a codebook. A part's search starts at its entry of the round before, a. An entry j that is as near as a has
 |c_j - c_a| <= |c_j - x| + |x - c_a| <= 2 |x - c_a|, so that only the entries within that radius around c_a can
 win or tie: a's neighbours are scanned in order of their distance while D(a, j) <= 4 d(x, a), both squared, and no
-further. All distances are whole numbers, ties go to the lower index, and nothing is pruned that could tie.
+further. Rows with the same start and like distances share the radius of the farthest among them. All distances are whole numbers, ties go to the lower index, and nothing is pruned that could tie.
 
 A round is one scan of the table. It sends out counts and component sums per part and entry, from which the
 next codebooks follow on the driver: their number is a parameter, whatever the table's size. A row's entry of the round
@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from pathloom.llm.common import in_parts
 
 SCALE, PARTS, ENTRIES, ROUNDS = 4096, 8, 16, 6
+#: Rows of one start that share a radius.
+BLOCK = 256
 
 
 @dataclass
@@ -42,6 +44,7 @@ class Codebook:
     entries: np.ndarray
     near: np.ndarray = field(init=False)
     apart: np.ndarray = field(init=False)
+    norms: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
         gaps = self.entries[:, None, :] - self.entries[None, :, :]
@@ -49,23 +52,28 @@ class Codebook:
         np.fill_diagonal(d, -1)  # an entry leads its own list, also where another is equal to it
         self.near = np.argsort(d, axis=1, kind="stable")
         self.apart = np.take_along_axis(d, self.near, axis=1)
+        self.norms = (self.entries * self.entries).sum(axis=1)
 
     def search(self, x: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        """The nearest entry of each row of ``x``, its squared distance, and how many distances were taken."""
-        gaps = x - self.entries[start]
-        own = (gaps * gaps).sum(axis=1)
+        """The nearest entry of each row of ``x``, its squared distance, and how many distances were taken.
+
+        Rows with one start go in blocks, the farthest from it first; a block scans the start's list inside the radius of its first row.
+        """
+        norms = np.einsum("ij,ij->i", x, x)
+        own = norms - 2 * np.einsum("ij,ij->i", x, self.entries[start]) + self.norms[start]
+        order = np.lexsort((-own, start))
+        ends = np.searchsorted(start[order], np.arange(len(self.entries) + 1))
         best, least, taken = start.copy(), own.copy(), len(x)
-        rows = np.arange(len(x))
-        for place in range(1, len(self.entries)):
-            rows = rows[self.apart[start[rows], place] <= 4 * own[rows]]  # neighbours are sorted: who stops here has seen all
-            if not len(rows):
-                break
-            j = self.near[start[rows], place]
-            gaps = x[rows] - self.entries[j]
-            d = (gaps * gaps).sum(axis=1)
-            taken += len(rows)
-            wins = (d < least[rows]) | ((d == least[rows]) & (j < best[rows]))
-            best[rows[wins]], least[rows[wins]] = j[wins], d[wins]
+        for a in np.flatnonzero(np.diff(ends)):
+            for at in range(ends[a], ends[a + 1], BLOCK):
+                rows = order[at : min(at + BLOCK, ends[a + 1])]
+                inside = int(np.searchsorted(self.apart[a], 4 * own[rows[0]], side="right"))
+                if inside > 1:
+                    entries = np.sort(self.near[a, :inside])  # in order, so that the first of equal distances is the lower entry
+                    d = norms[rows, None] - 2 * (x[rows] @ self.entries[entries].T) + self.norms[entries]
+                    place = d.argmin(axis=1)
+                    best[rows], least[rows] = entries[place], d[np.arange(len(rows)), place]
+                    taken += d.size
         return best, least, taken
 
 
@@ -125,9 +133,9 @@ def _sums(df: DataFrame, history: list[Books], scale: int, parts: int) -> DataFr
             code, _ = walk(x, history)
             for p in range(parts):
                 n[p] += np.bincount(code[:, p], minlength=entries)
-                own = np.zeros((entries, width), np.int64)
-                np.add.at(own, code[:, p], x[:, p])
-                total[p] += own
+                order = np.argsort(code[:, p], kind="stable")
+                used, first = np.unique(code[order, p], return_index=True)
+                total[p, used] += np.add.reduceat(x[order, p], first, axis=0)
         if n.any():
             p, e, d = (z.ravel() for z in np.indices(total.shape))
             yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(e), pa.array(d), pa.array(np.repeat(n.ravel(), width)), pa.array([str(int(z)) for z in total.ravel()])], names=["part", "entry", "dim", "n", "total"])
