@@ -4,7 +4,8 @@ A component x is floor(scale * x); a vector is cut into equal consecutive parts,
 a codebook. A part's search starts at its entry of the round before, a. An entry j that is as near as a has
 |c_j - c_a| <= |c_j - x| + |x - c_a| <= 2 |x - c_a|, so that only the entries within that radius around c_a can
 win or tie: a's neighbours are scanned in order of their distance while D(a, j) <= 4 d(x, a), both squared, and no
-further. Rows with the same start and like distances share the radius of the farthest among them. All distances are whole numbers, ties go to the lower index, and nothing is pruned that could tie.
+further. Rows with the same start and like distances share the radius of the farthest among them. All distances are
+whole numbers, ties go to the lower index, and nothing is pruned that could tie.
 
 A round is one scan of the table. It sends out counts and component sums per part and entry, from which the
 next codebooks follow on the driver: their number is a parameter, whatever the table's size. A row's entry of the round
