@@ -259,6 +259,19 @@ def formula_eval(spark, sf_dir):
     return f.select("episode_id", "frame_index", holds.alias("holds"), logic.formula(("nor", "human_following", "human_collision")).alias("neither"))
 
 
+@query(FRAMES_SQL + "SELECT episode_id, total_step, status FROM episodes WHERE total_step % 2 = 0 AND status <> 'Lost'")
+def filtered_episodes(spark, sf_dir):
+    """Episodes that a predicate keeps."""
+    return episodes(spark, sf_dir).where((F.col("total_step") % 2 == 0) & (F.col("status") != "Lost")).select("episode_id", "total_step", "status")
+
+
+@query(FRAMES_SQL + "SELECT episode_id, frame_index, row_number() OVER (ORDER BY front_dhash, idx) - 1 AS place FROM frames")
+def sorted_references(spark, sf_dir):
+    """References in the order of a key that repeats, and of their number where it does."""
+    f = frames(spark, sf_dir, with_index=True).select("episode_id", "frame_index", "front_dhash", "idx")
+    return running_before(f, ["front_dhash", "idx"], F.lit(1), "place").select("episode_id", "frame_index", "place")
+
+
 @query("SELECT count(DISTINCT c_nationkey) AS n_scenes, min(c_nationkey) AS first, max(c_nationkey) AS last FROM customer")
 def scene_ids(spark, sf_dir):
     scenes = table(spark, sf_dir, "customer").select("c_nationkey").distinct()
