@@ -139,17 +139,18 @@ def bats_selection(frames: DataFrame, budget: int, cameras: int = 1, dedup: bool
     which then also decides what is skipped.
     """
     n = blocks_marked(budget, cameras)
-    placed = frames.withColumn("place", F.row_number().over(steps()) - 1)
+    placed = frames.withColumn("place", (F.row_number().over(steps()) - 1).cast("long"))
     longest = placed.agg(F.max("place")).first()[0] or 0
     rates = F.broadcast(decay_rates(frames.sparkSession, longest, budget, cameras))  # one row per step of the longest rollout
-    anchors = placed.join(rates, F.col("place") == F.col("anchor")).select("episode_id", "frame_index", "rate")
+    # an anchor's rate goes along with it: the exploded history is joined to nothing, since Spark takes it for small and would broadcast it
     if dedup:
-        chosen = deduplicated_history(frames, n, threshold).withColumnRenamed("kept_frame", "ref_frame")
+        chosen = deduplicated_history(frames, n, threshold, places=True).withColumnRenamed("kept_frame", "ref_frame")
+        scored = chosen.join(rates, F.col("place") == F.col("anchor"))
     else:
-        chosen = history_scores(frames.withColumn("t", F.lit(0.0)), n, "t").select("episode_id", "frame_index", "step", "ref_frame")
-        latest = F.max("step").over(Window.partitionBy("episode_id", "frame_index"))
-        chosen = chosen.withColumn("distance", F.when(F.col("step") == latest, 64).otherwise(0))
-    scored = chosen.join(anchors, ["episode_id", "frame_index"])
+        rated = placed.join(rates, F.col("place") == F.col("anchor"))
+        got = rated.select("episode_id", "frame_index", "rate", F.collect_list("frame_index").over(steps().rowsBetween(-n, -1)).alias("chosen"))
+        rows = got.select("episode_id", "frame_index", "rate", F.size("chosen").alias("n"), F.posexplode("chosen").alias("step", "ref_frame"))
+        scored = rows.withColumn("distance", F.when(F.col("step") == F.col("n") - 1, 64).otherwise(0))
     return scored.select("episode_id", "frame_index", "step", "ref_frame", keep_probability(F.col("ref_frame"), F.col("frame_index"), F.col("rate")).alias("score"), "distance")
 
 
@@ -169,14 +170,14 @@ def _episodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def deduplicated_history(frames: DataFrame, n: int, threshold: int = 10) -> DataFrame:
+def deduplicated_history(frames: DataFrame, n: int, threshold: int = 10, places: bool = False) -> DataFrame:
     """Greedy selection per anchor through all its history, from newest to oldest: a frame is kept if its hash is farther
     than ``threshold`` from the last kept one, until ``n`` are. Rows (episode_id, frame_index, step, kept_frame, distance),
-    oldest first; the newest kept has distance 64.
+    oldest first; the newest kept has distance 64. With ``places`` also place, that of the anchor in its episode, from 0.
 
     Which frame follows a kept one does not depend on the anchor: it is found once per frame, and the anchors go along.
     """
-    schema = "episode_id string, frame_index long, step int, kept_frame long, distance int"
+    schema = "episode_id string, frame_index long, step int, kept_frame long, distance int" + (", place long" if places else "")
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,6 +203,8 @@ def deduplicated_history(frames: DataFrame, n: int, threshold: int = 10) -> Data
             anchor, kept, distance = (np.concatenate(x) for x in zip(*found, strict=True))
             step = np.bincount(anchor, minlength=len(frame))[anchor] - 1 - np.repeat(np.arange(len(found)), [len(x[0]) for x in found])
             columns = [pa.array([b.column(0)[0].as_py()] * len(anchor), pa.string()), pa.array(frame[anchor]), pa.array(step, pa.int32()), pa.array(frame[kept]), pa.array(distance, pa.int32())]
+            if places:
+                columns.append(pa.array(anchor, pa.int64()))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     half = lambda at: F.conv(F.substring("front_dhash", at, 8), 16, 10).cast("long")

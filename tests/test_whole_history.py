@@ -23,3 +23,15 @@ def test_dedup_history_looks_back_through_all(spark, tmp_path):
     hashes = {r.frame_index: r.front_dhash for r in rollouts.frames(spark, str(tmp_path)).collect()}
     apart = bin(int(hashes[0], 16) ^ int(hashes[1], 16)).count("1")
     assert apart > 32 and kept == {0, 48}
+
+
+def test_bats_selections_broadcast_rates_only(spark, tmp_path):
+    _events(spark, tmp_path, 40)
+    for made in (rollouts.bats_selection, rollouts.bats_selection_dedup):
+        df = made(spark, str(tmp_path))
+        # Spark's estimate of an exploded history is that of its frames, so it must not be a side of a join
+        assert df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") == 1
+        assert df._jdf.queryExecution().executedPlan().toString().count("Join") == 1
+    rows = {(r.frame_index, r.ref_frame): r for r in rollouts.bats_selection(spark, str(tmp_path)).collect()}
+    assert set(rows) == {(a, b) for a in range(40) for b in range(max(a - 25, 0), a)}
+    assert {b for (a, b), r in rows.items() if a == 39 and r.distance == 64} == {38}
