@@ -452,7 +452,7 @@ def versioned_publish(spark, sf_dir):
 def array_files(spark, sf_dir):
     """Three array files of a history index, in whole and fractional numbers, one of them put together without writing at offsets."""
     f = frames(spark, sf_dir, with_index=True)
-    index = checkpointed(context.offsets(context.counts(f.select("source_episode_id", "episode_id", "frame_index", "idx"), 1024), ["source_episode_id"]).join(f.select("idx", "timestamp_s"), "idx"))
+    index = checkpointed(context.offsets(context.counts(f.select("source_episode_id", "episode_id", "frame_index", "idx", "timestamp_s"), 1024), ["source_episode_id"]))
 
     def make(root):
         for column, dtype, way in (("offset", "<i8", None), ("n_blocks", "<i4", False), ("timestamp_s", "<f8", True)):

@@ -445,7 +445,7 @@ def _one_behind_another(pieces: DataFrame, base: str, head: bytes, n: int) -> in
 
 
 def read_array(spark: SparkSession, path: str, rows: int = 1 << 20) -> DataFrame:
-    """(place, value) of a one-dimensional array file of numbers; each task reads its own stretch of the file."""
+    """(place, value) of a one-dimensional array file of numbers; each task reads its own stretch of the file, ``rows`` values at once at most."""
     import io
 
     import numpy as np
@@ -466,12 +466,15 @@ def read_array(spark: SparkSession, path: str, rows: int = 1 << 20) -> DataFrame
         store, file = stores.FileSystem.from_uri(uri)
         with store.open_input_file(file) as f:
             for b in batches:
-                for first in b.column(0).to_pylist():
-                    f.seek(start + first * dtype.itemsize)
-                    own = np.frombuffer(f.read(min(rows, shape[0] - first) * dtype.itemsize), dtype)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + len(own))), pa.array(own.astype("f8" if kind == "double" else "i8"))], names=["place", "value"])
-
-    return spark.range(0, shape[0], rows).mapInArrow(run, f"place long, value {kind}")
+                places = b.column(0)
+                for at in range(0, len(places), rows):
+                    part = places.slice(at, rows)
+                    f.seek(start + part[0].as_py() * dtype.itemsize)
+                    own = np.frombuffer(f.read(len(part) * dtype.itemsize), dtype)
+                    yield pa.RecordBatch.from_arrays([part, pa.array(own.astype("f8" if kind == "double" else "i8"))], names=["place", "value"])
+
+    # the places are the rows themselves, so that Spark knows their number and does not take a large file for a small side of a join
+    return spark.range(shape[0]).mapInArrow(run, f"place long, value {kind}")
 
 
 def write_named(df: DataFrame, root: str, name: str, content: str, compression: str | None = None) -> int:

@@ -235,6 +235,15 @@ def test_array_files_load(spark, tmp_path, at_offsets):
     assert sorted(x for x in os.listdir(f"{tmp_path}/d") if not x.startswith(".")) == ["0.npy", "1.npy", "2.npy", "3.npy", "none.npy"]
 
 
+def test_array_files_are_no_small_side_of_a_join(spark, tmp_path):
+    for name in "ab":
+        sinks.write_array(spark.range(1_000_000), "id", "id", "<i8", f"{tmp_path}/{name}.npy")
+    a, b = (sinks.read_array(spark, f"{tmp_path}/{x}.npy").withColumnRenamed("value", x) for x in "ab")
+    joined = a.join(b, "place")
+    assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.where("a = place and b = place").count() == 1_000_000
+
+
 def test_resume_by_manifest(spark, tmp_path):
     path, work = f"{tmp_path}/s", spark.range(10).select(F.col("id").alias("ref_id"), F.array(F.col("id").cast("double")).alias("v"))
     write = lambda df=work, **o: sinks.write_shards(df, path, {"m": 1}, shard_size=4, **o)
