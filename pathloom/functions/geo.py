@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -62,9 +64,9 @@ def yaw_of(q: Column) -> Column:
 
 
 def angle_between(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
-    """Angle of two planar vectors; zero if one is none."""
+    """Angle of two planar vectors, exact for small ones too, where a cosine is not; zero if one is none."""
     n = F.hypot(ax, ay) * F.hypot(bx, by)
-    return F.when(n > 0, F.acos(F.least(F.greatest((ax * bx + ay * by) / n, F.lit(-1.0)), F.lit(1.0)))).otherwise(0.0)
+    return F.when(n > 0, F.abs(F.atan2(ax * by - ay * bx, ax * bx + ay * by))).otherwise(0.0)
 
 
 def to_frame(px: Column, pz: Column, ox: Column, oz: Column, yaw: Column) -> tuple[Column, Column]:
@@ -87,11 +89,16 @@ def grid_point(cell: Column, low: float, size: float) -> Column:
 
 
 def in_triangle(px: Column, py: Column, a: tuple, b: tuple, c: tuple) -> Column:
-    """Inside or on the edge of a triangle of plain points."""
-    side = lambda p, q: (px - p[0]) * (q[1] - p[1]) - (py - p[1]) * (q[0] - p[0])
-    s = [side(a, b), side(b, c), side(c, a)]
-    neg = (s[0] < 0) | (s[1] < 0) | (s[2] < 0)
-    pos = (s[0] > 0) | (s[1] > 0) | (s[2] > 0)
+    """Inside or on the edge of a triangle of plain points.
+
+    An edge's linear form is compared at the point and at its corner, without a difference to the corner, which would
+    be rounded: (0.9, 0.1) is on the edge from (1, 0) to (0, 1).
+    """
+    pairs = [(a, b), (b, c), (c, a)]
+    form = lambda x, y, p, q: x * (q[1] - p[1]) - y * (q[0] - p[0])
+    s = [(form(px, py, p, q), F.lit(float(form(p[0], p[1], p, q)))) for p, q in pairs]
+    neg = reduce(or_, (at < on for at, on in s))
+    pos = reduce(or_, (at > on for at, on in s))
     return ~(neg & pos)
 
 
@@ -110,11 +117,15 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _length(x: Column, z: Column) -> Column:
+    return F.sqrt(x * x + z * z)
+
+
 def nearest_on_path(points: Column, x: Column, z: Column, ahead: Column) -> Column:
     """On a polyline (array of x, z): nearest segment and point, what remains, and the point ``ahead`` along it.
 
-    struct(segment, distance, remaining, x, z). The first of equally near segments counts; a path of one point is
-    that point, an empty one the position itself.
+    struct(segment, distance, remaining, x, z). The first of equally near segments counts, by distances that are roots of
+    sums of squares; a path of one point is that point, an empty one the position itself.
     """
     kind = "struct<x:double,z:double,left:double,length:double,px:double,pz:double>"
     out = "struct<segment:int,distance:double,remaining:double,x:double,z:double>"
@@ -127,14 +138,14 @@ def nearest_on_path(points: Column, x: Column, z: Column, ahead: Column) -> Colu
             return bound(t, lambda t: F.struct((p["x"] + t * d["x"]).alias("x"), (p["z"] + t * d["z"]).alias("z")))
 
         step = F.struct((q["x"] - p["x"]).alias("x"), (q["z"] - p["z"]).alias("z"))
-        return bound(bound(step, place), lambda c: F.struct(F.hypot(x - c["x"], z - c["z"]).alias("distance"), i.alias("segment"), c["x"].alias("x"), c["z"].alias("z")))
+        return bound(bound(step, place), lambda c: F.struct(_length(x - c["x"], z - c["z"]).alias("distance"), i.alias("segment"), c["x"].alias("x"), c["z"].alias("z")))
 
     def walk(acc: Column, p: Column) -> Column:
         def move(d: Column) -> Column:
             t = F.when(d > 1e-9, F.least(acc["left"] / d, F.lit(1.0))).otherwise(F.when(acc["left"] > 0, 1.0).otherwise(0.0))
             return bound(t, lambda t: F.struct((acc["x"] + (p["x"] - acc["px"]) * t).alias("x"), (acc["z"] + (p["z"] - acc["pz"]) * t).alias("z"), F.greatest(acc["left"] - d, F.lit(0.0)).alias("left"), (acc["length"] + d).alias("length"), p["x"].alias("px"), p["z"].alias("pz")).cast(kind))
 
-        return bound(F.hypot(p["x"] - acc["px"], p["z"] - acc["pz"]), move)
+        return bound(_length(p["x"] - acc["px"], p["z"] - acc["pz"]), move)
 
     def along(pts: Column) -> Column:
         n = F.size(pts)
@@ -146,7 +157,7 @@ def nearest_on_path(points: Column, x: Column, z: Column, ahead: Column) -> Colu
             return bound(end, lambda e: F.struct(best["segment"].alias("segment"), best["distance"].alias("distance"), e["length"].alias("remaining"), e["x"].alias("x"), e["z"].alias("z")).cast(out))
 
         only = F.get(pts, F.lit(0))
-        one = F.struct(F.lit(0).alias("segment"), F.hypot(only["x"] - x, only["z"] - z).alias("distance"), F.hypot(only["x"] - x, only["z"] - z).alias("remaining"), only["x"].alias("x"), only["z"].alias("z"))
+        one = F.struct(F.lit(0).alias("segment"), _length(only["x"] - x, only["z"] - z).alias("distance"), _length(only["x"] - x, only["z"] - z).alias("remaining"), only["x"].alias("x"), only["z"].alias("z"))
         none = F.struct(F.lit(0).alias("segment"), F.lit(0.0).alias("distance"), F.lit(0.0).alias("remaining"), x.alias("x"), z.alias("z"))
         return F.when(n >= 2, bound(nearest, from_there)).when(n == 1, one.cast(out)).otherwise(none.cast(out))
 

@@ -389,3 +389,18 @@ def test_encoders_are_held_to_their_shape(spark):
     for bad in (lambda: lambda x: np.zeros((len(x), 1, 1)), lambda: lambda x: np.full((len(x), 2, 1), np.nan)):
         with pytest.raises(Exception, match="encoder gave"):
             encode.encoded(df, "k", "p", bad, 2, 1).collect()
+
+
+def test_edges_small_angles_and_equally_near_segments(spark):
+    one = spark.range(1)
+    inside = lambda x, y: geo.in_triangle(F.lit(x), F.lit(y), (0.0, 0.0), (1.0, 0.0), (0.0, 1.0))
+    assert tuple(one.select(inside(0.9, 0.1), inside(0.9, 0.11), inside(0.0, 1.0), inside(-0.1, 0.5)).first()) == (True, False, True, False)
+    angle = lambda x, y: geo.angle_between(F.lit(x), F.lit(y), F.lit(1.0), F.lit(0.0))
+    assert tuple(one.select(angle(1.0, 1e-9), angle(-1.0, 0.0), angle(0.0, 0.0)).first()) == (1e-9, 3.141592653589793, 0.0)
+    # the point is nearest to a corner, and by roots of sums of squares the second segment's is nearer in the last digit
+    x, z = (1.9, 2.86, 2.16), (0.0872, 0.9728, 0.7806000000000001)
+    path = F.array(*(F.struct(F.lit(a).alias("x"), F.lit(b).alias("z")) for a, b in zip(x, z, strict=True)))
+    t = ((3 - x[0]) * (x[1] - x[0]) + (1 - z[0]) * (z[1] - z[0])) / ((x[1] - x[0]) ** 2 + (z[1] - z[0]) ** 2)
+    end = (x[0] + min(t, 1.0) * (x[1] - x[0]), z[0] + min(t, 1.0) * (z[1] - z[0]))
+    first, second = (((3 - a) * (3 - a) + (1 - b) * (1 - b)) ** 0.5 for a, b in (end, (x[1], z[1])))
+    assert one.select(geo.nearest_on_path(path, F.lit(3.0), F.lit(1.0), F.lit(2.0))["segment"]).first()[0] == (0 if first <= second else 1)
