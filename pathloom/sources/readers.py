@@ -112,8 +112,8 @@ def episode_dataset(spark: SparkSession, paths: str | list[str], scenes: list[st
 def goal_dataset(spark: SparkSession, paths: str | list[str], scenes_dir: str | None = None, strict: bool = True) -> DataFrame:
     """Episodes of (gzipped) JSON datasets that share their goals by scene and category, with the goals back in each.
 
-    A file is read once: its pool of goals is looked up for each of its episodes before they become rows. A file without a pool has
-    its goals in the episodes; the first episode of a key then gives those of all, and its goal the category. A key that the pool lacks
+    Episodes and the entries of a pool become rows before they are joined, so that no row holds the goals of more than
+    one episode. A file without a pool has its goals in the episodes; the first episode of a key then gives those of all, and its goal the category. A key that the pool lacks
     is an error, or has null goals without ``strict``; so are two lists of categories that differ. ``episode_id`` is the
     place in the file, and scenes can be moved under another folder.
     """
@@ -123,14 +123,16 @@ def goal_dataset(spark: SparkSession, paths: str | list[str], scenes_dir: str |
     checked = F.when(same, F.col("episodes")).otherwise(F.raise_error("the lists of categories differ").cast(rows.schema["episodes"].dataType))
     category = lambda e: F.coalesce(e["object_category"], F.get(e["goals"], 0)["object_category"])
     key = lambda e: F.concat(F.substring_index(e["scene_id"], "/", -1), F.lit("_"), category(e))
-    pooled = F.when(F.col("goals_by_category").isNotNull(), F.transform("__e", lambda e: F.try_element_at("goals_by_category", key(e))))
-    rows = rows.select(F.col("_metadata.file_path").alias("file"), "goals_by_category", checked.alias("__e")).withColumn("__g", pooled)
-    each = rows.select("file", F.col("goals_by_category").isNotNull().alias("__pooled"), F.posexplode(F.arrays_zip("__e", F.coalesce("__g", F.transform("__e", lambda e: e["goals"])).alias("__g"))).alias("place", "x"))
-    e = F.col("x")["__e"]
-    each = each.select("file", F.col("place").cast("string").alias("episode_id"), "place", "__pooled", key(e).alias("goals_key"), category(e).alias("object_category"), e["scene_id"].alias("scene_id"), e["start_position"].alias("start_position"), e["start_rotation"].alias("start_rotation"), e["info"].alias("info"), F.col("x")["__g"].alias("goals"))
+    rows = rows.withColumn("file", F.col("_metadata.file_path"))
+    each = rows.select("file", F.col("goals_by_category").isNotNull().alias("__pooled"), F.posexplode(checked).alias("place", "e"))
+    e = F.col("e")
+    each = each.select("file", F.col("place").cast("string").alias("episode_id"), "place", "__pooled", key(e).alias("goals_key"), category(e).alias("object_category"), e["scene_id"].alias("scene_id"), e["start_position"].alias("start_position"), e["start_rotation"].alias("start_rotation"), e["info"].alias("info"), e["goals"].alias("goals"))
+    pool = rows.select("file", F.posexplode("goals_by_category").alias("n", "goals_key", "goals")).groupBy("file", "goals_key").agg(F.min_by("goals", "n").alias("goals"))
+    # a pool may be large, which its compressed file does not tell: it is not broadcast
+    shared = each.where("__pooled").drop("goals").join(pool.hint("merge"), ["file", "goals_key"], "left")
     own = each.where("NOT __pooled")
     first = own.groupBy("file", "goals_key").agg(F.min_by("goals", "place").alias("goals"))
-    out = each.where("__pooled").unionByName(own.drop("goals").join(first, ["file", "goals_key"]))
+    out = shared.select(each.columns).unionByName(own.drop("goals").join(first.hint("merge"), ["file", "goals_key"]))
     if strict:
         missing = F.raise_error(F.concat(F.lit("no goals for "), F.coalesce("goals_key", F.lit("an episode without a category")))).cast(out.schema["goals"].dataType)
         out = out.withColumn("goals", F.coalesce("goals", missing))

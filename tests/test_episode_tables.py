@@ -158,3 +158,16 @@ def test_goal_datasets(spark, tmp_path):
     with pytest.raises(Exception, match="categories differ"):
         readers.goal_dataset(spark, put("differ", category_to_mp3d_category_id={"chair": 0}, episodes=[ep("chair", goals(1))])).collect()
     assert readers.goal_dataset(spark, put("none", episodes=[])).count() == 0
+
+
+def test_goals_are_looked_up_by_rows(spark, tmp_path):
+    goals = [{"position": [float(i)]} for i in range(300)]
+    ids = {"chair": 0}
+    episodes = [{"scene_id": "data/scene_datasets/a.glb", "object_category": "chair", "start_position": [float(i)]} for i in range(400)]
+    with gzip.open(f"{tmp_path}/a.json.gz", "wt") as f:
+        json.dump({"category_to_task_category_id": ids, "category_to_mp3d_category_id": ids, "goals_by_category": {"a.glb_chair": goals}, "episodes": episodes}, f)
+    got = readers.goal_dataset(spark, f"{tmp_path}/a.json.gz")
+    assert got.select(F.count("*"), F.sum(F.size("goals")), F.sum(F.col("start_position")[0])).first()[:] == (400, 400 * 300, 399 * 200.0)
+    # a pool's goals meet its episodes in a join of rows that is not broadcast, never as one array of all episodes' goals
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "arrays_zip" not in plan

@@ -237,11 +237,11 @@ def test_array_files_load(spark, tmp_path, at_offsets):
 
 def test_array_files_are_no_small_side_of_a_join(spark, tmp_path):
     for name in "ab":
-        sinks.write_array(spark.range(1_000_000), "id", "id", "<i8", f"{tmp_path}/{name}.npy")
+        sinks.write_array(spark.range(2_000_000).withColumn("v", F.col("id")), "id", "v", "<i8", f"{tmp_path}/{name}.npy")
     a, b = (sinks.read_array(spark, f"{tmp_path}/{x}.npy").withColumnRenamed("value", x) for x in "ab")
     joined = a.join(b, "place")
     assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
-    assert joined.where("a = place and b = place").count() == 1_000_000
+    assert joined.where("a = place and b = place").count() == 2_000_000
 
 
 def test_resume_by_manifest(spark, tmp_path):
