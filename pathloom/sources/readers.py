@@ -2,22 +2,79 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pathloom.functions.text import natural_key
 from pathloom.operators.datasets import keep_first, scene_allowed
+from pathloom.operators.prefix import checkpointed
 from pathloom.sources import schemas
 
 CAMERAS = ["front", "left", "right", "rear"]
 REQUIRED = ["json", *(f"{c}.mp4" for c in CAMERAS)]
 
 
-def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """(path, length) of all files below ``root``; their content is not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    return files.select("path", "length")
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length) of all files below ``root``, but for hidden ones; their content is not read.
+
+    Tasks list the folders below ``root``, so neither the driver nor a plan holds the files; stores that only Spark
+    knows are listed by Spark.
+    """
+    from pyarrow import ArrowInvalid, fs
+
+    jvm = spark.sparkContext._jvm
+    whole = jvm.org.apache.hadoop.fs.Path(root)
+    store = whole.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    uri = store.makeQualified(whole).toString()
+    try:
+        fs.FileSystem.from_uri(uri)
+    except (ArrowInvalid, OSError):
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
+    if not store.exists(whole):
+        raise FileNotFoundError(root)
+    # one level by one task, the folders found there by all; a folder's row has no path, so that nothing is made of it before it is left out
+    top = checkpointed(spark.range(0, 1, 1, 1).select(F.lit("").alias("folder")).mapInArrow(partial(_listed, root=uri, deep=False), LISTED))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    below = top.where("folder is not null").select("folder").repartition(parts, "folder").mapInArrow(partial(_listed, root=uri, deep=True), LISTED)
+    found = top.where("folder is null").unionByName(below)
+    return found.select(F.concat(F.lit(uri.rstrip("/") + "/"), "path").alias("path"), "length")
+
+
+LISTED = "path string, length long, folder string"
+
+
+def _listed(batches: Iterator[pa.RecordBatch], root: str, deep: bool) -> Iterator[pa.RecordBatch]:
+    """Files in the folders named, relative to ``root``, and the folders in them: rows of their own, or looked through if ``deep``. Spark's rule of hidden names."""
+    from pyarrow import fs
+
+    store, base = fs.FileSystem.from_uri(root)
+    base = base.rstrip("/")
+    hidden = lambda name: name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+    batch = lambda rows: pa.RecordBatch.from_pylist(rows, pa.schema([("path", pa.string()), ("length", pa.int64()), ("folder", pa.string())]))
+    rows = []
+    for b in batches:
+        todo = b.column(0).to_pylist()
+        while todo:
+            folder = todo.pop()
+            for f in store.get_file_info(fs.FileSelector(f"{base}/{folder}".rstrip("/"))):
+                path = f"{folder}/{f.base_name}" if folder else f.base_name
+                if hidden(f.base_name):
+                    continue
+                if f.type != fs.FileType.Directory:
+                    rows.append({"path": path, "length": f.size})
+                elif deep:
+                    todo.append(path)
+                else:
+                    rows.append({"folder": path})
+            if len(rows) >= 10_000:
+                yield batch(rows)
+                rows = []
+    yield batch(rows)
 
 
 def discover(spark: SparkSession, root: str, skip_invalid: bool = False, limit: int | None = None) -> DataFrame:

@@ -478,8 +478,12 @@ def read_array(spark: SparkSession, path: str, rows: int = 1 << 20) -> DataFrame
 
 
 def write_named(df: DataFrame, root: str, name: str, content: str, compression: str | None = None) -> int:
-    """One file ``root/name`` per row with the column ``content`` as it is, or compressed; files are written where their rows are. Their number."""
+    """One file ``root/name`` per row with the column ``content`` as it is, or compressed. Their number.
+
+    Rows are dealt over all tasks first: names and short texts are few bytes, so that Spark would leave many files to one task.
+    """
     spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     _, p = _fs(spark, root)
     base = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
@@ -495,4 +499,5 @@ def write_named(df: DataFrame, root: str, name: str, content: str, compression:
                     out.write(data or b"")
             yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
 
-    return df.select(F.col(name).cast("string"), F.col(content).cast("binary")).mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+    rows = df.select(F.col(name).cast("string").alias("name"), F.col(content).cast("binary").alias("content")).repartition(parts, "name")
+    return rows.mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0

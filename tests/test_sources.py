@@ -295,3 +295,17 @@ def test_limits_do_not_depend_on_batches(spark, cuts):
     plan = lambda s: episodes.limited_episodes(s, "k", "at", "1 minute", 2, 60 * 60, 30 * 60)
     got = sorted((r.k, (r.start_ms - base) // 60000, (r.end_ms - base) // 60000, r.n_steps, r.cause) for r in episodes.streamed_in_runs(spark, slices, plan).collect())
     assert got == [(1, 0, 1, 2, "steps"), (1, 2, 32, 1, "silent"), (1, 60, 90, 1, "silent"), (1, 100, 101, 2, "steps"), (2, 0, 5, 2, "steps"), (2, 9, 14, 2, "steps")]
+
+
+def test_listing_in_tasks(spark, tmp_path):
+    for name in ("a", "s1/b.json", "s1/x/c=1/d", "s2/_hidden", "s2/.also", "_no/e", "s3/_k=1/f", "s é/g h"):
+        os.makedirs(os.path.dirname(f"{tmp_path}/{name}"), exist_ok=True)
+        open(f"{tmp_path}/{name}", "w").write("12")
+    os.makedirs(f"{tmp_path}/empty/er")
+    spark_lists = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path)).select("path", "length")
+    got = readers.listing(spark, str(tmp_path))
+    names = lambda df: sorted((r.path.split(str(tmp_path))[1], r.length) for r in df.collect())
+    assert names(got) == names(spark_lists) and len(names(got)) == 5
+    assert got.where(F.col("path").isNotNull() & F.regexp_extract("path", "/(s1)/", 1).eqNullSafe("")).count() == 3
+    # files are rows of tasks: no file index of them is in the plan, and a scan does not open a task for every few
+    assert "binaryFile" not in got._jdf.queryExecution().executedPlan().toString()
