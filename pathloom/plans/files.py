@@ -137,6 +137,7 @@ def _record_files(spark: SparkSession, sf_dir: str, root: str) -> None:
         k.alias("episode_index"), F.when((k % 10 == 4) & (i == 1), "other").otherwise(F.col("episode_id")).alias("episode_id"), "frame_index", (F.col("idx") - ((i == 2) & (k % 13 == 1)).cast("long")).alias("index"),
         ((k + ((k % 6 == 5) & (i == 0)).cast("long")) % 3).alias("part"),
     )
+    records = checkpointed(records)  # one task writes a file, so it must not be the one that sorts and joins the frames
     for part in range(3):
         sinks.write_single(records.where(F.col("part") == part).drop("part"), f"{root}/{part}/chunk_{part}_frame_records.parquet")
 

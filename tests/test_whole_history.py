@@ -2,7 +2,7 @@
 
 import datetime
 
-from pathloom.plans import rollouts
+from pathloom.plans import files, rollouts
 
 
 def _events(spark, path, n):
@@ -35,3 +35,11 @@ def test_bats_selections_broadcast_rates_only(spark, tmp_path):
     rows = {(r.frame_index, r.ref_frame): r for r in rollouts.bats_selection(spark, str(tmp_path)).collect()}
     assert set(rows) == {(a, b) for a in range(40) for b in range(max(a - 25, 0), a)}
     assert {b for (a, b), r in rows.items() if a == 39 and r.distance == 64} == {38}
+
+
+def test_record_files_are_written_from_finished_rows(spark, tmp_path, monkeypatch):
+    _events(spark, tmp_path, 30)
+    plans = []
+    monkeypatch.setattr(files.sinks, "write_single", lambda df, path: plans.append(df._jdf.queryExecution().executedPlan().toString()))
+    files._record_files(spark, str(tmp_path), f"{tmp_path}/out")
+    assert len(plans) == 3 and not any(x in p for p in plans for x in ("Join", "Window", "Sort"))
