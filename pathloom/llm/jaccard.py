@@ -1,9 +1,11 @@
 """The five-word form of the near-duplicate operator: sets of shingles with an exact Jaccard of 4/5 or more.
 
-Fingerprints of 64 bits cannot tell these pairs (a Jaccard of 4/5 leaves them
-about ten bits apart), so the inverted index is over shingles instead of byte
-positions; the scheme is the same: post, tally, retain what can reach the
-guaranteed minimum of matches, verify.
+The byte-position index with its count filter (``simhash.links``) goes first,
+on one fingerprint per set; what it links is verified on the whole sets and
+joined. Fingerprints of 64 bits cannot tell all pairs (a Jaccard of 4/5 leaves
+most some ten bits apart), so an exact way follows for the rest: the same scheme
+over shingles, post, tally, retain what can reach the guaranteed minimum of
+matches, verify, for pairs that the first index has not yet joined.
 
 Two sets with a Jaccard of 4/5 or more share at least ceil(4n/5) members of
 either, so in any one order of all shingles the first n - ceil(4n/5) + 1
@@ -49,6 +51,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pathloom.llm import simhash
 from pathloom.llm.common import cut, if_small, in_parts, key_groups, shuffle_partitions, text_hash, texts_of, without_rows
 from pathloom.llm.components import components
 
@@ -124,13 +127,13 @@ def frequent(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(docs: DataFrame, shingle: int, known: tuple[np.ndarray, np.ndarray], bits: int = 64) -> DataFrame:
-    """``(doc_id, text_hash, sig, more, n, sketch, prefix)``: both halves of a set's hash, its size and sketch, and the members in its prefix, in the order of ``known``."""
+    """``(doc_id, text_hash, sig, more, n, fp, sketch, prefix)``: both halves of a set's hash, its size, fingerprint and sketch, and the members in its prefix, in the order of ``known``."""
     order = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = order.value
         for b in batches:
-            sets, sizes, sketches, firsts = [], [], [], []
+            sets, sizes, prints, sketches, firsts = [], [], [], [], []
             for t in texts_of(b.column(2)):
                 found = shingles(t, shingle)
                 n = len(found)
@@ -139,12 +142,12 @@ def prefixes(docs: DataFrame, shingle: int, known: tuple[np.ndarray, np.ndarray]
                     first = found[np.argsort(np.where(hashes[at] == found, counts[at], 0), kind="stable")]
                 else:
                     first = found
-                sets.append(found), sizes.append(n), sketches.append(sketch(found).tobytes()), firsts.append(first[: n - -(-4 * n // 5) + 1].tobytes())
-            columns = [b.column(0), b.column(1), *_signatures(sets, bits), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()), pa.array(firsts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "sig", "more", "n", "sketch", "prefix"])
+                sets.append(found), sizes.append(n), prints.append(simhash.of_hashes(found)), sketches.append(sketch(found).tobytes()), firsts.append(first[: n - -(-4 * n // 5) + 1].tobytes())
+            columns = [b.column(0), b.column(1), *_signatures(sets, bits), pa.array(sizes, pa.int32()), _signed(np.array(prints, np.uint64)), pa.array(sketches, pa.binary()), pa.array(firsts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "sig", "more", "n", "fp", "sketch", "prefix"])
 
     rows = docs.select(F.col("doc_id").cast("long"), text_hash(), F.col("text").cast("binary"))
-    return rows.mapInArrow(in_parts(run), "doc_id long, text_hash long, sig long, more long, n int, sketch binary, prefix binary")
+    return rows.mapInArrow(in_parts(run), "doc_id long, text_hash long, sig long, more long, n int, fp long, sketch binary, prefix binary")
 
 
 def told_apart(rows: DataFrame, alike: DataFrame | None) -> DataFrame:
@@ -382,21 +385,42 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int
     return cut(pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(in_parts(check), "u long, v long"))
 
 
+def print_pairs(classes: DataFrame) -> DataFrame:
+    """Pairs (u, v) of the signatures of ``classes(sig, fp)`` that the byte-position index finds: each with the first of its fingerprint, and the first ones of linked fingerprints."""
+    firsts = cut(classes.groupBy("fp").agg(F.min("sig").alias("first")))
+    same = classes.select("fp", "sig").join(firsts, "fp").where("sig <> first").select(F.col("first").alias("u"), F.col("sig").alias("v"))
+    left, right = (firsts.select(F.col("fp").alias(k), F.col("first").alias(f"s_{k}")) for k in "uv")
+    near = simhash.links(firsts.select("fp")).distinct().join(left, "u").join(right, "v")
+    return cut(same.unionByName(near.select(F.least("s_u", "s_v").alias("u"), F.greatest("s_u", "s_v").alias("v"))).distinct())
+
+
+def still_apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The ``pairs(u, v)`` that are not in one component of ``roots(node, root)``."""
+    roots = if_small(roots)
+    for k in "uv":
+        pairs = pairs.join(roots.select(F.col("node").alias(k), F.col("root").alias(f"r_{k}")), k, "left")
+    return pairs.where("r_u is null or r_v is null or r_u <> r_v").select("u", "v")
+
+
 def links(docs: DataFrame, rows: DataFrame, classes: DataFrame, shingle: int, wide: np.ndarray | None = None, cell: int = CELL, alike: DataFrame | None = None, bits: int = 64) -> DataFrame:
     """Edges (u, v) over the signatures of ``rows(sig, n, prefix)`` that connect all pairs at 4/5 or above.
 
+    Fingerprints come first, and the postings of shingles for what is not joined by them.
     ``wide`` are the shingles, sorted, whose postings are dealt before the shuffle.
     """
     spark = docs.sparkSession
     parts, wide = shuffle_partitions(spark), np.zeros(0, np.int64) if wide is None else wide
     shared = spark.sparkContext.broadcast(wide)
     check = lambda pairs: verified(docs, classes, pairs, shingle, alike, bits)
+    by_print = print_pairs(classes)
+    linked = check(by_print)
     postings = rows.select("sig", "n", "prefix").mapInArrow(in_parts(lambda batches: _exploded(batches, shared.value)), "k long, ni long, sig long, wide boolean")
     far = cut(postings.where("wide").select("k", "ni", "sig").distinct()) if len(wide) else None
     found = cut(postings.where("NOT wide").select("k", "ni", "sig").repartition(parts, "k").sortWithinPartitions("k", "ni", "sig").mapInArrow(_first_pairs, _PAIRS))
     pairs = found.where("k is null").select("u", "v")
-    pairs = cut((pairs if far is None else pairs.unionByName(pivot_pairs(far))).distinct())
-    roots = components(check(pairs))
+    pairs = (pairs if far is None else pairs.unionByName(pivot_pairs(far))).distinct()
+    pairs = cut(still_apart(pairs, cut(components(linked))))
+    roots = components(linked.unionByName(check(pairs)))
     joined = cut(roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
     labelled = lambda df: df.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("k", "ni", "sig", F.coalesce("root", "sig").alias("root"))
     more = []
@@ -408,7 +432,7 @@ def links(docs: DataFrame, rows: DataFrame, classes: DataFrame, shingle: int, wi
     if not more:
         return joined
     rest = more[0] if len(more) == 1 else more[0].unionByName(more[1]).distinct()
-    return joined.unionByName(check(rest.join(pairs, ["u", "v"], "left_anti")))
+    return joined.unionByName(check(rest.join(pairs.unionByName(by_print), ["u", "v"], "left_anti")))
 
 
 def _grouped(docs: DataFrame, shingle: int, wide: int = WIDE, cell: int = CELL, bits: int = 64) -> DataFrame:
@@ -417,7 +441,7 @@ def _grouped(docs: DataFrame, shingle: int, wide: int = WIDE, cell: int = CELL,
     rows = cut(prefixes(docs, shingle, known, bits))
     alike = shared_signatures(rows)
     rows = told_apart(rows, alike)
-    classes = cut(rows.groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    classes = cut(rows.groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")))
     far = long_postings(rows, wide)
     roots = components(links(docs, rows, classes, shingle, far, cell, alike, bits)).withColumnRenamed("node", "sig")
     grouped = roots.join(classes.select("sig", "first_id"), "sig")

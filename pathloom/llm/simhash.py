@@ -57,7 +57,12 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     width = min(shingle, len(words))
     grams = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
     n = len(words) - width + 1
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(42)), np.uint64, n)
+    return of_hashes(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(42)), np.uint64, n))
+
+
+def of_hashes(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes; zero without any."""
+    n = len(hashes)
     counts = np.zeros(64, np.int64)
     for i in range(0, n, 1 << 15):
         bits = np.unpackbits(hashes[i : i + (1 << 15)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")

@@ -42,3 +42,18 @@ def test_near_copies_go_at_four_fifths(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()} == _kept(texts)
     assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def test_the_byte_position_index_goes_first(spark):
+    """Fingerprints of near copies link pairs that shingles need not be asked for; only pairs at four fifths are joined by them."""
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(400)] for _ in range(12)]
+    copies = [[*x[:395], "other", *x[396:]] for x in base]
+    docs = spark.createDataFrame(list(enumerate(" ".join(x) for x in base + copies)), "doc_id long, text string").repartition(3)
+    rows = jaccard.prefixes(docs, 5, jaccard.frequent(docs, 5)).cache()
+    id_of = {r.sig: r.doc_id for r in rows.collect()}
+    found = {tuple(sorted((id_of[u], id_of[v]))) for u, v in jaccard.print_pairs(rows.select("sig", "fp")).collect()}
+    assert found and all(b - a == 12 for a, b in found)
+    roots = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3)], "node long, root long")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (4, 3), (2, 5), (6, 7)], "u long, v long")
+    assert sorted(map(tuple, jaccard.still_apart(pairs, roots).collect())) == [(1, 3), (2, 5), (6, 7)]
