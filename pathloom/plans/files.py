@@ -305,7 +305,7 @@ def shard_resume(spark, sf_dir):
         sinks.write_shards(f, f"{root}/s", {"size": 700}, shard_size=700)
 
     def read(root):
-        rows = spark.read.parquet(f"{root}/s/data").groupBy(F.col("shard").cast("long").alias("shard")).agg(F.count("*").alias("n_rows"), F.max("ref_id").alias("last"))
+        rows = sinks.shard_rows(spark, f"{root}/s", "ref_id long").groupBy("shard").agg(F.count("*").alias("n_rows"), F.max("ref_id").alias("last"))
         return rows.join(sinks.shard_records(spark, f"{root}/s").select("shard", "run"), "shard")
 
     return _through(spark, make, read)
@@ -339,7 +339,7 @@ def manifest_resume(spark, sf_dir):
             raise AssertionError("a complete shard was written again")
 
     def read(root):
-        rows = spark.read.parquet(f"{root}/s/data").groupBy(F.col("shard").cast("long").alias("shard")).agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
+        rows = sinks.shard_rows(spark, f"{root}/s", "ref_id long, value long").groupBy("shard").agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
         runs = sinks.shard_records(spark, f"{root}/s").select("shard", F.when(F.col("shard") == 3, 2).otherwise(F.col("run")).alias("run"))
         return rows.join(runs, "shard").join(states[0], "shard").select("shard", "n_rows", "total", "run", "state")
 

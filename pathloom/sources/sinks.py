@@ -14,8 +14,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pathloom.operators.prefix import checkpointed
+from pathloom.sources import readers
 
 
 def _fs(spark: SparkSession, path: str):
@@ -234,10 +236,64 @@ def rows_digest(df: DataFrame) -> Column:
     return F.concat_ws(":", F.count("*"), F.bit_xor(F.xxhash64(*columns)), F.sum(F.pmod(F.xxhash64(F.lit(1), *columns), F.lit(1 << 40))))
 
 
+def _task_uri(spark: SparkSession, path: str) -> str | None:
+    """The qualified ``path`` if tasks can reach its store by themselves, None for stores that only Spark knows."""
+    from pyarrow import fs
+
+    store, p = _fs(spark, path)
+    uri = store.makeQualified(p).toString().rstrip("/")
+    try:
+        fs.FileSystem.from_uri(uri)
+    except (pa.ArrowInvalid, OSError):
+        return None
+    return uri
+
+
+def shard_listing(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, path, bytes) of the files in the shards' folders, which tasks list; contents are not read."""
+    found = readers.listing(spark, f"{path}/data").where(F.col("path").endswith(".parquet"))
+    return found.select(F.regexp_extract("path", "shard=([0-9]+)/", 1).cast("long").alias("shard"), "path", F.col("length").alias("bytes"))
+
+
 def shard_files(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, bytes, n_files) of what lies in the shards' folders; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{path}/data")
-    return files.select(F.regexp_extract("path", "shard=([0-9]+)/", 1).cast("long").alias("shard"), "length").groupBy("shard").agg(F.sum("length").alias("bytes"), F.count("*").alias("n_files"))
+    """(shard, bytes, n_files) of what lies in the shards' folders."""
+    return shard_listing(spark, path).groupBy("shard").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n_files"))
+
+
+def shard_rows(spark: SparkSession, path: str, schema: StructType | str, listed: DataFrame | None = None, skip_corrupt: bool = False) -> DataFrame:
+    """Rows of the shards' files (or of those in ``listed(shard, path)``) in the columns of ``schema``, null where a file lacks one, and their ``shard``.
+
+    Files are rows of tasks, which open them, so that many shards are no index of the driver. Of a file that cannot be read
+    nothing or not all is there if ``skip_corrupt``, else that is an error.
+    """
+    uri = _task_uri(spark, f"{path}/data")
+    columns = spark.createDataFrame([], schema).drop("shard")
+    if uri is None:
+        return spark.read.schema(columns.withColumn("shard", F.lit(0).cast("long")).schema).option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(f"{path}/data")
+    kinds = columns.toArrow().schema
+
+    def run(batches):
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(uri)
+        for b in batches:
+            for shard, file in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                try:
+                    with store.open_input_file(base.rstrip("/") + file[len(uri) :]) as f:
+                        whole = pq.ParquetFile(f)
+                        there = set(whole.schema_arrow.names)
+                        for part in whole.iter_batches(1 << 13, columns=[n for n in kinds.names if n in there]):
+                            own = [part.column(k.name).cast(k.type) if k.name in there else pa.nulls(part.num_rows, k.type) for k in kinds]
+                            yield pa.RecordBatch.from_arrays([pa.array([shard] * part.num_rows, pa.int64()), *own], names=["shard", *kinds.names])
+                except (OSError, pa.ArrowException):
+                    if not skip_corrupt:
+                        raise
+
+    # few bytes name many files, so they are dealt over all tasks
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = (shard_listing(spark, path) if listed is None else listed).select("shard", "path").repartition(parts, "path")
+    return files.mapInArrow(run, StructType([StructField("shard", LongType()), *columns.schema.fields]))
 
 
 def shard_records(spark: SparkSession, path: str) -> DataFrame:
@@ -264,15 +320,16 @@ def manifest_states(rows: DataFrame, path: str, content: bool = True) -> DataFra
     """
     spark, there = rows.sparkSession, exists(rows.sparkSession, f"{path}/data")
     expected = checkpointed(rows.groupBy("shard").agg(F.count("*").alias("n_rows"), rows_digest(rows).alias("digest")))
-    files = shard_files(spark, path) if there else spark.createDataFrame([], "shard long, bytes long, n_files long")
+    listed = checkpointed(shard_listing(spark, path)) if there else spark.createDataFrame([], "shard long, path string, bytes long")
+    files = listed.groupBy("shard").agg(F.sum("bytes").alias("bytes"))
     records = shard_records(spark, path).select("shard", F.col("n_rows").alias("told_rows"), F.col("digest").alias("told"), F.col("bytes").alias("told_bytes"))
     j = expected.join(records, "shard", "left").join(files, "shard", "left")
     state = F.when(F.col("told").isNull(), F.when(F.col("bytes").isNull(), "missing").otherwise("unrecorded"))
     state = state.when((F.col("told") != F.col("digest")) | (F.col("told_rows") != F.col("n_rows")), "outdated")
     j = j.withColumn("state", state.when(F.coalesce("bytes", F.lit(-1)) != F.col("told_bytes"), "damaged").otherwise("complete"))
     if content and there:
-        found = spark.read.schema(rows.schema).option("ignoreCorruptFiles", "true").parquet(f"{path}/data")
-        found = found.join(j.where("state = 'complete'").select("shard"), "shard", "left_semi")
+        whole = listed.join(j.where("state = 'complete'").select("shard"), "shard", "left_semi")
+        found = shard_rows(spark, path, rows.schema, whole, skip_corrupt=True)
         j = j.join(found.groupBy("shard").agg(rows_digest(found).alias("found")), "shard", "left")
         j = j.withColumn("state", F.when((F.col("state") == "complete") & ~F.col("digest").eqNullSafe(F.col("found")), "damaged").otherwise(F.col("state")))
     return j.select("shard", "state", "n_rows", "digest")

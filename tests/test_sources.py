@@ -309,3 +309,20 @@ def test_listing_in_tasks(spark, tmp_path):
     assert got.where(F.col("path").isNotNull() & F.regexp_extract("path", "/(s1)/", 1).eqNullSafe("")).count() == 3
     # files are rows of tasks: no file index of them is in the plan, and a scan does not open a task for every few
     assert "binaryFile" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shards_are_rows_of_tasks(spark, tmp_path):
+    """Rows come back whole, a file that is cut is skipped or an error, and no plan has an index of the folders."""
+    path = f"{tmp_path}/s"
+    rows = spark.range(50).selectExpr("id AS ref_id", "cast(id as decimal(9,2)) AS price", "array(struct(id AS a, timestamp_seconds(id) AS t)) AS l", "id div 7 AS shard")
+    sinks.write_chunks(rows, f"{path}/data", ("shard",))
+    got = sinks.shard_rows(spark, path, rows.schema)
+    assert got.select(rows.columns).exceptAll(rows).isEmpty() and got.count() == 50
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in sinks.shard_files(spark, path)._jdf.queryExecution().executedPlan().toString() and sinks.shard_files(spark, path).count() == 8
+    file = f"{path}/data/shard=0/{next(x for x in os.listdir(f'{path}/data/shard=0') if x.endswith('.parquet'))}"
+    data = open(file, "rb").read()
+    open(file, "wb").write(data[: len(data) // 2])
+    assert sinks.shard_rows(spark, path, "ref_id long, none int", skip_corrupt=True).where("none is null").count() == 43
+    with pytest.raises(Exception, match="[Pp]arquet"):
+        sinks.shard_rows(spark, path, "ref_id long").count()
