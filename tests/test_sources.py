@@ -326,3 +326,19 @@ def test_shards_are_rows_of_tasks(spark, tmp_path):
     assert sinks.shard_rows(spark, path, "ref_id long, none int", skip_corrupt=True).where("none is null").count() == 43
     with pytest.raises(Exception, match="[Pp]arquet"):
         sinks.shard_rows(spark, path, "ref_id long").count()
+
+
+@pytest.mark.parametrize(("clock", "closed"), [(31 * 60_000, 1), (31 * 60_000 - 1, 0)])
+def test_silence_ends_with_the_watermark_at_its_deadline(spark, clock, closed):
+    """Key 1's deadline is at 30 minutes; key 2 moves the watermark, a minute behind, to it or to a millisecond before. States go with the rows, not by calls."""
+    at = lambda k, ms: spark.createDataFrame([(k, ms)], "k long, ms long").select("k", F.timestamp_millis("ms").alias("at"))
+    base = 1704067200000
+    plans = []
+
+    def plan(s):
+        plans.append(episodes.limited_episodes(s, "k", "at", "1 minute", 9, 60 * 60, 30 * 60))
+        return plans[-1]
+
+    got = episodes.streamed_in_runs(spark, [at(1, base), at(2, base + clock)], plan).collect()
+    assert [(r.k, r.number, r.end_ms - base, r.n_steps, r.cause) for r in got] == [(1, 0, 30 * 60_000, 1, "silent")] * closed
+    assert "TransformWithState" not in plans[0]._jdf.queryExecution().analyzed().toString()
