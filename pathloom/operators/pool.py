@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.operators.prefix import checkpointed, running_before
+from pathloom.operators.prefix import checkpointed, if_small, running_before
 
 
 @dataclass(frozen=True)
@@ -39,9 +39,12 @@ def _places() -> tuple[Column, Column, Column]:
 
 
 def _numbered(episodes: DataFrame, order: str, slots: Column, lookup: DataFrame, by: str, to: str) -> DataFrame:
-    """(order, ids): each episode's slots looked up in ``lookup(by, to)``; a name or number that is not there is an error."""
+    """(order, ids): each episode's slots looked up in ``lookup(by, to)``; a name or number that is not there is an error.
+
+    Few names have most of the slots, so a dictionary that is small, which is counted, is no shuffle by name.
+    """
     each = episodes.select(order, F.posexplode(slots).alias("slot", by))
-    found = each.join(lookup, by, "left").withColumn(to, F.coalesce(to, F.raise_error(F.concat(F.lit("not in the dictionary: "), F.col(by).cast("string"))).cast(dict(lookup.dtypes)[to])))
+    found = each.join(if_small(lookup), by, "left").withColumn(to, F.coalesce(to, F.raise_error(F.concat(F.lit("not in the dictionary: "), F.col(by).cast("string"))).cast(dict(lookup.dtypes)[to])))
     return found.groupBy(order).agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", to))), lambda x: x[to]).alias("__ids"))
 
 
@@ -50,8 +53,12 @@ def encode(episodes: DataFrame, order: str) -> Encoded:
     objects, holders, states, markers = (F.coalesce(F.col(c), F.expr(d)) for c, d in (("objects", "array()"), ("holders", "map()"), ("states", "map()"), ("markers", "array()")))
     fixed = checkpointed(episodes.select(order, *(c.cast(dict(episodes.dtypes)[n]).alias(n) for n, c in (("objects", objects), ("holders", holders), ("states", states), ("markers", markers)))))
     slots = _slots(F.map_entries("holders"), lambda e: F.array(e["key"], e["value"]), F.map_keys("states"), F.col("markers"), F.col("objects"), "name")
-    first = fixed.select(order, F.posexplode(slots).alias("slot", "name")).groupBy("name").agg(F.min(F.struct(order, "slot")).alias("first")).select("name", F.col("first")[order].alias("__o"), F.col("first.slot").alias("__s"))
-    names = checkpointed(running_before(first, ["__o", "__s"], F.lit(1), "id").select("name", "id"))
+    used = fixed.select(order, F.posexplode(slots).alias("slot", "name")).groupBy("name")
+    if dict(fixed.dtypes)[order] in ("tinyint", "smallint", "int", "bigint"):  # one number, whose least is found by hashing; that of structs needs a sort of all slots
+        first, by = used.agg(F.min(F.col(order).cast("decimal(20,0)") * (1 << 31) + F.col("slot")).alias("__o")), ["__o"]
+    else:
+        first, by = used.agg(F.min(F.struct(order, "slot")).alias("first")).select("name", F.col("first")[order].alias("__o"), F.col("first.slot").alias("__s")), ["__o", "__s"]
+    names = checkpointed(running_before(first, by, F.lit(1), "id").select("name", "id"))
     starts = running_before(fixed.select(order, F.size("objects").alias("n")), [order], F.col("n"), "__base").select(order, "__base")
     ids = _numbered(fixed, order, slots, names, "name", "id")
     j = fixed.join(starts, order).join(ids, order, "left").withColumn("__ids", F.coalesce("__ids", F.array().cast("array<bigint>")))

@@ -25,6 +25,15 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Tables of up to so many rows of a few numbers or names, which are counted, are broadcast; larger ones are joined by shuffle.
+BROADCAST_ROWS = 1 << 20
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """``df``, which should be checkpointed, with a hint to broadcast it if its count allows."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` kept in the shared folder."""
     shared_folder(df.sparkSession)

@@ -171,3 +171,12 @@ def test_goals_are_looked_up_by_rows(spark, tmp_path):
     # a pool's goals meet its episodes in a join of rows that is not broadcast, never as one array of all episodes' goals
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in plan and "arrays_zip" not in plan
+
+
+def test_a_small_dictionary_is_no_shuffle_by_name(spark):
+    """Few names have most of the slots; orders that are numbers and those that are not give the same numbers of names."""
+    df = spark.createDataFrame(_episodes(9), EPISODE)
+    coded, other = pool.encode(df, "k"), pool.encode(df.withColumn("k", F.format_string("%020d", F.col("k") + 10**6)), "k")
+    assert sorted(map(tuple, coded.names.collect())) == sorted(map(tuple, other.names.collect()))
+    looked = pool._numbered(df, "k", F.transform("objects", lambda x: x["name"]), coded.names, "name", "id")
+    assert "BroadcastHashJoin" in looked._jdf.queryExecution().executedPlan().toString()
