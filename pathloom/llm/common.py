@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Tables of up to so many rows of a few numbers, which are counted, are broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 1 << 20
+#: Rows of a few numbers that one task takes: a table that is counted has no more partitions than such tasks.
+TASK_ROWS = 1 << 17
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -52,9 +54,20 @@ def unused(name: str, *frames: DataFrame) -> str:
     return name
 
 
+def on_cores(df: DataFrame) -> DataFrame:
+    """``df`` in no more partitions than there are cores, for reading a table that is cut: small partitions cost a task each."""
+    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def in_few(df: DataFrame, rows: int, each: int = TASK_ROWS, least: int = 1) -> DataFrame:
+    """``df``, known to have up to so many ``rows``, in no more partitions than they ask for; ``least`` of them where it is made from larger tables."""
+    return df.coalesce(max(least, -(-rows // each)))
+
+
 def if_small(df: DataFrame) -> DataFrame:
     """``df``, which should be cut, with a hint to broadcast it if its count allows."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    rows = on_cores(df).limit(BROADCAST_ROWS + 1).count()
+    return F.broadcast(in_few(df, rows)) if rows <= BROADCAST_ROWS else df
 
 
 def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathloom.llm import simhash
-from pathloom.llm.common import cut, if_small, in_parts, key_groups, shuffle_partitions, text_hash, texts_of, without_rows
+from pathloom.llm.common import cut, if_small, in_few, in_parts, key_groups, on_cores, shuffle_partitions, text_hash, texts_of, without_rows
 from pathloom.llm.components import components
 
 #: Postings up to this length give all their pairs at once; of longer ones so many sets are first paired with all.
@@ -62,6 +62,8 @@ PIVOTS = 4
 PER_COUNT = 4
 #: Postings that should be longer than this, by the sample, are dealt in cells of blocks of so many sets.
 WIDE, CELL = 1_024, 1_024
+#: Pairs that one task compares, about; no fewer tasks than cores.
+CHECKED = 4_096
 #: One in so many documents is read for the order, of which so many shingles are kept.
 SAMPLE, FREQUENT = 16, 200_000
 
@@ -161,7 +163,7 @@ def told_apart(rows: DataFrame, alike: DataFrame | None) -> DataFrame:
 def shared_signatures(rows: DataFrame) -> DataFrame | None:
     """The signatures of ``rows(sig, more)`` that different sets share, None if there are none, as is to be expected."""
     alike = cut(rows.groupBy("sig").agg(F.min("more").alias("a"), F.max("more").alias("b")).where("a <> b").select("sig"))
-    return None if alike.isEmpty() else alike
+    return None if on_cores(alike).isEmpty() else alike
 
 
 def _exploded(batches: Iterator[pa.RecordBatch], wide: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -346,7 +348,7 @@ def cell_pairs(wide: DataFrame, cell: int) -> DataFrame:
 
 
 def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The ``pairs(u, v)`` whose sketches allow 4/5."""
+    """The ``pairs(u, v)``, which should be cut, whose sketches allow 4/5."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -355,7 +357,15 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     left, right = (classes.select(F.col("sig").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"s_{k}")) for k in "uv")
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "n_u", "s_u", "n_v", "s_v").mapInArrow(in_parts(run), "u long, v long")
+    both = _with_both(pairs, left, right, on_cores(pairs).count()).select("u", "v", "n_u", "s_u", "n_v", "s_v")
+    return both.mapInArrow(in_parts(run), "u long, v long")
+
+
+def _with_both(pairs: DataFrame, left: DataFrame, right: DataFrame, rows: int) -> DataFrame:
+    """The ``pairs(u, v)``, so many ``rows``, with what ``left(u, …)`` and ``right(v, …)`` have once for each node."""
+    least = pairs.sparkSession.sparkContext.defaultParallelism
+    first = in_few(in_few(pairs, rows).join(left, "u"), rows, CHECKED, least)
+    return in_few(first.join(right, "v"), rows, CHECKED, least)
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, alike: DataFrame | None = None, bits: int = 64) -> DataFrame:
@@ -375,14 +385,15 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     pairs = cut(likely(pairs, classes))
-    nodes = if_small(cut(pairs.select(F.explode(F.array("u", "v")).alias("sig")).distinct()))
+    rows = on_cores(pairs).count()
+    nodes = if_small(cut(in_few(pairs, rows).select(F.explode(F.array("u", "v")).alias("sig")).distinct()))
     # a class is read from the rows of its first id, or from those without one
     ids = if_small(cut(classes.join(nodes, "sig", "left_semi").select("first_id").distinct()))
     texts = _texts(docs)
     near = texts.where("doc_id is not null").join(ids, F.col("doc_id") == F.col("first_id"), "left_semi").unionByName(texts.where("doc_id is null"))
     of = cut(told_apart(near.select("text").mapInArrow(in_parts(sets), "sig long, more long, members binary"), alike).join(nodes, "sig", "left_semi").dropDuplicates(["sig"]))
     left, right = of.select(F.col("sig").alias("u"), F.col("members").alias("x")), of.select(F.col("sig").alias("v"), F.col("members").alias("y"))
-    return cut(pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(in_parts(check), "u long, v long"))
+    return cut(_with_both(pairs, left, right, rows).select("u", "v", "x", "y").mapInArrow(in_parts(check), "u long, v long"))
 
 
 def print_pairs(classes: DataFrame) -> DataFrame:
@@ -390,7 +401,8 @@ def print_pairs(classes: DataFrame) -> DataFrame:
     firsts = cut(classes.groupBy("fp").agg(F.min("sig").alias("first")))
     same = classes.select("fp", "sig").join(firsts, "fp").where("sig <> first").select(F.col("first").alias("u"), F.col("sig").alias("v"))
     left, right = (firsts.select(F.col("fp").alias(k), F.col("first").alias(f"s_{k}")) for k in "uv")
-    near = simhash.links(firsts.select("fp")).distinct().join(left, "u").join(right, "v")
+    near = cut(simhash.links(firsts.select("fp")).distinct())
+    near = _with_both(near, left, right, on_cores(near).count())
     return cut(same.unionByName(near.select(F.least("s_u", "s_v").alias("u"), F.greatest("s_u", "s_v").alias("v"))).distinct())
 
 
@@ -413,26 +425,31 @@ def links(docs: DataFrame, rows: DataFrame, classes: DataFrame, shingle: int, wi
     shared = spark.sparkContext.broadcast(wide)
     check = lambda pairs: verified(docs, classes, pairs, shingle, alike, bits)
     by_print = print_pairs(classes)
+    by_print = in_few(by_print, on_cores(by_print).count())
     linked = check(by_print)
     postings = rows.select("sig", "n", "prefix").mapInArrow(in_parts(lambda batches: _exploded(batches, shared.value)), "k long, ni long, sig long, wide boolean")
     far = cut(postings.where("wide").select("k", "ni", "sig").distinct()) if len(wide) else None
     found = cut(postings.where("NOT wide").select("k", "ni", "sig").repartition(parts, "k").sortWithinPartitions("k", "ni", "sig").mapInArrow(_first_pairs, _PAIRS))
     pairs = found.where("k is null").select("u", "v")
     pairs = (pairs if far is None else pairs.unionByName(pivot_pairs(far))).distinct()
-    pairs = cut(still_apart(pairs, cut(components(linked))))
-    roots = components(linked.unionByName(check(pairs)))
-    joined = cut(roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
-    labelled = lambda df: df.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("k", "ni", "sig", F.coalesce("root", "sig").alias("root"))
+    stars = lambda roots: roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
+    roots = cut(components(linked))
+    pairs = cut(still_apart(pairs, roots))
+    pairs = in_few(pairs, on_cores(pairs).count())
+    roots = cut(components(stars(roots).unionByName(check(pairs))))
+    joined = stars(roots)
+    named = if_small(roots.withColumnRenamed("node", "sig"))
+    labelled = lambda df: df.join(named, "sig", "left").select("k", "ni", "sig", F.coalesce("root", "sig").alias("root"))
     more = []
     long = found.where("k is not null").select("k", "ni", "sig")
-    if not long.isEmpty():
+    if not on_cores(long).isEmpty():
         more.append(labelled(long).repartition(parts, "k").sortWithinPartitions("k", "ni", "sig").mapInArrow(_rest_pairs, _PAIRS).select("u", "v").distinct())
     if far is not None:
         more.append(cell_pairs(cut(labelled(far)), cell))
     if not more:
         return joined
     rest = more[0] if len(more) == 1 else more[0].unionByName(more[1]).distinct()
-    return joined.unionByName(check(rest.join(pairs.unionByName(by_print), ["u", "v"], "left_anti")))
+    return joined.unionByName(check(cut(rest.join(pairs.unionByName(by_print), ["u", "v"], "left_anti"))))
 
 
 def _grouped(docs: DataFrame, shingle: int, wide: int = WIDE, cell: int = CELL, bits: int = 64) -> DataFrame:
@@ -443,10 +460,11 @@ def _grouped(docs: DataFrame, shingle: int, wide: int = WIDE, cell: int = CELL,
     rows = told_apart(rows, alike)
     classes = cut(rows.groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")))
     far = long_postings(rows, wide)
-    roots = components(links(docs, rows, classes, shingle, far, cell, alike, bits)).withColumnRenamed("node", "sig")
-    grouped = roots.join(classes.select("sig", "first_id"), "sig")
+    roots = cut(components(links(docs, rows, classes, shingle, far, cell, alike, bits)).withColumnRenamed("node", "sig"))
+    grouped = cut(classes.select("sig", "first_id").join(if_small(roots), "sig"))
+    grouped = in_few(grouped, on_cores(grouped).count())
     least = grouped.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    named = grouped.join(least, "root").select("sig", "least_id")
+    named = if_small(cut(grouped.join(least, "root").select("sig", "least_id")))
     named = classes.join(named, "sig", "left").where("rows > 1 or least_id is not null").select("sig", F.coalesce("least_id", "first_id").alias("component_id"))
     return rows.select("doc_id", "text_hash", "sig").join(if_small(cut(named)), "sig")
 

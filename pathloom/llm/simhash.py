@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.llm.common import cut, if_small, in_parts, key_groups, shuffle_partitions, text_hash, texts_of, without_rows
+from pathloom.llm.common import cut, if_small, in_parts, key_groups, on_cores, shuffle_partitions, text_hash, texts_of, without_rows
 from pathloom.llm.components import components
 
 #: Linked at this many differing bits or fewer.
@@ -192,7 +192,7 @@ def links(prints: DataFrame, long: int = LONG, sample: int = SAMPLE) -> DataFram
     n = shuffle_partitions(prints.sparkSession)
     index = prints.select("fp", F.explode(F.array(*_keys("fp"))).alias("k")).select("k", "fp")
     hot = cut(index.where(F.pmod(F.xxhash64("fp"), F.lit(sample)) == 0).groupBy("k").count().where(F.col("count") * sample > long).select("k"))
-    if not hot.isEmpty():
+    if not on_cores(hot).isEmpty():
         hot = if_small(hot)
         further = index.join(hot, "k", "left_semi").select(F.explode(_further("fp", "k")).alias("k"), "fp")
         index = index.join(hot, "k", "left_anti").unionByName(further)
