@@ -114,7 +114,7 @@ def _results_tree(spark: SparkSession, sf_dir: str, root: str) -> None:
 @query(SOURCES_SQL + " SELECT k, k % 6 = 0 AS broken, CASE WHEN k % 6 > 0 THEN 'Normal' END AS status, CASE WHEN k % 6 > 0 THEN total_step END AS total_step FROM src")
 def status_scan(spark, sf_dir):
     def read(root):
-        rows = readers.statuses(spark, f"{root}/*/*.json").where(F.col("file").rlike("/[0-9]+[.]json$"))
+        rows = readers.statuses(spark, f"{root}/*/*.json", lambda file: file.rlike("/[0-9]+[.]json$"))
         return rows.select(F.regexp_extract("file", "([0-9]+)[.]json$", 1).cast("long").alias("k"), F.col("_corrupt_record").isNotNull().alias("broken"), "status", "total_step")
 
     return _through(spark, lambda root: _results_tree(spark, sf_dir, root), read)

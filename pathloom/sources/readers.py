@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+import re
+from collections.abc import Callable, Iterator
+from fnmatch import fnmatchcase
 from functools import partial
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -54,7 +58,6 @@ def _listed(batches: Iterator[pa.RecordBatch], root: str, deep: bool) -> Iterato
 
     store, base = fs.FileSystem.from_uri(root)
     base = base.rstrip("/")
-    hidden = lambda name: name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
     batch = lambda rows: pa.RecordBatch.from_pylist(rows, pa.schema([("path", pa.string()), ("length", pa.int64()), ("folder", pa.string())]))
     rows = []
     for b in batches:
@@ -63,7 +66,7 @@ def _listed(batches: Iterator[pa.RecordBatch], root: str, deep: bool) -> Iterato
             folder = todo.pop()
             for f in store.get_file_info(fs.FileSelector(f"{base}/{folder}".rstrip("/"))):
                 path = f"{folder}/{f.base_name}" if folder else f.base_name
-                if hidden(f.base_name):
+                if _hidden(f.base_name):
                     continue
                 if f.type != fs.FileType.Directory:
                     rows.append({"path": path, "length": f.size})
@@ -77,6 +80,142 @@ def _listed(batches: Iterator[pa.RecordBatch], root: str, deep: bool) -> Iterato
     yield batch(rows)
 
 
+def _hidden(name: str) -> bool:
+    """Spark's rule of hidden names."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+MATCHED = "root string, path string, rest array<string>, file string"
+
+
+def matching(spark: SparkSession, paths: str | list[str]) -> DataFrame | None:
+    """(root, path, file) of the files that ``paths`` name; ``file`` as in Spark's metadata. A folder stands for the files right in it.
+
+    ``*``, ``?`` and ``[…]`` are matched by tasks, a level at a time, so that neither the driver nor a plan holds the files.
+    None for stores that only Spark knows, and for braces and escapes, which are left to it.
+    """
+    from pyarrow import ArrowInvalid, fs
+
+    todo = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        if re.search(r"[{\\]", path):
+            return None
+        steps = path.split("/")
+        first = next((i for i, x in enumerate(steps) if re.search(r"[*?[]", x)), len(steps))
+        base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join(steps[:first]) + ("/" if 0 < first < len(steps) else "") or ".")
+        store = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        root = store.makeQualified(base).toUri().toASCIIString()
+        try:
+            fs.FileSystem.from_uri(root)
+        except (ArrowInvalid, OSError):
+            return None
+        if not store.exists(base):
+            raise FileNotFoundError(path)
+        todo.append((root, "", [x.replace("[^", "[!") for x in steps[first:] if x], None))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.createDataFrame(todo, MATCHED)
+    for _ in range(max([1, *(len(rest) for _, _, rest, _ in todo)])):
+        rows = rows.repartition(parts, "root", "path").mapInArrow(_matched, MATCHED)
+    found = checkpointed(rows.select("root", "path", "file"))
+    if any(rest for _, _, rest, _ in todo) and found.isEmpty():
+        raise FileNotFoundError(f"no file at {paths}")
+    return found
+
+
+def _shown(root: str, path: str) -> str:
+    """A file's address as Spark's metadata have it: quoted, but for letters of any script."""
+    whole = re.sub("^([^/]*:)//(?=/)", r"\1", f"{unquote(root).rstrip('/')}/{path}" if path else unquote(root))
+    return re.sub(r"[\s\x00-\x20\x7f-\x9f\"#%<>?\[\\\]^`{|}]", lambda x: quote(x[0], safe=""), whole)
+
+
+def _stores() -> Callable[[str, str], tuple]:
+    """The store of a root, which is opened once, and the whole path in it."""
+    from pyarrow import fs
+
+    known = {}
+
+    def at(root: str, path: str) -> tuple:
+        if root not in known:
+            known[root] = fs.FileSystem.from_uri(root)
+        store, base = known[root]
+        return store, f"{base.rstrip('/')}/{path}" if path else base
+
+    return at
+
+
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One level further: what matches the first of ``rest``, with the others; files that are found have none, but null."""
+    from pyarrow import fs
+
+    at, folder = _stores(), fs.FileType.Directory
+    batch = lambda rows: pa.RecordBatch.from_pylist(rows, pa.schema([("root", pa.string()), ("path", pa.string()), ("rest", pa.list_(pa.string())), ("file", pa.string())]))
+    below = lambda path, name: f"{path}/{name}" if path else name
+
+    def entries(root, path):
+        store, whole = at(root, path)
+        return store.get_file_info(fs.FileSelector(whole))
+
+    def inside(root, path):
+        return ((below(path, f.base_name), None) for f in entries(root, path) if f.type != folder)
+
+    def step(root, path, rest):
+        if rest is None:
+            yield path, None
+        elif not rest:
+            store, whole = at(root, path)
+            yield from inside(root, path) if store.get_file_info(whole).type == folder else [(path, None)]
+        else:
+            for f in entries(root, path):
+                if not fnmatchcase(f.base_name, rest[0]):
+                    continue
+                name = below(path, f.base_name)
+                if f.type != folder:
+                    yield from [(name, None)] if len(rest) == 1 else []
+                elif len(rest) == 1:
+                    yield from inside(root, name)
+                else:
+                    yield name, rest[1:]
+
+    for b in batches:
+        rows = []
+        for root, path, rest in zip(*(c.to_pylist() for c in b.columns[:3]), strict=True):
+            for name, left in step(root, path, rest):
+                if left is not None or not _hidden((name or root).rsplit("/", 1)[-1]):
+                    rows.append({"root": root, "path": name, "rest": left, "file": _shown(root, name)})
+                if len(rows) >= 10_000:
+                    yield batch(rows)
+                    rows = []
+        yield batch(rows)
+
+
+def _contents(files: DataFrame) -> DataFrame:
+    """(file, content, sound) of the files in ``matching``, which tasks open: unzipped text in the Unicode form that JSON's first bytes tell; not sound where it is none."""
+
+    def run(batches):
+        at, kinds = _stores(), pa.schema([("file", pa.string()), ("content", pa.string()), ("sound", pa.bool_())])
+        for b in batches:
+            rows, size = [], 0
+            for root, path, file in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                store, whole = at(root, path)
+                with store.open_input_stream(whole) as f:
+                    data = f.read()
+                form, sound = json.detect_encoding(data), True
+                try:
+                    text = data.decode(form)
+                except UnicodeDecodeError:
+                    text, sound = data.decode(form, "replace"), False
+                rows.append({"file": file, "content": text, "sound": sound})
+                size += len(data)
+                if size >= 1 << 23:
+                    yield pa.RecordBatch.from_pylist(rows, kinds)
+                    rows, size = [], 0
+            yield pa.RecordBatch.from_pylist(rows, kinds)
+
+    # few bytes name many files, so they are dealt over all tasks
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.select("root", "path", "file").repartition(parts, "root", "path").mapInArrow(run, "file string, content string, sound boolean")
+
+
 def discover(spark: SparkSession, root: str, skip_invalid: bool = False, limit: int | None = None) -> DataFrame:
     """Episodes under ``root/scene/``: one row per step log, natural order, with what is missing beside it.
 
@@ -122,17 +261,29 @@ def step_logs(spark: SparkSession, paths: str | list[str], checked: bool = False
     return rows.withColumn("file", F.col("_metadata.file_path"))
 
 
-def statuses(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Episode results with their file; what cannot be parsed is null all over, not an error."""
-    schema = f"{schemas.EPISODE_RESULT}, _corrupt_record string"
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(paths).withColumn("file", F.col("_metadata.file_path"))
+def statuses(spark: SparkSession, paths: str | list[str], which: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Episode results with their file; what cannot be parsed is null all over, not an error. ``which`` tells from a file's name if it is read.
+
+    Tasks find and open the files. A file may be an array of results; if one is broken, the file is told beside each.
+    """
+    schema, files = f"{schemas.EPISODE_RESULT}, _corrupt_record string", matching(spark, paths)
+    if files is None:
+        rows = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(paths).withColumn("file", F.col("_metadata.file_path"))
+        return rows if which is None else rows.where(which(F.col("file")))
+    texts = _contents(files if which is None else files.where(which(F.col("file")))).where(F.col("content").rlike(r"[^ \t\r\n]"))
+    texts = texts.withColumn("parts", F.when(F.col("content").rlike(r"^[ \t\r\n]*\["), F.from_json("content", "array<string>")).otherwise(F.array("content")))
+    whole = F.col("sound") & F.col("parts").isNotNull() & F.forall("parts", lambda x: F.coalesce(x.rlike(r"^[ \t\r\n]*\{"), F.lit(False)))
+    each = texts.select("file", "content", F.transform(F.when(whole, F.col("parts")).otherwise(F.array(F.lit(None).cast("string"))), lambda x: F.from_json(x, schema)).alias("each"))
+    broken = F.exists("each", lambda x: x.isNull() | x["_corrupt_record"].isNotNull())
+    rows = each.select("file", F.when(broken, F.col("content")).alias("__broken"), F.explode("each").alias("r")).select("r.*", "file", "__broken")
+    return rows.withColumn("_corrupt_record", F.col("__broken")).drop("__broken")
 
 
 def evaluation_results(spark: SparkSession, root: str) -> DataFrame:
     """Results with a success field from all result files: no step logs, no summaries; first file of an episode."""
-    rows = statuses(spark, f"{root}/*/*.json")
     name = F.substring_index("file", "/", -1)
-    rows = rows.where(~name.endswith("_info.json") & ~name.startswith("summary") & F.col("_corrupt_record").isNull() & F.col("success").isNotNull())
+    rows = statuses(spark, f"{root}/*/*.json", lambda _: ~name.endswith("_info.json") & ~name.startswith("summary"))
+    rows = rows.where(F.col("_corrupt_record").isNull() & F.col("success").isNotNull())
     rows = rows.withColumn("scene_dir", F.regexp_extract("file", "([^/]+)/[^/]+$", 1))
     rows = rows.withColumn("episode_id", F.coalesce("episode_id", F.regexp_replace(name, r"\.json$", "")))
     return keep_first(rows, ["scene_dir", "episode_id"], ["file"])

@@ -328,6 +328,34 @@ def test_shards_are_rows_of_tasks(spark, tmp_path):
         sinks.shard_rows(spark, path, "ref_id long").count()
 
 
+ODD = {
+    "obj": b'{"status":"a","total_step":3}', "arr": b' [{"status":"a"},{"status":"b"}]', "empty": b"", "blank": b" \n", "none": b"[]", "null": b"null", "null_in": b'[null,{"status":"c"}]', "bad": b"{not json", "number": b"12",
+    "misfit": b'{"status":"a","total_step":"x","fps":3}', "misfits": b'[{"status":"a","total_step":"x"},{"status":"b","total_step":2}]', "cut": b'[{"status":"a"},{"status":"b"', "behind": b'[{"status":"a"}] more', "mixed": b'[{"status":"a"},3]',
+    "nested": b'[[{"status":"a"}]]', "mark": b'\xef\xbb\xbf{"status":"a"}', "wide": '{"status":"\xe9"}'.encode("utf-16"), "bytes": b'{"status":"\xff"}', "control": b'{"status":"a\nb"}', "s \xe9%25/g h": b'{"status":"q"}', "s1/_hidden": b"{}", "_s/d/x": b"{}",
+}
+
+
+def test_results_are_found_and_read_by_tasks(spark, tmp_path):
+    """Odd files give what Spark's reader gives, under each kind of path, and no plan has an index of the files."""
+    for name, data in ODD.items():
+        os.makedirs(os.path.dirname(f"{tmp_path}/{name}"), exist_ok=True)
+        open(f"{tmp_path}/{name}.json", "wb").write(data)
+    with gzip.open(f"{tmp_path}/z.json.gz", "wb") as f:
+        f.write(b'{"status":"zipped"}')
+    schema = f"{schemas.EPISODE_RESULT}, _corrupt_record string"
+    told = lambda df: sorted(map(repr, df.select("file", "status", "total_step", "fps", "_corrupt_record").collect()))
+    for paths in ("/*.json", "/*.gz", "/*/*.json", "/s*/g?h.json", "/[^a-m]*.json", "", "/s \xe9%25", ["/obj.json", "/obj.json", "/m*.json"], "//_s/*/*.json", "/{obj,arr}.json"):
+        paths = f"{tmp_path}{paths}" if isinstance(paths, str) else [f"{tmp_path}{x}" for x in paths]
+        got = readers.statuses(spark, paths)
+        of_spark = spark.read.schema(schema).option("multiLine", True).json(paths).withColumn("file", F.col("_metadata.file_path"))
+        assert told(got) == told(of_spark) and set(got.columns) == set(of_spark.columns)
+        assert ("FileScan" in got._jdf.queryExecution().executedPlan().toString()) == ("{" in str(paths))
+    assert told(readers.statuses(spark, f"{tmp_path}/*.json", lambda f: f.endswith("/arr.json"))) == told(readers.statuses(spark, f"{tmp_path}/arr.json"))
+    for missing in ("/*.not", "/not.json"):
+        with pytest.raises(FileNotFoundError, match="not"):
+            readers.statuses(spark, f"{tmp_path}{missing}")
+
+
 @pytest.mark.parametrize(("clock", "closed"), [(31 * 60_000, 1), (31 * 60_000 - 1, 0)])
 def test_silence_ends_with_the_watermark_at_its_deadline(spark, clock, closed):
     """Key 1's deadline is at 30 minutes; key 2 moves the watermark, a minute behind, to it or to a millisecond before. States go with the rows, not by calls."""
