@@ -249,16 +249,24 @@ def legacy_discover(spark: SparkSession, root: str) -> DataFrame:
 
 
 def step_logs(spark: SparkSession, paths: str | list[str], checked: bool = False) -> DataFrame:
-    """Step records with their file; files are arrays, and an element's own index orders it.
+    """Step records with their file; files are arrays, and an element's own index orders it. What does not fit the schema is an error.
 
-    ``checked``: ValueError if a file is no array or an empty one, which a conversion does not take.
+    ``checked``: ValueError if a file is no array or an empty one, which a conversion does not take. Tasks find and open the files.
     """
+    files = matching(spark, paths)
+    texts = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("content")) if files is None else _contents(files)
     if checked:
-        texts = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_extract("value", r"^\s*(\[\s*\]|.)", 1).alias("head"))
-        if bad := texts.where(~F.col("head").isin("[") | F.col("head").isNull()).first():
+        heads = texts.select("file", F.regexp_extract("content", r"^\s*(\[\s*\]|.)", 1).alias("head"))
+        if bad := heads.where(~F.col("head").isin("[") | F.col("head").isNull()).first():
             raise ValueError(f"{bad.file} holds no list of steps")
-    rows = spark.read.schema(schemas.STEP_LOG).option("multiLine", True).option("mode", "FAILFAST").json(paths)
-    return rows.withColumn("file", F.col("_metadata.file_path"))
+    if files is None:
+        rows = spark.read.schema(schemas.STEP_LOG).option("multiLine", True).option("mode", "FAILFAST").json(paths)
+        return rows.withColumn("file", F.col("_metadata.file_path"))
+    kind = f"array<struct<{schemas.STEP_LOG}>>"
+    steps = texts.where(F.col("content").rlike(r"[^ \t\r\n]")).withColumn("steps", F.when(F.col("sound"), F.from_json("content", kind, {"mode": "FAILFAST"})))
+    broken = F.col("steps").isNull() | F.exists("steps", lambda x: x.isNull())
+    told = F.raise_error(F.concat("file", F.lit(" holds what is no step"))).cast(kind)
+    return steps.select("file", F.explode(F.when(broken, told).otherwise(F.col("steps"))).alias("step")).select("step.*", "file")
 
 
 def statuses(spark: SparkSession, paths: str | list[str], which: Callable[[Column], Column] | None = None) -> DataFrame:

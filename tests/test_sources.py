@@ -356,6 +356,25 @@ def test_results_are_found_and_read_by_tasks(spark, tmp_path):
             readers.statuses(spark, f"{tmp_path}{missing}")
 
 
+def test_logs_are_found_and_read_by_tasks(spark, tmp_path):
+    """Steps are those of Spark's reader, what is no step is an error, and no plan has an index of the files."""
+    for i in range(30):
+        put(f"{tmp_path}/s{i % 3}/{i}_info.json", [{"frame_index": j, "robot_pos": [i, 0.5, j], "human_following": 1.0, "more": [{}]} for j in range(i + 1)])
+    put(f"{tmp_path}/s0/30_info.json", {"frame_index": 7})
+    paths = f"{tmp_path}/*/*_info.json"
+    got = readers.step_logs(spark, paths)
+    of_spark = spark.read.schema(schemas.STEP_LOG).option("multiLine", True).json(paths).withColumn("file", F.col("_metadata.file_path"))
+    assert got.columns == of_spark.columns and got.exceptAll(of_spark).isEmpty() and got.count() == of_spark.count() == 466
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in readers.step_logs(spark, f"{tmp_path}/s[12]/*_info.json", checked=True)._jdf.queryExecution().executedPlan().toString()
+    for i, text in enumerate([b"[{", b"null", b"[null]", b"3", b'[{"human_pos":["\xff"]}]', b'[{"frame_index":"x"}]']):
+        os.makedirs(f"{tmp_path}/bad")
+        open(f"{tmp_path}/bad/{i}_info.json", "wb").write(text)
+        with pytest.raises(Exception, match="no step|FAILFAST|[Mm]alformed"):
+            readers.step_logs(spark, f"{tmp_path}/bad").count()
+        os.rename(f"{tmp_path}/bad", f"{tmp_path}/seen{i}")
+
+
 @pytest.mark.parametrize(("clock", "closed"), [(31 * 60_000, 1), (31 * 60_000 - 1, 0)])
 def test_silence_ends_with_the_watermark_at_its_deadline(spark, clock, closed):
     """Key 1's deadline is at 30 minutes; key 2 moves the watermark, a minute behind, to it or to a millisecond before. States go with the rows, not by calls."""
